@@ -11,8 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .url_rules import ascii_lower
-
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases and labels fixed by the contract of op7.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -27,57 +25,58 @@ class Signature:
     regex: str
     priority: int
     weight: float
+    #: Words of which a match holds at least one, blank between two.
+    also: str = ""
 
 
-#: License families: label, SPDX words, names as word patterns, the name's rarest word.
+#: License families: label, SPDX words, names as word patterns, words of which a match holds one.
 FAMILIES = [
     ("mit", "mit", "(?:the )?mit(?: x11| expat)?", "mit"),
     ("apache-2", "apache 2 0", "(?:the )?apache(?: software)?", "apache"),
     ("bsd-2", "bsd 2 clause", "(?:the )?(?:simplified|freebsd|bsd 2 clause)(?: bsd)?", "bsd"),
     ("bsd-3", "bsd 3 clause", "(?:the )?(?:new|modified|revised|bsd 3 clause)(?: bsd)?", "bsd"),
-    ("gpl-2", "gpl 2 0", "(?:the )?(?:gnu general public license version 2|gnu gpl v2|gpl ?v2)", "gpl"),
-    ("gpl-3", "gpl 3 0", "(?:the )?(?:gnu general public license version 3|gnu gpl v3|gpl ?v3)", "gpl"),
-    ("lgpl-2.1", "lgpl 2 1", "(?:the )?(?:gnu lesser general public license version 2 1|lgpl ?v2 1)", "lgpl"),
-    ("lgpl-3", "lgpl 3 0", "(?:the )?(?:gnu lesser general public license version 3|lgpl ?v3)", "lgpl"),
-    ("agpl-3", "agpl 3 0", "(?:the )?(?:gnu affero general public license version 3|agpl ?v3)", "agpl"),
+    ("gpl-2", "gpl 2 0", "(?:the )?(?:gnu general public license version 2|gnu gpl v2|gpl ?v2)", "gpl gnu"),
+    ("gpl-3", "gpl 3 0", "(?:the )?(?:gnu general public license version 3|gnu gpl v3|gpl ?v3)", "gpl gnu"),
+    ("lgpl-2.1", "lgpl 2 1", "(?:the )?(?:gnu lesser general public license version 2 1|lgpl ?v2 1)", "lgpl lesser"),
+    ("lgpl-3", "lgpl 3 0", "(?:the )?(?:gnu lesser general public license version 3|lgpl ?v3)", "lgpl lesser"),
+    ("agpl-3", "agpl 3 0", "(?:the )?(?:gnu affero general public license version 3|agpl ?v3)", "agpl affero"),
     ("mpl-2", "mpl 2 0", "(?:the )?mozilla(?: public)?", "mozilla"),
     ("epl-2", "epl 2 0", "(?:the )?eclipse(?: public)?", "eclipse"),
-    ("cddl-1", "cddl 1 0", "(?:the )?common development and distribution", "cddl"),
+    ("cddl-1", "cddl 1 0", "(?:the )?common development and distribution", "distribution"),
     ("isc", "isc", "(?:the )?isc", "isc"),
     ("zlib", "zlib", "(?:the )?zlib(?: libpng)?", "zlib"),
     ("bsl-1", "bsl 1 0", "(?:the )?boost software", "boost"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense"),
-    ("cc0-1", "cc0 1 0", "(?:the )?(?:creative commons zero|cc0)", "cc0"),
-    ("cc-by", "cc by 4 0", "(?:the )?(?:creative commons attribution|cc by)", "cc"),
-    ("cc-by-sa", "cc by sa 4 0", "(?:the )?(?:creative commons attribution share ?alike|cc by sa)", "cc"),
-    ("cc-by-nc", "cc by nc 4 0", "(?:the )?(?:creative commons attribution non ?commercial|cc by nc)", "cc"),
-    ("cc-by-nd", "cc by nd 4 0", "(?:the )?(?:creative commons attribution no ?deriv(?:ative)?s|cc by nd)", "cc"),
-    ("cc-by-nc-sa", "cc by nc sa 4 0", "(?:the )?(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)", "cc"),
+    ("cc0-1", "cc0 1 0", "(?:the )?(?:creative commons zero|cc0)", "cc0 zero"),
+    ("cc-by", "cc by 4 0", "(?:the )?(?:creative commons attribution|cc by)", "cc attribution"),
+    ("cc-by-sa", "cc by sa 4 0", "(?:the )?(?:creative commons attribution share ?alike|cc by sa)", "cc attribution"),
+    ("cc-by-nc", "cc by nc 4 0", "(?:the )?(?:creative commons attribution non ?commercial|cc by nc)", "cc attribution"),
+    ("cc-by-nd", "cc by nd 4 0", "(?:the )?(?:creative commons attribution no ?deriv(?:ative)?s|cc by nd)", "cc attribution"),
+    ("cc-by-nc-sa", "cc by nc sa 4 0", "(?:the )?(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)", "cc attribution"),
     ("artistic-2", "artistic 2 0", "(?:the )?(?:perl )?artistic", "artistic"),
-    ("wtfpl", "wtfpl", "(?:the )?(?:do what the fuck you want to public|wtfpl)", "wtfpl"),
-    ("ofl-1.1", "ofl 1 1", "(?:the )?(?:sil )?open font", "ofl"),
+    ("wtfpl", "wtfpl", "(?:the )?(?:do what the fuck you want to public|wtfpl)", "wtfpl fuck"),
+    ("ofl-1.1", "ofl 1 1", "(?:the )?(?:sil )?open font", "font"),
     ("postgresql", "postgresql", "(?:the )?postgresql", "postgresql"),
-    ("python-2", "python 2 0", "(?:the )?(?:python software foundation|psf)", "psf"),
-    ("ms-pl", "ms pl", "(?:the )?microsoft public", "ms"),
-    ("upl-1", "upl 1 0", "(?:the )?universal permissive", "upl"),
-    ("eupl-1.2", "eupl 1 2", "(?:the )?european union public", "eupl"),
+    ("python-2", "python 2 0", "(?:the )?(?:python software foundation|psf)", "psf python"),
+    ("ms-pl", "ms pl", "(?:the )?microsoft public", "microsoft"),
+    ("upl-1", "upl 1 0", "(?:the )?universal permissive", "permissive"),
+    ("eupl-1.2", "eupl 1 2", "(?:the )?european union public", "european"),
 ]
-#: Phrases around a family's name: pattern with {name} and {spdx}, the keyword ("" for the family's own), priority, weight.
+#: Phrases around a family's name: pattern with {name}, {spdx} and {license} (both spellings), keyword, priority, weight.
 SHAPES = [
-    ("spdx license identifier {spdx}", "spdx", 5, 1.0),
-    ("(?:released|licensed|distributed|available|provided|published) under (?:the terms of )?{name} licen[cs]e", "under", 4, 0.95),
-    ("under (?:the terms of )?{name} licen[cs]e(?: v| version)?(?: [0-9]+)*", "under", 3, 0.9),
-    ("licensed under {name}(?: [0-9]+)*", "licensed", 3, 0.9),
-    ("{name} licen[cs]e(?: v| version) [0-9]+(?: [0-9]+)?", "", 2, 0.85),
-    ("{name} licen[cs]e", "license", 1, 0.7),
-    ("{name} licen[cs]e", "licence", 1, 0.7),
-    ("licen[cs]e {name}(?: [0-9]+)*", "license", 1, 0.7),
+    ("spdx {license} identifier {spdx}", "spdx", 5, 1.0),
+    ("(?:released|licensed|distributed|available|provided|published) under (?:the terms of )?{name} {license}", "{license}", 4, 0.95),
+    ("under (?:the terms of )?{name} {license}(?: v| version)?(?: [0-9]+)*", "{license}", 3, 0.9),
+    ("{license}d under {name}(?: [0-9]+)*", "{license}d", 3, 0.9),
+    ("{name} {license}(?: v| version) [0-9]+(?: [0-9]+)?", "{license}", 2, 0.85),
+    ("{name} {license}", "{license}", 1, 0.7),
+    ("{license} {name}(?: [0-9]+)*", "{license}", 1, 0.7),
 ]
 
 
 def signatures() -> list[Signature]:
     """One rule for each family and shape, and the full-text marks of the best known licenses."""
-    made = [Signature(label, kw or own, shape.format(name=name, spdx=spdx), priority, weight) for label, spdx, name, own in FAMILIES for shape, kw, priority, weight in SHAPES]
+    made = [Signature(label, kw.format(license=word), shape.format(name=name, spdx=spdx, license=word), priority, weight, spdx.split(" ")[0] if kw == "spdx" else own) for label, spdx, name, own in FAMILIES for word in ("license", "licence") for shape, kw, priority, weight in SHAPES]
     marks = [
         ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
         ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose"),
@@ -97,8 +96,10 @@ def signatures() -> list[Signature]:
 
 
 def normalized(text: Column) -> Column:
-    """`` w w w ``: lower-cased words with one blank before and after each; `` `` alone for no words."""
-    return F.regexp_replace(F.concat(F.lit(" "), ascii_lower(F.coalesce(text, F.lit(""))), F.lit(" ")), GAP, " ")
+    """`` w w w ``: lower-cased words with one blank before and after each; `` `` alone for no words.
+
+    Lower-casing letters beyond A-Z as well moves no word boundary and makes no a-z of the phrases, and is much faster."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), GAP, " ")
 
 
 def _spans(norm: Column, regex) -> Column:
@@ -127,10 +128,17 @@ def detections(norm: Column, rules: list[Signature]) -> Column:
     Sorted by start, then by falling end and priority, a container stands before what it contains, so one pass with the
     furthest end of each priority settles containment.
     """
-    keywords = sorted({r.keyword for r in rules})
-    table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.weight).alias("weight")) for r in rules])
-    held = F.array_intersect(F.split(norm, " "), F.array(*map(F.lit, keywords)))
-    chosen = F.filter(table, lambda r: F.array_contains(held, r["keyword"]))
+    by: dict[str, list[Signature]] = {}
+    for r in rules:
+        by.setdefault(r.keyword, []).append(r)
+
+    def row(r: Signature) -> Column:
+        marks = [f" {w} " for w in r.also.split()] or [" "]
+        return F.struct(F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.weight).alias("weight"), F.lit(marks[0]).alias("also0"), F.lit(marks[-1]).alias("also1"))
+
+    table = F.create_map(*[x for kw, rs in by.items() for x in (F.lit(kw), F.array(*map(row, rs)))])
+    held = F.array_intersect(F.split(norm, " "), F.array(*map(F.lit, by)))
+    chosen = F.filter(F.flatten(F.transform(held, lambda kw: table[kw])), lambda r: F.contains(norm, r["also0"]) | F.contains(norm, r["also1"]))
     found = F.flatten(F.transform(chosen, lambda r: F.transform(_spans(norm, r["regex"]), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), (-r["priority"]).alias("rank"), r["label"].alias("label"), r["weight"].alias("weight")))))
     levels = max(r.priority for r in rules)
     zero = F.struct(*[F.lit(-1).cast("long").alias(f"e{k}") for k in range(1, levels + 1)], F.array().cast(f"array<{DETECTION}>").alias("kept"))

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
-from . import chat_format, license_scan, quality, url_rules
+from ..session import ship_package
+from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, quality, substring_dedup, toxicity, url_rules
+
+
+
+def shipped(query):
+    """The query, with the package sent to the executors first."""
+
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 QUERIES = {
+    "op1_benchmark_decontamination": decontaminate.op1,
     "op2_url_filters": url_rules.op2,
+    "op3_source_mixing": mixture.op3,
+    "op4_ngram_jaccard_join": ngram_join.op4,
+    "op5_toxicity": toxicity.op5,
+    "op6_language_id": langid.op6,
     "op7_license_scans": license_scan.op7,
     "op8_quality_rules": quality.op8,
+    "op9_substring_dedup": substring_dedup.op9,
     "op10_chat_formatting": chat_format.op10,
 }
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 SQL = {
     "op2_url_filters": url_rules.ORACLE,
     "op8_quality_rules": quality.ORACLE,
