@@ -1,0 +1 @@
+"""chronoweave: quality, alignment and repair of multi-stream recording sessions on Spark DataFrames."""
