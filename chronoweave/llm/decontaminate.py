@@ -105,8 +105,8 @@ _DROP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def plain_words(texts: pa.Array) -> pa.Array:
-    """Texts with every ASCII character that is no letter or digit as a blank."""
-    return pa.array([None if b is None else b.translate(_DROP) for b in texts.cast(pa.binary()).to_pylist()], pa.binary())
+    """Lower-cased texts with every ASCII character that is no letter or digit as a blank."""
+    return pa.array([None if t is None else t.lower().encode("utf-8", "replace").translate(_DROP) for t in texts.to_pylist()], pa.binary())
 
 
 def scan(texts: pa.Array, index: BenchIndex) -> list[tuple[int, int, float, int, int, int]]:

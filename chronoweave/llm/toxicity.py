@@ -18,7 +18,7 @@ from .words import CHUNK, _SPACE, _VALUE, _tables, mix, shingle_hashes, signed
 
 #: Labelled rows that the examples are drawn from at most (expected number, half of them toxic if there are enough).
 FIT_ROWS = 6000
-FEATURES, MIN_DOCS, MIN_CHI2 = 512, 6, 12.0
+FEATURES, MIN_DOCS, MIN_CHI2, PURITY = 512, 6, 12.0, 0.6
 NEIGHBOURS, BLOCK, PRIOR = 15, 64, 0.5
 PREFIXES = (4, 5, 6, 7, 8, 9, 10)
 _PUNCT = np.zeros(256, bool)
@@ -199,9 +199,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Index:
     totals = once.groupBy("toxic").count().collect()
     n1, n0 = (next((r["count"] for r in totals if r["toxic"] == y), 0) for y in (1, 0))
     per = once.select("toxic", "f").mapInArrow(explode, "h long, toxic int").groupBy("h").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("n")).where(F.col("n") >= MIN_DOCS)
-    a, m, rest1, rest0 = F.col("a"), F.col("n"), F.lit(float(n1)), F.lit(float(n0))
+    a, m, rest1, rest0 = F.col("a"), F.col("n"), F.lit(float(max(n1, 1))), F.lit(float(max(n0, 1)))
+    # the toxic share among all labelled documents with the feature; the sample holds more toxic ones
+    prior = n.get(1, 0) / max(n.get(1, 0) + n.get(0, 0), 1)
+    of_toxic, of_clean = a / rest1 * prior, (m - a) / rest0 * (1 - prior)
     chi2 = (rest1 + rest0) * F.pow(a * (rest0 - (m - a)) - (m - a) * (rest1 - a), 2) / F.greatest(rest1 * rest0 * m * (rest1 + rest0 - m), F.lit(1.0))
-    chosen = per.where(a * rest0 > (m - a) * rest1).select("h", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "h").limit(FEATURES).collect()
+    chosen = per.where(of_toxic >= PURITY * (of_toxic + of_clean)).select("h", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "h").limit(FEATURES).collect()
     vocabulary = np.sort(np.array([r["h"] for r in chosen], np.int64).view(np.uint64))
     probe = Index(vocabulary, np.ones(len(vocabulary)), 1, [])
 

@@ -98,10 +98,10 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     if n == 0:
         return h
     if n < k:
-        out = np.uint64(n)
-        for x in h:
-            out = mix(np.array([out * _MULT[63] + x], np.uint64))[0]
-        return np.array([out], np.uint64)
+        out = np.array([n], np.uint64)
+        for i in range(n):
+            out = mix(out * _MULT[63] + h[i : i + 1])
+        return out
     out = np.zeros(n - k + 1, np.uint64)
     for i in range(k):
         out += h[i : n - k + 1 + i] * _MULT[i]
