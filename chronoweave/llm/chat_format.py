@@ -58,7 +58,8 @@ def reply_paths(nodes: DataFrame, scratch: Scratch, paths_per_tree: int | None =
         leaves = scratch.save(step.join(leaves.select("node"), "node", "left_semi").withColumn("_r", rank).where(F.col("_r") <= paths_per_tree).select("tree", "node"))
     path = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
     for k, jump in reversed(list(enumerate(jumps))):
-        path = path.union(path.join(jump, "node").select("tree", "leaf", F.col("anc").alias("node"), (F.col("up") + (1 << k)).alias("up")))
+        # saved each time: a plan that reads itself twice would double at every jump
+        path = scratch.save(path.union(path.join(jump, "node").select("tree", "leaf", F.col("anc").alias("node"), (F.col("up") + (1 << k)).alias("up"))))
     return path
 
 
