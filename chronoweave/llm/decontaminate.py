@@ -20,6 +20,9 @@ RADIUS = 7
 SHINGLE, SIMILARITY = 5, 0.8
 #: Benchmark words in one index; a larger benchmark takes several passes.
 PART_WORDS = 400_000
+#: Largest window; longer items are found by windows of this size.
+MAX_WINDOW = 160
+_SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 _ONE = np.concatenate(([0], 1 << np.arange(16))).astype(np.uint16)
 
 
@@ -27,22 +30,36 @@ def window_of(n: int) -> tuple[int, int]:
     """Window size and stride for an item of n words: any run of 80 % of the item holds ``stride`` whole windows, one of
     which starts at a multiple of the stride."""
     size, stride, found = 8, 2, None
-    while size + stride - 1 <= 0.8 * n:
+    while size + stride - 1 <= 0.8 * n and size <= MAX_WINDOW:
         found = (size, stride)
         size = size * 3 // 2
         stride = size // 4
     return found or (max(1, min(n, 6)), 1)
 
 
-def fingerprints(bits: np.ndarray, size: int, stride: int) -> np.ndarray:
-    """SimHash of the windows at multiples of stride; ``bits``: running bit counts, one row more than words."""
-    s = bits[size::stride] - bits[:-size:stride]
-    return np.packbits((2 * s > size), axis=1).view(np.uint64).ravel()
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """Running counts of the hashes' 64 bits, eight to a 64-bit number (a byte each), one column more than words.
+
+    The numbers wrap, but the difference of two columns at most 255 words apart is exact in every byte."""
+    out = np.zeros((8, len(h) + 1), np.uint64)
+    parts = h.view(np.uint8).reshape(-1, 8)
+    for j in range(8):
+        np.cumsum(_SPREAD[parts[:, j]], out=out[j, 1:])
+    return out
 
 
-def bit_counts(h: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(h) + 1, 64), np.uint16)
-    np.cumsum(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=np.uint16, out=out[1:])
+def fingerprints(bits: np.ndarray, size: int, stride: int) -> np.ndarray:
+    """SimHash of the windows at multiples of stride: a bit is set if more than half of the words have it."""
+    out = np.zeros(len(range(0, bits.shape[1] - size, stride)), np.uint64)
+    lift = np.uint64(0x0101010101010101 * (127 - size // 2))
+    for j in range(8):
+        d = bits[j, size::stride] - bits[j, :-size:stride]
+        d += lift
+        d >>= np.uint64(7)
+        d &= np.uint64(0x0101010101010101)
+        d *= np.uint64(0x0102040810204080)  # gathers the eight bits in the top byte
+        d >>= np.uint64(56)
+        out |= d << np.uint64(8 * j)
     return out
 
 
@@ -71,22 +88,23 @@ class BenchIndex:
             for k in range(4):
                 near = ((fp >> np.uint64(16 * k)).astype(np.uint16)[:, None] ^ _ONE).ravel()
                 order = np.argsort(near, kind="stable")
-                tables.append((np.searchsorted(near[order], np.arange(65537)), np.repeat(np.arange(len(fp)), 17)[order]))
+                start = np.searchsorted(near[order], np.arange(65537)).astype(np.int32)
+                tables.append((np.diff(start) > 0, start, np.repeat(np.arange(len(fp)), 17)[order]))
             self.classes[key] = (fp, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), tables)
 
     def hits(self, w: np.ndarray, key: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pairs (window, fingerprint, differing bits) within RADIUS."""
         fp, _, _, tables = self.classes[key]
         found = []
-        for k, (start, ids) in enumerate(tables):
-            v = ((w >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
-            count = start[v + 1] - start[v]
-            at = np.flatnonzero(count)
-            for cut in range(0, len(at), 1 << 17):
-                own = at[cut : cut + (1 << 17)]
-                n = count[own]
+        blocks = w.view(np.uint16).reshape(-1, 4)
+        for k, (full, start, ids) in enumerate(tables):
+            at = np.flatnonzero(full[blocks[:, k]])
+            for cut in range(0, len(at), 1 << 15):
+                own = at[cut : cut + (1 << 15)]
+                v = blocks[own, k].astype(np.int32)
+                n = start[v + 1] - start[v]
                 win = np.repeat(own, n)
-                cand = ids[np.repeat(start[v[own]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
+                cand = ids[np.repeat(start[v] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
                 d = np.bitwise_count(w[win] ^ fp[cand])
                 ok = d <= RADIUS
                 found.append(np.stack((win[ok], cand[ok], d[ok].astype(np.int64))))

@@ -58,7 +58,7 @@ def vector(text: str | None) -> np.ndarray | None:
 def codewords(k: int, seed: int = 5) -> np.ndarray:
     """k codewords of +-1: all distinct splits up to six languages, else the random code with the largest least distance."""
     if k <= 6:
-        return np.array([[1 if i == 0 or (s >> (i - 1)) & 1 else -1 for s in range(max(0, 2 ** (k - 1) - 1))] for i in range(k)], np.int8).reshape(k, -1)
+        return np.array([[1 if i == 0 or (s >> (i - 1)) & 1 else -1 for s in range(max(0, 2 ** (k - 1) - 1))] for i in range(k)], np.int8).reshape(k, max(0, 2 ** max(k - 1, 0) - 1))
     rng, best = np.random.RandomState(seed), None
     size = int(np.ceil(10 * np.log2(k)))
     for _ in range(50):
