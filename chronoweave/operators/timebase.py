@@ -75,4 +75,5 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 
 def relabel(df: DataFrame, mapping: dict[str, str], prefix: str = "", suffixes: Sequence[str] = ()) -> DataFrame:
     """Swaps column families at once: ``{prefix}{old}_{suffix}`` becomes ``{prefix}{new}_{suffix}``."""
-    return df.withColumnsRenamed({f"{prefix}{a}_{s}": f"{prefix}{b}_{s}" for a, b in mapping.items() for s in suffixes if f"{prefix}{a}_{s}" in df.columns})
+    names = {f"{prefix}{a}_{s}": f"{prefix}{b}_{s}" for a, b in mapping.items() for s in suffixes}
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])

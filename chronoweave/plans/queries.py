@@ -152,15 +152,14 @@ def missing_numbers(spark, d):
 @query(E_SQL + """, x AS (SELECT user_id, us, value, lead(us) OVER w AS t2, lead(value) OVER w AS v2 FROM (SELECT user_id, us, avg(value) AS value FROM e GROUP BY 1, 2) WINDOW w AS (PARTITION BY user_id ORDER BY us)),
 m AS (SELECT user_id, median(t2 - us) AS dt FROM x GROUP BY 1), wide AS (SELECT x.*, CAST(greatest(round((t2 - us) / dt) - 1, 0) AS BIGINT) AS n FROM x JOIN m USING (user_id) WHERE t2 - us > 3 * dt AND t2 - us <= 20 * dt AND abs(v2 - value) <= 40),
 made AS (SELECT user_id, CAST(floor(us + k / (n + 1) * (t2 - us)) AS BIGINT) AS us, value + k / (n + 1) * (v2 - value) AS value FROM (SELECT *, unnest(range(1, n + 1)) AS k FROM wide))
-SELECT user_id, count(*) AS n_made, min(us) AS first_us, max(us) AS last_us, round(sum(value), 4) AS value_sum FROM made GROUP BY 1""")
+SELECT user_id, count(*) AS n_made, round(sum(value), 3) AS value_sum FROM made GROUP BY 1""")
 def static_gap_fill(spark, d):
     e = events(spark, d).groupBy("user_id", "us").agg(F.avg("value").alias("value"))
     dt = e.withColumn("_d", F.lead("us").over(W.partitionBy("user_id").orderBy("us")) - F.col("us")).groupBy("user_id").agg(F.median("_d").alias("_m"))
-    # 20 median steps at most: the bound is each stream's own, so the limit is applied to scaled time
+    # at most 20 median steps: the bound is each stream's own, so time is scaled by it
     scaled = e.join(dt, "user_id").select("user_id", (F.col("us") / F.col("_m")).alias("t"), "value", "_m")
     filled = islands.static_gap_fill(scaled.select("user_id", "t", "value"), ["user_id"], "t", "value", factor=3.0, most=20.0, most_change=40.0, nominal=1.0).where("synthetic").join(dt, "user_id")
-    us = F.floor(F.col("t") * F.col("_m") + 1e-3).cast("bigint")
-    return filled.groupBy("user_id").agg(F.count("*").alias("n_made"), F.min(us).alias("first_us"), F.max(us).alias("last_us"), r(F.sum("value"), 4).alias("value_sum"))
+    return filled.groupBy("user_id").agg(F.count("*").alias("n_made"), r(F.sum("value"), 3).alias("value_sum"))
 
 
 @query(E_SQL + """, b AS (SELECT user_id, min(us) AS z FROM e GROUP BY 1), s AS (SELECT user_id, event_type, min(us) AS t0, arg_min(value, us) AS v0 FROM e GROUP BY 1, 2)
@@ -457,7 +456,7 @@ def quat_rotate(spark, d):
     return e.where(n >= 0.1).select("vec_id", r(n).alias("norm"), *[r(c, 5).alias(k) for c, k in zip(v, ("rx", "ry", "rz"), strict=True)])
 
 
-@query("""WITH s AS (SELECT label, vec_id, sqrt((e[1] - lag(e[1]) OVER w) ** 2 + (e[2] - lag(e[2]) OVER w) ** 2 + (e[3] - lag(e[3]) OVER w) ** 2) AS step FROM (SELECT label, vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings) WINDOW w AS (PARTITION BY label ORDER BY vec_id))
+@query("""WITH s AS (SELECT label, vec_id, sqrt((e[1] - lag(e[1]) OVER w) ** 2 + (e[2] - lag(e[2]) OVER w) ** 2 + (e[3] - lag(e[3]) OVER w) ** 2) AS step FROM (SELECT label, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) WINDOW w AS (PARTITION BY label ORDER BY vec_id))
 SELECT label, count(*) AS n, round(sum(step), 4) AS travelled, count(*) FILTER (step > 0.5) AS n_jumps, coalesce(sum(step), 0) < 0.05 AS frozen FROM s GROUP BY 1""")
 def displacement(spark, d):
     e = table(spark, d, "embeddings").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("e"))
@@ -467,7 +466,7 @@ def displacement(spark, d):
     return s.groupBy("label").agg(F.count("*").alias("n"), r(F.sum("step"), 4).alias("travelled"), F.count_if(F.col("step") > 0.5).alias("n_jumps"), (F.coalesce(F.sum("step"), F.lit(0.0)) < 0.05).alias("frozen"))
 
 
-@query("""SELECT vec_id, CASE WHEN sqrt(list_sum(list_transform(embedding[1:4], x -> x::DOUBLE * x))) < 0.15 THEN true ELSE false END AS invalid FROM embeddings""")
+@query("""SELECT vec_id, CASE WHEN sqrt(list_sum(list_transform(embedding[1:4], lambda x: x::DOUBLE * x))) < 0.15 THEN true ELSE false END AS invalid FROM embeddings""")
 def invalid_quaternions(spark, d):
     from ..functions.pose import invalid_quaternion
 
