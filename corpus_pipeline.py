@@ -6,13 +6,19 @@ and read again as the next one's documents. All but the last return the columns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronoweave.llm import decontaminate, mixture, ngram_join, substring_dedup, toxicity
 from chronoweave.llm.scratch import Scratch
 from chronoweave.session import ship_package
 
 
+def without(docs: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents whose id is not among ``ids``; few ids (a checked number) go to every task, more through a shuffle."""
+    ids = scratch.save(ids.select("doc_id").distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= ngram_join.SEND_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose toxicity score, of the text alone, reaches the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -25,9 +31,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document without words is a group of its own; rows that repeat a kept row's id stay with it.
     """
-    groups = ngram_join.similar_documents(docs, Scratch(spark), k=5, percent=80)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    scratch = Scratch(spark)
+    groups = ngram_join.similar_documents(docs, scratch, k=5, percent=80)
+    return without(docs, groups.where("doc_id <> component_id"), scratch)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +44,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     leaks = decontaminate.find_leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, leaks, Scratch(spark))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
