@@ -5,9 +5,9 @@ Jaccard >= t share a shingle among their first n - ceil(t n) + 1, their prefixes
 thin the candidates, which are verified once. Documents with equal sets are one class from the start.
 
 A shingle that many classes share would give the square of their number in pairs. Only classes in different components
-need a look, so such a shingle first compares all its classes with one pivot, then again with twice as many pivots among
-the classes that are still apart, until none of its classes are apart and unseen. No link that could join two components
-is skipped, and no pair within a component is needed.
+need a look, so such a shingle first compares all its classes with one pivot, then with eight times as many pivots among the
+classes that are still apart, until few enough pairs are apart and unseen (in proportion to the postings) to look at all of
+them. No link that could join two components is skipped, and no pair within a component is needed.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ LOCAL_MIN = 3
 #: Classes of one shingle up to which all its pairs are candidates at once.
 SMALL = 8
 SIGNATURE = 64
+#: Pairs of classes in different components that are all looked at once, for each posting of a shared shingle.
+PAIRS_PER_POSTING = 16
 #: Ids that are sent to every task at most; more go through a shuffle.
 SEND_IDS = 1_000_000
 #: Shingle hashes gathered before a count.
@@ -187,29 +189,34 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     small = held.where(F.col("c") <= SMALL)
     near = small.alias("a").join(small.alias("b"), F.expr(f"a.key = b.key and a.cls < b.cls and {_may_overlap('a', 'b', percent)}")).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
     apart = scratch.save(held.where(F.col("c") > SMALL).select("key", "cls", "n", "pos"))
+    most_pairs = PAIRS_PER_POSTING * held.count()
     links, tested, comp, pivots = [], None, None, 1
-    while True:
+    while pivots:
         if comp is not None:
-            # postings whose shingle still holds classes of different components
+            # postings whose shingle still holds classes of different components, and how many pairs those are
             now = apart.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-            mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            apart = scratch.save(now.join(mixed, "key", "left_semi"))
-            if not apart.limit(1).count():
+            per = now.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).where("pairs > 0")
+            mixed = scratch.save(per)
+            left = mixed.agg(F.sum("pairs")).first()[0] or 0
+            if not left:
                 break
-        order = W.partitionBy("key").orderBy(*([] if comp is None else [F.xxhash64("comp", F.lit(pivots))]), "cls")
-        chosen = scratch.save(apart.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= pivots).drop("_r"))
-        other = "a.cls <> b.cls" + ("" if comp is None else " and a.comp <> b.comp")
-        cand = chosen.alias("a").join(apart.alias("b"), F.expr(f"a.key = b.key and {other} and {_may_overlap('a', 'b', percent)}")).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
+            apart = scratch.save(now.join(mixed.select("key"), "key", "left_semi"))
+            pivots = 0 if left <= most_pairs else pivots * 8
+        if pivots:
+            order = W.partitionBy("key").orderBy(*([] if comp is None else [F.xxhash64("comp", F.lit(pivots))]), "cls")
+            chosen = scratch.save(apart.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= pivots).drop("_r"))
+        other = ("a.cls <> b.cls" if pivots else "a.cls < b.cls") + ("" if comp is None else " and a.comp <> b.comp")
+        cand = (chosen if pivots else apart).alias("a").join(apart.alias("b"), F.expr(f"a.key = b.key and {other} and {_may_overlap('a', 'b', percent)}")).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
         cand = (cand.union(near) if comp is None else cand).distinct()
         if tested is not None:
             cand = cand.join(tested, ["a", "b"], "left_anti")
-        cand = scratch.save(cand)
-        links.append(scratch.save(verify(suffix_filter(cand, sig, percent), reps, docs, k, percent, scratch)))
+        cand = scratch.save(suffix_filter(cand, sig, percent))
+        links.append(scratch.save(verify(cand, reps, docs, k, percent, scratch)))
         tested = cand if tested is None else tested.union(cand)
         edges = reduce(DataFrame.union, links).select(F.col("a").alias("src"), F.col("b").alias("dst"))
         comp = scratch.save(connected_components(edges, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp")))
-        apart = scratch.save(apart.select("key", "cls", "n", "pos").join(chosen.select("key", "cls"), ["key", "cls"], "left_anti"))
-        pivots *= 2
+        if pivots:
+            apart = scratch.save(apart.select("key", "cls", "n", "pos").join(chosen.select("key", "cls"), ["key", "cls"], "left_anti"))
     group = sets.select("doc_id", "cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     low = group.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_class = reps.select("cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")).join(low, "comp").select("cls", "component_id")
