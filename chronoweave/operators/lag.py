@@ -53,12 +53,17 @@ def on_common_grid(a: DataFrame, b: DataFrame, by: Sequence[str], step: float, o
     return interpolate(b, x, by, time, value, outside, "y")
 
 
+def steps(low: float, high: float, step: float) -> Column:
+    """array<double> low, low + step, ... up to high: the candidates of one search, a constant of the plan."""
+    return F.array(*[F.lit(low + i * step) for i in range(int((high - low) / step + 1e-9) + 1)])
+
+
 def coarse_to_fine(a: DataFrame, b: DataFrame, by: Sequence[str], step: float, max_lag: float, coarse: float, fine: float) -> DataFrame:
     """Offset of b against a by Pearson: a scan of the lag grid ``coarse``, then of ``fine`` around each key's best."""
     by = list(by)
-    first = pearson_at(a, b, by, F.sequence(F.lit(-max_lag), F.lit(max_lag), F.lit(coarse)), step)
+    first = pearson_at(a, b, by, steps(-max_lag, max_lag, coarse), step)
     centre = best_lag(first, by).select(*by, F.col("lag").alias("_c"))
-    around = F.sequence(F.lit(-coarse), F.lit(coarse), F.lit(fine))
+    around = steps(-coarse, coarse, fine)
     return best_lag(pearson_at(a, b, by, F.transform(around, lambda d: d + F.col("_c")), step, centre), by)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from ..functions.pose import dot, quaternion, rotation_column, unit
+from ..functions.pose import dot, quaternion, rotation_column
 from ..functions.scalars import logistic
 
 
@@ -48,14 +48,19 @@ def rule_votes(heads: DataFrame, hands: DataFrame, rules: DataFrame, session: st
     ``heads``: session, order, pos, quat; ``hands``: session, order, block, pos - two blocks a session.
     """
     both = hands.alias("h").join(heads.select(session, order, F.col("pos").alias("_hp"), F.col("quat").alias("_hq")), [session, order])
-    parts = []
-    for mode in ("wxyz", "xyzw"):
-        q = unit(quaternion(F.col("_hq"), mode))
-        for axis in range(3):
-            v = rotation_column(q, axis)
-            rel = tuple(F.col("pos")[k] - F.col("_hp")[k] for k in range(3))
-            parts.append(F.struct(F.lit(mode).alias("quat_order"), F.lit(axis).alias("axis"), dot(v, rel).alias("side")))
-    rows = both.select(session, "block", F.explode(F.array(*parts)).alias("p")).select(session, "block", "p.*")
+    # lambda variables bind the unit quaternion and the relative position once for all axes, which keeps the code small
+    norm = lambda q: F.sqrt(F.aggregate(q, F.lit(0.0), lambda s, x: s + x * x))
+    rel = F.zip_with("pos", "_hp", lambda x, y: x - y)
+
+    def sides(v):
+        made = []
+        for mode in ("wxyz", "xyzw"):
+            q = quaternion(v["u"], mode)
+            made += [F.struct(F.lit(mode).alias("quat_order"), F.lit(k).alias("axis"), dot(rotation_column(q, k), tuple(v["d"][i] for i in range(3))).alias("side")) for k in range(3)]
+        return F.array(*made)
+
+    bound = F.array(F.struct(F.transform("_hq", lambda x: x / norm(F.col("_hq"))).alias("u"), rel.alias("d")))
+    rows = both.select(session, "block", F.explode(F.flatten(F.transform(bound, sides))).alias("p")).select(session, "block", "p.*")
     med = rows.groupBy(session, "block", "quat_order", "axis").agg(F.median("side").alias("side"))
     each = med.join(F.broadcast(rules), ["quat_order", "axis"])  # twelve rules
     return each.groupBy(session, "rule_id").agg(F.max_by("block", F.col("side") * F.col("sign")).alias("right_block"), (F.max("side") - F.min("side")).alias("separation"))

@@ -25,11 +25,12 @@ def frame_table(frames: DataFrame, sensors: dict[str, DataFrame], by: Sequence[s
     return out
 
 
-def episode_rows(frames: DataFrame, episode: str, time: str, task: str | None = None, fill: float | None = 0.0) -> DataFrame:
-    """frame_index, episode_index, global index and task_index of dataset rows; missing numbers become ``fill``.
+def episode_rows(frames: DataFrame, episode: str, time: str, task: str | None = None, fill: float | None = 0.0, ties: Sequence[str] = ()) -> DataFrame:
+    """frame_index, episode_index, global index and task_index of dataset rows; missing numbers become ``fill``;
+    frames of one time are ordered by ``ties``.
 
     Episodes are numbered by name; their offsets are a running sum over one row an episode."""
-    w = W.partitionBy(episode).orderBy(time)
+    w = W.partitionBy(episode).orderBy(time, *ties)
     lengths = frames.groupBy(episode, *([task] if task else [])).agg(F.count("*").alias("_len"))
     # one row an episode reaches the single ordering window
     order = W.orderBy(episode)

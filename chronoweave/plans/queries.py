@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ..functions.pose import quaternion, rotate, unit
 from ..functions.scalars import falling_score, grade, hms, nominal_level, rising_score
-from ..operators import asof, events as ev, grid, islands, lag, repair, roles, smooth, stats, timebase
+from ..operators import asof, events as ev, grid, islands, lag, repair, roles, signals, smooth, stats, timebase
 from ..session import ship_package
 from ..streaming import windows
 from . import checks, dataset, sync, tiers
@@ -621,10 +621,10 @@ def tracker_baseline_flags(spark, d):
 # datasets
 
 @query("""WITH l AS (SELECT l_orderkey AS episode, count(*) AS n FROM lineitem GROUP BY 1), o AS (SELECT episode, row_number() OVER (ORDER BY episode) - 1 AS episode_index, sum(n) OVER (ORDER BY episode) - n AS f FROM l)
-SELECT episode, episode_index, row_number() OVER (PARTITION BY episode ORDER BY l_linenumber) - 1 AS frame_index, CAST(f AS BIGINT) + row_number() OVER (PARTITION BY episode ORDER BY l_linenumber) - 1 AS "index", l_quantity FROM (SELECT l_orderkey AS episode, l_linenumber, l_quantity FROM lineitem) JOIN o USING (episode)""")
+SELECT episode, episode_index, row_number() OVER (PARTITION BY episode ORDER BY l_linenumber, l_quantity) - 1 AS frame_index, CAST(f AS BIGINT) + row_number() OVER (PARTITION BY episode ORDER BY l_linenumber, l_quantity) - 1 AS "index", l_quantity FROM (SELECT l_orderkey AS episode, l_linenumber, l_quantity FROM lineitem) JOIN o USING (episode)""")
 def episode_index(spark, d):
     f = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("episode"), "l_linenumber", "l_quantity")
-    out = dataset.episode_rows(f, "episode", "l_linenumber")
+    out = dataset.episode_rows(f, "episode", "l_linenumber", ties=["l_quantity"])
     return out.select("episode", F.col("episode_index").cast("bigint").alias("episode_index"), F.col("frame_index").cast("bigint").alias("frame_index"), F.col("index").cast("bigint").alias("index"), "l_quantity")
 
 
@@ -743,3 +743,153 @@ def pair_estimates(spark, d):
     pairs = sync.flux_pairs(flux, [("view", "click")])
     return sync.estimate_pairs(flux, pairs, step=12.0, max_lag=48.0, coarse=24.0, fine=6.0).select("session_id", "pair", "lag", r("score").alias("score"), "reliable")
 
+
+
+# composite signals
+
+@query(GRID + """, w AS (SELECT xy.user_id, k, x, y FROM xy JOIN (SELECT user_id, unnest(range(0, CAST(floor((count(*) - 12) / 6.0) AS BIGINT) + 1)) AS k FROM xy GROUP BY user_id HAVING count(*) >= 12) g ON g.user_id = xy.user_id AND xy.i BETWEEN k * 6 AND k * 6 + 11),
+c AS (SELECT user_id, k, CASE WHEN stddev_pop(x) < 1e-8 OR stddev_pop(y) < 1e-8 THEN 0 ELSE corr(x, y) END AS r FROM w GROUP BY 1, 2 HAVING stddev_pop(x) >= 10) SELECT user_id, count(*) AS n_windows, round(median(r), 6) AS median_r, round(min(r), 6) AS min_r FROM c GROUP BY 1""")
+def rolling_correlation(spark, d):
+    s = signals.rolling_correlation(_grid(spark, d), ["user_id"], "i", "x", "y", 12, 6, 10.0)
+    return s.withColumn("median_r", r("median_r")).withColumn("min_r", r("min_r"))
+
+
+@query(GRID + """ SELECT user_id, i, CASE WHEN x <= 20 THEN 'left_closed' ELSE 'right_closed' END AS state, round(abs(x - y), 6) AS gap FROM xy WHERE (x <= 20 AND y >= 60) OR (y <= 20 AND x >= 60)""")
+def asymmetric_moments(spark, d):
+    e = events(spark, d)
+    part = lambda k: e.where(F.col("event_type") == k).select("user_id", F.col("us").alias("t"), "value")
+    return signals.asymmetric_moments(part("click"), part("view"), ["user_id"], HOURS, 20.0, 60.0).select("user_id", "i", "state", r("gap").alias("gap"))
+
+
+@query("""WITH s AS (SELECT user_id, event_type, avg(value) AS m, stddev_pop(value) AS s FROM events GROUP BY 1, 2), w AS (SELECT *, CASE WHEN s > 1e-9 THEN CASE event_type WHEN 'view' THEN 0.5 WHEN 'click' THEN 0.3 WHEN 'purchase' THEN 0.2 ELSE 0 END * s * abs(m) ELSE 0 END AS w FROM s)
+SELECT user_id, event_type, round(CASE WHEN sum(w) OVER (PARTITION BY user_id) > 0 THEN w / sum(w) OVER (PARTITION BY user_id) ELSE 1.0 / count(*) OVER (PARTITION BY user_id) END, 6) AS weight FROM w""")
+def adaptive_weights(spark, d):
+    return signals.adaptive_weights(events(spark, d), ["user_id"], "event_type", "value", {"view": 0.5, "click": 0.3, "purchase": 0.2}).withColumn("weight", r("weight"))
+
+
+@query("""WITH t AS (SELECT user_id, event_type, ts, value, lead(value) OVER w AS v2, epoch_us(ts) AS t1, epoch_us(lead(ts) OVER w) AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, count(*) FILTER (value >= 50 AND v2 <= 50 AND value <> v2) > 0 AS crossed FROM t GROUP BY 1""")
+def level_crossings(spark, d):
+    return signals.crossing(_seconds(spark, d), ["user_id"], "t", "value", F.lit(50.0)).select("user_id", "crossed")
+
+
+@query()
+def plateau_segments(spark, d):
+    x = events(spark, d).withColumn("t", F.row_number().over(timebase.ordered(["user_id"], "us", "event_id")).cast("double"))
+    return signals.plateaus(x, ["user_id"], "t", "value", 10.0, 2.0)
+
+
+@query()
+def model_windows(spark, d):
+    return signals.model_windows(_grid(spark, d), ["user_id"], "i", "x", 16, 8)
+
+
+# more checks, sync and roles
+
+@query("""WITH t AS (SELECT o_custkey % 50 AS s, o_orderpriority AS v, o_orderkey AS o FROM orders WHERE o_orderkey % 40 < 3), c AS (SELECT s, v, count(*) AS n, min(o) AS o FROM t GROUP BY 1, 2), m AS (SELECT s, arg_min(v, -n * 1000000000 + o) AS winner, max(n) AS votes, CAST(sum(n) AS BIGINT) AS n_tests FROM c GROUP BY 1)
+SELECT s, winner, votes, n_tests, CAST(CASE WHEN votes = n_tests AND votes >= 3 THEN 1.0 WHEN votes >= 3 THEN 0.85 WHEN votes = 2 AND n_tests = 2 THEN 0.8 ELSE 0.55 END AS DOUBLE) AS confidence FROM m""")
+def consensus_votes(spark, d):
+    t = table(spark, d, "orders").where("o_orderkey % 40 < 3").select((F.col("o_custkey") % 50).alias("s"), F.col("o_orderpriority").alias("vote"), F.col("o_orderkey").alias("ord"))
+    return roles.consensus(t, "s").select("s", "winner", "votes", "n_tests", "confidence")
+
+
+@query("""WITH v AS (SELECT l_suppkey AS k, 40 + avg(l_quantity) AS vs, 1 - avg(l_discount) * 4 AS vc, avg(l_tax) * 8 AS inv, 0.4 + avg(l_discount) * 4 AS rr FROM lineitem WHERE l_linenumber = 1 GROUP BY 1), p AS (SELECT l_suppkey AS k, 35 + avg(l_quantity) AS ps, 0.5 + avg(l_tax) AS pc FROM lineitem WHERE l_linenumber = 2 GROUP BY 1),
+j AS (SELECT k, vs, vc, ps, pc, (vs IS NULL OR vc < 0.75 OR inv > 0.40 OR rr < 0.50) AS weak, (vs * vc + ps * pc) / nullif(vc + pc, 0) AS blend FROM v FULL JOIN p USING (k))
+SELECT k, coalesce(weak, false) AS visual_weak, round(CASE WHEN weak THEN coalesce(ps, 50) WHEN ps IS NULL THEN vs WHEN vs >= 60 THEN greatest(vs, coalesce(blend, vs)) ELSE coalesce(blend, vs) END, 6) AS score, round(CASE WHEN weak THEN coalesce(pc, 0.3) ELSE greatest(vc, coalesce(pc, 0)) END, 6) AS confidence FROM j""")
+def fused_scores(spark, d):
+    li = table(spark, d, "lineitem")
+    v = li.where("l_linenumber = 1").groupBy(F.col("l_suppkey").alias("k")).agg((40 + F.avg("l_quantity")).alias("score"), (1 - F.avg("l_discount") * 4).alias("confidence"), (F.avg("l_tax") * 8).alias("invalid_share"), (0.4 + F.avg("l_discount") * 4).alias("rolling_r"))
+    p = li.where("l_linenumber = 2").groupBy(F.col("l_suppkey").alias("k")).agg((35 + F.avg("l_quantity")).alias("score"), (0.5 + F.avg("l_tax")).alias("confidence"))
+    return checks.fuse_scores(v, p, ["k"]).select("k", F.coalesce("visual_weak", F.lit(False)).alias("visual_weak"), r("score").alias("score"), r("confidence").alias("confidence"))
+
+
+@query("""WITH m AS (SELECT user_id, event_type, count(*) % 7 AS nd, count(*) % 11 AS nm, (count(*) % 5) * 1.5 AS j, 28.0 + count(*) % 12 AS dt FROM events GROUP BY 1, 2), s AS (SELECT user_id, greatest(0, 100 - (least(40.0, 4.0 * nd) + least(30.0, 2.0 * nm) + CASE WHEN j > 5 THEN 15.0 WHEN j > 2 THEN 5.0 ELSE 0 END + CASE WHEN NOT dt BETWEEN 30 AND 37 THEN 15.0 ELSE 0 END)) AS s FROM m)
+SELECT user_id, round(avg(s), 6) AS score, CAST(min(s) AS DOUBLE) AS worst, count(*) AS n_cameras FROM s GROUP BY 1""")
+def video_quality(spark, d):
+    n = F.count("*")
+    m = events(spark, d).groupBy(*BY).agg((n % 7).alias("n_drops"), (n % 11).alias("n_missing"), ((n % 5) * 1.5).alias("jitter"), (28.0 + n % 12).alias("dt_mean"))
+    return checks.video_quality(m, BY, "user_id").withColumn("score", r("score"))
+
+
+@query("""SELECT o_custkey AS session_id, bool_and(o_totalprice < 300000) AS accepted, coalesce(list_sort(list(DISTINCT o_orderpriority) FILTER (o_totalprice >= 300000)), [])::VARCHAR AS failed FROM orders GROUP BY 1""")
+def ingress(spark, d):
+    c = table(spark, d, "orders").select(F.col("o_custkey").alias("session_id"), F.col("o_orderpriority").alias("check"), (F.col("o_totalprice") < 300000).alias("ok"))
+    out = checks.ingress(c, "session_id")
+    return out.select("session_id", "accepted", F.concat(F.lit("["), F.array_join("failed", ", "), F.lit("]")).alias("failed"))
+
+
+@query("""WITH p AS (SELECT o_custkey AS session_id, o_orderpriority AS pair, o_totalprice / 4999 AS s FROM (SELECT o_custkey, o_orderpriority, avg(o_totalprice) AS o_totalprice FROM orders GROUP BY 1, 2))
+SELECT session_id, round(min(s), 6) AS score, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(max(s), 6) AS best, arg_min(pair, s) AS worst_pair, arg_max(pair, s) AS best_pair FROM p GROUP BY 1""")
+def session_score(spark, d):
+    p = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("session_id"), F.col("o_orderpriority").alias("pair")).agg((F.avg("o_totalprice") / 4999).alias("score_100"))
+    return sync.session_score(p).withColumns({c: r(c) for c in ("score", "mean", "median", "best")})
+
+
+@query("""WITH p AS (SELECT o_custkey AS session_id, avg(o_totalprice) / 2999 AS s, stddev_pop(o_shippriority_) AS sp FROM (SELECT o_custkey, o_totalprice, o_orderkey % 997 AS o_shippriority_ FROM orders) GROUP BY 1) SELECT session_id, round(s, 6) AS mean_score, round(sp, 6) AS shift_spread, s >= 50 AND coalesce(sp, 0) <= 200 AS valid FROM p""")
+def sync_validation(spark, d):
+    s = table(spark, d, "orders").select(F.col("o_custkey").alias("session_id"), F.col("o_orderpriority").alias("pair"), (F.col("o_totalprice") / 2999).alias("score_100"), (F.col("o_orderkey") % 997).alias("shift_ms"))
+    return sync.validate(s).select("session_id", r("mean_score").alias("mean_score"), r("shift_spread").alias("shift_spread"), "valid")
+
+
+@query("""WITH x AS (SELECT c_custkey AS session, c_acctbal / 100 AS score, CASE WHEN c_acctbal / 100 >= 90 THEN 'A' WHEN c_acctbal / 100 >= 75 THEN 'B' WHEN c_acctbal / 100 >= 60 THEN 'C' WHEN c_acctbal / 100 >= 45 THEN 'D' ELSE 'F' END AS grade FROM customer)
+SELECT session, grade FROM x WHERE grade IN ('A', 'B') AND score >= 80 AND session NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""")
+def ship_decision(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("session"), (F.col("c_acctbal") / 100).alias("score"))
+    c = c.withColumn("grade", grade(F.col("score")))
+    sent = table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("session"))
+    return tiers.ship_decision(c, sent, "session", F.col("score"), 80.0).select("session", "grade")
+
+
+@query(E_SQL + """, s AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY event_id) > 864000000000 THEN 1 ELSE 0 END AS nw FROM e)), w AS (SELECT user_id, min(us) AS w0, max(us) AS w1 FROM e WHERE event_type = 'view' GROUP BY 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, g) AS k FROM (SELECT s.user_id, g, greatest(0.0, least(max(us), any_value(w1)) - greatest(min(us), any_value(w0))) / nullif(any_value(w1) - any_value(w0), 0) AS c FROM s JOIN w USING (user_id) GROUP BY 1, 2) WHERE c >= 0.1)
+SELECT s.user_id, event_id, row_number() OVER (PARTITION BY s.user_id ORDER BY us, event_id) - 1 AS "index" FROM s LEFT JOIN (SELECT user_id, g AS bg FROM b WHERE k = 1) b ON s.user_id = b.user_id WHERE bg IS NULL OR g = bg""")
+def camera_gap_repair(spark, d):
+    e = events(spark, d)
+    w = e.where("event_type = 'view'").groupBy("user_id").agg(F.min("us").alias("w0"), F.max("us").alias("w1"))
+    out = repair.repair_camera_gaps(e, ["user_id"], "event_id", "us", w, threshold=864_000_000_000, least_duration=0.0, least_coverage=0.1)
+    return out.select("user_id", "event_id", F.col("index").cast("bigint").alias("index"))
+
+
+@query(E_SQL + """, a AS (SELECT user_id, min(us) AS t FROM e WHERE event_type = 'view' GROUP BY 1), f AS (SELECT user_id, median(us) AS f FROM (SELECT user_id, us, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM e WHERE event_type = 'click') WHERE k <= 3 GROUP BY 1) SELECT user_id, CAST(a.t - f.f AS DOUBLE) AS shift_ms FROM a JOIN f USING (user_id)""")
+def first_frames_offset(spark, d):
+    e = events(spark, d)
+    return repair.first_frames_offset(e.where("event_type = 'click'"), e.where("event_type = 'view'"), ["user_id"], "event_id", "us")
+
+
+@query("""SELECT session_id, next_step, failed FROM (WITH s AS (SELECT o_custkey % 200 AS session_id, (['detect', 'check_sync', 'verify', 'rotate', 'tracker', 'video', 'verify_labels', 'flux', 'align', 'validate', 'store', 'test'])[o_orderkey % 12 + 1] AS step, o_orderkey AS e, CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'done' END AS status FROM orders),
+l AS (SELECT session_id, step, arg_max(status, e) AS status FROM s GROUP BY 1, 2), d AS (SELECT session_id, coalesce(list(step) FILTER (status = 'done'), []) AS done, bool_or(status = 'failed') AS failed FROM l GROUP BY 1)
+SELECT session_id, list_filter(['detect', 'check_sync', 'verify', 'rotate', 'tracker', 'video', 'verify_labels', 'flux', 'align', 'validate', 'store', 'test'], lambda x: NOT list_contains(done, x))[1] AS next_step, failed FROM d)""")
+def next_step(spark, d):
+    step = F.element_at(F.array(*map(F.lit, tiers.STEPS)), (F.col("o_orderkey") % 12 + 1).cast("int"))
+    s = table(spark, d, "orders").select((F.col("o_custkey") % 200).alias("session_id"), step.alias("step"), F.col("o_orderkey").alias("ended_at"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("done").alias("status"))
+    return tiers.next_step(s)
+
+
+@query(E_SQL + """ SELECT user_id, 'events' AS stream, col AS "column", count(*) AS n, round(sum(v), 3) AS total FROM (SELECT user_id, unnest(['event_id', 'value']) AS col, unnest([CAST(event_id AS DOUBLE), value]) AS v FROM e) WHERE v IS NOT NULL GROUP BY 1, 3""")
+def timeline(spark, d):
+    e = events(spark, d).select(F.col("user_id").alias("session_id"), F.col("us").alias("t_ms"), "event_id", "value")
+    return dataset.timeline({"events": e}).where("value is not null").groupBy(F.col("session_id").alias("user_id"), "stream", "column").agg(F.count("*").alias("n"), r(F.sum("value"), 3).alias("total"))
+
+
+@query()
+def motion_signal(spark, d):
+    e = table(spark, d, "embeddings").select("label", "vec_id", *[F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate("xyz")])
+    return smooth.motion_signal(e, ["label"], "vec_id", ("x", "y", "z"), 16.0).select("label", "vec_id", r("motion").alias("motion"))
+
+
+@query()
+def double_integral(spark, d):
+    return smooth.double_integral(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r("position", 2).alias("position"))
+
+
+@query()
+def head_features(spark, d):
+    e = table(spark, d, "embeddings").where("vec_id % 4 < 3").select((F.col("vec_id") / 40).cast("bigint").alias("session"), (F.col("vec_id") % 4).alias("block"), F.floor(F.col("vec_id") % 40 / 4).alias("row"), F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("pos"))
+    return roles.rank_points(roles.block_features(e, "session", "block", "row"), "session", "block").select("session", "block", "points", "is_head")
+
+
+@query()
+def hand_rules(spark, d):
+    e = table(spark, d, "embeddings").select((F.col("vec_id") / 40).cast("bigint").alias("session"), (F.col("vec_id") % 4).alias("block"), F.floor(F.col("vec_id") % 40 / 4).alias("row"), F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("pos"), F.slice(F.col("embedding").cast("array<double>"), 4, 4).alias("quat"))
+    votes = roles.rule_votes(e.where("block = 0").select("session", "row", "pos", "quat"), e.where("block in (1, 2)").select("session", "row", "block", "pos"), roles.candidate_rules(spark), "session", "row")
+    return votes.select("session", "rule_id", "right_block", r("separation").alias("separation"))
