@@ -5,15 +5,14 @@ Jaccard >= t share a shingle among their first n - ceil(t n) + 1, their prefixes
 thin the candidates, which are verified once. Documents with equal sets are one class from the start.
 
 A shingle that many classes share would give the square of their number in pairs. Only classes in different components
-need a look, so such a shingle first compares all its classes with one pivot, then with eight times as many pivots among the
-classes that are still apart, until few enough pairs are apart and unseen (in proportion to the postings) to look at all of
-them. No link that could join two components is skipped, and no pair within a component is needed.
+need a look, so such a shingle first compares all its classes with one pivot. What is still apart then is compared in
+blocks, as arrays of lengths, positions and suffix counts, and only pairs that pass all filters become rows. No link that
+could join two components is skipped, and no pair within a component is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +23,14 @@ from .scratch import Scratch
 from .words import chunks, mix, shingle_hashes, signed
 
 #: Most frequent shingles that get a rank of their own in the order (bounds what is sent to every task).
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: A shingle of a chunk of texts counts towards the order from so many documents of the chunk on.
 LOCAL_MIN = 3
 #: Classes of one shingle up to which all its pairs are candidates at once.
 SMALL = 8
 SIGNATURE = 64
-#: Pairs of classes in different components that are all looked at once, for each posting of a shared shingle.
-PAIRS_PER_POSTING = 16
+#: Classes of one shingle that are compared as one array.
+BLOCK = 512
 #: Ids that are sent to every task at most; more go through a shuffle.
 SEND_IDS = 1_000_000
 #: Shingle hashes gathered before a count.
@@ -103,7 +102,7 @@ def doc_records(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) ->
                     r = np.where(known[at] == s, rank[at], 0)
                     s = s[np.argsort(r, kind="stable")]
                 prefix.append(signed(s[:m]))
-                sig.append(np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE).astype(np.int32).tobytes())
+                sig.append(np.minimum(np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE), 255).astype(np.uint8).tobytes())
             offsets = np.cumsum([0] + [len(p) for p in prefix])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int32()), pa.array(cls, pa.int64()), lists, pa.array(sig, pa.binary())], ["doc_id", "n", "cls", "prefix", "sig"])
@@ -122,7 +121,7 @@ def _may_overlap(a: str, b: str, percent: int) -> str:
 
 def suffix_filter(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     """Keeps pairs (a, b) whose sets may differ little enough: shingles fall into SIGNATURE parts by hash, and the sets
-    differ in at least the sum of the differences of their counts."""
+    differ in at least the sum of the differences of their counts (each up to 255)."""
     side = lambda x: records.select(F.col("cls").alias(x), F.col("sig").alias(f"s{x}"), F.col("n").alias(f"n{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -130,9 +129,9 @@ def suffix_filter(pairs: DataFrame, records: DataFrame, percent: int) -> DataFra
         for t in batches:
             for at in range(0, t.num_rows, 4096):
                 own = t.slice(at, 4096)
-                x, y = (np.frombuffer(b"".join(own[c].to_pylist()), np.int32).reshape(-1, SIGNATURE) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(own[c].to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16) for c in ("sa", "sb"))
                 n = own["na"].to_numpy().astype(np.int64) + own["nb"].to_numpy()
-                apart = np.abs(x - y).sum(1)
+                apart = np.abs(x - y).sum(1, dtype=np.int64)
                 ok = 100 * (n - apart) >= percent * (n + apart)
                 yield pa.RecordBatch.from_arrays([own["a"].filter(pa.array(ok)), own["b"].filter(pa.array(ok))], ["a", "b"])
 
@@ -168,6 +167,42 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent:
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return scratch.save(connected_components(edges, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp")))
+
+
+def _compare_blocks(apart: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of one shingle's classes in different components that pass the length, positional and suffix filters.
+
+    ``apart``: key, cls, n, pos, comp, sig, c (classes of the key). A shingle's classes fall into blocks of about BLOCK by
+    hash; each pair of blocks is one task's work, compared as arrays, and only pairs that pass become rows.
+    """
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    rows = apart.withColumn("_n", blocks).withColumn("_b", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("_n")).cast("int"))
+    rows = rows.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    rows = rows.select("key", F.least("_b", "_j").alias("i"), F.greatest("_b", "_j").alias("j"), F.col("_b").alias("block"), "cls", "n", "pos", "comp", "sig")
+
+    def run(t: pa.Table) -> pa.Table:
+        block, cls, n, pos, comp = (t[c].to_numpy().astype(np.int64) for c in ("block", "cls", "n", "pos", "comp"))
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16)
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        found = []
+        for x in left:
+            y = right[(comp[right] != comp[x]) & (cls[right] != cls[x])]
+            y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
+            best = np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y])
+            y = y[(100 + percent) * best >= percent * (n[x] + n[y])]
+            apart_by = np.abs(sig[y] - sig[x]).sum(1, dtype=np.int64)
+            both = n[x] + n[y]
+            y = y[100 * (both - apart_by) >= percent * (both + apart_by)]
+            found.append(np.stack((np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))))
+        got = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"a": got[0], "b": got[1]})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text).
 
@@ -189,34 +224,20 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     small = held.where(F.col("c") <= SMALL)
     near = small.alias("a").join(small.alias("b"), F.expr(f"a.key = b.key and a.cls < b.cls and {_may_overlap('a', 'b', percent)}")).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
     apart = scratch.save(held.where(F.col("c") > SMALL).select("key", "cls", "n", "pos"))
-    most_pairs = PAIRS_PER_POSTING * held.count()
-    links, tested, comp, pivots = [], None, None, 1
-    while pivots:
-        if comp is not None:
-            # postings whose shingle still holds classes of different components, and how many pairs those are
-            now = apart.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-            per = now.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).where("pairs > 0")
-            mixed = scratch.save(per)
-            left = mixed.agg(F.sum("pairs")).first()[0] or 0
-            if not left:
-                break
-            apart = scratch.save(now.join(mixed.select("key"), "key", "left_semi"))
-            pivots = 0 if left <= most_pairs else pivots * 8
-        if pivots:
-            order = W.partitionBy("key").orderBy(*([] if comp is None else [F.xxhash64("comp", F.lit(pivots))]), "cls")
-            chosen = scratch.save(apart.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= pivots).drop("_r"))
-        other = ("a.cls <> b.cls" if pivots else "a.cls < b.cls") + ("" if comp is None else " and a.comp <> b.comp")
-        cand = (chosen if pivots else apart).alias("a").join(apart.alias("b"), F.expr(f"a.key = b.key and {other} and {_may_overlap('a', 'b', percent)}")).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
-        cand = (cand.union(near) if comp is None else cand).distinct()
-        if tested is not None:
-            cand = cand.join(tested, ["a", "b"], "left_anti")
-        cand = scratch.save(suffix_filter(cand, sig, percent))
-        links.append(scratch.save(verify(cand, reps, docs, k, percent, scratch)))
-        tested = cand if tested is None else tested.union(cand)
-        edges = reduce(DataFrame.union, links).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        comp = scratch.save(connected_components(edges, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp")))
-        if pivots:
-            apart = scratch.save(apart.select("key", "cls", "n", "pos").join(chosen.select("key", "cls"), ["key", "cls"], "left_anti"))
+    # first look: all pairs of shingles with few classes, one pivot for each other shingle
+    large = held.where(F.col("c") > SMALL)
+    pivot = large.groupBy("key").agg(F.min(F.struct("cls", "n", "pos")).alias("p")).select("key", "p.*")
+    star = pivot.alias("a").join(large.alias("b"), F.expr(f"a.key = b.key and a.cls <> b.cls and {_may_overlap('a', 'b', percent)}")).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
+    first = scratch.save(star.union(near).distinct())
+    links = scratch.save(verify(suffix_filter(first, sig, percent), reps, docs, k, percent, scratch))
+    comp = _components(links, scratch)
+    # second look: what the first look left in different components
+    now = large.select("key", "cls", "n", "pos").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c")
+    apart = now.join(mixed, "key").join(sig.select("cls", "sig"), "cls")
+    again = scratch.save(_compare_blocks(apart, percent).distinct().join(first, ["a", "b"], "left_anti"))
+    links = links.union(scratch.save(verify(again, reps, docs, k, percent, scratch)))
+    comp = _components(links, scratch)
     group = sets.select("doc_id", "cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     low = group.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_class = reps.select("cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")).join(low, "comp").select("cls", "component_id")
