@@ -19,7 +19,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """path, session_id, row_id, line of small text files; lines end in CR, LF or CRLF, blank ones go.
 
     Whole files keep the line order, which a split read would lose."""
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     lines = whole.select("path", F.posexplode(F.split("value", "\r\n|\r|\n")).alias("row_id", "line")).where("trim(line) <> ''")
     return lines.withColumn("session_id", F.regexp_extract("path", SESSION, 1))
 
@@ -129,7 +129,7 @@ def long_flux(*parts: tuple[DataFrame, str, str]) -> DataFrame:
 
 def read_metadata(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row for each metadata.json, with session_id from the folder when the document has none."""
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", METADATA).alias("m"))
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", METADATA).alias("m"))
     return whole.select("path", F.coalesce("m.session_id", F.regexp_extract("path", SESSION, 1)).alias("session_id"), *[F.col(f"m.{f}") for f in ("operator", "scenario", "start_time_ns", "end_time_ns", "trigger_time_ns", "duration_seconds", "failed", "check_score", "check_grade", "cameras", "trackers", "grippers")])
 
 

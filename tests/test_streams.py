@@ -78,7 +78,7 @@ def test_short_gaussian_mirrors_more_than_once(spark):
 
 
 def test_quaternion_repair(spark):
-    half = np.sqrt(0.5)
+    half = float(np.sqrt(0.5))
     rows = [("s", 0, [1.0, 0.0, 0.0, 0.0]), ("s", 1, [0.0, 0.0, 0.0, 0.0]), ("s", 2, [-half, 0.0, 0.0, -half]), ("s", 3, [float("nan")] * 4)]
     out = repair.repair_quaternions(frame(spark, rows, "k string, i int, q array<double>"), ["k"], "i", "q").orderBy("i").collect()
     middle = np.array(out[1]["q"])
