@@ -175,17 +175,19 @@ def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
 def _compare_blocks(apart: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of one shingle's classes in different components that pass the length, positional and suffix filters.
 
-    ``apart``: key, cls, n, pos, comp, sig, c (classes of the key). A shingle's classes fall into blocks of about BLOCK by
+    ``apart``: key, cls, n, pos, comp, sig, prefix, c (classes of the key). A shingle's classes fall into blocks of about BLOCK by
     hash; each pair of blocks is one task's work, compared as arrays, and only pairs that pass become rows.
     """
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     rows = apart.withColumn("_n", blocks).withColumn("_b", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("_n")).cast("int"))
     rows = rows.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    rows = rows.select("key", F.least("_b", "_j").alias("i"), F.greatest("_b", "_j").alias("j"), F.col("_b").alias("block"), "cls", "n", "pos", "comp", "sig")
+    rows = rows.select("key", F.least("_b", "_j").alias("i"), F.greatest("_b", "_j").alias("j"), F.col("_b").alias("block"), "cls", "n", "pos", "comp", "sig", "prefix")
 
     def run(t: pa.Table) -> pa.Table:
         block, cls, n, pos, comp = (t[c].to_numpy().astype(np.int64) for c in ("block", "cls", "n", "pos", "comp"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16)
+        prefix = t["prefix"].to_pylist()
+        before = [p[:at] for p, at in zip(prefix, pos.tolist(), strict=True)]
         left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
         found = []
         for x in left:
@@ -196,6 +198,9 @@ def _compare_blocks(apart: DataFrame, percent: int) -> DataFrame:
             apart_by = np.abs(sig[y] - sig[x]).sum(1, dtype=np.int64)
             both = n[x] + n[y]
             y = y[100 * (both - apart_by) >= percent * (both + apart_by)]
+            # a pair counts at its first common shingle alone
+            own = set(before[x])
+            y = y[np.fromiter((own.isdisjoint(before[i]) for i in y), bool, len(y))]
             found.append(np.stack((np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))))
         got = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": got[0], "b": got[1]})
@@ -234,7 +239,7 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     # second look: what the first look left in different components
     now = large.select("key", "cls", "n", "pos").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c")
-    apart = now.join(mixed, "key").join(sig.select("cls", "sig"), "cls")
+    apart = now.join(mixed, "key").join(classes.select("cls", "sig", "prefix"), "cls")
     again = scratch.save(_compare_blocks(apart, percent).distinct().join(first, ["a", "b"], "left_anti"))
     links = links.union(scratch.save(verify(again, reps, docs, k, percent, scratch)))
     comp = _components(links, scratch)
