@@ -74,7 +74,7 @@ class Model:
 
     def __init__(self, x: np.ndarray, langs: list[str]) -> None:
         self.langs = sorted(set(langs))
-        y = np.array([self.langs.index(g) for g in langs])
+        y = np.array([self.langs.index(g) for g in langs], np.int64)
         self.code = codewords(len(self.langs))
         share = np.bincount(y, minlength=len(self.langs))
         w = (1.0 / share[y] / len(self.langs) * len(y)) if len(y) else np.zeros(0)
