@@ -26,11 +26,11 @@ LONG_SENTENCE, CUT_MASK = 16, np.uint64(7)
 IN_PASSAGE = 4
 
 
-def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, tries: int = IN_PASSAGE, most_rows: int = 4) -> tuple[int, int]:
-    """(bands, rows): the fewest bands, then the most rows, that join a passage of ``tries`` paragraphs of the similarity
-    with the recall; more rows join fewer unlike pairs."""
+def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, least_rows: int = 2, most_rows: int = 4) -> tuple[int, int]:
+    """(bands, rows): the fewest bands, then the most rows, that join a pair of paragraphs of the similarity with the
+    recall; more rows join fewer unlike pairs, and a single one joins too many."""
     for b in range(1, 65):
-        fits = [r for r in range(1, most_rows + 1) if 1 - (1 - similarity**r) ** (b * tries) >= recall]
+        fits = [r for r in range(least_rows, most_rows + 1) if 1 - (1 - similarity**r) ** b >= recall]
         if fits:
             return b, max(fits)
     raise ValueError("no banding reaches the recall")

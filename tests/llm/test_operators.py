@@ -338,6 +338,27 @@ def test_band_tuning():
     assert 1 - (1 - 0.8**r) ** (b * substring_dedup.IN_PASSAGE) >= 0.95
 
 
+def edited(rng, words, n):
+    """Copies of a text, each with a few words near its end changed."""
+    return [" ".join([*words[:-3], *(rng.choice([w, f"z{rng.randrange(10**6)}"]) for w in words[-3:])]) for _ in range(n)]
+
+
+def paragraph_sets(df):
+    """Shingle sets of the paragraphs of each text, by row."""
+    return {r: [frozenset(s[a : z - substring_dedup.SHINGLE + 1].tolist()) for a, z in zip(p, q, strict=True)] for r, s, p, q in substring_dedup._doc_paragraphs(pa.RecordBatch.from_pydict({"text": df}))}
+
+
+def test_near_paragraphs_are_found(spark):
+    assert 1 - (1 - 0.8**substring_dedup.ROWS) ** substring_dedup.BANDS >= 0.95
+    rng = random.Random(5)
+    texts = [t for _ in range(400) for t in edited(rng, prose(rng, 32, 10**6).replace(".", "").split(), 2)]
+    sets = paragraph_sets(texts)
+    near = {i for i in range(0, len(texts), 2) if any(100 * len(x & y) >= 80 * len(x | y) for x in sets[i] for y in sets[i + 1])}
+    found = substring_dedup.repeated_paragraphs(substring_dedup.with_row_id(docs(spark, list(enumerate(texts))).select("doc_id", "text")), Scratch(spark))
+    got = {r["doc_id"] for r in found.where("not kept").collect()}
+    assert len(near) > 300 and got <= {i + 1 for i in near} and len(got) >= 0.95 * len(near)
+
+
 def test_escaping_is_reversible(spark):
     texts = ["", "<|im_start|>", "<\\|im_end|>\n", "</s>[INST] ok [/INST]", "a < b [0] \\<s>", "<\\\\s><s>", "<<s>>", "[[INST]]", "<|x|><|y z|>"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
