@@ -53,3 +53,7 @@ class Scratch:
         """Deletes tables that no later plan reads."""
         for df in frames:
             _delete(self.spark, df._scratch_path)
+
+    def free_shuffles(self) -> None:
+        """Lets Spark delete the shuffle files of ended queries: its cleaner follows the driver's garbage collection."""
+        self.spark.sparkContext._jvm.System.gc()

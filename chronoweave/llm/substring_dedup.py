@@ -2,12 +2,13 @@
 
 A paragraph begins at every sentence start (and at words of a rare hash inside long sentences) and runs to the first
 sentence end after MIN_WORDS words, at most MAX_WORDS, so a passage has the same paragraphs wherever it stands. Bands of
-MinHash values of five-word shingles join paragraphs; equal sets are one class, other colliding classes are verified by
-exact Jaccard; connected classes are one cluster. The first paragraph of a cluster stays, the rest is removed.
+MinHash values of five-word shingles join paragraphs; equal sets are one class, all other classes of a bucket are compared
+by exact Jaccard; connected classes are one cluster. The first paragraph of a cluster stays, the rest is removed.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .ngram_join import SEND_IDS
+from .ngram_join import SEND_IDS, prefix_length
 from .scratch import Scratch
 from .words import chunks, mix, shingle_hashes, signed
 
@@ -24,6 +25,10 @@ MIN_WORDS, MAX_WORDS, SHINGLE, PERCENT = 24, 32, 5, 80
 LONG_SENTENCE, CUT_MASK = 16, np.uint64(7)
 #: Paragraphs that a passage of fifty words holds at least, as a rule.
 IN_PASSAGE = 4
+#: Classes of one bucket that are compared as one array.
+BLOCK = 512
+#: Classes whose pairs are all compared at once, without an index.
+FEW = 8
 
 
 def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, least_rows: int = 2, most_rows: int = 4) -> tuple[int, int]:
@@ -81,6 +86,10 @@ def _reduced(op: np.ufunc, x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.nd
     return op.reduceat(np.append(x, x[:1]), np.stack((p, q - SHINGLE + 1), 1).ravel())[::2]
 
 
+def _classes(s: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return signed(mix(_reduced(np.add, mix(s), p, q) + (q - p).astype(np.uint64)))
+
+
 def paragraph_table(docs: DataFrame) -> DataFrame:
     """rid, doc_id, p, q, cls (fingerprint of the shingles) and band keys k0, k1, ... of every paragraph."""
 
@@ -93,7 +102,7 @@ def paragraph_table(docs: DataFrame) -> DataFrame:
                     rows.append(np.full(len(p), r))
                     cols[0].append(p)
                     cols[1].append(q)
-                    cols[2].append(signed(mix(_reduced(np.add, mix(s), p, q) + (q - p).astype(np.uint64))))
+                    cols[2].append(_classes(s, p, q))
                     for k in range(BANDS):
                         key = np.zeros(len(p), np.uint64)
                         for j in range(ROWS):
@@ -107,36 +116,93 @@ def paragraph_table(docs: DataFrame) -> DataFrame:
     return docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, p int, q int, cls long" + "".join(f", k{k} long" for k in range(BANDS)))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs of classes (a, b) of exact Jaccard >= PERCENT / 100; ``reps``: cls and rid of a row that holds it."""
-    wanted = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(reps, "cls"))
-    rids = scratch.save(wanted.select("rid").distinct())
-    texts = docs.join(F.broadcast(rids) if rids.count() <= SEND_IDS else rids, "rid", "left_semi")
+def _class_sets(wanted: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """cls, set (sorted distinct shingles) of each class of ``wanted``: cls and rid of a row that holds it."""
+    lists = scratch.save(wanted.groupBy("rid").agg(F.collect_list("cls").alias("classes")))
+    few = wanted.count() <= SEND_IDS
+    texts = docs.join(F.broadcast(lists) if few else lists, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                got = []
-                for _, s, p, q in _doc_paragraphs(b.slice(at, 256)):
-                    cls = signed(mix(_reduced(np.add, mix(s), p, q) + (q - p).astype(np.uint64)))
-                    got += [(int(c), signed(np.unique(s[x : y - SHINGLE + 1])).tobytes()) for c, x, y in zip(cls, p, q, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int64()), pa.array([x for _, x in got], pa.binary())], ["cls", "set"])
+                own, classes, sets = b.slice(at, 256), [], []
+                for r, s, p, q in _doc_paragraphs(own):
+                    cls = _classes(s, p, q)
+                    found, first = np.unique(cls, return_index=True)
+                    for i in first[np.isin(found, own["classes"][r].values.to_numpy())]:
+                        classes.append(int(cls[i]))
+                        sets.append(signed(np.unique(s[p[i] : q[i] - SHINGLE + 1])).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"])
 
-    sets = texts.select("text").mapInArrow(run, "cls long, set binary").join(wanted.select("cls"), "cls", "left_semi")
-    sets = scratch.save(sets.dropDuplicates(["cls"]))
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("set").alias("y")), "b")
+    return texts.select("text", "classes").mapInArrow(run, "cls long, set binary").dropDuplicates(["cls"])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            ok = []
-            for x, y in zip(t["x"], t["y"], strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-                common = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                ok.append(100 * common >= PERCENT * (len(p) + len(q) - common))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([t["a"].filter(keep), t["b"].filter(keep)], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+def similar_pairs(sets: list[set[int]], comp: list[int], block: list[int]) -> list[tuple[int, int]]:
+    """Pairs of positions of exact Jaccard >= PERCENT / 100 that join all components (``comp``) which such pairs connect.
+
+    If ``block`` holds two values, only pairs of unlike blocks count. Prefixes in the order of rarity among these sets find
+    the candidates; only pairs that are connected already are passed over.
+    """
+    cross, root, out = min(block) != max(block), {c: c for c in comp}, []
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    often = Counter(h for x in sets for h in x) if len(sets) > FEW else None
+    index: dict[int, list[int]] = {}
+    for x, own in enumerate(sets):
+        near = range(x)
+        if often is not None:
+            head = sorted(own, key=lambda h: (often[h], h))[: prefix_length(len(own), PERCENT)]
+            near = sorted({y for h in head for y in index.get(h, ())})
+            for h in head:
+                index.setdefault(h, []).append(x)
+        u = find(comp[x])
+        for y in near:
+            if cross and block[x] == block[y]:
+                continue
+            v = find(comp[y])
+            if u == v:
+                continue
+            common = len(own & sets[y])
+            if 100 * common >= PERCENT * (len(own) + len(sets[y]) - common):
+                u, v = min(u, v), max(u, v)
+                root[v] = u
+                out.append((x, y))
+    return out
+
+
+def _compare(rows: DataFrame) -> DataFrame:
+    """(src, dst): links among the classes of each bucket and pair of blocks; ``rows``: key, i, j, block, cls, comp, set."""
+
+    def links(t: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+        cls, comp, block = (t[c].to_pylist() for c in ("cls", "comp", "block"))
+        sets = t["set"].to_pylist()
+        out = []
+        for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if z - a > 1:
+                out += [(cls[a + x], cls[a + y]) for x, y in similar_pairs([set(np.frombuffer(x, np.int64).tolist()) for x in sets[a:z]], comp[a:z], block[a:z])]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["src", "dst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            if not t.num_rows:
+                continue
+            group = np.stack([t[c].to_numpy() for c in ("key", "i", "j")])
+            bounds = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(0)) + 1))
+            # the last group may go on in the next batch
+            yield links(t, bounds)
+            held = t.slice(bounds[-1])
+        if held is not None:
+            yield links(held, np.array([0, held.num_rows]))
+
+    rows = rows.select("key", "i", "j", "block", "cls", "comp", "set").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(run, "src long, dst long").distinct()
 
 
 def with_row_id(docs: DataFrame) -> DataFrame:
@@ -144,6 +210,42 @@ def with_row_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("rid", F.xxhash64("doc_id", "text"))
 
 
+def _links(found: list[DataFrame], classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(src, dst): links of exact Jaccard that join all classes which similar pairs within a bucket connect.
+
+    ``found``: key, cls of each band's buckets of several classes. A bucket's classes fall into blocks of about BLOCK by hash.
+    Each block is compared as a whole; then pairs of blocks of the buckets that still lie in several components are.
+    """
+    hit = found[0]
+    for x in found[1:]:
+        hit = hit.union(x)
+    # near copies share several bands: buckets of the same classes are compared once
+    bucket = hit.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("cls", F.lit(2))).alias("h2"))
+    hit = scratch.save(hit.join(bucket.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key"), "key"))
+    scratch.free_shuffles()
+
+    def compared(rows: DataFrame) -> DataFrame:
+        wanted = scratch.save(rows.select("cls").distinct().join(classes.select("cls", F.col("lo").alias("rid")), "cls"))
+        links = scratch.save(_compare(rows.join(_class_sets(wanted, docs, scratch), "cls")))
+        scratch.free_shuffles()
+        return links
+
+    count = F.ceil(F.count("*") / BLOCK).cast("int")
+    large = scratch.save(hit.groupBy("key").agg(count.alias("n")).where("n > 1"))
+    send = large.count() <= SEND_IDS
+    sized = hit.join(F.broadcast(large) if send else large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("n")).cast("int"))
+    links = compared(sized.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "cls", F.col("cls").alias("comp")))
+    if not large.count():
+        return links
+    comp = connected_components(links, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+    now = scratch.save(sized.where("n > 1").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
+    apart = now.join(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "key")
+    pairs = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
+    pairs = pairs.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp")
+    return links.union(compared(pairs))
+
+
 def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """rid, doc_id, p, q, cluster, first_doc, kept for each paragraph whose cluster spans several documents.
 
@@ -151,21 +253,22 @@ def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     counted from 0. Null, empty and short texts have no paragraphs; repeats within one document alone do not count.
     """
     table = scratch.save(paragraph_table(docs))
-    keyed = table.select("rid", "doc_id", "p", "q", "cls", F.explode(F.array(*[f"k{k}" for k in range(BANDS)])).alias("key"))
-    # neighbours in one document overlap and often share a key; only keys of several rows matter
-    shared = keyed.groupBy("key").agg(F.min("rid").alias("_a"), F.max("rid").alias("_z")).where("_a < _z").select("key")
-    hit = scratch.save(keyed.join(shared, "key"))
-    scratch.drop(table)
-    ends = hit.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi")
-    unlike = hit.select("key", "cls").join(ends, "key")
-    sides = F.array(F.struct(F.least("cls", "lo").alias("a"), F.greatest("cls", "lo").alias("b")), F.struct(F.least("cls", "hi").alias("a"), F.greatest("cls", "hi").alias("b")))
-    pairs = scratch.save(unlike.select("cls", "lo", "hi").distinct().select(F.explode(sides).alias("s")).select("s.*").where("a < b").distinct())
-    reps = hit.groupBy("cls").agg(F.min("rid").alias("rid"))
-    links = _verified(pairs, reps, docs, scratch).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    classes = scratch.save(table.groupBy("cls").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")))
+    found = []
+    for k in range(BANDS):
+        keyed = table.select(F.col(f"k{k}").alias("key"), "cls", "rid")
+        # neighbours in one document overlap and often share a key; only keys of several rows and classes matter
+        mixed = keyed.groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("a < z and lo < hi").select("key")
+        found.append(scratch.save(keyed.select("key", "cls").join(mixed, "key").distinct()))
+        scratch.free_shuffles()
+    table, keyed = scratch.save(table.select("rid", "doc_id", "p", "q", "cls")), table
+    scratch.drop(keyed)
+    links = _links(found, classes, docs, scratch)
     comp = connected_components(links, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-    one = hit.select("rid", "doc_id", "p", "q", "cls")
-    rows = (one if BANDS == 1 else one.distinct()).join(comp, "cls", "left")
-    rows = scratch.save(rows.select("rid", "doc_id", "p", "q", F.coalesce("comp", "cls").alias("cluster")))
+    cluster = classes.join(comp, "cls", "left").where("comp is not null or lo < hi").select("cls", F.coalesce("comp", "cls").alias("cluster"))
+    rows = scratch.save(table.join(cluster, "cls").select("rid", "doc_id", "p", "q", "cluster"))
+    scratch.drop(table, classes, *found)
+    scratch.free_shuffles()
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "p")
     first = rows.groupBy("cluster").agg(F.min(place).alias("first"), F.max("rid").alias("_hi"), F.min("rid").alias("_lo")).where("_lo < _hi").drop("_lo", "_hi")
     out = rows.join(first, "cluster")

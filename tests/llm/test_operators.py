@@ -359,6 +359,28 @@ def test_near_paragraphs_are_found(spark):
     assert len(near) > 300 and got <= {i + 1 for i in near} and len(got) >= 0.95 * len(near)
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_bucket_keeps_links_apart_from_its_ends(spark, monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rng = random.Random(6)
+    texts = [t for _ in range(12) for t in edited(rng, prose(rng, 26, 10**6).replace(".", "").split(), 5)]
+    df = substring_dedup.with_row_id(docs(spark, list(enumerate(texts))).select("doc_id", "text"))
+    table = substring_dedup.paragraph_table(df)
+    classes = table.groupBy("cls").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"))
+    links = substring_dedup._links([classes.select(F.lit(0).cast("long").alias("key"), "cls")], classes, df, Scratch(spark))
+    got = {r["node"]: r["component"] for r in connected_components(links, Scratch(spark)).collect()}
+    cls = {r: substring_dedup._classes(s, p, q).tolist() for r, s, p, q in substring_dedup._doc_paragraphs(pa.RecordBatch.from_pydict({"text": texts}))}
+    flat = {c: s for r, x in paragraph_sets(texts).items() for c, s in zip(cls[r], x, strict=True)}
+    root = {c: c for c in flat}
+    for _ in flat:
+        for a in flat:
+            for b in flat:
+                if root[a] != root[b] and 100 * len(flat[a] & flat[b]) >= 80 * len(flat[a] | flat[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert len(set(root.values())) < len(flat) - 12
+    assert {c: got.get(c, c) for c in flat} == root
+
+
 def test_escaping_is_reversible(spark):
     texts = ["", "<|im_start|>", "<\\|im_end|>\n", "</s>[INST] ok [/INST]", "a < b [0] \\<s>", "<\\\\s><s>", "<<s>>", "[[INST]]", "<|x|><|y z|>"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
