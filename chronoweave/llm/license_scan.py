@@ -8,6 +8,8 @@ over the documents without a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,13 +35,13 @@ class Signature:
 FAMILIES = [
     ("mit", "mit", "(?:the )?mit(?: x11| expat)?", "mit"),
     ("apache-2", "apache 2 0", "(?:the )?apache(?: software)?", "apache"),
-    ("bsd-2", "bsd 2 clause", "(?:the )?(?:simplified|freebsd|bsd 2 clause)(?: bsd)?", "bsd"),
-    ("bsd-3", "bsd 3 clause", "(?:the )?(?:new|modified|revised|bsd 3 clause)(?: bsd)?", "bsd"),
-    ("gpl-2", "gpl 2 0", "(?:the )?(?:gnu general public license version 2|gnu gpl v2|gpl ?v2)", "gpl gnu"),
-    ("gpl-3", "gpl 3 0", "(?:the )?(?:gnu general public license version 3|gnu gpl v3|gpl ?v3)", "gpl gnu"),
-    ("lgpl-2.1", "lgpl 2 1", "(?:the )?(?:gnu lesser general public license version 2 1|lgpl ?v2 1)", "lgpl lesser"),
-    ("lgpl-3", "lgpl 3 0", "(?:the )?(?:gnu lesser general public license version 3|lgpl ?v3)", "lgpl lesser"),
-    ("agpl-3", "agpl 3 0", "(?:the )?(?:gnu affero general public license version 3|agpl ?v3)", "agpl affero"),
+    ("bsd-2", "bsd 2 clause", "(?:the )?(?:simplified|freebsd|bsd 2 clause)(?: bsd)?", "simplified freebsd bsd"),
+    ("bsd-3", "bsd 3 clause", "(?:the )?(?:new|modified|revised|bsd 3 clause)(?: bsd)?", "new modified revised bsd"),
+    ("gpl-2", "gpl 2 0", "(?:the )?(?:gnu general public license version 2|gnu gpl v2|gpl ?v2)", "gpl gplv2 gnu"),
+    ("gpl-3", "gpl 3 0", "(?:the )?(?:gnu general public license version 3|gnu gpl v3|gpl ?v3)", "gpl gplv3 gnu"),
+    ("lgpl-2.1", "lgpl 2 1", "(?:the )?(?:gnu lesser general public license version 2 1|lgpl ?v2 1)", "lgpl lgplv2 lesser"),
+    ("lgpl-3", "lgpl 3 0", "(?:the )?(?:gnu lesser general public license version 3|lgpl ?v3)", "lgpl lgplv3 lesser"),
+    ("agpl-3", "agpl 3 0", "(?:the )?(?:gnu affero general public license version 3|agpl ?v3)", "agpl agplv3 affero"),
     ("mpl-2", "mpl 2 0", "(?:the )?mozilla(?: public)?", "mozilla"),
     ("epl-2", "epl 2 0", "(?:the )?eclipse(?: public)?", "eclipse"),
     ("cddl-1", "cddl 1 0", "(?:the )?common development and distribution", "distribution"),
@@ -131,14 +133,15 @@ def detections(norm: Column, rules: list[Signature]) -> Column:
     by: dict[str, list[Signature]] = {}
     for r in rules:
         by.setdefault(r.keyword, []).append(r)
+    most = max((len(r.also.split()) for r in rules), default=0) or 1
 
     def row(r: Signature) -> Column:
         marks = [f" {w} " for w in r.also.split()] or [" "]
-        return F.struct(F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.weight).alias("weight"), F.lit(marks[0]).alias("also0"), F.lit(marks[-1]).alias("also1"))
+        return F.struct(F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.weight).alias("weight"), *[F.lit(marks[min(i, len(marks) - 1)]).alias(f"also{i}") for i in range(most)])
 
     table = F.create_map(*[x for kw, rs in by.items() for x in (F.lit(kw), F.array(*map(row, rs)))])
     held = F.array_intersect(F.split(norm, " "), F.array(*map(F.lit, by)))
-    chosen = F.filter(F.flatten(F.transform(held, lambda kw: table[kw])), lambda r: F.contains(norm, r["also0"]) | F.contains(norm, r["also1"]))
+    chosen = F.filter(F.flatten(F.transform(held, lambda kw: table[kw])), lambda r: reduce(or_, [F.contains(norm, r[f"also{i}"]) for i in range(most)]))
     found = F.flatten(F.transform(chosen, lambda r: F.transform(_spans(norm, r["regex"]), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), (-r["priority"]).alias("rank"), r["label"].alias("label"), r["weight"].alias("weight")))))
     levels = max(r.priority for r in rules)
     zero = F.struct(*[F.lit(-1).cast("long").alias(f"e{k}") for k in range(1, levels + 1)], F.array().cast(f"array<{DETECTION}>").alias("kept"))

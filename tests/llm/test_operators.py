@@ -291,6 +291,40 @@ def test_license_suppression_equals_brute_force(spark):
         assert {(d["start"], -d["last"], -d["rank"], d["label"]) for d in got[i]} == kept, t
 
 
+def spellings(parsed):
+    """All texts that a pattern of literals, choices and options matches."""
+    out = [""]
+    for op, x in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            own = [chr(x)]
+        elif kind == "IN":
+            own = [chr(c) for _, c in x]
+        elif kind == "SUBPATTERN":
+            own = spellings(x[3])
+        elif kind == "BRANCH":
+            own = [t for p in x[1] for t in spellings(p)]
+        else:
+            assert kind == "MAX_REPEAT" and x[:2] == (0, 1)
+            own = ["", *spellings(x[2])]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_license_gates_lose_no_spelling(spark):
+    rules = license_scan.signatures()
+    names = sorted({n for _, _, pattern, _ in license_scan.FAMILIES for n in spellings(re._parser.parse(pattern))})
+    assert {"gplv3", "lgplv2 1", "the freebsd", "modified"} <= set(names)
+    texts = [f"w {shape.format(n)} w" for n in names for shape in ("released under {} license", "licenced under {}")]
+    got = {r["doc_id"]: r["found"] for r in license_scan.scan_licenses(docs(spark, list(enumerate(texts))), rules).collect()}
+    compiled = [(r, re.compile(f"(?<= )(?:{r.regex})(?= )")) for r in rules]
+    for i, t in enumerate(texts):
+        norm = f" {t} "
+        found = {(norm[: m.start()].count(" ") - 1, norm[: m.end()].count(" "), r.priority, r.label) for r, p in compiled for m in p.finditer(norm)}
+        kept = {d for d in found if not any(o != d and o[0] <= d[0] and o[1] >= d[1] and o[2] >= d[2] and (o[:3] != d[:3] or o[3] < d[3]) for o in found)}
+        assert kept and {(d["start"], -d["last"], -d["rank"], d["label"]) for d in got[i]} == kept, t
+
+
 def repeat_words(text, n=8):
     w = WORD.findall(text or "")
     at = {}
