@@ -7,10 +7,14 @@ permutations of its block numbers, one after another; slots join blocks by sourc
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .scratch import Scratch
+from .words import _SPACE
 
 #: Words in a block, output shards, the most often a word can be taken, and the most sources of one mix.
 BLOCK, SHARDS, MOST, MAX_SOURCES = 64, 64, 3, 1_000_000
@@ -65,21 +69,22 @@ def permute(i: Column, n: Column, key: Column, rounds: int = 12) -> Column:
 
 def sized(docs: DataFrame) -> DataFrame:
     n = F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(n, F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("_h"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(n, F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("_h"), "text")
 
 
 def mix_sources(docs: DataFrame, scratch: Scratch, weights: list[float] | None = None, block: int = BLOCK, shards: int = SHARDS, seed: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(documents, slots) of the mix of ``docs`` (doc_id, text, source).
+    """(documents, mix) of the mix of ``docs`` (doc_id, text, source).
 
-    documents: doc_id, source, size, source_size, target, taken for each row. slots: source_index, block, shard, times -
-    how often each shard takes a block. A block is taken at most 3 times and so is each of its words; the last slot of a
+    documents: doc_id, source, size, source_size, target, taken for each row, counted from what was written. mix, read from
+    the written files: shard, source_index, block, lead, rows, words, text - each place a shard gives to a block, with the
+    block's text, documents and their words. A block is taken at most 3 times and so is each of its words; the last slot of a
     source takes only as many leading words as its target still needs. Null and empty texts have size 0 and are never
     taken; a null source is a source of its own; repeated rows and ids are documents of their own; equal input gives
     equal output at any partitioning; no rows give no rows. Sources reach the driver, at most MAX_SOURCES.
     """
     spark = docs.sparkSession
     order = ["source", "doc_id", "size", "_h"]
-    rows = scratch.save(sized(docs))
+    rows = sized(docs)
     totals = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"at most {MAX_SOURCES} sources")
@@ -105,6 +110,8 @@ def mix_sources(docs: DataFrame, scratch: Scratch, weights: list[float] | None =
     base = F.broadcast(spark.createDataFrame(offsets, "source_index int, _p int, _base long"))
     run = F.sum("size").over(W.partitionBy("source_index", "_p").orderBy("doc_id", "size", "_h").rowsBetween(W.unboundedPreceding, 0))
     placed = scratch.save(ranged.join(base, ["source_index", "_p"]).withColumn("_end", run + F.col("_base")).withColumn("_row", F.monotonically_increasing_id()).drop("_base", "_p"))
+    scratch.drop(ranged)
+    scratch.free_shuffles()
 
     drawn = draw_shards(owed, shards, seed)
     ranges, start = [], [0] * len(plan)
@@ -119,34 +126,63 @@ def mix_sources(docs: DataFrame, scratch: Scratch, weights: list[float] | None =
     number = permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.hash("source_index", turn, F.lit(seed)))
     slots = slots.select("source_index", "shard", number.alias("block")).groupBy("source_index", "block", "shard").agg(F.count("*").alias("times"))
     slots = scratch.save(slots)
-    taken = slots.groupBy("source_index", "block").agg(F.sum("times").alias("times"))
-
-    spans = placed.where("size > 0").select("_row", "source_index", (F.col("_end") - F.col("size")).alias("a"), F.col("_end").alias("z"))
-    cut = spans.select("*", F.explode(F.sequence((F.col("a") / block).cast("long"), ((F.col("z") - 1) / block).cast("long"))).alias("block"))
-    overlap = F.least("z", (F.col("block") + 1) * block) - F.greatest("a", F.col("block") * block)
-    got = cut.join(taken, ["source_index", "block"]).groupBy("_row").agg(F.sum(overlap * F.col("times")).alias("full"))
-
-    # the short last block and the rounding to whole blocks leave a few words: leading words of the source's least taken blocks
-    sums = dict(spark_sum(cut, taken, overlap))
-    missing = [(i, want[i] - sums.get(i, 0)) for i, *_ in plan if want[i] > sums.get(i, 0)]
-    top_up = _top_up(spark, missing, plan, start, block, seed)
-    extra_overlap = F.greatest(F.lit(0), F.least("z", F.col("block") * block + F.col("lead")) - F.greatest("a", F.col("block") * block))
-    extra = cut.join(F.broadcast(top_up), ["source_index", "block"]).groupBy("_row").agg(F.sum(extra_overlap).alias("lead"))
-    out = placed.join(got, "_row", "left").join(extra, "_row", "left")
-    out = out.select("doc_id", "source", "size", "source_size", "target", (F.coalesce("full", F.lit(0)) + F.coalesce("lead", F.lit(0))).cast("long").alias("taken"))
-    return out, slots
-
-
-def spark_sum(cut: DataFrame, taken: DataFrame, overlap: Column) -> list[tuple[int, int]]:
-    """Words that the full slots take of each source."""
-    return [(r["source_index"], r["n"]) for r in cut.join(taken, ["source_index", "block"]).groupBy("source_index").agg(F.sum(overlap * F.col("times")).alias("n")).collect()]
-
-
-def _top_up(spark, missing, plan, used, block, seed) -> DataFrame:
-    """(source_index, block, lead): the next slots after the full ones, with the words they still take; a row or two a source."""
-    frame = spark.createDataFrame([(i, k, used[i] + j, plan[i][3]) for i, m in missing for j, k in enumerate([block] * (m // block) + [m % block]) if k and used[i] + j < MOST * plan[i][3]], "source_index int, lead long, slot long, blocks long")
+    # the short last blocks and the rounding to whole blocks leave a few words: leading words of the next slots
+    length = lambda b, n: F.least(F.lit(block), n - b * block)
+    sizes_table = F.broadcast(table.select("source_index", "source_size"))
+    sums = {r["source_index"]: r["n"] for r in slots.join(sizes_table, "source_index").groupBy("source_index").agg(F.sum(length(F.col("block"), F.col("source_size")) * F.col("times")).alias("n")).collect()}
+    missing = [(i, want[i] - sums.get(i, 0), start[i], plan[i][3], plan[i][2]) for i, *_ in plan if want[i] > sums.get(i, 0)]
+    top_up = _top_up(spark, missing, block, shards, seed)
+    full = slots.join(sizes_table, "source_index").select("source_index", "block", "shard", length(F.col("block"), F.col("source_size")).cast("long").alias("lead"), F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_t"))
+    every = full.drop("_t").union(top_up)
+
+    # the mix itself: words packed into blocks, blocks joined to their slots, one partition of files for each shard
+    packed = _pieces(placed.where("size > 0"), block).groupBy("source_index", "block").agg(F.sort_array(F.collect_list(F.struct("at", "n", "row", "text"))).alias("pieces"))
+    chosen = packed.join(every, ["source_index", "block"])
+    head = F.expr(r"filter(transform(pieces, p -> named_struct('row', p.row, 'n', int(least(p.n, lead - p.at)), 'text', case when p.n <= lead - p.at then p.text when lead > p.at then regexp_extract(p.text, concat('^(?:[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]+){', lead - p.at - 1, '}[^\\x20\\x09-\\x0D]+'), 0) end)), p -> p.n > 0)")
+    made = chosen.withColumn("p", head).select("shard", "source_index", "block", "lead", F.col("p.row").alias("rows"), F.col("p.n").alias("words"), F.array_join("p.text", "\n").alias("text"))
+    made = scratch.save(made.repartition(shards, "shard"))
+    got = made.select(F.explode(F.arrays_zip("rows", "words")).alias("x")).groupBy(F.col("x.rows").alias("_row")).agg(F.sum("x.words").alias("taken"))
+    out = placed.drop("text").join(got, "_row", "left")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), made
+
+
+def _pieces(placed: DataFrame, block: int) -> DataFrame:
+    """source_index, block, at (word of the block), n, row, text: the part of each document in each block, its white space kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first in range(0, b.num_rows, 256):
+                own = b.slice(first, 256)
+                got = [[] for _ in range(6)]
+                for row, i, end, size, text in zip(*(own[c].to_pylist() for c in ("_row", "source_index", "_end", "size", "text")), strict=True):
+                    blob = text.encode("utf-8", "surrogatepass")
+                    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[np.frombuffer(blob, np.uint8)], [True])).astype(np.int8)))
+                    begin, stop = edge[::2].tolist(), edge[1::2].tolist()
+                    at = end - size
+                    while at < end:
+                        upto = min(end, (at // block + 1) * block)
+                        part = blob[begin[at - end + size] : stop[upto - end + size - 1]]
+                        for c, x in zip(got, (i, at // block, at % block, upto - at, row, part.decode("utf-8", "surrogatepass")), strict=True):
+                            c.append(x)
+                        at = upto
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(got, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["source_index", "block", "at", "n", "row", "text"])
+
+    return placed.select("_row", "source_index", "_end", "size", "text").mapInArrow(run, "source_index int, block long, at int, n int, row long, text string")
+
+
+def _top_up(spark, missing, block, shards, seed) -> DataFrame:
+    """(source_index, block, shard, lead): the next slots after the full ones, with the words they take of their block.
+
+    ``missing``: source_index, words, first free slot, blocks, size. A slot gives at most its block's own words.
+    """
+    frame = spark.createDataFrame([(*m, min(m[2] + -(-m[1] // block), MOST * m[3])) for m in missing], "source_index int, words long, first long, blocks long, size long, stop long")
+    slot = frame.where("first < stop").select("*", F.explode(F.sequence("first", F.col("stop") - 1)).alias("slot"))
     turn = (F.col("slot") / F.col("blocks")).cast("long")
-    return frame.select("source_index", permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.hash("source_index", turn, F.lit(seed))).alias("block"), "lead").groupBy("source_index", "block").agg(F.sum("lead").alias("lead"))
+    slot = slot.withColumn("block", permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.hash("source_index", turn, F.lit(seed))))
+    own = F.least(F.lit(block), F.col("size") - F.col("block") * block)
+    before = F.coalesce(F.sum(own).over(W.partitionBy("source_index").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    lead = F.least(own, F.col("words") - before).cast("long")
+    return slot.select("source_index", "block", F.pmod("slot", F.lit(shards)).cast("int").alias("shard"), lead.alias("lead")).where("lead > 0")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

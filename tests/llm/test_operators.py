@@ -186,6 +186,18 @@ def test_mixture(spark):
     assert mixture.mix_sources(df.where("false"), Scratch(spark))[0].count() == 0
 
 
+def test_mix_is_written(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randrange(1, 300)).replace(" ", "  "), "en", rng.choice("abc"), 0) for i in range(60)]
+    out, made = mixture.mix_sources(spark.createDataFrame(rows, DOC), Scratch(spark))
+    got, made = out.collect(), made.collect()
+    assert len({r["shard"] for r in made}) > 8
+    assert all(len(WORD.findall(r["text"])) == sum(r["words"]) == r["lead"] <= mixture.BLOCK for r in made)
+    assert sum(r["lead"] for r in made) == sum(r["taken"] for r in got)
+    words = lambda texts: set(WORD.findall(" ".join(texts)))
+    assert words(r["text"] for r in made) <= words(t for _, t, *_ in rows)
+
+
 def test_targets_reshare_the_excess():
     t = mixture.targets([10, 1000, 100], [3.0, 1.0, 2.0])
     assert t[0] == 30 and t[2] == 300 and abs(sum(t) - 1110) < 1e-9
