@@ -173,9 +173,10 @@ def _pieces(placed: DataFrame, block: int) -> DataFrame:
 def _top_up(spark, missing, block, shards, seed) -> DataFrame:
     """(source_index, block, shard, lead): the next slots after the full ones, with the words they take of their block.
 
-    ``missing``: source_index, words, first free slot, blocks, size. A slot gives at most its block's own words.
+    ``missing``: source_index, words, first free slot, blocks, size. A slot gives at most its block's own words; at most
+    MOST slots fall on a short block, so a few slots more than the words need are enough.
     """
-    frame = spark.createDataFrame([(*m, min(m[2] + -(-m[1] // block), MOST * m[3])) for m in missing], "source_index int, words long, first long, blocks long, size long, stop long")
+    frame = spark.createDataFrame([(*m, min(m[2] + m[1] // block + MOST + 1, MOST * m[3])) for m in missing], "source_index int, words long, first long, blocks long, size long, stop long")
     slot = frame.where("first < stop").select("*", F.explode(F.sequence("first", F.col("stop") - 1)).alias("slot"))
     turn = (F.col("slot") / F.col("blocks")).cast("long")
     slot = slot.withColumn("block", permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.hash("source_index", turn, F.lit(seed))))

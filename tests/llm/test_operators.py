@@ -188,7 +188,7 @@ def test_mixture(spark):
 
 def test_mix_is_written(spark):
     rng = random.Random(8)
-    rows = [(i, prose(rng, rng.randrange(1, 300)).replace(" ", "  "), "en", rng.choice("abc"), 0) for i in range(60)]
+    rows = [(i, prose(rng, rng.randrange(1, 300)).replace(" ", "  "), "en", rng.choice("abc"), 0) for i in range(60)] + [(900, prose(rng, 10), "en", "tiny", 0), (901, prose(rng, 40), "en", "tiny3", 0)]
     out, made = mixture.mix_sources(spark.createDataFrame(rows, DOC), Scratch(spark))
     got, made = out.collect(), made.collect()
     assert len({r["shard"] for r in made}) > 8
@@ -196,6 +196,9 @@ def test_mix_is_written(spark):
     assert sum(r["lead"] for r in made) == sum(r["taken"] for r in got)
     words = lambda texts: set(WORD.findall(" ".join(texts)))
     assert words(r["text"] for r in made) <= words(t for _, t, *_ in rows)
+    for s in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == s]
+        assert sum(r["taken"] for r in own) == round(own[0]["target"]) and all(r["taken"] <= 3 * r["size"] for r in own), s
 
 
 def test_targets_reshare_the_excess():
