@@ -6,7 +6,20 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+#: Narrow rows that are sent to every task at most; more go through a shuffle.
+SEND_ROWS = 500_000
+
+
+def sendable(saved: DataFrame, limit: int = SEND_ROWS) -> DataFrame:
+    """A saved table of narrow rows for a join: sent to every task if it is small, else shuffled."""
+    return F.broadcast(saved) if saved.count() <= limit else saved
+
+
+def row_id() -> Column:
+    """A hash of doc_id and text: rows equal in both are one row; a null doc_id has one too."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"), F.col("doc_id").isNull())
 
 
 def shared_dir(spark: SparkSession) -> str:

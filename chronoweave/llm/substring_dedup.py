@@ -1,14 +1,17 @@
 """Substring dedup: repeated passages of documents by MinHash bands of paragraphs.
 
-A paragraph begins at every sentence start (and at words of a rare hash inside long sentences) and runs to the first
-sentence end after MIN_WORDS words, at most MAX_WORDS, so a passage has the same paragraphs wherever it stands. Bands of
-MinHash values of five-word shingles join paragraphs; equal sets are one class, all other classes of a bucket are compared
-by exact Jaccard; connected classes are one cluster. The first paragraph of a cluster stays, the rest is removed.
+A paragraph is a run of LENGTH words. It begins where the five-word shingle has the least hash of some WINDOW places in a
+row, so a passage has the same paragraphs wherever it stands, and every run of WINDOW + LENGTH - 1 = 49 words that two
+documents share holds at least one of them. What is left of a removed passage are less than WINDOW words at either end.
+Bands of MinHash values join paragraphs; equal sets are one class, all other classes of a bucket are compared by exact
+Jaccard; connected classes are one cluster. The first paragraph of a cluster stays, the rest is removed.
+
+Most band keys stand in one document only. A first pass over the texts sends the keys alone, as packed arrays by key range,
+and finds those of several documents; the second pass writes only paragraphs that have one.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,19 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .ngram_join import SEND_IDS, prefix_length
-from .scratch import Scratch
+from .overlap import common, flat_sets, roots
+from .scratch import Scratch, row_id, sendable
 from .words import chunks, mix, shingle_hashes, signed
 
-MIN_WORDS, MAX_WORDS, SHINGLE, PERCENT = 24, 32, 5, 80
-#: A sentence longer than this also begins paragraphs after words whose hash says so.
-LONG_SENTENCE, CUT_MASK = 16, np.uint64(7)
-#: Paragraphs that a passage of fifty words holds at least, as a rule.
-IN_PASSAGE = 4
+WINDOW, LENGTH, SHINGLE, PERCENT = 20, 30, 5, 80
+SPAN = LENGTH - SHINGLE + 1
 #: Classes of one bucket that are compared as one array.
 BLOCK = 512
-#: Classes whose pairs are all compared at once, without an index.
-FEW = 8
+#: Classes of one bucket that are compared set by set.
+FEW = 12
+#: Keys packed at once, and shared keys that are sent to every task at most; with more, rows meet them in a shuffle.
+GATHER, SEND_KEYS = 1 << 21, 4_000_000
+#: Places of removed words that are sent to every task at most.
+SEND_SPANS = 2_000_000
+LAST = np.uint64(2**64 - 1)
 
 
 def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, least_rows: int = 2, most_rows: int = 4) -> tuple[int, int]:
@@ -42,148 +47,235 @@ def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, least_ro
 
 
 BANDS, ROWS = tune_bands()
+KEYS = [f"k{k}" for k in range(BANDS)]
+_TIMES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def sentence_starts(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Positions of words that begin a sentence: the first and those after ``.``, ``!``, ``?`` or a line feed."""
-    begins = np.zeros(len(h), bool)
-    begins[0] = True
-    last = text[ends - 1]
-    begins[1:] |= ((last == 46) | (last == 33) | (last == 63))[:-1]
-    breaks = np.concatenate(([0], np.cumsum(text == 10)))
-    begins[1:] |= breaks[starts[1:]] > breaks[ends[:-1]]
-    return np.flatnonzero(begins)
+def _least(x: np.ndarray, n: int, op: np.ufunc = np.minimum) -> np.ndarray:
+    """Least (or largest) of each n values in a row, in log n steps."""
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        x = op(x[:-step], x[step:])
+        done += step
+    return x
 
 
-def paragraphs(h: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First words and ends of the paragraphs of one document."""
-    n = len(h)
-    stops = np.append(begins[1:], n)
-    long = np.repeat(stops - begins > LONG_SENTENCE, stops - begins)
-    inner = np.flatnonzero(long[1:] & ((h[:-1] & CUT_MASK) == 0)) + 1
-    p = np.union1d(begins, inner)
-    i = np.searchsorted(stops, p + MIN_WORDS)
-    q = np.minimum(np.append(stops, n + MAX_WORDS)[i], p + MAX_WORDS)
-    fits = q <= n
-    return p[fits], q[fits]
+def _shingles(h: np.ndarray) -> np.ndarray:
+    """Hashes of all SHINGLE-word runs of a word sequence, LAST where none is left."""
+    out = np.full(len(h), LAST)
+    if len(h) >= SHINGLE:
+        out[: len(h) - SHINGLE + 1] = np.minimum(shingle_hashes(h, SHINGLE), LAST - np.uint64(1))
+    return out
 
 
-def _doc_paragraphs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, shingles, first words, ends) of each document with a paragraph."""
-    for first, h, s, e, before, blob in chunks(batch["text"]):
-        text = np.frombuffer(blob, np.uint8)
-        for r in range(len(before) - 1):
-            a, z = before[r], before[r + 1]
-            if z - a >= MIN_WORDS:
-                base = s[a]
-                own = h[a:z]
-                p, q = paragraphs(own, sentence_starts(own, s[a:z] - base, e[a:z] - base, text[base : e[z - 1]]))
-                if len(p):
-                    yield first + r, shingle_hashes(own, SHINGLE), p, q
+def paragraph_starts(s: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """First words of the paragraphs of several documents in one word sequence; ``s``: shingle hashes at every word,
+    ``before``: first word of each document, and the end. A document of fewer than LENGTH words has none; one of fewer
+    places than WINDOW has at least one."""
+    size = np.diff(before)
+    place = np.maximum(size - LENGTH + 1, 0)
+    first = np.repeat(before[:-1], size)
+    valid = np.arange(len(s)) - first < np.repeat(place, size)
+    x = np.where(valid, s, LAST)
+    if not valid.any():
+        return np.zeros(0, np.int64)
+    low = np.zeros(len(s), np.uint64)
+    if len(s) >= WINDOW:
+        whole = np.concatenate(([0], np.cumsum(valid)))
+        full = whole[WINDOW:] - whole[:-WINDOW] == WINDOW
+        low[: len(s) - WINDOW + 1] = np.where(full, _least(x, WINDOW), 0)
+    for r in np.flatnonzero((place > 0) & (place < WINDOW)):
+        low[before[r]] = x[before[r] : before[r] + place[r]].min()
+    # a place begins a paragraph if it has the least hash of a window that holds it
+    best = _least(np.concatenate((np.zeros(WINDOW - 1, np.uint64), low)), WINDOW, np.maximum)
+    return np.flatnonzero(valid & (best == x))
+
+
+def _paragraphs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row of each paragraph, its first word, its place in s, s) for a few documents at once."""
+    for first, h, _, _, before, _ in chunks(texts):
+        s = _shingles(h)
+        at = paragraph_starts(s, before)
+        if len(at):
+            row = np.searchsorted(before, at, "right") - 1
+            yield first, row, at - before[row], at, s
+
+
+def _keys(s: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Band keys of the paragraphs at the places ``at``."""
+    out = []
+    for k in range(BANDS):
+        key = np.full(len(at), k, np.uint64)
+        for j in range(ROWS):
+            key = mix(key + _least(s * _TIMES[k * ROWS + j], SPAN)[at])
+        out.append(key)
+    return out
 
 
-def _reduced(op: np.ufunc, x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return op.reduceat(np.append(x, x[:1]), np.stack((p, q - SHINGLE + 1), 1).ravel())[::2]
+def _classes(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit fingerprints of the paragraphs' shingles."""
+    total = []
+    for x in (s, s ^ np.uint64(0x5851F42D4C957F2D)):
+        c = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(x))))
+        total.append(signed(mix(c[at + SPAN] - c[at])))
+    return tuple(total)
 
 
-def _classes(s: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return signed(mix(_reduced(np.add, mix(s), p, q) + (q - p).astype(np.uint64)))
+def shared_keys(docs: DataFrame, ranges: int) -> DataFrame:
+    """range, keys: the band keys that stand in several documents, packed by the leading bits of the key.
 
+    Only packed keys are shuffled: 32 bits behind the range's, one for each key and GATHER keys, so a frequent key weighs as
+    much as any other. Keys that agree in all those bits count as one, which lets a few single ones pass."""
+    bits = np.uint64(ranges.bit_length() - 1)
 
-def paragraph_table(docs: DataFrame) -> DataFrame:
-    """rid, doc_id, p, q, cls (fingerprint of the shingles) and band keys k0, k1, ... of every paragraph."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held) >> (np.uint64(32) - bits), return_counts=True)
+            part = (key >> np.uint64(32)).astype(np.int64)
+            cols = []
+            for own in (n == 1, n > 1):
+                cuts = np.searchsorted(part[own], np.arange(ranges + 1))
+                low = key[own].astype(np.uint32)
+                cols.append([low[a:z].tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(ranges, dtype=np.int32)), *(pa.array(c, pa.binary()) for c in cols)], ["range", "once", "more"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             for at in range(0, b.num_rows, 1024):
-                own = b.slice(at, 1024)
-                rows, cols = [], [[] for _ in range(3 + BANDS)]
-                for r, s, p, q in _doc_paragraphs(own):
-                    rows.append(np.full(len(p), r))
-                    cols[0].append(p)
-                    cols[1].append(q)
-                    cols[2].append(_classes(s, p, q))
-                    for k in range(BANDS):
-                        key = np.zeros(len(p), np.uint64)
-                        for j in range(ROWS):
-                            key = mix(key + _reduced(np.minimum, mix(s ^ mix(np.array([k * ROWS + j + 1], np.uint64))), p, q))
-                        cols[3 + k].append(signed(key + np.uint64(k)))
-                if rows:
-                    r = pa.array(np.concatenate(rows))
-                    arrays = [np.concatenate(c) for c in cols]
-                    yield pa.RecordBatch.from_arrays([own["rid"].take(r), own["doc_id"].take(r), pa.array(arrays[0].astype(np.int32)), pa.array(arrays[1].astype(np.int32)), *map(pa.array, arrays[2:])], ["rid", "doc_id", "p", "q", "cls", *[f"k{k}" for k in range(BANDS)]])
-
-    return docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, p int, q int, cls long" + "".join(f", k{k} long" for k in range(BANDS)))
-
-
-def _class_sets(wanted: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """cls, set (sorted distinct shingles) of each class of ``wanted``: cls and rid of a row that holds it."""
-    lists = scratch.save(wanted.groupBy("rid").agg(F.collect_list("cls").alias("classes")))
-    few = wanted.count() <= SEND_IDS
-    texts = docs.join(F.broadcast(lists) if few else lists, "rid")
+                for _, row, _, places, s in _paragraphs(b.slice(at, 1024)["text"]):
+                    key, row = np.concatenate(_keys(s, places)), np.tile(row, BANDS)
+                    order = np.lexsort((row, key))
+                    key, row = key[order], row[order]
+                    held.append(key[np.concatenate(([True], (key[1:] != key[:-1]) | (row[1:] != row[:-1])))])
+                    size += len(held[-1])
+                    if size >= GATHER:
+                        yield flush(held)
+                        held, size = [], 0
+        if held:
+            yield flush(held)
+
+    def meet(t: pa.Table) -> pa.Table:
+        once, more = (np.frombuffer(b"".join(t[c].to_pylist()), np.uint32) for c in ("once", "more"))
+        key, n = np.unique(np.concatenate((once, np.unique(more), np.unique(more))), return_counts=True)
+        return pa.table({"range": t["range"].slice(0, 1), "keys": pa.array([key[n > 1].tobytes()], pa.binary())})
+
+    return docs.select("text").mapInArrow(pack, "range int, once binary, more binary").groupBy("range").applyInArrow(meet, "range int, keys binary")
+
+
+def _unpacked(shared: DataFrame) -> np.ndarray:
+    got = shared.toArrow()
+    parts = [(np.uint64(r) << np.uint64(32)) | np.frombuffer(k, np.uint32).astype(np.uint64) for r, k in zip(got["range"].to_pylist(), got["keys"].to_pylist(), strict=True)]
+    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """rid, doc_id, p, c1, c2 (fingerprint of the shingles) and band keys k0, k1, ... of every paragraph that shares a key
+    with another document; keys that no other document has are null."""
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = 1 << max(6, (4 * parts - 1).bit_length())
+    bits = np.uint64(ranges.bit_length() - 1)
+    shared = scratch.save(shared_keys(docs, ranges))
+    total = (shared.agg(F.sum(F.length("keys"))).first()[0] or 0) // 4
+    known = _unpacked(shared) if total <= SEND_KEYS else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                own, classes, sets = b.slice(at, 256), [], []
-                for r, s, p, q in _doc_paragraphs(own):
-                    cls = _classes(s, p, q)
-                    found, first = np.unique(cls, return_index=True)
-                    for i in first[np.isin(found, own["classes"][r].values.to_numpy())]:
-                        classes.append(int(cls[i]))
-                        sets.append(signed(np.unique(s[p[i] : q[i] - SHINGLE + 1])).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"])
-
-    return texts.select("text", "classes").mapInArrow(run, "cls long, set binary").dropDuplicates(["cls"])
+            for at in range(0, b.num_rows, 1024):
+                own = b.slice(at, 1024)
+                found = []
+                for first, row, p, places, s in _paragraphs(own["text"]):
+                    keys = _keys(s, places)
+                    if known is None:
+                        met = [np.ones(len(k), bool) for k in keys]
+                    elif len(known):
+                        short = [k >> (np.uint64(32) - bits) for k in keys]
+                        met = [known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k for k in short]
+                    else:
+                        continue
+                    some = np.logical_or.reduce(met)
+                    if some.any():
+                        found.append([(first + row)[some], p[some], *(c[some] for c in _classes(s, places)), *(k[some] for k in keys), *(m[some] for m in met)])
+                if found:
+                    cols = [np.concatenate(c) for c in zip(*found, strict=True)]
+                    r = pa.array(cols[0])
+                    keys = [pa.array(signed(k), mask=~m) for k, m in zip(cols[4 : 4 + BANDS], cols[4 + BANDS :], strict=True)]
+                    yield pa.RecordBatch.from_arrays([own["rid"].take(r), own["doc_id"].take(r), pa.array(cols[1].astype(np.int32)), pa.array(cols[2]), pa.array(cols[3]), *keys], ["rid", "doc_id", "p", "c1", "c2", *KEYS])
+
+    rows = docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, p int, c1 long, c2 long" + "".join(f", {k} long" for k in KEYS))
+    if known is None:
+        # too many shared keys to send: they meet the rows by range and key
+        low = F.explode(F.transform(F.sequence(F.lit(0), F.length("keys") / 4 - 1), lambda i: F.conv(F.hex(F.reverse(F.substring("keys", (i * 4 + 1).cast("int"), F.lit(4)))), 16, 10).cast("long")))
+        table = shared.where(F.length("keys") > 0).select("range", low.alias("low"))
+        for k in KEYS:
+            here = F.shiftrightunsigned(F.col(k), 64 - int(bits)).cast("int")
+            tail = F.shiftrightunsigned(F.col(k), 32 - int(bits)).bitwiseAND(F.lit(0xFFFFFFFF))
+            hit = table.select(F.col("range").alias("_range"), F.col("low").alias("_low"), F.lit(True).alias("_met"))
+            rows = rows.withColumns({"_range": here, "_low": tail}).join(hit, ["_range", "_low"], "left").withColumn(k, F.when(F.col("_met"), F.col(k))).drop("_range", "_low", "_met")
+        rows = rows.where(F.coalesce(*KEYS).isNotNull())
+    out = scratch.save(rows)
+    scratch.drop(shared)
+    return out
 
 
-def similar_pairs(sets: list[set[int]], comp: list[int], block: list[int]) -> list[tuple[int, int]]:
-    """Pairs of positions of exact Jaccard >= PERCENT / 100 that join all components (``comp``) which such pairs connect.
+def class_sets(wanted: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """cid, set (sorted distinct shingles) of each class of ``wanted``: cid, c1, c2 and rid of a row that holds it."""
+    lists = scratch.save(wanted.groupBy("rid").agg(F.collect_list(F.struct("c1", "c2", "cid")).alias("classes")))
+    texts = docs.join(sendable(lists), "rid")
 
-    If ``block`` holds two values, only pairs of unlike blocks count. Prefixes in the order of rarity among these sets find
-    the candidates; only pairs that are connected already are passed over.
-    """
-    cross, root, out = min(block) != max(block), {c: c for c in comp}, []
-
-    def find(c: int) -> int:
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
-
-    often = Counter(h for x in sets for h in x) if len(sets) > FEW else None
-    index: dict[int, list[int]] = {}
-    for x, own in enumerate(sets):
-        near = range(x)
-        if often is not None:
-            head = sorted(own, key=lambda h: (often[h], h))[: prefix_length(len(own), PERCENT)]
-            near = sorted({y for h in head for y in index.get(h, ())})
-            for h in head:
-                index.setdefault(h, []).append(x)
-        u = find(comp[x])
-        for y in near:
-            if cross and block[x] == block[y]:
-                continue
-            v = find(comp[y])
-            if u == v:
-                continue
-            common = len(own & sets[y])
-            if 100 * common >= PERCENT * (len(own) + len(sets[y]) - common):
-                u, v = min(u, v), max(u, v)
-                root[v] = u
-                out.append((x, y))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                own, cids, sets = b.slice(at, 256), [], []
+                want = [{(x["c1"], x["c2"]): x["cid"] for x in c} for c in own["classes"].to_pylist()]
+                for first, row, _, places, s in _paragraphs(own["text"]):
+                    for r, i, c1, c2 in zip((first + row).tolist(), places.tolist(), *(c.tolist() for c in _classes(s, places)), strict=True):
+                        if (cid := want[r].pop((c1, c2), None)) is not None:
+                            cids.append(cid)
+                            sets.append(signed(np.unique(s[i : i + SPAN])).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())], ["cid", "set"])
+
+    sets = scratch.save(texts.select("text", "classes").mapInArrow(run, "cid long, set binary"))
+    # a row that is there twice brings its classes twice
+    return scratch.save(sets.dropDuplicates(["cid"])) if sets.count() > wanted.count() else sets
+
+
+def bucket_links(cid: list[int], block: list[int], comp: list[int], sets: pa.ChunkedArray) -> list[tuple[int, int]]:
+    """(class, root) for the classes of one bucket that exact Jaccard connects: all pairs, or those of unlike blocks.
+
+    Pairs that lie in one component (``comp``) already count as linked."""
+    cross, n = min(block) != max(block), len(cid)
+    linked = np.zeros((n, n), bool)
+    if n <= FEW:
+        own = [set(np.frombuffer(x.as_buffer(), np.int64).tolist()) for x in sets]
+        for x in range(n):
+            for y in range(x):
+                if comp[x] == comp[y]:
+                    linked[x, y] = True
+                elif not cross or block[x] != block[y]:
+                    both = len(own[x] & own[y])
+                    linked[x, y] = 100 * both >= PERCENT * (len(own[x]) + len(own[y]) - both)
+        linked |= linked.T | np.eye(n, dtype=bool)
+    else:
+        flat, size = flat_sets(sets)
+        both = common(flat, size, flat, size)
+        linked = 100 * both >= PERCENT * (size[:, None] + size - both)
+        if cross:
+            linked &= np.array(block)[:, None] != np.array(block)
+        linked |= np.array(comp)[:, None] == np.array(comp)
+    low = roots(linked)[0].tolist()
+    return [(cid[x], cid[r]) for x, r in enumerate(low) if x != r and comp[x] != comp[r]]
 
 
 def _compare(rows: DataFrame) -> DataFrame:
-    """(src, dst): links among the classes of each bucket and pair of blocks; ``rows``: key, i, j, block, cls, comp, set."""
+    """(src, dst): links among the classes of each bucket and pair of blocks; ``rows``: key, i, j, block, cid, comp, set."""
 
     def links(t: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
-        cls, comp, block = (t[c].to_pylist() for c in ("cls", "comp", "block"))
-        sets = t["set"].to_pylist()
+        cid, comp, block = (t[c].to_pylist() for c in ("cid", "comp", "block"))
         out = []
         for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if z - a > 1:
-                out += [(cls[a + x], cls[a + y]) for x, y in similar_pairs([set(np.frombuffer(x, np.int64).tolist()) for x in sets[a:z]], comp[a:z], block[a:z])]
+                out += bucket_links(cid[a:z], block[a:z], comp[a:z], t["set"].slice(a, z - a))
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,78 +293,70 @@ def _compare(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield links(held, np.array([0, held.num_rows]))
 
-    rows = rows.select("key", "i", "j", "block", "cls", "comp", "set").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.select("key", "i", "j", "block", "cid", "comp", "set").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(run, "src long, dst long").distinct()
 
 
 def with_row_id(docs: DataFrame) -> DataFrame:
-    """Adds rid, a hash of id and text: rows equal in both are one occurrence."""
-    return docs.withColumn("rid", F.xxhash64("doc_id", "text"))
+    """rid (see scratch.row_id), doc_id and text of each row."""
+    return docs.select(row_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _links(found: list[DataFrame], classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+def class_links(held: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(src, dst): links of exact Jaccard that join all classes which similar pairs within a bucket connect.
 
-    ``found``: key, cls of each band's buckets of several classes. A bucket's classes fall into blocks of about BLOCK by hash.
-    Each block is compared as a whole; then pairs of blocks of the buckets that still lie in several components are.
+    ``held``: key, cid of the buckets of several classes; ``classes``: cid, c1, c2, rid of a row. A bucket's classes fall
+    into blocks of about BLOCK by hash. Each block is compared as a whole; then pairs of blocks of the buckets that still lie
+    in several components are.
     """
-    hit = found[0]
-    for x in found[1:]:
-        hit = hit.union(x)
     # near copies share several bands: buckets of the same classes are compared once
-    bucket = hit.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("cls", F.lit(2))).alias("h2"))
-    hit = scratch.save(hit.join(bucket.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key"), "key"))
+    bucket = held.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("cid", F.lit(2))).alias("h2"))
+    once = scratch.save(bucket.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("n")))
+    sized = held.join(sendable(once), "key").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("n")).cast("int"))
+    sized = scratch.save(sized)
+    wanted = scratch.save(sized.select("cid").distinct().join(classes, "cid"))
+    sets = class_sets(wanted, docs, scratch)
     scratch.free_shuffles()
-
-    def compared(rows: DataFrame) -> DataFrame:
-        wanted = scratch.save(rows.select("cls").distinct().join(classes.select("cls", F.col("lo").alias("rid")), "cls"))
-        links = scratch.save(_compare(rows.join(_class_sets(wanted, docs, scratch), "cls")))
-        scratch.free_shuffles()
-        return links
-
-    count = F.ceil(F.count("*") / BLOCK).cast("int")
-    large = scratch.save(hit.groupBy("key").agg(count.alias("n")).where("n > 1"))
-    send = large.count() <= SEND_IDS
-    sized = hit.join(F.broadcast(large) if send else large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("n")).cast("int"))
-    links = compared(sized.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "cls", F.col("cls").alias("comp")))
-    if not large.count():
-        return links
-    comp = connected_components(links, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-    now = scratch.save(sized.where("n > 1").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
-    apart = now.join(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "key")
-    pairs = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
-    pairs = pairs.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp")
-    return links.union(compared(pairs))
+    links = scratch.save(_compare(sized.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "cid", F.col("cid").alias("comp")).join(sets, "cid")))
+    scratch.free_shuffles()
+    if once.where("n > 1").limit(1).count():
+        comp = connected_components(links, scratch).select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+        now = scratch.save(sized.where("n > 1").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+        apart = now.join(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "key")
+        pairs = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
+        pairs = pairs.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "comp")
+        links = links.union(scratch.save(_compare(pairs.join(sets, "cid"))))
+    scratch.drop(sets, sized, wanted, once)
+    return links
 
 
 def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """rid, doc_id, p, q, cluster, first_doc, kept for each paragraph whose cluster spans several documents.
 
     ``docs``: rid, doc_id, text. The smallest (doc_id, rid, p) of a cluster is kept; a null doc_id comes last. Words are
-    counted from 0. Null, empty and short texts have no paragraphs; repeats within one document alone do not count.
+    counted from 0. Null and empty texts and those of fewer than LENGTH words have no paragraphs; very long ones are hashed a
+    piece at a time; repeats within one document alone do not count; rows equal in id and text are one occurrence. No rows
+    give no rows.
     """
-    table = scratch.save(paragraph_table(docs))
-    classes = scratch.save(table.groupBy("cls").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")))
-    found = []
-    for k in range(BANDS):
-        keyed = table.select(F.col(f"k{k}").alias("key"), "cls", "rid")
-        # neighbours in one document overlap and often share a key; only keys of several rows and classes matter
-        mixed = keyed.groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("a < z and lo < hi").select("key")
-        found.append(scratch.save(keyed.select("key", "cls").join(mixed, "key").distinct()))
-        scratch.free_shuffles()
-    table, keyed = scratch.save(table.select("rid", "doc_id", "p", "q", "cls")), table
-    scratch.drop(keyed)
-    links = _links(found, classes, docs, scratch)
-    comp = connected_components(links, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-    cluster = classes.join(comp, "cls", "left").where("comp is not null or lo < hi").select("cls", F.coalesce("comp", "cls").alias("cluster"))
-    rows = scratch.save(table.join(cluster, "cls").select("rid", "doc_id", "p", "q", "cluster"))
-    scratch.drop(table, classes, *found)
+    table = paragraph_table(docs, scratch)
+    scratch.free_shuffles()
+    own = table.groupBy("c1", "c2").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"), *[F.max(k).alias(k) for k in KEYS])
+    classes = scratch.save(own.withColumn("cid", F.monotonically_increasing_id()))
+    keyed = classes.select("cid", "lo", "hi", F.explode(F.array(*KEYS)).alias("key")).where("key is not null")
+    # neighbours in one document overlap and often share a key; only keys of several rows and classes matter
+    mixed = scratch.save(keyed.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("c")).where("c > 1 and lo < hi").select("key"))
+    held = scratch.save(keyed.select("key", "cid").join(sendable(mixed), "key"))
+    links = class_links(held, classes.select("cid", "c1", "c2", F.col("lo").alias("rid")), docs, scratch)
+    comp = scratch.save(connected_components(links, scratch).select(F.col("node").alias("cid"), F.col("component").alias("comp")))
+    cluster = scratch.save(classes.join(comp, "cid", "left").where("comp is not null or lo < hi").select("c1", "c2", F.coalesce("comp", "cid").alias("cluster")))
+    scratch.free_shuffles()
+    rows = scratch.save(table.select("rid", "doc_id", "p", "c1", "c2").join(sendable(cluster), ["c1", "c2"]).select("rid", "doc_id", "p", "cluster"))
+    scratch.drop(table, classes, held, mixed)
     scratch.free_shuffles()
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "p")
     first = rows.groupBy("cluster").agg(F.min(place).alias("first"), F.max("rid").alias("_hi"), F.min("rid").alias("_lo")).where("_lo < _hi").drop("_lo", "_hi")
-    out = rows.join(first, "cluster")
-    return out.select("rid", "doc_id", "p", "q", "cluster", F.col("first.doc_id").alias("first_doc"), (F.col("first.rid") == F.col("rid")).alias("kept"))
+    out = rows.join(sendable(scratch.save(first)), "cluster")
+    return out.select("rid", "doc_id", "p", (F.col("p") + LENGTH).alias("q"), "cluster", F.col("first.doc_id").alias("first_doc"), ((F.col("first.rid") == F.col("rid")) & (F.col("first.p") == F.col("p"))).alias("kept"))
 
 
 def removal_spans(found: DataFrame) -> DataFrame:
@@ -289,29 +373,33 @@ def removal_spans(found: DataFrame) -> DataFrame:
 def remove_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns) without the removed passages; n_chars, if there, follows.
 
-    A row that loses all its words goes. Rows without a repeated passage are unchanged.
+    A row that loses all its words goes. Rows without a repeated passage are unchanged, among them null, empty and short
+    texts; equal rows are treated alike; other columns pass through, whatever their names.
     """
     names = docs.columns
-    rows = with_row_id(docs)
-    spans = scratch.save(removal_spans(repeated_paragraphs(rows.select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text"), scratch)))
+    spans = scratch.save(removal_spans(repeated_paragraphs(with_row_id(docs), scratch)))
+    # the caller's columns travel in one struct, so that no name can clash
+    rows = docs.select(row_id().alias("rid"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
     few = spans.agg(F.sum(F.size("spans") + 4)).first()[0] or 0
-    joined = rows.join(F.broadcast(spans) if few <= SEND_IDS else spans, "rid", "left")
+    joined = rows.join(F.broadcast(spans) if few <= SEND_SPANS else spans, "rid", "left")
+    at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t, s in zip(b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
+            row = b["row"].flatten()
+            for t, s in zip(row[at].to_pylist(), b["spans"].to_pylist(), strict=True):
                 blob = t.encode("utf-8", "surrogatepass")
                 _, _, starts, ends, _, _ = next(chunks(pa.array([t])))
-                keep, at = [], 0
+                keep, done = [], 0
                 for x in s:
-                    keep.append(blob[at : starts[x["p"]]])
-                    at = ends[x["q"] - 1]
-                out.append(b"".join([*keep, blob[at:]]).strip(b" \t\r\n\x0b\x0c").decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if n == "text" else b[n] for n in names], names)
+                    keep.append(blob[done : starts[x["p"]]])
+                    done = ends[x["q"] - 1]
+                out.append(b"".join([*keep, blob[done:]]).strip(b" \t\r\n\x0b\x0c").decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == at else x for i, x in enumerate(row)], names)
 
-    same = joined.where("spans is null").select(*names)
-    changed = joined.where("spans is not null").select(*names, "spans").mapInArrow(cut, docs.schema).where("text <> ''")
+    same = joined.where("spans is null").select("row.*")
+    changed = joined.where("spans is not null").select("row", "spans").mapInArrow(cut, docs.schema).where("text <> ''")
     if "n_chars" in names:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names)
     return same.union(changed)
@@ -321,7 +409,7 @@ def op9(spark, sf_dir: str) -> DataFrame:
     """One row for each document with a repeated passage: class_id is the smallest doc_id of the documents that repeated
     passages connect."""
     scratch = Scratch(spark)
-    docs = with_row_id(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    docs = with_row_id(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     found = scratch.save(repeated_paragraphs(docs, scratch))
     comp = connected_components(found.where("doc_id is not null and first_doc is not null").select(F.col("doc_id").alias("src"), F.col("first_doc").alias("dst")).distinct(), scratch)
     own = found.groupBy("rid", "doc_id").agg(F.size(F.collect_set("p")).alias("n_passages"), F.size(F.collect_set(F.when(~F.col("kept"), F.col("p")))).alias("n_removed"))
