@@ -1,13 +1,13 @@
-"""N-gram Jaccard self-join: documents whose sets of word shingles overlap, and the components of their links.
+"""N-gram Jaccard self-join: documents whose sets of word shingles overlap, their links and the components of the links.
 
 Shingles have one global order, rare first (the most frequent ones, counted over all documents, come last). Two sets of
 Jaccard >= t share a shingle among their first n - ceil(t n) + 1, their prefixes; length, positional and suffix filters
-thin the candidates, which are verified once. Documents with equal sets are one class from the start.
+thin the candidates, which are verified once. Documents with equal sets are one class from the start, and only classes meet.
 
-A shingle that many classes share would give the square of their number in pairs. Only classes in different components
-need a look, so such a shingle first compares all its classes with one pivot. What is still apart then is compared in
-blocks, as arrays of lengths, positions and suffix counts, and only pairs that pass all filters become rows. No link that
-could join two components is skipped, and no pair within a component is needed.
+Pairs of a shingle that few classes share become rows. A shingle that many classes share (the prefix of a large group of
+near copies) would give the square of their number in rows, so its classes are dealt out to pairs of blocks, and each pair
+of blocks is compared as arrays: every link is counted, and only a number of links and one edge to the block's root for
+each class become rows. A pair that shares several such shingles counts at the first of them.
 """
 
 from __future__ import annotations
@@ -16,23 +16,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .scratch import Scratch
+from .overlap import common, flat_sets, roots
+from .scratch import Scratch, row_id, sendable
 from .words import chunks, mix, shingle_hashes, signed
 
 #: Most frequent shingles that get a rank of their own in the order (bounds what is sent to every task).
 FREQUENT = 1 << 18
 #: A shingle of a chunk of texts counts towards the order from so many documents of the chunk on.
 LOCAL_MIN = 3
-#: Classes of one shingle up to which all its pairs are candidates at once.
-SMALL = 8
+#: Classes of one shingle up to which its pairs become rows.
+SMALL = 64
 SIGNATURE = 64
-#: Classes of one shingle that are compared as one array.
-BLOCK = 512
-#: Ids that are sent to every task at most; more go through a shuffle.
-SEND_IDS = 1_000_000
+#: Classes, and shingles of theirs, that one side of a comparison holds as arrays.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Lists of such shingles that are sent to every task at most.
+SEND_LISTS = 50_000
 #: Shingle hashes gathered before a count.
 GATHER = 1 << 21
 
@@ -44,8 +45,8 @@ def distinct_shingles(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.n
             yield first + r, np.unique(shingle_hashes(h[before[r] : before[r + 1]], k))
 
 
-def frequent_shingles(docs: DataFrame, k: int, limit: int = FREQUENT) -> np.ndarray:
-    """The most frequent shingles, rarest first, by counts over all documents.
+def frequent_shingles(docs: DataFrame, k: int, scratch: Scratch, limit: int = FREQUENT) -> np.ndarray:
+    """The most frequent shingles, at most ``limit``, rarest first, by counts over all documents.
 
     Every chunk of documents counts its own shingles and passes on those that LOCAL_MIN or more of its documents hold, so a
     count is low by less than LOCAL_MIN for each chunk. The order only has to be the same everywhere; counts set speed alone.
@@ -68,46 +69,60 @@ def frequent_shingles(docs: DataFrame, k: int, limit: int = FREQUENT) -> np.ndar
         if held:
             yield flush(held)
 
-    rows = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    got = rows.orderBy(F.desc("n"), "h").limit(limit).toArrow()
-    return got["h"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
+    rows = scratch.save(docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+    # the least count of which all shingles fit; its histogram has one row for each count, at most the documents' number
+    least, total = 1 << 62, 0
+    for r in rows.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).toLocalIterator():
+        total += r["c"]
+        if total > limit:
+            break
+        least = r["n"]
+    got = rows.where(F.col("n") >= least).toArrow()
+    order = np.lexsort((got["h"].to_numpy(), got["n"].to_numpy()))
+    scratch.drop(rows)
+    return got["h"].to_numpy()[order].astype(np.int64).view(np.uint64)
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def class_of(s: np.ndarray) -> int:
-    return int(signed(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)))[0])
+def class_of(s: np.ndarray) -> tuple[int, int]:
+    """128-bit fingerprint of a set: equal sets are one class."""
+    both = mix(np.array([x.sum(dtype=np.uint64) + np.uint64(len(s)) for x in (mix(s), mix(s ^ np.uint64(0x5851F42D4C957F2D)))], np.uint64))
+    return tuple(signed(both).tolist())
 
 
 def doc_records(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), cls (64-bit fingerprint of the set), prefix (shingles in the global order) and sig, for each row."""
+    """doc_id, rid, n (set size), c1, c2 (fingerprint of the set), prefix (shingles in the global order) and sig, for each row."""
     order = np.argsort(frequent)
-    known, rank = frequent[order], order.astype(np.int64) + 1
+    known, rank = frequent[order], (order + 1).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, cls, prefix, sig = [], [], [], []
-            for _, s in distinct_shingles(b, k):
-                n.append(len(s))
-                cls.append(class_of(s))
-                if not len(s):
-                    prefix.append(np.zeros(0, np.int64))
-                    sig.append(b"")
-                    continue
-                m = prefix_length(len(s), percent)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    r = np.where(known[at] == s, rank[at], 0)
-                    s = s[np.argsort(r, kind="stable")]
-                prefix.append(signed(s[:m]))
-                sig.append(np.minimum(np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE), 255).astype(np.uint8).tobytes())
-            offsets = np.cumsum([0] + [len(p) for p in prefix])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int32()), pa.array(cls, pa.int64()), lists, pa.array(sig, pa.binary())], ["doc_id", "n", "cls", "prefix", "sig"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, cls long, prefix array<long>, sig binary")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                n, cls, prefix, sig = [], [], [], []
+                for _, s in distinct_shingles(b, k):
+                    n.append(len(s))
+                    cls.append(class_of(s))
+                    if not len(s):
+                        prefix.append(np.zeros(0, np.int64))
+                        sig.append(b"")
+                        continue
+                    m = prefix_length(len(s), percent)
+                    sig.append(np.minimum(np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE), 255).astype(np.uint8).tobytes())
+                    if len(known):
+                        i = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                        r = np.where(known[i] == s, rank[i], 0)
+                        s = s[np.argsort(r, kind="stable")]
+                    prefix.append(signed(s[:m]))
+                offsets = np.cumsum([0] + [len(p) for p in prefix])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
+                arrays = [b["doc_id"], b["rid"], pa.array(n, pa.int32()), *(pa.array([c[i] for c in cls], pa.int64()) for i in (0, 1)), lists, pa.array(sig, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "rid", "n", "c1", "c2", "prefix", "sig"])
+
+    return docs.select("doc_id", "rid", "text").mapInArrow(run, "doc_id long, rid long, n int, c1 long, c2 long, prefix array<long>, sig binary")
 
 
 def _may_overlap(a: str, b: str, percent: int) -> str:
@@ -119,11 +134,12 @@ def _may_overlap(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and {100 + percent} * {best} >= {percent} * ({a}.n + {b}.n)"
 
 
-def suffix_filter(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
+def suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Keeps pairs (a, b) whose sets may differ little enough: shingles fall into SIGNATURE parts by hash, and the sets
-    differ in at least the sum of the differences of their counts (each up to 255)."""
-    side = lambda x: records.select(F.col("cls").alias(x), F.col("sig").alias(f"s{x}"), F.col("n").alias(f"n{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ in at least the sum of the differences of their counts (each up to 255). Pairs that share a shingle of many
+    classes go: the blocks find them."""
+    side = lambda x: classes.select(F.col("cid").alias(x), F.col("sig").alias(f"s{x}"), F.col("n").alias(f"n{x}"), F.col("hot").alias(f"h{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where("not coalesce(arrays_overlap(ha, hb), false)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -132,123 +148,145 @@ def suffix_filter(pairs: DataFrame, records: DataFrame, percent: int) -> DataFra
                 x, y = (np.frombuffer(b"".join(own[c].to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16) for c in ("sa", "sb"))
                 n = own["na"].to_numpy().astype(np.int64) + own["nb"].to_numpy()
                 apart = np.abs(x - y).sum(1, dtype=np.int64)
-                ok = 100 * (n - apart) >= percent * (n + apart)
-                yield pa.RecordBatch.from_arrays([own["a"].filter(pa.array(ok)), own["b"].filter(pa.array(ok))], ["a", "b"])
+                ok = pa.array(100 * (n - apart) >= percent * (n + apart))
+                yield pa.RecordBatch.from_arrays([own["a"].filter(ok), own["b"].filter(ok)], ["a", "b"])
 
     return both.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs of classes (a, b) whose exact Jaccard is at least percent / 100; ``reps``: cls, doc_id of a member."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(reps, "cls")
-    ids = scratch.save(wanted.select("doc_id").distinct())
-    texts = docs.join(F.broadcast(ids) if ids.count() <= SEND_IDS else ids, "doc_id", "left_semi")
+def class_sets(wanted: DataFrame, docs: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+    """cid, set (sorted shingles) of each class of ``wanted``: cid, c1, c2, doc_id of a member."""
+    texts = docs.join(sendable(wanted), "doc_id").select("text", "cid", "c1", "c2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                got = [s for _, s in distinct_shingles(b.slice(at, 256), k) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in got], pa.int64()), pa.array([signed(s).tobytes() for s in got], pa.binary())], ["cls", "set"])
+                own = b.slice(at, 256)
+                want = list(zip(own["c1"].to_pylist(), own["c2"].to_pylist(), strict=True))
+                # an id may stand on rows of several texts
+                got = [(r, s) for r, s in distinct_shingles(own, k) if class_of(s) == want[r]]
+                yield pa.RecordBatch.from_arrays([own["cid"].take(pa.array([r for r, _ in got], pa.int64())), pa.array([signed(s).tobytes() for _, s in got], pa.binary())], ["cid", "set"])
+
+    sets = scratch.save(texts.mapInArrow(run, "cid long, set binary"))
+    # a row that is there twice brings its class twice
+    return scratch.save(sets.dropDuplicates(["cid"])) if sets.count() > wanted.count() else sets
 
-    # an id whose rows have several texts brings classes that are not wanted here, and the same class twice
-    sets = scratch.save(texts.select("text").mapInArrow(run, "cls long, set binary").dropDuplicates(["cls"]))
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("set").alias("y")), "b")
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of classes (a, b) whose exact Jaccard is at least percent / 100."""
+    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("y")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             ok = []
             for x, y in zip(t["x"], t["y"], strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-                common = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                ok.append(100 * common >= percent * (len(p) + len(q) - common))
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(p, q), len(p) - 1)
+                n = int((p[at] == q).sum())
+                ok.append(100 * n >= percent * (len(p) + len(q) - n))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([t["a"].filter(keep), t["b"].filter(keep)], ["a", "b"])
 
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    return scratch.save(connected_components(edges, scratch).select(F.col("node").alias("cls"), F.col("component").alias("comp")))
-
-
-def _compare_blocks(apart: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of one shingle's classes in different components that pass the length, positional and suffix filters.
+def compare_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """(cid, root, links): links found in each pair of blocks of one shingle, for each class that has any.
 
-    ``apart``: key, cls, n, pos, comp, sig, prefix, c (classes of the key). A shingle's classes fall into blocks of about BLOCK by
-    hash; each pair of blocks is one task's work, compared as arrays, and only pairs that pass become rows.
+    ``rows``: key, i, j, block, cid, n, pos, w (documents), hot (array of pos, key: all such shingles of the class), set. A
+    pair is left to the first such shingle that it shares. ``links`` counts documents of linked classes; ``root`` is a class
+    that links connect with ``cid``.
     """
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    rows = apart.withColumn("_n", blocks).withColumn("_b", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("_n")).cast("int"))
-    rows = rows.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    rows = rows.select("key", F.least("_b", "_j").alias("i"), F.greatest("_b", "_j").alias("j"), F.col("_b").alias("block"), "cls", "n", "pos", "comp", "sig", "prefix")
 
     def run(t: pa.Table) -> pa.Table:
-        block, cls, n, pos, comp = (t[c].to_numpy().astype(np.int64) for c in ("block", "cls", "n", "pos", "comp"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16)
-        prefix = t["prefix"].to_pylist()
-        before = [p[:at] for p, at in zip(prefix, pos.tolist(), strict=True)]
-        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        found = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & (cls[right] != cls[x])]
-            y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
-            best = np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y])
-            y = y[(100 + percent) * best >= percent * (n[x] + n[y])]
-            apart_by = np.abs(sig[y] - sig[x]).sum(1, dtype=np.int64)
-            both = n[x] + n[y]
-            y = y[100 * (both - apart_by) >= percent * (both + apart_by)]
-            # a pair counts at its first common shingle alone
-            own = set(before[x])
-            y = y[np.fromiter((own.isdisjoint(before[i]) for i in y), bool, len(y))]
-            found.append(np.stack((np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))))
-        got = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": got[0], "b": got[1]})
-
-    return rows.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+        block = t["block"].to_numpy()
+        left, right = t.filter(pa.array(block == block.min())), t.filter(pa.array(block == block.max()))
+        numbers = lambda t: [t[c].to_numpy().astype(np.int64) for c in ("cid", "n", "pos", "w")]
+        (ca, na, pa_, wa), (cb, nb, pb, wb) = numbers(left), numbers(right)
+        best = np.minimum(pa_[:, None], pb) + np.minimum((na - pa_)[:, None], nb - pb)
+        both = na[:, None] + nb
+        may = (100 * np.minimum(na[:, None], nb) >= percent * np.maximum(na[:, None], nb)) & ((100 + percent) * best >= percent * both)
+        before = []
+        for own, pos in ((left, pa_), (right, pb)):
+            lists = [[x["key"] for x in hot if x["pos"] < p] for hot, p in zip(own["hot"].to_pylist(), pos.tolist(), strict=True)]
+            before += [np.array([v for x in lists for v in x], np.int64), np.array([len(x) for x in lists], np.int64)]
+        may &= common(*before) == 0
+        linked = np.zeros(may.shape, bool)
+        x, y = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
+        if len(x) and len(y):
+            n = common(*flat_sets(left["set"].take(pa.array(x))), *flat_sets(right["set"].take(pa.array(y))))
+            linked[np.ix_(x, y)] = 100 * n >= percent * (both[np.ix_(x, y)] - n)
+            linked &= may
+        same = block.min() == block.max()
+        if same:
+            np.fill_diagonal(linked, False)
+        ra, rb = roots(linked | np.eye(len(ca), dtype=bool) if same else linked)
+        every = np.concatenate((ca, cb))
+        parts = [(ca, every[ra], linked @ wb)]
+        if not same:
+            parts.append((cb, every[rb], wa @ linked))
+        cid, root, links = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        return pa.table({"cid": cid[links > 0], "root": root[links > 0], "links": links[links > 0]})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "cid long, root long, links long")
 
 
 def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text).
+    """doc_id, rid (see scratch.row_id), n_shingles, component_id, n_links for each row of ``docs`` (doc_id, text).
 
     A set holds the distinct k-word shingles of the whole text, A-Z lower-cased; fewer words make one shingle; a null text
     or one without words has an empty set and links to nothing. Rows link when 100 * intersection >= percent * union;
-    component_id is the smallest doc_id reachable by links, itself included. Rows that share a doc_id are documents of
-    their own; a row without a doc_id links to nothing and has a null component. No rows give no rows.
+    component_id is the smallest doc_id reachable by links, itself included; n_links the number of rows that a row links
+    with. Rows that share a doc_id are documents of their own; a row without a doc_id links to nothing and has a null
+    component. Very long texts are hashed a piece at a time; equal counts in the order of shingles go by hash. Columns other
+    than doc_id and text are ignored, whatever their names. No rows give no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    records = scratch.save(doc_records(docs, k, percent, frequent_shingles(docs, k)))
-    sets = records.where("n > 0 and doc_id is not null")
-    reps = scratch.save(sets.groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
-    classes = scratch.save(sets.join(reps, ["cls", "doc_id"], "left_semi").dropDuplicates(["cls"]))
-    postings = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "key"))
-    shared = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    held = scratch.save(postings.join(shared, "key"))
-    sig = classes.select("cls", "n", "sig")
-
-    small = held.where(F.col("c") <= SMALL)
-    near = small.alias("a").join(small.alias("b"), F.expr(f"a.key = b.key and a.cls < b.cls and {_may_overlap('a', 'b', percent)}")).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
-    apart = scratch.save(held.where(F.col("c") > SMALL).select("key", "cls", "n", "pos"))
-    # first look: all pairs of shingles with few classes, one pivot for each other shingle
-    large = held.where(F.col("c") > SMALL)
-    pivot = large.groupBy("key").agg(F.min(F.struct("cls", "n", "pos")).alias("p")).select("key", "p.*")
-    star = pivot.alias("a").join(large.alias("b"), F.expr(f"a.key = b.key and a.cls <> b.cls and {_may_overlap('a', 'b', percent)}")).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
-    first = scratch.save(star.union(near).distinct())
-    links = scratch.save(verify(suffix_filter(first, sig, percent), reps, docs, k, percent, scratch))
-    comp = _components(links, scratch)
-    # second look: what the first look left in different components
-    now = large.select("key", "cls", "n", "pos").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("key", "c")
-    apart = now.join(mixed, "key").join(classes.select("cls", "sig", "prefix"), "cls")
-    again = scratch.save(_compare_blocks(apart, percent).distinct().join(first, ["a", "b"], "left_anti"))
-    links = links.union(scratch.save(verify(again, reps, docs, k, percent, scratch)))
-    comp = _components(links, scratch)
-    group = sets.select("doc_id", "cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("rid"), "text")
+    records = scratch.save(doc_records(docs, k, percent, frequent_shingles(docs, k, scratch)))
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "sig")]
+    one = records.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("w"), *first)
+    classes = scratch.save(one.withColumn("cid", F.monotonically_increasing_id()))
+    scratch.free_shuffles()
+    postings = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "key"))
+    shared = scratch.save(postings.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("size")).where("c > 1"))
+    scratch.free_shuffles()
+    held = scratch.save(postings.join(sendable(shared), "key"))
+    scratch.drop(shared)
+
+    hot = held.where(F.col("c") > SMALL)
+    hot_keys = scratch.save(hot.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("pos", "key"))).alias("hot")))
+    small = held.where(F.col("c") <= SMALL).select("key", "cid", "n", "pos")
+    near = small.alias("a").join(small.alias("b"), F.expr(f"a.key = b.key and a.cid < b.cid and {_may_overlap('a', 'b', percent)}")).select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
+    marks = classes.select("cid", "n", "sig").join(sendable(hot_keys.select("cid", F.col("hot.key").alias("hot")), SEND_LISTS), "cid", "left")
+    pairs = scratch.save(suffix_filter(near.distinct(), marks, percent))
+    scratch.free_shuffles()
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(hot_keys.select("cid")).distinct()
+    wanted = scratch.save(wanted.join(classes.select("cid", "c1", "c2", "doc_id"), "cid"))
+    sets = class_sets(wanted, docs, k, scratch)
+    links = scratch.save(verify(pairs, sets, percent))
+    scratch.drop(pairs)
+    # the classes of one shingle fall into blocks by hash; every pair of blocks is one comparison
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+    rows = hot.select("key", "cid", "n", "pos", blocks.alias("_n")).join(hot_keys, "cid").join(classes.select("cid", "w"), "cid").join(sets, "cid")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("_n")).cast("int")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    rows = rows.select("key", F.least("block", "_j").alias("i"), F.greatest("block", "_j").alias("j"), "block", "cid", "n", "pos", "w", "hot", "set")
+    dense = scratch.save(compare_blocks(rows, percent))
+    scratch.drop(held, hot_keys, sets, wanted)
+    scratch.free_shuffles()
+
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(dense.where("cid <> root").select("cid", "root").distinct())
+    comp = scratch.save(connected_components(edges, scratch).select(F.col("node").alias("cid"), F.col("component").alias("comp")))
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other")))).alias("e")).select("e.*")
+    weight = classes.select(F.col("cid").alias("other"), "w")
+    counts = ends.join(weight, "other").select("cid", F.col("w").alias("links")).union(dense.select("cid", "links")).groupBy("cid").agg(F.sum("links").alias("links"))
+    group = classes.select("cid", "c1", "c2", "doc_id", "w").join(comp, "cid", "left").join(counts, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     low = group.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    by_class = reps.select("cls").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")).join(low, "comp").select("cls", "component_id")
-    out = records.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("cls")).alias("cls")).join(by_class, "cls", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    by_class = group.join(low, "comp").select("c1", "c2", "component_id", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    own = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    out = records.select("doc_id", "rid", "n", *[F.when(own, F.col(c)).alias(c) for c in ("c1", "c2")]).join(by_class, ["c1", "c2"], "left")
+    return out.select("doc_id", "rid", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), Scratch(spark))
+    return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), Scratch(spark)).drop("rid")
