@@ -214,19 +214,49 @@ def test_mixture(spark):
     assert mixture.mix_sources(df.where("false"), Scratch(spark))[0].count() == 0
 
 
-def test_mix_is_written(spark):
+def test_mix_equals_brute_force(spark):
+    """Every written part against the packed words: blocks by hand, slots by the permutation forwards, shards by counts."""
     rng = random.Random(8)
-    rows = [(i, prose(rng, rng.randrange(1, 300)).replace(" ", "  "), "en", rng.choice("abc"), 0) for i in range(60)] + [(900, prose(rng, 10), "en", "tiny", 0), (901, prose(rng, 40), "en", "tiny3", 0)]
-    out, made = mixture.mix_sources(spark.createDataFrame(rows, DOC), Scratch(spark))
+    rows = [(i, prose(rng, rng.randrange(1, 300)).replace(" ", "  "), "en", rng.choice("abc"), 0) for i in range(60)]
+    rows += [(900, prose(rng, 10), "en", "tiny", 0), (901, prose(rng, 40), "en", "tiny3", 0), (902, prose(rng, 30), "en", "a", 0), (902, "other text", "en", "a", 0), *[(903, "same text again", "en", "b", 0)] * 3, (904, prose(rng, 9000), "en", "c", 0), (905, None, "en", "c", 0)]
+    out, made = mixture.mix_sources(spark.createDataFrame(rows, DOC), Scratch(spark), block=16, shards=8)
     got, made = out.collect(), made.collect()
-    assert len({r["shard"] for r in made}) > 8
-    assert all(len(WORD.findall(r["text"])) == sum(r["words"]) == r["lead"] <= mixture.BLOCK for r in made)
-    assert sum(r["lead"] for r in made) == sum(r["taken"] for r in got)
-    words = lambda texts: set(WORD.findall(" ".join(texts)))
-    assert words(r["text"] for r in made) <= words(t for _, t, *_ in rows)
-    for s in {r["source"] for r in got}:
+    assert len(got) == len(rows) and len({r["shard"] for r in made}) == 8
+    sources = sorted({r[3] for r in rows})
+    sizes = [sum(len(WORD.findall(t or "")) for _, t, _, s, _ in rows if s == own) for own in sources]
+    goals = mixture.targets(sizes, mixture.default_weights(len(sources)))
+    layout = mixture.Layout(sizes, goals, [(i, 0, n) for i, n in enumerate(sizes)], 16, 8, 3)
+    for i, s in enumerate(sources):
+        # the stream of words as the parts tell it, from the whole turns or not at all
+        at = {}
+        for r in made:
+            if r["source_index"] == i:
+                assert r["words"] == len(WORD.findall(r["text"]))
+                for k, w in enumerate(WORD.findall(r["text"])):
+                    assert at.setdefault(r["block"] * 16 + r["at"] + k, w) == w
+        blocks = -(-sizes[i] // 16)
+        taken = {}
+        for r in made:
+            if r["source_index"] == i:
+                key = (r["turn"], r["block"])
+                taken.setdefault(key, [r["shard"], 0])[1] += r["words"]
+                assert taken[key][0] == r["shard"]
+        want, slot = {}, 0
+        for turn in range(layout.turns[i] + 1):
+            order = mixture.permute(np.arange(blocks), blocks, mixture._turn_key(i, turn, 3)).tolist()
+            for j, b in enumerate(order):
+                own = min(16, sizes[i] - b * 16)
+                if turn == layout.turns[i]:
+                    own = own if j < layout.rest[i] else min(own, layout.lead[i]) if j == layout.rest[i] else 0
+                if own:
+                    want[turn, b] = [int(np.searchsorted(layout.ends[i], slot, "right")), own]
+                slot += 1
+        assert taken == want, s
         own = [r for r in got if r["source"] == s]
-        assert sum(r["taken"] for r in own) == round(own[0]["target"]) and all(r["taken"] <= 3 * r["size"] for r in own), s
+        assert sum(r["taken"] for r in own) == sum(n for _, n in want.values()) == min(round(goals[i]), 3 * sizes[i]), s
+        assert all(r["taken"] <= 3 * r["size"] for r in own)
+    for d, t, _, s, _ in rows:  # each document's own words are what was taken of it
+        assert (d, len(WORD.findall(t or ""))) in {(r["doc_id"], r["size"]) for r in got if r["source"] == s}
 
 
 def test_targets_reshare_the_excess():
@@ -234,10 +264,11 @@ def test_targets_reshare_the_excess():
     assert t[0] == 30 and t[2] == 300 and abs(sum(t) - 1110) < 1e-9
 
 
-@pytest.mark.parametrize("n", [1, 2, 7, 64, 101])
-def test_permutation(spark, n):
-    df = spark.range(n).select(mixture.permute(F.col("id"), F.lit(n).cast("long"), F.lit(4)).alias("p"))
-    assert sorted(r["p"] for r in df.collect()) == list(range(n))
+def test_permutation():
+    for n in (1, 2, 7, 64, 101):
+        p = mixture.permute(np.arange(n), n, 4)
+        assert sorted(p.tolist()) == list(range(n)) and mixture.permute(p, n, 4, True).tolist() == list(range(n))
+    assert (mixture.permute(np.arange(101), 101, 4) != mixture.permute(np.arange(101), 101, 5)).any()
 
 
 def test_toxicity(spark):
