@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples.
 
-Examples are TF-IDF vectors over features (words and word beginnings) that go with the label; a block-max inverted index
-finds the exact nearest ones by cosine; their distance-weighted votes are calibrated by leave-one-out isotonic
-regression. Document frequencies count every document.
+Examples are TF-IDF vectors over all features (words and word beginnings) that go with the label by a chi-square test on
+the labelled sample; a block-max inverted index finds the exact nearest ones by cosine; their distance-weighted votes are
+calibrated by leave-one-out isotonic regression. Document frequencies count every document.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .langid import held_out
-from .words import CHUNK, _SPACE, _VALUE, _tables, mix, shingle_hashes, signed
+from .scratch import Scratch
+from .words import CHUNK, _SPACE, _VALUE, _tables, mix, signed
 
 #: Labelled rows that the examples are drawn from at most (expected number, half of them toxic if there are enough).
 FIT_ROWS = 6000
-FEATURES, MIN_DOCS, MIN_CHI2, PURITY = 512, 6, 12.0, 0.6
+MIN_DOCS, MIN_CHI2, PURITY = 6, 12.0, 0.6
 NEIGHBOURS, BLOCK, PRIOR = 15, 64, 0.5
 PREFIXES = (4, 5, 6, 7, 8, 9, 10)
 _PUNCT = np.zeros(256, bool)
@@ -54,19 +55,6 @@ def _word_features(buf: np.ndarray) -> list[np.ndarray]:
     return found
 
 
-def _text_key(text: str) -> int:
-    """A minimum hash of three-word runs: copies and most near copies of a text share it."""
-    h = np.array([hash_bytes(w) for w in text.lower().encode("utf-8", "replace").split()], np.uint64)
-    return int(signed(shingle_hashes(h, 3)).min()) if len(h) else 0
-
-
-def hash_bytes(word: bytes) -> int:
-    x = 1469598103934665603
-    for c in word[:24]:
-        x = ((x ^ c) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
-    return x
-
-
 class Index:
     """Labelled TF-IDF examples in blocks, postings by block and feature, and the largest weight of each block."""
 
@@ -171,9 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Index:
     """Examples from about ``rows`` labelled documents whose crc32(doc_id) mod 4 is not 2.
 
     Repeated labels of a document: toxic if one says so. Null labels and labels without a document are ignored; copies of
-    a text give one example. Without labels the index is empty and every score is the same.
+    a text give one example (its smallest id; toxic if one is). Without labels the index is empty and every score is the same.
     """
-    spark = docs.sparkSession
+    scratch = Scratch(docs.sparkSession)
     train = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     toxic = min(n.get(1, 0), rows // 2)
@@ -181,30 +169,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Index:
     draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_000
     sample = train.where(draw).where("toxic in (0, 1)")
     both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most about `rows` ids
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [(d, y, _text_key(t or ""), features(t)[0].tobytes()) for d, y, t in zip(b["doc_id"].to_pylist(), b["toxic"].to_pylist(), b["text"].to_pylist(), strict=True)]
-            cols = list(zip(*got, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())], ["doc_id", "toxic", "key", "f"])
+    both = both.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.min(F.struct((-F.col("toxic")).alias("t"), "doc_id")).alias("s"))
+    once = scratch.save(both.select("text", "s.doc_id", (-F.col("s.t")).alias("toxic")))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for y, f in zip(b["toxic"].to_pylist(), b["f"].to_pylist(), strict=True):
-                h = signed(np.frombuffer(f, np.uint64))
+            for y, t in zip(b["toxic"].to_pylist(), b["text"].to_pylist(), strict=True):
+                h = signed(features(t)[0])
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), y, np.int32))], ["h", "toxic"])
 
-    made = both.mapInArrow(emit, "doc_id long, toxic int, key long, f binary")
-    once = made.groupBy("key").agg(F.min_by(F.struct("doc_id", "toxic", "f"), F.struct((-F.col("toxic")).alias("t"), "doc_id")).alias("s")).select("s.*")
     totals = once.groupBy("toxic").count().collect()
     n1, n0 = (next((r["count"] for r in totals if r["toxic"] == y), 0) for y in (1, 0))
-    per = once.select("toxic", "f").mapInArrow(explode, "h long, toxic int").groupBy("h").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("n")).where(F.col("n") >= MIN_DOCS)
+    per = once.select("toxic", "text").mapInArrow(explode, "h long, toxic int").groupBy("h").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("n")).where(F.col("n") >= MIN_DOCS)
     a, m, rest1, rest0 = F.col("a"), F.col("n"), F.lit(float(max(n1, 1))), F.lit(float(max(n0, 1)))
     # the toxic share among all labelled documents with the feature; the sample holds more toxic ones
     prior = n.get(1, 0) / max(n.get(1, 0) + n.get(0, 0), 1)
     of_toxic, of_clean = a / rest1 * prior, (m - a) / rest0 * (1 - prior)
     chi2 = (rest1 + rest0) * F.pow(a * (rest0 - (m - a)) - (m - a) * (rest1 - a), 2) / F.greatest(rest1 * rest0 * m * (rest1 + rest0 - m), F.lit(1.0))
-    chosen = per.where(of_toxic >= PURITY * (of_toxic + of_clean)).select("h", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "h").limit(FEATURES).collect()
+    chosen = per.where(of_toxic >= PURITY * (of_toxic + of_clean)).select("h", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2).collect()
     vocabulary = np.sort(np.array([r["h"] for r in chosen], np.int64).view(np.uint64))
     probe = Index(vocabulary, np.ones(len(vocabulary)), 1, [])
 
@@ -224,18 +206,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Index:
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = []
-            for d, y, t in zip(b["doc_id"].to_pylist(), b["toxic"].to_pylist(), b["text"].to_pylist(), strict=True):
-                f, c = probe.find(*features(t))
-                got.append((d, y, _text_key(t or ""), f.tolist(), c.tolist()))
-            cols = list(zip(*got, strict=True)) or [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], ["doc_id", "toxic", "key", "f", "c"])
-
-    rows_ = both.mapInArrow(located, "doc_id long, toxic int, key long, f array<long>, c array<long>").groupBy("key").agg(F.min_by(F.struct("doc_id", "toxic", "f", "c"), F.struct((-F.col("toxic")).alias("t"), "doc_id")).alias("s")).select("s.*").collect()
+            got = [probe.find(*features(t)) for t in b["text"].to_pylist()]
+            lists = [pa.array([x[i].tolist() for x in got], pa.list_(pa.int64())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], *lists], ["doc_id", "toxic", "f", "c"])
+
+    rows_ = once.select("doc_id", "toxic", "text").mapInArrow(located, "doc_id long, toxic int, f array<long>, c array<long>").collect()
+    scratch.drop(once)
     examples = [(r["doc_id"], r["toxic"], 1.0 / max(share[r["toxic"]], 1e-9), np.array(r["f"], np.int64), np.array(r["c"], np.float64)) for r in rows_]
     examples.sort(key=lambda e: e[0])
-    spark.sparkContext.setJobDescription(None)
     return Index(vocabulary, df[:-1], int(df[-1]), examples)
 
 
@@ -243,7 +221,8 @@ def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
     """doc_id, score and evidence (up to five nearest examples) for each row of ``docs`` (doc_id, text).
 
     A null or empty text, or one without a feature of the index, scores the rate of such examples. Equal texts score
-    equally; repeated rows and null ids stay; other columns are ignored.
+    equally, and equal cosines go by the smaller id; a very long text is read a piece at a time; repeated rows and null ids
+    stay; other columns are ignored; no rows give no rows.
     """
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
@@ -261,7 +240,7 @@ THRESHOLD = 0.3
 def op5(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = score_toxicity(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")))
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
 
 
 def keep_clean(docs: DataFrame, index: Index, threshold: float = THRESHOLD) -> DataFrame:
