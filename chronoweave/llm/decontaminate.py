@@ -14,26 +14,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .scratch import Scratch
 from .words import chunks, shingle_hashes
 
 RADIUS = 7
 SHINGLE, SIMILARITY = 5, 0.8
 #: Benchmark words in one index; a larger benchmark takes several passes.
 PART_WORDS = 400_000
-#: Largest window; longer items are found by windows of this size.
-MAX_WINDOW = 160
+#: Windows from this size on take wider counts.
+WIDE = 256
 _SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 _ONE = np.concatenate(([0], 1 << np.arange(16))).astype(np.uint16)
 
 
 def window_of(n: int) -> tuple[int, int]:
-    """Window size and stride for an item of n words: any run of 80 % of the item holds ``stride`` whole windows, one of
-    which starts at a multiple of the stride."""
-    size, stride, found = 8, 2, None
-    while size + stride - 1 <= 0.8 * n and size <= MAX_WINDOW:
+    """Window size and stride for an item of n words, at any length: the largest size of a geometric grid (53 to 67 % of the
+    item) of which any run of 80 % of the item holds ``stride`` whole windows, one of which starts at a multiple of the stride."""
+    size, found = 8, None
+    while size + (stride := max(2, size // 5)) - 1 <= 0.8 * n:
         found = (size, stride)
-        size = size * 3 // 2
-        stride = size // 4
+        size = size * 5 // 4
     return found or (max(1, min(n, 6)), 1)
 
 
@@ -48,8 +48,22 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(bits: np.ndarray, size: int, stride: int) -> np.ndarray:
+def wide_fingerprints(h: np.ndarray, size: int, stride: int) -> np.ndarray:
+    """SimHash of windows of any size, a byte of the hashes at a time."""
+    parts = h.view(np.uint8).reshape(-1, 8)
+    out = np.zeros(len(range(0, len(h) + 1 - size, stride)), np.uint64)
+    for j in range(8):
+        c = np.zeros((len(h) + 1, 8), np.int32)
+        np.cumsum(np.unpackbits(parts[:, j : j + 1], axis=1, bitorder="little"), axis=0, out=c[1:])
+        more = c[size::stride] - c[:-size:stride] > size // 2
+        out |= np.packbits(more, axis=1, bitorder="little")[:, 0].astype(np.uint64) << np.uint64(8 * j)
+    return out
+
+
+def fingerprints(h: np.ndarray, bits: np.ndarray, size: int, stride: int) -> np.ndarray:
     """SimHash of the windows at multiples of stride: a bit is set if more than half of the words have it."""
+    if size >= WIDE:
+        return wide_fingerprints(h, size, stride)
     out = np.zeros(len(range(0, bits.shape[1] - size, stride)), np.uint64)
     lift = np.uint64(0x0101010101010101 * (127 - size // 2))
     for j in range(8):
@@ -66,20 +80,16 @@ def fingerprints(bits: np.ndarray, size: int, stride: int) -> np.ndarray:
 class BenchIndex:
     """Fingerprints of all windows of the items by window size, their block tables, and the items' weighted shingles."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]) -> None:
+    def __init__(self, items: list[tuple[int, np.ndarray]], shared: dict[int, int], total: int) -> None:
+        """``shared``: in how many items of the whole benchmark a shingle of several stands; ``total``: all its items."""
         self.items = items
-        sets = [set(shingle_hashes(h, SHINGLE).tolist()) for _, h in items]
-        df: dict[int, int] = {}
-        for s in sets:
-            for x in s:
-                df[x] = df.get(x, 0) + 1
-        self.top = float(np.log(1 + len(items)))
-        self.weights = [{x: float(np.log(1 + len(items) / df[x])) for x in s} for s in sets]
+        self.top = float(np.log(1 + total))
+        self.weights = [{x: float(np.log(1 + total / shared.get(x, 1))) for x in shingle_hashes(h, SHINGLE).tolist()} for _, h in items]
         by: dict[tuple[int, int], list[tuple[int, int, np.uint64]]] = {}
         for i, (_, h) in enumerate(items):
             if len(h):
                 size, stride = window_of(len(h))
-                for at, fp in enumerate(fingerprints(bit_counts(h), size, 1)):
+                for at, fp in enumerate(fingerprints(h, bit_counts(h), size, 1)):
                     by.setdefault((size, stride), []).append((i, at, fp))
         self.classes = {}
         for key, rows in by.items():
@@ -139,7 +149,7 @@ def scan(texts: pa.Array, index: BenchIndex) -> list[tuple[int, int, float, int,
             pos = np.arange(0, len(h) - size + 1, stride)
             row = np.searchsorted(before, pos, "right") - 1
             inside = pos + size <= before[row + 1]
-            win, cand, dist = index.hits(fingerprints(bits, size, stride)[inside], key)
+            win, cand, dist = index.hits(fingerprints(h, bits, size, stride)[inside], key)
             pos, row = pos[inside], row[inside]
             _, owner, offset, _ = index.classes[key]
             seen = set()
@@ -157,21 +167,36 @@ def scan(texts: pa.Array, index: BenchIndex) -> list[tuple[int, int, float, int,
     return [(r, i, *v) for (r, i), v in sorted(best.items())]
 
 
-def build_indexes(benchmark: DataFrame) -> Iterator[BenchIndex]:
+def item_counts(items: DataFrame) -> tuple[dict[int, int], int]:
+    """Items of each shingle that stands in several, and the number of items, over the whole benchmark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [np.zeros(0, np.int64)]
+            for _, h, _, _, before, _ in chunks(plain_words(b["text"])):
+                got += [np.unique(shingle_hashes(h[a:z], SHINGLE)).view(np.int64) for a, z in zip(before[:-1], before[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got))], ["h"])
+
+    several = items.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    return dict(zip(several["h"].to_numpy().view(np.uint64).tolist(), several["n"].to_pylist(), strict=True)), items.count()
+
+
+def build_indexes(benchmark: DataFrame, scratch: Scratch) -> Iterator[BenchIndex]:
     """Indexes of the items, each of at most PART_WORDS words (or one item), read one after another."""
-    part, size = [], 0
     # one item text at a time reaches the driver; identical texts are one item, of the smallest id
-    rows = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").cast("long").alias("item_id")).orderBy("item_id")
-    for r in rows.toLocalIterator():
+    items = scratch.save(benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").cast("long").alias("item_id")))
+    shared, total = item_counts(items)
+    part, size = [], 0
+    for r in items.orderBy("item_id").toLocalIterator():
         for _, h, *_ in chunks(plain_words(pa.array([r["text"]]))):
             if len(h):
                 part.append((r["item_id"], h))
                 size += len(h)
         if size >= PART_WORDS:
-            yield BenchIndex(part)
+            yield BenchIndex(part, shared, total)
             part, size = [], 0
     if part:
-        yield BenchIndex(part)
+        yield BenchIndex(part, shared, total)
 
 
 OUT = "doc_id long, item_id long, similarity double, first_word long, end_word long, differing_bits int"
@@ -183,25 +208,40 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Case and ASCII punctuation do not count. Null and empty texts and items match nothing; equal item texts count as the
     smallest id; repeated document rows give repeated results; the best region wins, ties by fewest differing bits; other
-    columns are ignored; no documents or no items give no rows.
+    columns are ignored; very long texts are hashed a piece at a time; no documents or no items give no rows.
     """
-    out = None
-    for index in build_indexes(benchmark):
-        def run(batches: Iterator[pa.RecordBatch], index: BenchIndex = index) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    own = b.slice(at, 256)
-                    ids = own["doc_id"]
-                    got = scan(own["text"], index)
-                    cols = list(zip(*got, strict=True)) or [[]] * 6
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(cols[0], pa.int64())), pa.array([index.items[i][0] for i in cols[1]], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int32())],
-                        ["doc_id", "item_id", "similarity", "first_word", "end_word", "differing_bits"],
-                    )
-
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
-        out = part if out is None else out.union(part)
-    return docs.sparkSession.createDataFrame([], OUT) if out is None else out
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    done, held = [], None
+    for index in build_indexes(benchmark, scratch):
+        if held is not None:  # several parts: each is a pass of its own, and its index goes before the next is sent
+            done.append(scratch.save(_pass(rows, held)))
+            held.unpersist()
+        held = spark.sparkContext.broadcast(index)
+    if held is None:
+        return spark.createDataFrame([], OUT)
+    out = _pass(rows, held)
+    for x in done:
+        out = out.union(x)
+    return out
+
+
+def _pass(rows: DataFrame, held) -> DataFrame:
+    """One map over all documents with one part of the benchmark's index, sent once to each executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = held.value
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                own = b.slice(at, 256)
+                got = scan(own["text"], index)
+                cols = list(zip(*got, strict=True)) or [[]] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [own["doc_id"].take(pa.array(cols[0], pa.int64())), pa.array([index.items[i][0] for i in cols[1]], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int32())],
+                    ["doc_id", "item_id", "similarity", "first_word", "end_word", "differing_bits"],
+                )
+
+    return rows.mapInArrow(run, OUT)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
