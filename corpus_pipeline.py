@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronoweave.llm import decontaminate, mixture, ngram_join, substring_dedup, toxicity
-from chronoweave.llm.scratch import Scratch
+from chronoweave.llm.scratch import Scratch, row_id, sendable
 from chronoweave.session import ship_package
 
 
-def without(docs: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """Documents whose id is not among ``ids``; few ids (a checked number) go to every task, more through a shuffle."""
-    ids = scratch.save(ids.select("doc_id").distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= ngram_join.SEND_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+def without(docs: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents whose row (rid, a hash of id and text) is not among ``rows``; few (a checked number) go to every task, more
+    through a shuffle. The columns travel in one struct, so that no name can clash."""
+    whole = docs.select(row_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.join(sendable(scratch.save(rows.select("rid").distinct())), "rid", "left_anti").select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +44,9 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    leaks = decontaminate.find_leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, leaks, Scratch(spark))
+    rows = docs.select(row_id().alias("doc_id"), "text")
+    leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs, leaks.select(F.col("doc_id").alias("rid")), Scratch(spark))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
