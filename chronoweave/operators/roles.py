@@ -92,9 +92,100 @@ def consensus(tests: DataFrame, session: str, test: str = "test", vote: str = "v
     return m.withColumn("confidence", conf)
 
 
-def global_confidence(head_margin: str, side_margin: str, scale: float = 10.0):
-    """Product of two logistic confidences."""
-    return logistic(scale * F.col(head_margin)) * logistic(scale * F.col(side_margin))
+def global_confidence(head_score: str, side_score: str):
+    """0-1: two logistic confidences of the (clipped) scores of the head and side searches, weighted."""
+    c = lambda x, at: logistic(F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col(x))) - at)
+    return 0.55 * c(head_score, 4.0) + 0.45 * c(side_score, 2.5)
+
+
+#: Separation in deviations that makes the height test certain or likely, and the tests that must agree; fixed values.
+Z_CERTAIN, Z_LIKELY, AGREE_LEAST, AGREE_ALL = 5.0, 2.0, 3, 4
+
+
+def _ranked(df: DataFrame, session: str, block: str, value: str, most: bool) -> DataFrame:
+    """The block with the most (least) of a value, its value and the next ones, for each session of three blocks."""
+    key = F.struct((-F.col(value) if most else F.col(value)).alias("k"), F.col(block).alias("b"))
+    return df.groupBy(session).agg(F.array_sort(F.collect_list(key)).alias("o"), (F.max(value) - F.min(value)).alias("range")).where(F.size("o") == 3)
+
+
+def head_tests(rows: DataFrame, session: str, block: str, order: str, pos: str = "pos", up: int = 1) -> DataFrame:
+    """session, test, head_vote, confidence, zscore of the height, centrality and mobility tests of three blocks a session.
+
+    The head is highest (the z-score is of its lead over the next block), nearest to the others, and moves least."""
+    p = lambda k: F.col(pos)[k]
+    w = W.partitionBy(session, block).orderBy(order)
+    step = F.sqrt(sum(((p(k) - F.lag(p(k)).over(w)) ** 2 for k in (1, 2)), (p(0) - F.lag(p(0)).over(w)) ** 2))
+    own = rows.withColumn("_step", step).groupBy(session, block).agg(F.median(p(up)).alias("height"), F.stddev_pop(p(up)).alias("spread"), F.median("_step").alias("mobility"))
+    # the blocks of a row meet in one array: three rows a key
+    met = rows.groupBy(session, order).agg(F.collect_list(F.struct(F.col(block).alias("b"), F.col(pos).alias("p"))).alias("all"))
+    pair = met.select(session, F.explode(F.flatten(F.transform("all", lambda x: F.transform(F.filter("all", lambda y: y["b"] != x["b"]), lambda y: F.struct(x["b"].alias("x"), y["b"].alias("y"), F.sqrt(sum(((x["p"][k] - y["p"][k]) ** 2 for k in (1, 2)), (x["p"][0] - y["p"][0]) ** 2)).alias("d")))))).alias("e")).select(session, "e.*")
+    far = pair.groupBy(session, "x", "y").agg(F.median("d").alias("d")).groupBy(session, F.col("x").alias(block)).agg(F.avg("d").alias("far"))
+    top = own.groupBy(session).agg(F.array_sort(F.collect_list(F.struct((-F.col("height")).alias("k"), F.col(block).alias("b"), F.col("spread").alias("s")))).alias("o")).where(F.size("o") == 3)
+    z = (F.col("o")[1]["k"] - F.col("o")[0]["k"]) / F.greatest(F.col("o")[0]["s"], F.col("o")[1]["s"], F.lit(1e-6))
+    clip = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    out = top.select(session, F.lit("height").alias("test"), F.col("o")[0]["b"].alias("head_vote"), clip(z / (2 * Z_CERTAIN)).alias("confidence"), z.alias("zscore"))
+    for name, df, value in (("centrality", far, "far"), ("mobility", own, "mobility")):
+        d = _ranked(df, session, block, value, False)
+        out = out.unionByName(d.select(session, F.lit(name).alias("test"), F.col("o")[0]["b"].alias("head_vote"), clip((F.col("o")[1]["k"] - F.col("o")[0]["k"]) / (F.col("range") + 1e-9)).alias("confidence"), F.lit(None).cast("double").alias("zscore")))
+    return out
+
+
+def lateral_test(rows: DataFrame, heads: DataFrame, session: str, block: str, order: str, pos: str = "pos", quat: str = "quat") -> DataFrame:
+    """session, right_vote, left_vote, confidence: the hands' mean positions on the head's mean first axis.
+
+    ``heads``: session, head. Confidence is the projections' distance over the range of the hands' first coordinate."""
+    h = rows.join(heads, session).where(F.col(block) == F.col("head")).select(session, order, F.col(pos).alias("_hp"), F.col(quat).alias("_hq"))
+    norm = F.sqrt(F.aggregate("_hq", F.lit(0.0), lambda s, x: s + x * x))
+    axis = rotation_column(quaternion(F.transform("_hq", lambda x: x / norm)), 0)
+    mean = h.select(session, *[a.alias(f"_a{k}") for k, a in enumerate(axis)]).groupBy(session).agg(*[F.avg(f"_a{k}").alias(f"_a{k}") for k in range(3)])
+    hands = rows.join(heads, session).where(F.col(block) != F.col("head")).join(h, [session, order])
+    rel = hands.groupBy(session, block).agg(*[F.avg(F.col(pos)[k] - F.col("_hp")[k]).alias(f"_d{k}") for k in range(3)], F.min(F.col(pos)[0]).alias("_lo"), F.max(F.col(pos)[0]).alias("_hi")).join(mean, session)
+    size = F.sqrt(F.col("_a0") ** 2 + F.col("_a1") ** 2 + F.col("_a2") ** 2) + 1e-12
+    proj = rel.withColumn("_p", sum((F.col(f"_d{k}") * F.col(f"_a{k}") for k in (1, 2)), F.col("_d0") * F.col("_a0")) / size)
+    out = proj.groupBy(session).agg(F.max_by(block, F.struct("_p", -F.col(block).cast("double"))).alias("right_vote"), F.min_by(block, F.struct("_p", -F.col(block).cast("double"))).alias("left_vote"), ((F.max("_p") - F.min("_p")) / (F.max("_hi") - F.min("_lo") + 1e-6)).alias("_c"))
+    return out.select(session, "right_vote", "left_vote", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_c")).alias("confidence"))
+
+
+def role_consensus(rows: DataFrame, session: str, block: str, order: str) -> DataFrame:
+    """session, head, right, left, n_agree, certain from the four tests; rows: block positions and quaternions.
+
+    The head is the majority's (ties: the earlier test's); the sides come from the lateral test alone, which adds its vote to
+    the head. Certain if the height test is, with AGREE_LEAST tests, or is likely with all."""
+    tests = head_tests(rows, session, block, order)
+    at = F.when(F.col("test") == "height", 0).when(F.col("test") == "centrality", 1).otherwise(2)
+    votes = tests.groupBy(session, "head_vote").agg(F.count("*").alias("n"), F.min(at).alias("o"))
+    head = votes.groupBy(session).agg(F.min_by(F.struct("head_vote", "n"), F.struct(-F.col("n"), "o")).alias("h")).select(session, F.col("h.head_vote").alias("head"), F.col("h.n").alias("n"))
+    z = tests.where("test = 'height'").select(session, "zscore")
+    side = lateral_test(rows, head.select(session, "head"), session, block, order)
+    out = head.join(z, session).join(side, session)
+    agree = F.col("n") + 1
+    certain = ((F.col("zscore") >= Z_CERTAIN) & (agree >= AGREE_LEAST)) | ((F.col("zscore") >= Z_LIKELY) & (agree >= AGREE_ALL))
+    return out.select(session, "head", F.col("right_vote").alias("right"), F.col("left_vote").alias("left"), agree.alias("n_agree"), certain.alias("certain"), "zscore", "confidence")
+
+
+def infer_head(rows: DataFrame, session: str, block: str, order: str, pos: str = "pos") -> DataFrame:
+    """session, head, axis, sign, score, win_rate: the block that is most clearly on top, over three axes and two signs.
+
+    For each candidate direction: how often a block is the topmost, how often above the others' mean, and its median lead in
+    deviations; ties go to the first axis, then the negative sign."""
+    met = rows.groupBy(session, order).agg(F.array_sort(F.collect_list(F.struct(F.col(block).alias("b"), F.col(pos).alias("p")))).alias("all"))
+    n = F.size("all")
+
+    def candidates(axis: int, sign: int):
+        v = lambda x: sign * x["p"][axis]
+        values = F.transform("all", v)
+        total, first = F.aggregate(values, F.lit(0.0), lambda s, x: s + x), F.array_position(values, F.array_max(values))
+        return F.transform("all", lambda x, i: F.struct(x["b"].alias("b"), F.lit(axis).alias("axis"), F.lit(sign).alias("sign"), (first == i + 1).alias("won"), (v(x) - (total - v(x)) / (n - 1)).alias("gap")))
+
+    made = [candidates(axis, sign) for axis in range(3) for sign in (-1, 1)]
+    d = met.where(n == 3).select(session, F.explode(F.concat(*made)).alias("e")).select(session, "e.*")
+    by = [session, "b", "axis", "sign"]
+    med = d.groupBy(*by).agg(F.median("gap").alias("_m"), F.avg(F.col("won").cast("double")).alias("win_rate"), F.avg((F.col("gap") > 0).cast("double")).alias("_above"))
+    mad = d.join(med, by).groupBy(*by).agg((F.median(F.abs(F.col("gap") - F.col("_m"))) + 1e-9).alias("_mad"))
+    lead = F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col("_m") / F.col("_mad")))
+    s = med.join(mad, by).withColumn("score", 2.5 * F.col("win_rate") + 2.0 * F.col("_above") + 1.5 * F.greatest(F.lit(0.0), lead))
+    best = F.min_by(F.struct("b", "axis", "sign", "score", "win_rate"), F.struct(-F.col("score"), "axis", "sign", "b"))
+    return s.groupBy(session).agg(best.alias("s")).select(session, F.col("s.b").alias("head"), "s.axis", "s.sign", "s.score", "s.win_rate")
 
 
 PERMUTATIONS = [(0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)]

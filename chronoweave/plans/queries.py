@@ -767,10 +767,10 @@ def adaptive_weights(spark, d):
     return signals.adaptive_weights(events(spark, d), ["user_id"], "event_type", "value", {"view": 0.5, "click": 0.3, "purchase": 0.2}).withColumn("weight", r("weight"))
 
 
-@query("""WITH t AS (SELECT user_id, event_type, ts, value, lead(value) OVER w AS v2, epoch_us(ts) AS t1, epoch_us(lead(ts) OVER w) AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT user_id, count(*) FILTER (value >= 50 AND v2 <= 50 AND value <> v2) > 0 AS crossed FROM t GROUP BY 1""")
+@query("""WITH t AS (SELECT user_id, value, epoch_us(ts) / 1e6 AS t, lead(value) OVER w AS v2, lead(epoch_us(ts) / 1e6) OVER w AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+SELECT user_id, count(*) FILTER (value >= 50 AND v2 <= 50 AND value <> v2) > 0 AS crossed, round(coalesce(min(t + (50 - value) / nullif(v2 - value, 0) * (t2 - t)) FILTER (value >= 50 AND v2 <= 50 AND value <> v2), arg_min(t, value)), 2) AS t FROM t GROUP BY 1""")
 def level_crossings(spark, d):
-    return signals.crossing(_seconds(spark, d), ["user_id"], "t", "value", F.lit(50.0)).select("user_id", "crossed")
+    return signals.crossing(_seconds(spark, d), ["user_id"], "t", "value", F.lit(50.0)).select("user_id", "crossed", r("t", 2).alias("t"))
 
 
 @query()
@@ -871,15 +871,21 @@ def timeline(spark, d):
     return dataset.timeline({"events": e}).where("value is not null").groupBy(F.col("session_id").alias("user_id"), "stream", "column").agg(F.count("*").alias("n"), r(F.sum("value"), 3).alias("total"))
 
 
-@query()
+@query("""WITH e AS (SELECT label, vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings), s AS (SELECT label, vec_id, sqrt((x - coalesce(lag(x) OVER w, x)) ** 2 + (y - coalesce(lag(y) OVER w, y)) ** 2 + (z - coalesce(lag(z) OVER w, z)) ** 2) / 16.0 AS s FROM e WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
+a AS (SELECT *, abs(s - coalesce(lag(s) OVER (PARTITION BY label ORDER BY vec_id), s)) / 16.0 AS a FROM s), j AS (SELECT *, abs(a - coalesce(lag(a) OVER (PARTITION BY label ORDER BY vec_id), a)) / 16.0 AS j FROM a),
+m AS (SELECT label, vec_id, s - avg(s) OVER o AS s, stddev_pop(s) OVER o AS ss, a - avg(a) OVER o AS a, stddev_pop(a) OVER o AS sa, j - avg(j) OVER o AS j, stddev_pop(j) OVER o AS sj FROM j WINDOW o AS (PARTITION BY label))
+SELECT label, vec_id, round(0.55 * CASE WHEN ss < 1e-8 THEN s ELSE s / ss END + 0.30 * CASE WHEN sa < 1e-8 THEN a ELSE a / sa END + 0.15 * CASE WHEN sj < 1e-8 THEN j ELSE j / sj END, 6) AS motion FROM m""")
 def motion_signal(spark, d):
     e = table(spark, d, "embeddings").select("label", "vec_id", *[F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate("xyz")])
     return smooth.motion_signal(e, ["label"], "vec_id", ("x", "y", "z"), 16.0).select("label", "vec_id", r("motion").alias("motion"))
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, value AS a FROM events), d AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t), 0.0) AS dt FROM e), v AS (SELECT *, sum(a * dt) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS v FROM d),
+w AS (SELECT user_id, t, dt, v - avg(v) OVER o - coalesce(covar_pop(v, t) OVER o / nullif(var_pop(t) OVER o, 0), 0) * (t - avg(t) OVER o) AS v FROM v WINDOW o AS (PARTITION BY user_id)), p AS (SELECT *, sum(v * dt) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS p FROM w),
+q AS (SELECT user_id, t, p - avg(p) OVER o - coalesce(covar_pop(p, t) OVER o / nullif(var_pop(t) OVER o, 0), 0) * (t - avg(t) OVER o) AS p FROM p WINDOW o AS (PARTITION BY user_id))
+SELECT user_id, t, round(p / 1e6, 0) AS position FROM q""")
 def double_integral(spark, d):
-    return smooth.double_integral(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r("position", 2).alias("position"))
+    return smooth.double_integral(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r(F.col("position") / 1e6, 0).alias("position"))
 
 
 @query()
@@ -893,3 +899,6 @@ def hand_rules(spark, d):
     e = table(spark, d, "embeddings").select((F.col("vec_id") / 40).cast("bigint").alias("session"), (F.col("vec_id") % 4).alias("block"), F.floor(F.col("vec_id") % 40 / 4).alias("row"), F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("pos"), F.slice(F.col("embedding").cast("array<double>"), 4, 4).alias("quat"))
     votes = roles.rule_votes(e.where("block = 0").select("session", "row", "pos", "quat"), e.where("block in (1, 2)").select("session", "row", "block", "pos"), roles.candidate_rules(spark), "session", "row")
     return votes.select("session", "rule_id", "right_block", r("separation").alias("separation"))
+
+
+from . import session_queries  # noqa: E402, F401  registers more queries

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions.scalars import finite
 
@@ -30,18 +30,27 @@ def sniff_delimiter(header: str) -> str:
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], required: Sequence[str] = (), delimiter: str | None = None) -> DataFrame:
-    """Files of one header as strings with session_id, path and row_id; raises if a required column is missing."""
+    """Files as strings with session_id, path and row_id; raises if a file lacks a required column.
+
+    Every file is read by its own header, so columns may stand in another order or with another delimiter from file to file;
+    a column that a file lacks is null. The distinct headers, not the files, reach the driver."""
     lines = read_lines(spark, paths)
-    head = lines.where("row_id = 0").select("line").limit(1).collect()
-    if not head:
+    first = W.partitionBy("path").orderBy("row_id")
+    heads = lines.withColumn("_k", F.row_number().over(first)).where("_k = 1").select("path", F.col("row_id").alias("_at"), F.col("line").alias("_head"))
+    kinds = sorted(r["_head"] for r in heads.select("_head").distinct().collect())
+    if not kinds:
         raise ValueError("no rows")
-    sep = delimiter or sniff_delimiter(head[0][0])
-    names = [n.strip().strip('"') for n in head[0][0].split(sep)]
-    if missing := set(required) - set(names):
-        raise ValueError(f"missing columns: {', '.join(sorted(missing))}")
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = lines.where("row_id > 0").select("session_id", "path", "row_id", F.from_csv("line", schema, {"sep": sep}).alias("r"))
-    return rows.select("session_id", "path", "row_id", "r.*")
+    rows = lines.join(heads, "path").where("row_id > _at")
+    out = None
+    for head in kinds:
+        sep = delimiter or sniff_delimiter(head)
+        names = [n.strip().strip('"') for n in head.split(sep)]
+        if missing := set(required) - set(names):
+            raise ValueError(f"missing columns: {', '.join(sorted(missing))}")
+        schema = ", ".join(f"`{n}` string" for n in names)
+        part = rows.where(F.col("_head") == head).select("session_id", "path", "row_id", F.from_csv("line", schema, {"sep": sep}).alias("r")).select("session_id", "path", "row_id", "r.*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

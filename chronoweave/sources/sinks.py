@@ -16,8 +16,8 @@ def write_version(df: DataFrame, root: str, version: str, partition_by: Sequence
 
 
 def write_json_results(df: DataFrame, path: str) -> None:
-    """One JSON document a row."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
+    """One JSON document a row, as a new folder; an existing one raises."""
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.text(path)
 
 
 def append_log(df: DataFrame, path: str) -> None:
@@ -25,7 +25,8 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """A CSV table with a header, as a new folder; an existing one raises."""
+    df.write.option("header", True).csv(path)
 
 
 def promote(df: DataFrame, root: str, tier: str, scenario: str = "scenario") -> str:

@@ -2,26 +2,63 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.readers import METADATA, SESSION
 
 
+def _now() -> float:
+    return time.time()
+
+
+def _pending(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The sessions that the latest finished batch (before ``before``) left waiting, or None."""
+    try:
+        every = spark.read.schema(f"{ARRIVAL}, batch long").parquet(path)
+    except AnalysisException:
+        return None
+    own = every if before is None else every.where(F.col("batch") < before)
+    last = own.agg(F.max("batch")).first()[0]
+    return None if last is None else own.where((F.col("batch") == last) & F.col("path").isNotNull()).drop("batch")
+
+
+ARRIVAL = f"path string, session_id string, modified timestamp, metadata {METADATA}"
+
+
 def watch_sessions(spark: SparkSession, root: str, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str = "10 seconds", quiet_seconds: float = 0.0, max_files: int = 1000, once: bool = False) -> StreamingQuery:
-    """Runs ``handle(sessions, batch_id)`` on newly arrived metadata files (path, session_id, metadata).
+    """Runs ``handle(sessions, batch_id)`` on newly arrived metadata files (path, session_id, modified, metadata).
 
-    The source's checkpoint is the seen set. A file younger than ``quiet_seconds`` is looked at again later, because its
-    path only counts as seen once it is in a finished batch - so ``handle`` must ignore sessions it has had before."""
+    The source's checkpoint is the seen set: a file comes once. A file younger than ``quiet_seconds`` waits in a table of the
+    checkpoint folder; every batch looks at the waiting ones again, a ticking source makes batches also when no file arrives
+    (not with ``once``), and a new start hands over what has ripened since. A crash repeats a batch, and a ripened session
+    may come again after a start, so ``handle`` must ignore sessions it has had before (``land_once`` does)."""
+    pending = f"{checkpoint}/waiting"
     stream = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "metadata.json").option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).load(root)
     rows = stream.select(F.col("_metadata.file_path").alias("path"), F.regexp_extract("_metadata.file_path", SESSION, 1).alias("session_id"), F.col("_metadata.file_modification_time").alias("modified"), F.from_json("value", METADATA).alias("metadata"))
+    if quiet_seconds and not once:
+        tick = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        rows = rows.unionByName(tick.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        ready = df.where(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("modified") >= quiet_seconds) if quiet_seconds else df
-        handle(ready.dropDuplicates(["session_id"]), batch_id)
+        arrived = df.where("path is not null")
+        if not quiet_seconds:
+            return handle(arrived.dropDuplicates(["session_id"]), batch_id)
+        waiting = _pending(spark, pending, batch_id)
+        known = arrived if waiting is None else waiting.unionByName(arrived)
+        ripe = F.unix_timestamp("modified") <= _now() - quiet_seconds
+        # a marker row keeps the batch visible when nothing waits
+        marker = spark.createDataFrame([(None, None, None, None)], ARRIVAL)
+        rest = known.where(~ripe).unionByName(marker)
+        rest.write.mode("overwrite").parquet(f"{pending}/batch={batch_id}")
+        handle(known.where(ripe).dropDuplicates(["session_id"]), batch_id)
 
+    if quiet_seconds and (waiting := _pending(spark, pending)) is not None:
+        handle(waiting.where(F.unix_timestamp("modified") <= _now() - quiet_seconds).dropDuplicates(["session_id"]), -1)
     w = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
 

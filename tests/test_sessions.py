@@ -1,6 +1,7 @@
 """Files, datasets, checks and streaming."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,63 @@ def test_watcher_lands_each_session_once(spark, session, tmp_path):
     assert [r["session_id"] for r in spark.read.parquet(target).collect()] == ["session_20260101_000000"]
 
 
+def test_a_young_file_lands_later(spark, session, tmp_path, monkeypatch):
+    root, s = session
+    target, check = str(tmp_path / "bronze"), str(tmp_path / "check")
+    real = ingest._now()
+    landed = lambda: [r["session_id"] for r in spark.read.parquet(target).collect()]
+    monkeypatch.setattr(ingest, "_now", lambda: real)
+    ingest.watch_sessions(spark, root, ingest.land_once(target), check, quiet_seconds=3600, once=True).awaitTermination(60)
+    assert landed() == []
+    # another file arrives two hours later: the first has ripened, the new one waits
+    other = tmp_path / "inbox/session_20260102_000000"
+    other.mkdir()
+    (other / "metadata.json").write_text(json.dumps({"session_id": "session_20260102_000000"}))
+    os.utime(other / "metadata.json", (real + 7200, real + 7200))
+    monkeypatch.setattr(ingest, "_now", lambda: real + 7300)
+    ingest.watch_sessions(spark, root, ingest.land_once(target), check, quiet_seconds=3600, once=True).awaitTermination(60)
+    assert landed() == ["session_20260101_000000"]
+    # no new file: a later start hands over what has ripened since
+    monkeypatch.setattr(ingest, "_now", lambda: real + 20000)
+    for _ in range(2):
+        ingest.watch_sessions(spark, root, ingest.land_once(target), check, quiet_seconds=3600, once=True).awaitTermination(60)
+    assert sorted(landed()) == ["session_20260101_000000", "session_20260102_000000"]
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "s1").mkdir()
+    (tmp_path / "s2").mkdir()
+    (tmp_path / "s1/gripper_left_data.csv").write_text("timestamp_ns,opening_mm,sw\n1000000,5,ON\n")
+    (tmp_path / "s2/gripper_left_data.csv").write_text("\nopening_mm;timestamp_ns\n7;2000000\n")
+    rows = readers.read_csv(spark, f"{tmp_path}/*/gripper_left_data.csv", required=["opening_mm"]).collect()
+    assert {(r["session_id"], r["timestamp_ns"], r["opening_mm"], r["sw"]) for r in rows} == {("s1", "1000000", "5", "ON"), ("s2", "2000000", "7", None)}
+    with pytest.raises(ValueError, match="missing columns: sw"):
+        readers.read_csv(spark, f"{tmp_path}/*/gripper_left_data.csv", required=["sw"])
+
+
+def test_header_truth_and_confidence(spark):
+    from chronoweave.operators import roles, session as ses
+
+    names = ["a", "b", "c"] + [f"tracker_{r}_{k}" for r in ("left", "head", "right") for k in range(7)]
+    assert ses.header_truth(names) == {"left": 0, "head": 1, "right": 2}
+    with pytest.raises(ValueError, match="no unique label"):
+        ses.header_truth(["a", "b", "c"] + [f"x{k}" for k in range(21)])
+    got = spark.createDataFrame([(4.0, 2.5), (60.0, 60.0)], "h double, s double").select(roles.global_confidence("h", "s").alias("c")).collect()
+    assert abs(got[0]["c"] - 0.5) < 1e-9 and got[1]["c"] > 0.999
+    c = spark.createDataFrame([(0.5, 2.0, 20.0, float("nan")), (1.0, 4.0, 40.0, -1.0)], "q double, e double, r double, p double")
+    assert [round(r["c"], 3) for r in c.select(ses.vision_confidence(*map(F.col, "qerp")).alias("c")).collect()] == [0.55, 1.0]
+
+
+def test_sensor_fixes_fill_and_extend(spark):
+    from chronoweave.operators import session as ses
+
+    rows = [("s", float(t), 5.0) for t in (100, 117, 134, 219, 236)]
+    starts = spark.createDataFrame([("s", 49.0)], "k string, start double")
+    out = ses.sensor_fixes(spark.createDataFrame(rows, "k string, t double, v double"), ["k"], "t", "v", starts, "start").orderBy("t").collect()
+    assert [r["t"] for r in out] == [49.0, 66.0, 83.0, 100.0, 117.0, 134.0, 151.0, 168.0, 185.0, 202.0, 219.0, 236.0]
+    assert [r["synthetic"] for r in out].count(True) == 7 and out[0]["dt_ms"] == 0 and {r["dt_ms"] for r in out[1:]} == {17.0}
+
+
 def test_streaming_windows_equal_batch(spark, tmp_path):
     src = "/root/testdata/sf0.001/events.parquet"
     batch = spark.read.parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))
