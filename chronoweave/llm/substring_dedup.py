@@ -333,7 +333,8 @@ def class_links(held: DataFrame, classes: DataFrame, docs: DataFrame, scratch: S
 def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """rid, doc_id, p, q, cluster, first_doc, kept for each paragraph whose cluster spans several documents.
 
-    ``docs``: rid, doc_id, text. The smallest (doc_id, rid, p) of a cluster is kept; a null doc_id comes last. Words are
+    ``docs``: rid, doc_id, text. The row of the smallest (doc_id, rid) of a cluster keeps its paragraphs (neighbours in one
+    text may be alike); a null doc_id comes last. Words are
     counted from 0. Null and empty texts and those of fewer than LENGTH words have no paragraphs; very long ones are hashed a
     piece at a time; repeats within one document alone do not count; rows equal in id and text are one occurrence. No rows
     give no rows.
@@ -356,7 +357,7 @@ def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "p")
     first = rows.groupBy("cluster").agg(F.min(place).alias("first"), F.max("rid").alias("_hi"), F.min("rid").alias("_lo")).where("_lo < _hi").drop("_lo", "_hi")
     out = rows.join(sendable(scratch.save(first)), "cluster")
-    return out.select("rid", "doc_id", "p", (F.col("p") + LENGTH).alias("q"), "cluster", F.col("first.doc_id").alias("first_doc"), ((F.col("first.rid") == F.col("rid")) & (F.col("first.p") == F.col("p"))).alias("kept"))
+    return out.select("rid", "doc_id", "p", (F.col("p") + LENGTH).alias("q"), "cluster", F.col("first.doc_id").alias("first_doc"), (F.col("first.rid") == F.col("rid")).alias("kept"))
 
 
 def removal_spans(found: DataFrame) -> DataFrame:

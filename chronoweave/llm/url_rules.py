@@ -82,18 +82,21 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default:
     Among the matching site rules the longest text wins (then the smaller text) and gives ``rule`` and ``verdict``. With
     no site rule, ``rule`` is null and the matching pattern rules decide: an allow pattern before a block pattern; the
     deciding text is ``pattern``. With no match the verdict is ``default``. A null, empty or malformed URL has an empty
-    host and path. Repeated rows and ids stay; columns other than ``keep`` and ``url`` are ignored; no rows give no rows.
+    host and path; a very long one is one value of one task. Repeated rows and ids stay; columns other than ``keep`` and
+    ``url`` are ignored, and a kept column that has the name of an output column is left out; no rows give no rows.
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} rules")
-    src = pages.select(*keep, F.col(url).alias("_url"))
+    keep = tuple(k for k in keep if k.lower() not in ("host", "path", "rule", "verdict", "pattern"))
+    # kept columns travel in one struct, so that no name can clash
+    src = pages.select(F.struct(*[F.col(f"`{k}`") for k in keep] or [F.lit(None).alias("none")]).alias("_keep"), F.col(url).alias("_url"))
     counts = token_counts(src, sorted({t for r in rules for t in r.tokens()} or {""}), "_url")
     index: dict[str, list[Rule]] = {}
     for r in rules:
         rarest = min(r.tokens(), key=lambda t: (counts[t], t), default="")  # without a whole token, the rule is for every URL
         index.setdefault(rarest, []).append(r)
     host, path = split_url(F.col("_url"))
-    at = src.select(*keep, host.alias("host"), path.alias("path"))
+    at = src.select("_keep", host.alias("host"), path.alias("path"))
     entry = lambda r: F.struct(F.lit(r.kind == "site").alias("site"), F.lit(len(r.text)).alias("size"), F.lit(r.action == "allow").alias("allow"), F.lit(r.text).alias("text"), F.lit(r.regex()).alias("regex"))
     if not index:
         index[""] = [Rule("\0", default)]
@@ -106,7 +109,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default:
     at = at.withColumn("_site", F.when(F.exists("matched", lambda r: r["site"]), best(True))).withColumn("_pattern", F.when(F.exists("matched", lambda r: ~r["site"]), best(False)))
     chosen = F.coalesce("_site", "_pattern")
     verdict = F.when(chosen.isNull(), F.lit(default)).when(chosen["allow"], F.lit("allow")).otherwise(F.lit("block"))
-    return at.select(*keep, "host", "path", F.col("_site")["text"].alias("rule"), verdict.alias("verdict"), F.when(F.col("_site").isNull(), F.col("_pattern")["text"]).alias("pattern"))
+    return at.select(*[F.col("_keep")[k].alias(k) for k in keep], "host", "path", F.col("_site")["text"].alias("rule"), verdict.alias("verdict"), F.when(F.col("_site").isNull(), F.col("_pattern")["text"]).alias("pattern"))
 
 
 def _order(a: Column, b: Column, site: bool) -> Column:
