@@ -163,6 +163,13 @@ def shared_keys(docs: DataFrame, ranges: int) -> DataFrame:
     return docs.select("text").mapInArrow(pack, "range int, once binary, more binary").groupBy("range").applyInArrow(meet, "range int, keys binary")
 
 
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for part, keys in zip(b["range"].to_pylist(), b["keys"].to_pylist(), strict=True):
+            low = np.frombuffer(keys, np.uint32).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(low), part, np.int32)), pa.array(low)], ["range", "low"])
+
+
 def _unpacked(shared: DataFrame) -> np.ndarray:
     got = shared.toArrow()
     parts = [(np.uint64(r) << np.uint64(32)) | np.frombuffer(k, np.uint32).astype(np.uint64) for r, k in zip(got["range"].to_pylist(), got["keys"].to_pylist(), strict=True)]
@@ -205,8 +212,7 @@ def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rows = docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, p int, c1 long, c2 long" + "".join(f", {k} long" for k in KEYS))
     if known is None:
         # too many shared keys to send: they meet the rows by range and key
-        low = F.explode(F.transform(F.sequence(F.lit(0), F.length("keys") / 4 - 1), lambda i: F.conv(F.hex(F.reverse(F.substring("keys", (i * 4 + 1).cast("int"), F.lit(4)))), 16, 10).cast("long")))
-        table = shared.where(F.length("keys") > 0).select("range", low.alias("low"))
+        table = scratch.save(shared.mapInArrow(_unpack, "range int, low long"))
         for k in KEYS:
             here = F.shiftrightunsigned(F.col(k), 64 - int(bits)).cast("int")
             tail = F.shiftrightunsigned(F.col(k), 32 - int(bits)).bitwiseAND(F.lit(0xFFFFFFFF))
