@@ -515,7 +515,11 @@ def leave_one_out(spark, d):
     return roles.leave_one_out(*_votes(spark, d), "session")
 
 
-@query()
+@query("""WITH c AS (SELECT l_orderkey % 20 AS session, CASE l_linenumber WHEN 1 THEN 'head' WHEN 2 THEN 'left' ELSE 'right' END AS camera, abs(corr(l_quantity, l_extendedprice)) AS h, abs(corr(l_quantity, l_discount)) AS l, abs(corr(l_quantity, l_tax)) AS r FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2),
+p(perm, a, b, d) AS (VALUES (0, 'h', 'l', 'r'), (1, 'h', 'r', 'l'), (2, 'l', 'h', 'r'), (3, 'l', 'r', 'h'), (4, 'r', 'h', 'l'), (5, 'r', 'l', 'h')),
+s AS (SELECT session, perm, sum(CASE CASE camera WHEN 'head' THEN a WHEN 'left' THEN b ELSE d END WHEN 'h' THEN h WHEN 'l' THEN l ELSE r END) AS total FROM c, p GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY total DESC, perm) AS k FROM s),
+m AS (SELECT session, max(total) FILTER (k = 1) AS total, max(total) FILTER (k = 1) - max(total) FILTER (k = 2) AS margin FROM k GROUP BY 1)
+SELECT session, round(total, 6) AS total, round(margin, 6) AS margin, CASE WHEN margin >= 0.3 THEN 'high' WHEN margin >= 0.1 THEN 'medium' ELSE 'low' END AS confidence FROM m""")
 def best_permutation(spark, d):
     c = table(spark, d, "lineitem").where("l_linenumber <= 3").groupBy((F.col("l_orderkey") % 20).alias("session"), F.element_at(F.array(*map(F.lit, ("head", "left", "right"))), F.col("l_linenumber")).alias("camera")).agg(F.corr("l_quantity", "l_extendedprice").alias("head"), F.corr("l_quantity", "l_discount").alias("left"), F.corr("l_quantity", "l_tax").alias("right"))
     c = c.unpivot(["session", "camera"], ["head", "left", "right"], "sensor", "r")
@@ -730,7 +734,9 @@ def alignment_report(spark, d):
     return ev.alignment_report(_grid(spark, d), ["user_id"], "i", "x", "y", 20.0, 120.0)
 
 
-@query()
+@query("""WITH e AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events), k AS (SELECT o, exp(-0.5 * (o / 1.5) ** 2) AS w FROM (SELECT unnest(range(-6, 7)) AS o)),
+j AS (SELECT event_id, user_id, w, n, ((i + o) % (2 * n) + 2 * n) % (2 * n) AS m FROM e, k), p AS (SELECT event_id, user_id, w, CASE WHEN m >= n THEN 2 * n - 1 - m ELSE m END AS i FROM j)
+SELECT p.event_id, round(sum(w * value) / (SELECT sum(w) FROM k), 6) AS smooth FROM p JOIN e ON e.user_id = p.user_id AND e.i = p.i GROUP BY 1""")
 def gaussian_smooth(spark, d):
     x = events(spark, d).withColumn("o", F.row_number().over(timebase.ordered(["user_id"], "us", "event_id")))
     return smooth.gaussian(x, ["user_id"], "o", "value", 1.5, "smooth").select("event_id", r("smooth").alias("smooth"))
@@ -773,10 +779,12 @@ def level_crossings(spark, d):
     return signals.crossing(_seconds(spark, d), ["user_id"], "t", "value", F.lit(50.0)).select("user_id", "crossed", r("t", 2).alias("t"))
 
 
-@query()
+@query("""WITH x AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS t FROM events), g AS (SELECT *, lag(value) OVER w AS a, lead(value) OVER w AS b FROM x WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+f AS (SELECT user_id, t, value, t - row_number() OVER (PARTITION BY user_id ORDER BY t) AS k FROM g WHERE abs(CASE WHEN a IS NULL THEN b - value WHEN b IS NULL THEN value - a ELSE (b - a) / 2 END) < 10.0)
+SELECT user_id, CAST(min(t) AS DOUBLE) AS start, CAST(max(t) AS DOUBLE) AS "end", count(*) AS n, round(avg(value), 6) AS level, round(stddev_pop(value), 6) AS jitter, round(arg_max(value, t) - arg_min(value, t), 6) AS drift FROM f GROUP BY user_id, k HAVING max(t) - min(t) >= 2""")
 def plateau_segments(spark, d):
     x = events(spark, d).withColumn("t", F.row_number().over(timebase.ordered(["user_id"], "us", "event_id")).cast("double"))
-    return signals.plateaus(x, ["user_id"], "t", "value", 10.0, 2.0)
+    return signals.plateaus(x, ["user_id"], "t", "value", 10.0, 2.0).withColumns({c: r(c) for c in ("level", "jitter", "drift")})
 
 
 @query()
@@ -888,13 +896,21 @@ def double_integral(spark, d):
     return smooth.double_integral(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r(F.col("position") / 1e6, 0).alias("position"))
 
 
-@query()
+@query("""WITH b AS (SELECT vec_id // 40 AS session, vec_id % 4 AS block, (vec_id % 40) // 4 AS row, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings WHERE vec_id % 4 < 3),
+st AS (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2 + (z - lag(z) OVER w) ** 2) AS step FROM b WINDOW w AS (PARTITION BY session, block ORDER BY row)), own AS (SELECT session, block, median(z) AS height, median(step) AS mobility FROM st GROUP BY 1, 2),
+far AS (SELECT p.session, p.block, avg(sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2)) AS centrality FROM b p JOIN b q ON p.session = q.session AND p.row = q.row AND p.block <> q.block GROUP BY 1, 2), f AS (SELECT * FROM own LEFT JOIN far USING (session, block)),
+pt AS (SELECT session, block, 3.0 * greatest(3 - row_number() OVER (PARTITION BY session ORDER BY height DESC, block), 0) + 1.0 * greatest(3 - row_number() OVER (PARTITION BY session ORDER BY mobility, block), 0) + 2.0 * greatest(3 - row_number() OVER (PARTITION BY session ORDER BY centrality, block), 0) AS points FROM f)
+SELECT session, block, CAST(points AS DOUBLE) AS points, row_number() OVER (PARTITION BY session ORDER BY points DESC, block) = 1 AS is_head FROM pt""")
 def head_features(spark, d):
     e = table(spark, d, "embeddings").where("vec_id % 4 < 3").select((F.col("vec_id") / 40).cast("bigint").alias("session"), (F.col("vec_id") % 4).alias("block"), F.floor(F.col("vec_id") % 40 / 4).alias("row"), F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("pos"))
     return roles.rank_points(roles.block_features(e, "session", "block", "row"), "session", "block").select("session", "block", "points", "is_head")
 
 
-@query()
+@query("""WITH b AS (SELECT vec_id // 40 AS session, vec_id % 4 AS block, (vec_id % 40) // 4 AS row, CAST(embedding[1] AS DOUBLE) AS px, CAST(embedding[2] AS DOUBLE) AS py, CAST(embedding[3] AS DOUBLE) AS pz, CAST(embedding[4] AS DOUBLE) AS q0, CAST(embedding[5] AS DOUBLE) AS q1, CAST(embedding[6] AS DOUBLE) AS q2, CAST(embedding[7] AS DOUBLE) AS q3 FROM embeddings),
+h AS (SELECT *, sqrt(q0 ** 2 + q1 ** 2 + q2 ** 2 + q3 ** 2) AS n FROM b WHERE block = 0), m AS (SELECT session, row, px, py, pz, 0 AS mode, q0 / n AS w, q1 / n AS x, q2 / n AS y, q3 / n AS z FROM h UNION ALL SELECT session, row, px, py, pz, 1, q3 / n, q0 / n, q1 / n, q2 / n FROM h),
+c AS (SELECT session, row, px, py, pz, mode, unnest([0, 1, 2]) AS axis, unnest([1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)]) AS cx, unnest([2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)]) AS cy, unnest([2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)]) AS cz FROM m),
+s AS (SELECT c.session, b.block, mode, axis, median((b.px - c.px) * cx + (b.py - c.py) * cy + (b.pz - c.pz) * cz) AS side FROM c JOIN b ON b.session = c.session AND b.row = c.row AND b.block IN (1, 2) GROUP BY 1, 2, 3, 4)
+SELECT session, CAST(mode * 6 + axis * 2 + CASE WHEN sign < 0 THEN 1 ELSE 0 END AS INTEGER) AS rule_id, arg_max(block, side * sign) AS right_block, round(max(side) - min(side), 6) AS separation FROM s, (VALUES (1), (-1)) v(sign) GROUP BY 1, 2""")
 def hand_rules(spark, d):
     e = table(spark, d, "embeddings").select((F.col("vec_id") / 40).cast("bigint").alias("session"), (F.col("vec_id") % 4).alias("block"), F.floor(F.col("vec_id") % 40 / 4).alias("row"), F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("pos"), F.slice(F.col("embedding").cast("array<double>"), 4, 4).alias("quat"))
     votes = roles.rule_votes(e.where("block = 0").select("session", "row", "pos", "quat"), e.where("block in (1, 2)").select("session", "row", "block", "pos"), roles.candidate_rules(spark), "session", "row")
