@@ -24,7 +24,7 @@ from .scratch import Scratch, row_id, sendable
 from .words import chunks, mix, shingle_hashes, signed
 
 #: Most frequent shingles that get a rank of their own in the order (bounds what is sent to every task).
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: A shingle of a chunk of texts counts towards the order from so many documents of the chunk on.
 LOCAL_MIN = 3
 #: Classes of one shingle up to which its pairs become rows.
