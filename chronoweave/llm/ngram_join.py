@@ -34,6 +34,8 @@ SIGNATURE = 64
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Lists of such shingles that are sent to every task at most.
 SEND_LISTS = 50_000
+#: Shingles of several classes that are sent to every task at most, with their counts (20 bytes each).
+SEND_KEYS = 2_000_000
 #: Shingle hashes gathered before a count.
 GATHER = 1 << 21
 
@@ -125,6 +127,39 @@ def doc_records(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) ->
     return docs.select("doc_id", "rid", "text").mapInArrow(run, "doc_id long, rid long, n int, c1 long, c2 long, prefix array<long>, sig binary")
 
 
+def shared_postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """cid, n, pos, key, c, size: places of prefix shingles that several classes hold, with the number of those classes and
+    the sum of their sizes. Up to SEND_KEYS such shingles go to every task, which leaves the others' places out at once; more
+    meet the places in a shuffle."""
+    postings = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "key"))
+    shared = scratch.save(postings.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("size")).where("c > 1"))
+    scratch.free_shuffles()
+    if shared.count() > SEND_KEYS:
+        held = scratch.save(postings.join(shared, "key"))
+        scratch.drop(shared)
+        return held
+    got = shared.toArrow()
+    key, c, size = (got[x].to_numpy() for x in ("key", "c", "size"))
+    order = np.argsort(key)
+    key, c, size = key[order], c[order].astype(np.int32), size[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches if len(key) else ():
+            lists = b["prefix"]
+            h, length = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            at = np.minimum(np.searchsorted(key, h), len(key) - 1)
+            met = key[at] == h
+            row = np.repeat(np.arange(b.num_rows), length)
+            pos = np.arange(len(h)) - np.repeat(np.cumsum(length) - length, length)
+            at, own = at[met], pa.array(row[met])
+            arrays = [b["cid"].take(own), b["n"].take(own), pa.array(pos[met].astype(np.int32)), pa.array(h[met]), pa.array(c[at].astype(np.int64)), pa.array(size[at])]
+            yield pa.RecordBatch.from_arrays(arrays, ["cid", "n", "pos", "key", "c", "size"])
+
+    held = scratch.save(classes.select("cid", "n", "prefix").mapInArrow(run, "cid long, n int, pos int, key long, c long, size long"))
+    scratch.drop(shared)
+    return held
+
+
 def _may_overlap(a: str, b: str, percent: int) -> str:
     """Length and positional filters for postings a and b of one shingle, as SQL.
 
@@ -155,8 +190,9 @@ def suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 
 
 def class_sets(wanted: DataFrame, docs: DataFrame, k: int, scratch: Scratch) -> DataFrame:
-    """cid, set (sorted shingles) of each class of ``wanted``: cid, c1, c2, doc_id of a member."""
-    texts = docs.join(sendable(wanted), "doc_id").select("text", "cid", "c1", "c2")
+    """cid, paired, dense, set (sorted shingles) of each class of ``wanted``: cid, c1, c2, doc_id of a member, paired, dense
+    (whether pairs or blocks ask for it)."""
+    texts = docs.join(sendable(wanted), "doc_id").select("text", "cid", "c1", "c2", "paired", "dense")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,9 +201,10 @@ def class_sets(wanted: DataFrame, docs: DataFrame, k: int, scratch: Scratch) ->
                 want = list(zip(own["c1"].to_pylist(), own["c2"].to_pylist(), strict=True))
                 # an id may stand on rows of several texts
                 got = [(r, s) for r, s in distinct_shingles(own, k) if class_of(s) == want[r]]
-                yield pa.RecordBatch.from_arrays([own["cid"].take(pa.array([r for r, _ in got], pa.int64())), pa.array([signed(s).tobytes() for _, s in got], pa.binary())], ["cid", "set"])
+                rows = pa.array([r for r, _ in got], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(own[c].take(rows) for c in ("cid", "paired", "dense")), pa.array([signed(s).tobytes() for _, s in got], pa.binary())], ["cid", "paired", "dense", "set"])
 
-    sets = scratch.save(texts.mapInArrow(run, "cid long, set binary"))
+    sets = scratch.save(texts.mapInArrow(run, "cid long, paired boolean, dense boolean, set binary"))
     # a row that is there twice brings its class twice
     return scratch.save(sets.dropDuplicates(["cid"])) if sets.count() > wanted.count() else sets
 
@@ -247,11 +284,7 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     one = records.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("w"), *first)
     classes = scratch.save(one.withColumn("cid", F.monotonically_increasing_id()))
     scratch.free_shuffles()
-    postings = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "key"))
-    shared = scratch.save(postings.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("size")).where("c > 1"))
-    scratch.free_shuffles()
-    held = scratch.save(postings.join(sendable(shared), "key"))
-    scratch.drop(shared)
+    held = shared_postings(classes, scratch)
 
     hot = held.where(F.col("c") > SMALL)
     hot_keys = scratch.save(hot.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("pos", "key"))).alias("hot")))
@@ -261,18 +294,21 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     pairs = scratch.save(suffix_filter(near.distinct(), marks, percent))
     scratch.free_shuffles()
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(hot_keys.select("cid")).distinct()
+    use = lambda cids, paired: cids.select("cid", F.lit(paired).alias("paired"), F.lit(not paired).alias("dense"))
+    wanted = use(pairs.select(F.explode(F.array("a", "b")).alias("cid")), True).union(use(hot_keys, False))
+    wanted = wanted.groupBy("cid").agg(F.max("paired").alias("paired"), F.max("dense").alias("dense"))
     wanted = scratch.save(wanted.join(classes.select("cid", "c1", "c2", "doc_id"), "cid"))
     sets = class_sets(wanted, docs, k, scratch)
-    links = scratch.save(verify(pairs, sets, percent))
+    links = scratch.save(verify(pairs, sets.where("paired"), percent))
     scratch.drop(pairs)
     # the classes of one shingle fall into blocks by hash; every pair of blocks is one comparison
     blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
-    rows = hot.select("key", "cid", "n", "pos", blocks.alias("_n")).join(hot_keys, "cid").join(classes.select("cid", "w"), "cid").join(sets, "cid")
+    places = scratch.save(hot.select("key", "cid", "n", "pos", blocks.alias("_n")).join(hot_keys, "cid").join(classes.select("cid", "w"), "cid"))
+    rows = sets.where("dense").select("cid", "set").join(sendable(places, SEND_LISTS), "cid")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("_n")).cast("int")).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     rows = rows.select("key", F.least("block", "_j").alias("i"), F.greatest("block", "_j").alias("j"), "block", "cid", "n", "pos", "w", "hot", "set")
     dense = scratch.save(compare_blocks(rows, percent))
-    scratch.drop(held, hot_keys, sets, wanted)
+    scratch.drop(held, hot_keys, places, sets, wanted)
     scratch.free_shuffles()
 
     edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(dense.where("cid <> root").select("cid", "root").distinct())

@@ -85,9 +85,11 @@ def jaccard_components(rows, k, percent):
     return {i: (len(sets[i]), find(i), links[i]) for i in ids}
 
 
-@pytest.mark.parametrize("k,percent,small,block", [(3, 90, 64, 1024), (3, 90, 2, 7), (5, 80, 3, 1024)])
-def test_ngram_join_equals_brute_force(spark, monkeypatch, k, percent, small, block):
+@pytest.mark.parametrize("k,percent,small,block,send", [(3, 90, 64, 1024, 2_000_000), (3, 90, 2, 7, 2_000_000), (3, 90, 2, 7, 0), (5, 80, 3, 1024, 2_000_000)])
+def test_ngram_join_equals_brute_force(spark, monkeypatch, k, percent, small, block, send):
     monkeypatch.setattr(ngram_join, "SMALL", small)
+    for limit in ("SEND_KEYS", "SEND_LISTS"):
+        monkeypatch.setattr(ngram_join, limit, min(send, getattr(ngram_join, limit)))
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     rng = random.Random(k)
     rows = [(0, None), (1, ""), (2, " \t"), (3, "One two"), (4, "one TWO"), (5, "one")]
