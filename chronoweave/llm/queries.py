@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import ship_package
-from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, quality, substring_dedup, toxicity, url_rules
+from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, prefix_trie, quality, substring_dedup, toxicity, url_rules
 
 
 
@@ -28,10 +28,12 @@ QUERIES = {
     "op8_quality_rules": quality.op8,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_chat_formatting": chat_format.op10,
+    "op13_conversation_trie": prefix_trie.op13,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 SQL = {
     "op2_url_filters": url_rules.ORACLE,
     "op8_quality_rules": quality.ORACLE,
     "op10_chat_formatting": chat_format.ORACLE,
+    "op13_conversation_trie": prefix_trie.ORACLE,
 }
