@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import ship_package
-from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, prefix_trie, quality, substring_dedup, toxicity, url_rules
+from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, prefix_trie, quality, spelling, substring_dedup, toxicity, url_rules
 
 
 
@@ -28,6 +28,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_chat_formatting": chat_format.op10,
+    "op12_spelling_variants": spelling.op12,
     "op13_conversation_trie": prefix_trie.op13,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
@@ -35,5 +36,6 @@ SQL = {
     "op2_url_filters": url_rules.ORACLE,
     "op8_quality_rules": quality.ORACLE,
     "op10_chat_formatting": chat_format.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
     "op13_conversation_trie": prefix_trie.ORACLE,
 }
