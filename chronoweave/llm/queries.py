@@ -1,9 +1,9 @@
-"""Registered queries of the ten operators and their SQL."""
+"""Registered queries of the thirteen operators and their SQL."""
 
 from __future__ import annotations
 
 from ..session import ship_package
-from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, prefix_trie, quality, spelling, substring_dedup, toxicity, url_rules
+from . import chat_format, decontaminate, langid, license_scan, mixture, ngram_join, pitman_yor, prefix_trie, quality, spelling, substring_dedup, toxicity, url_rules
 
 
 
@@ -28,6 +28,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_chat_formatting": chat_format.op10,
+    "op11_lm_scoring": pitman_yor.op11,
     "op12_spelling_variants": spelling.op12,
     "op13_conversation_trie": prefix_trie.op13,
 }

@@ -54,10 +54,10 @@ class Scratch:
         self.count = 0
         atexit.register(_delete, spark, self.root)
 
-    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy", **options) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count:03d}"
-        df.write.option("compression", compression).parquet(path)
+        df.write.options(compression=compression, **options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
