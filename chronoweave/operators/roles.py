@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.pose import dot, quaternion, rotation_column
-from ..functions.scalars import logistic
+from ..functions.scalars import clamp, logistic
 
 
 def block_features(rows: DataFrame, session: str, block: str, order: str, pos: str = "pos") -> DataFrame:
@@ -188,6 +188,68 @@ def infer_head(rows: DataFrame, session: str, block: str, order: str, pos: str =
     return s.groupBy(session).agg(best.alias("s")).select(session, F.col("s.b").alias("head"), "s.axis", "s.sign", "s.score", "s.win_rate")
 
 
+def infer_left_right(rows: DataFrame, heads: DataFrame, session: str, block: str, order: str, pos: str = "pos", quat: str = "quat", eps: float = 1e-9) -> DataFrame:
+    """session, left, right, up_local, right_local, score and its parts: sides of the two hands in the head's own frame.
+
+    ``heads``: session, head, axis, sign, score as ``infer_head`` gives them. Hands are seen from the head and turned into its
+    frame row by row. The local axis that is most parallel to the world's vertical is the head's own vertical; each of the
+    other two is tried as the axis to the right: twice the hands' separation (median distance in deviations, at most 50), the
+    share of rows that are clearly apart, half the vertical's alignment, less twice the axis's own alignment with the
+    vertical. Ties: the first axis. Only rows with three blocks and a head quaternion count; other sessions give no row.
+    """
+    met = rows.groupBy(session, order).agg(F.array_sort(F.collect_list(F.struct(F.col(block).alias("b"), F.col(pos).alias("p"), F.col(quat).alias("q")))).alias("all")).where(F.size("all") == 3)
+    met = met.join(heads.select(session, "head", F.col("axis").alias("_up")), session)
+    # lambda variables bind the head, its unit quaternion and the hands once for all axes, which keeps the code small
+    size = lambda v: F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)), F.lit(eps))
+    seen = lambda x, h: F.zip_with(x["p"], h["p"], lambda y, z: y - z)
+    split = F.array(F.struct(F.filter("all", lambda x: x["b"] == F.col("head"))[0].alias("h"), F.filter("all", lambda x: x["b"] != F.col("head")).alias("o")))
+    placed = F.transform(split, lambda v: F.struct(F.transform(v["h"]["q"], lambda x: x / size(v["h"]["q"])).alias("u"), v["o"][0]["b"].alias("a"), v["o"][1]["b"].alias("b"), F.zip_with(seen(v["o"][0], v["h"]), seen(v["o"][1], v["h"]), lambda y, z: y - z).alias("d")))
+
+    def axes(v):
+        made = []
+        for j in range(3):
+            w = rotation_column(quaternion(v["u"]), j)
+            made.append(F.struct(v["a"].alias("a"), v["b"].alias("b"), F.lit(j).alias("j"), F.array(*w).alias("w"), dot(w, tuple(v["d"][k] for k in range(3))).alias("d")))
+        return F.array(*made)
+
+    each = met.select(session, "head", "_up", F.explode(F.flatten(F.transform(placed, axes))).alias("e")).where(F.col("e.d").isNotNull())
+    each = each.select(session, "head", "e.a", "e.b", "e.j", F.abs(F.element_at("e.w", F.col("_up") + 1) / size(F.col("e.w"))).alias("up"), "e.d")
+    by = [session, "head", "a", "b", "j"]
+    m = each.groupBy(*by).agg(F.avg("up").alias("align"), F.median("d").alias("med"), F.median(F.abs("d")).alias("far"))
+    d = each.join(m.select(session, "j", "med", "far"), [session, "j"])
+    s = d.groupBy(session, "j").agg((F.median(F.abs(F.col("d") - F.col("med"))) + eps).alias("mad"), F.avg((F.abs("d") > 0.25 * F.col("far") + eps).cast("double")).alias("apart"))
+    s = m.join(s, [session, "j"]).withColumn("separation", F.greatest(F.lit(0.0), F.least(F.lit(50.0), F.col("far") / F.col("mad"))))
+    own = W.partitionBy(session)
+    s = s.withColumn("up_local", F.min_by("j", F.struct(-F.col("align"), "j")).over(own)).withColumn("up_score", F.max("align").over(own)).where(F.col("j") != F.col("up_local"))
+    s = s.withColumn("score", 2 * F.col("separation") + F.col("apart") + 0.5 * F.col("up_score") - 2 * F.col("align"))
+    best = s.groupBy(session).agg(F.min_by(F.struct("a", "b", "j", "med", "score", "separation", "apart", "align", "up_local", "up_score"), F.struct(-F.col("score"), "j")).alias("s"))
+    right = lambda yes, no: F.when(F.col("s.med") >= 0, F.col(f"s.{yes}")).otherwise(F.col(f"s.{no}"))
+    return best.select(session, right("b", "a").alias("left"), right("a", "b").alias("right"), "s.up_local", F.col("s.j").alias("right_local"), "s.score", "s.separation", F.col("s.apart").alias("consistency"), F.col("s.align").alias("vertical_penalty"))
+
+
+def infer_roles(rows: DataFrame, session: str, block: str, order: str, hints: DataFrame | None = None, least: int = 10) -> DataFrame:
+    """session, head, left, right, confidence, axis, sign, n_rows, swapped, swaps, error for every session of ``rows``.
+
+    ``hints``: session, block, role as the file names them; ``swaps`` lists the blocks whose role is another one as
+    "role>role", in block order, and ``swapped`` tells whether any is or a role is not named. A session without ``least`` rows
+    of three blocks has roles null, confidence 0 and the error "too few rows".
+    """
+    whole = rows.groupBy(session, order).agg(F.count_distinct(block).alias("n")).groupBy(session).agg(F.count_if(F.col("n") == 3).alias("n_rows"))
+    enough = rows.join(whole.where(F.col("n_rows") >= least).select(session), session, "left_semi")
+    heads = infer_head(enough, session, block, order)
+    sides = infer_left_right(enough, heads, session, block, order).select(session, "left", "right", F.col("score").alias("_side"))
+    got = heads.select(session, "head", "axis", "sign", F.col("score").alias("_head")).join(sides, session)
+    out = whole.join(got, session, "left").withColumn("confidence", F.when(F.col("head").isNull(), 0.0).otherwise(clamp(global_confidence("_head", "_side"))))
+    if hints is None:
+        out = out.withColumns({"swapped": F.col("head").isNotNull(), "swaps": F.array().cast("array<string>")})
+    else:
+        role = F.when(F.col(block) == F.col("head"), "head").when(F.col(block) == F.col("left"), "left").when(F.col(block) == F.col("right"), "right")
+        h = hints.join(out.select(session, "head", "left", "right").where("head is not null"), session).withColumn("_r", role).where("_r is not null")
+        h = h.groupBy(session).agg(F.count_if(F.col("role") == F.col("_r")).alias("_same"), F.transform(F.array_sort(F.collect_list(F.when(F.col("role") != F.col("_r"), F.struct(F.col(block).alias("b"), F.concat("role", F.lit(">"), "_r").alias("t"))))), lambda x: x["t"]).alias("swaps"))
+        out = out.join(h, session, "left").withColumn("swapped", F.col("head").isNotNull() & (F.coalesce("_same", F.lit(0)) < 3)).withColumn("swaps", F.coalesce("swaps", F.array().cast("array<string>")))
+    return out.select(session, "head", "left", "right", "confidence", "axis", "sign", "n_rows", "swapped", "swaps", F.when(F.col("head").isNull(), "too few rows").alias("error"))
+
+
 PERMUTATIONS = [(0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)]
 
 

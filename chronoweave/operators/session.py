@@ -95,7 +95,10 @@ def trigger_delay(frames: DataFrame, triggers: DataFrame, session: str, camera:
 
 def gate_metrics(df: DataFrame, session: str, stream: str, time: str, tracker: str, cameras: Sequence[str], tracker_gap: float = 60.0, camera_gap: float = 120.0) -> DataFrame:
     """Metrics of the session gates from the raw streams: tracker gaps, most gaps of a camera, least share of the tracker's
-    span that a camera covers, and the spread of the streams' first times."""
+    span that a camera covers, and the spread of the streams' first times.
+
+    Every one of ``cameras`` is required: one without rows, or with a single one, covers nothing. Without a tracker of some
+    length the coverage is null. Sessions without any row are not in ``df``; ``plans.session_check`` knows those."""
     by = [session, stream]
     d = df.where(F.col(time).isNotNull() & F.col(stream).isin(tracker, *cameras)).withColumn("_dt", F.col(time) - F.lag(time).over(ordered(by, time)))
     limit = F.when(F.col(stream) == tracker, tracker_gap).otherwise(camera_gap)
@@ -103,8 +106,11 @@ def gate_metrics(df: DataFrame, session: str, stream: str, time: str, tracker: s
     own = W.partitionBy(session)
     ref = F.col(stream) == tracker
     s = s.withColumns({"_a": F.max(F.when(ref, F.col("a"))).over(own), "_z": F.max(F.when(ref, F.col("z"))).over(own)})
-    cover = F.greatest(F.lit(0.0), F.least("z", "_z") - F.greatest("a", "_a")) / F.nullif(F.col("_z") - F.col("_a"), F.lit(0.0))
-    return s.groupBy(session).agg(F.max(F.when(ref, F.col("g"))).alias("n_tracker_gaps"), F.max(F.when(~ref, F.col("g"))).alias("n_camera_gaps"), F.min(F.when(~ref, cover)).alias("camera_coverage"), (F.max("a") - F.min("a")).alias("start_spread_ms"))
+    span = F.col("_z") - F.col("_a")
+    cover = F.greatest(F.lit(0.0), F.least("z", "_z") - F.greatest("a", "_a")) / span
+    # a camera without rows has no row here: fewer cameras than required cover nothing
+    least = F.when(F.count_if(~ref) < len(cameras), 0.0).otherwise(F.min(F.when(~ref, cover)))
+    return s.withColumn("_s", span).groupBy(session).agg(F.max(F.when(ref, F.col("g"))).alias("n_tracker_gaps"), F.coalesce(F.max(F.when(~ref, F.col("g"))), F.lit(0)).alias("n_camera_gaps"), F.when(F.max("_s") > 0, least).alias("camera_coverage"), (F.max("a") - F.min("a")).alias("start_spread_ms"))
 
 
 def session_penalty(offset: Column, tracker_gaps: Column, limit: float = 250.0) -> Column:
@@ -148,9 +154,13 @@ def timing_level(sensor: DataFrame, camera: DataFrame, by: Sequence[str], time:
 
 
 def shift_iso(text: Column, milliseconds: Column) -> Column:
-    """An ISO-8601 text in UTC moved by milliseconds, to the microsecond."""
-    moved = F.timestamp_micros(F.unix_micros(text.cast("timestamp")) + F.round(milliseconds * 1000).cast("long"))
-    return F.date_format(F.to_utc_timestamp(moved, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """An ISO-8601 text in UTC (no zone, Z or +00:00) moved by milliseconds, to the microsecond, whatever the session's zone."""
+    # local date-times without a zone: their difference and sum know no change of clocks
+    utc = F.regexp_replace(text, r"(Z|[+-]00:?00)$", "").cast("timestamp_ntz")
+    zero = F.lit("1970-01-01T00:00:00").cast("timestamp_ntz")
+    moved = zero + F.make_dt_interval(secs=(F.round(milliseconds * 1000) / 1000000).cast("decimal(18,6)")) + (utc - zero)
+    shown = moved.cast("string")
+    return F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("."), F.rpad(F.substring(shown, 21, 6), 6, "0"), F.lit("+00:00"))
 
 
 def header_truth(columns: Sequence[str], meta: int = 3, size: int = 7, labels: Sequence[str] = ("head", "left", "right")) -> dict[str, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import roles, session
-from . import checks
+from . import checks, session_check as sc
 from .queries import events, query, r, table
 
 #: Events as streams in milliseconds: users are sessions, event types streams.
@@ -72,7 +72,7 @@ def trigger_delay(spark, d):
 GATES = MS + """, d AS (SELECT *, t - lag(t) OVER (PARTITION BY user_id, event_type ORDER BY t) AS dt FROM e WHERE event_type IN ('view', 'click', 'purchase')),
 s AS (SELECT user_id, event_type, min(t) AS a, max(t) AS z, count(*) FILTER (dt > CASE WHEN event_type = 'view' THEN 432000000.0 ELSE 518400000.0 END) AS g FROM d GROUP BY 1, 2),
 f AS (SELECT s.*, v.a AS ra, v.z AS rz FROM s LEFT JOIN (SELECT * FROM s WHERE event_type = 'view') v USING (user_id)),
-m AS (SELECT user_id, max(g) FILTER (event_type = 'view') AS n_tracker_gaps, max(g) FILTER (event_type <> 'view') AS n_camera_gaps, min(greatest(0.0, least(z, rz) - greatest(a, ra)) / nullif(rz - ra, 0.0)) FILTER (event_type <> 'view') AS camera_coverage, max(a) - min(a) AS start_spread_ms FROM f GROUP BY 1)"""
+m AS (SELECT user_id, max(g) FILTER (event_type = 'view') AS n_tracker_gaps, coalesce(max(g) FILTER (event_type <> 'view'), 0) AS n_camera_gaps, CASE WHEN max(rz - ra) > 0 THEN CASE WHEN count(*) FILTER (event_type <> 'view') < 2 THEN 0.0 ELSE min(greatest(0.0, least(z, rz) - greatest(a, ra)) / (rz - ra)) FILTER (event_type <> 'view') END END AS camera_coverage, max(a) - min(a) AS start_spread_ms FROM f GROUP BY 1)"""
 
 
 def _gates(spark, d):
@@ -211,6 +211,105 @@ def infer_head(spark, d):
     return roles.infer_head(_blocks(spark, d), "session", "block", "row").withColumn("score", r("score")).withColumn("win_rate", r("win_rate"))
 
 
+#: Embeddings as tracker rows, all of them: twenty rows of blocks 0, 1, 2 a session; a last row without its blocks does not count.
+TRIPLES = """WITH b0 AS (SELECT vec_id // 60 AS session, vec_id % 3 AS block, (vec_id % 60) // 3 AS row, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z, CAST(embedding[4] AS DOUBLE) AS w0, CAST(embedding[5] AS DOUBLE) AS x0, CAST(embedding[6] AS DOUBLE) AS y0, CAST(embedding[7] AS DOUBLE) AS z0 FROM embeddings),
+b AS (SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY session, row) AS n FROM b0) WHERE n = 3),
+hv AS (SELECT session, row, block, unnest([0, 0, 1, 1, 2, 2]) AS axis, unnest([-1, 1, -1, 1, -1, 1]) AS sign, unnest([-x, x, -y, y, -z, z]) AS v FROM b),
+hg AS (SELECT *, v - (sum(v) OVER w - v) / 2 AS gap, row_number() OVER (PARTITION BY session, row, axis, sign ORDER BY v DESC, block) = 1 AS won FROM hv WINDOW w AS (PARTITION BY session, row, axis, sign)),
+hm AS (SELECT session, block, axis, sign, median(gap) AS med, avg(CAST(won AS INTEGER)) AS win, avg(CAST(gap > 0 AS INTEGER)) AS above FROM hg GROUP BY 1, 2, 3, 4),
+ha AS (SELECT hg.session, hg.block, hg.axis, hg.sign, median(abs(gap - med)) + 1e-9 AS mad FROM hg JOIN hm USING (session, block, axis, sign) GROUP BY 1, 2, 3, 4),
+hs AS (SELECT session, block, axis, sign, 2.5 * win + 2.0 * above + 1.5 * greatest(0.0, least(50.0, greatest(-50.0, med / mad))) AS score FROM hm JOIN ha USING (session, block, axis, sign)),
+hd AS (SELECT session, block AS head, axis, sign, score FROM (SELECT *, row_number() OVER (PARTITION BY session ORDER BY score DESC, axis, sign, block) AS k FROM hs) WHERE k = 1),
+hq AS (SELECT b.session, b.row, hd.axis AS up, x AS hx, y AS hy, z AS hz, w0 / nn AS w, x0 / nn AS i, y0 / nn AS j, z0 / nn AS k FROM (SELECT *, sqrt(w0 ** 2 + x0 ** 2 + y0 ** 2 + z0 ** 2) AS nn FROM b) b JOIN hd ON b.session = hd.session AND b.block = hd.head),
+ax AS (SELECT session, row, up, hx, hy, hz, unnest([0, 1, 2]) AS l, unnest([1 - 2 * (j * j + k * k), 2 * (i * j - w * k), 2 * (i * k + w * j)]) AS ux, unnest([2 * (i * j + w * k), 1 - 2 * (i * i + k * k), 2 * (j * k - w * i)]) AS uy, unnest([2 * (i * k - w * j), 2 * (j * k + w * i), 1 - 2 * (i * i + j * j)]) AS uz FROM hq),
+pr AS (SELECT ax.session, ax.row, l, b.block, abs(CASE up WHEN 0 THEN ux WHEN 1 THEN uy ELSE uz END) / sqrt(ux * ux + uy * uy + uz * uz) AS align, ux * (x - hx) + uy * (y - hy) + uz * (z - hz) AS p FROM ax JOIN b USING (session, row) JOIN hd ON hd.session = ax.session AND b.block <> hd.head),
+df AS (SELECT session, row, l, min(block) AS a, max(block) AS o, any_value(align) AS align, arg_min(p, block) - arg_max(p, block) AS d FROM pr GROUP BY 1, 2, 3),
+lm AS (SELECT session, l, any_value(a) AS a, any_value(o) AS o, avg(align) AS align, median(d) AS med, median(abs(d)) AS far FROM df GROUP BY 1, 2),
+ls AS (SELECT df.session, df.l, median(abs(d - med)) + 1e-9 AS mad, avg(CAST(abs(d) > 0.25 * far + 1e-9 AS INTEGER)) AS apart FROM df JOIN lm USING (session, l) GROUP BY 1, 2),
+lu AS (SELECT lm.*, mad, apart, greatest(0.0, least(50.0, far / mad)) AS sep, first_value(lm.l) OVER (PARTITION BY session ORDER BY lm.align DESC, lm.l) AS ul, max(lm.align) OVER (PARTITION BY session) AS us FROM lm JOIN ls USING (session, l)),
+lc AS (SELECT *, 2 * sep + apart + 0.5 * us - 2 * align AS score FROM lu WHERE l <> ul),
+lr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session ORDER BY score DESC, l) AS k FROM lc) WHERE k = 1)"""
+
+
+def _triples(spark, d):
+    e = table(spark, d, "embeddings").withColumn("e", F.col("embedding").cast("array<double>"))
+    return e.select((F.col("vec_id") / 60).cast("bigint").alias("session"), (F.col("vec_id") % 3).alias("block"), F.floor(F.col("vec_id") % 60 / 3).alias("row"), F.slice("e", 1, 3).alias("pos"), F.slice("e", 4, 4).alias("quat"))
+
+
+@query(TRIPLES + """ SELECT session, CASE WHEN med >= 0 THEN o ELSE a END AS "left", CASE WHEN med >= 0 THEN a ELSE o END AS "right", ul AS up_local, l AS right_local, round(score, 6) AS score, round(sep, 6) AS separation, round(apart, 6) AS consistency, round(align, 6) AS vertical_penalty FROM lr""")
+def infer_left_right(spark, d):
+    x = _triples(spark, d)
+    s = roles.infer_left_right(x, roles.infer_head(x, "session", "block", "row"), "session", "block", "row")
+    return s.withColumns({c: r(c) for c in ("score", "separation", "consistency", "vertical_penalty")})
+
+
+@query(TRIPLES + """, n AS (SELECT session, count(DISTINCT row) FILTER (c = 3) AS n_rows FROM (SELECT session, row, count(*) OVER (PARTITION BY session, row) AS c FROM b0) GROUP BY 1),
+g AS (SELECT n.session, n_rows, head, CASE WHEN med >= 0 THEN o ELSE a END AS lf, CASE WHEN med >= 0 THEN a ELSE o END AS rt, axis, sign, 0.55 / (1 + exp(4.0 - greatest(-50.0, least(50.0, hd.score)))) + 0.45 / (1 + exp(2.5 - greatest(-50.0, least(50.0, lr.score)))) AS c FROM n LEFT JOIN (hd JOIN lr USING (session)) USING (session)),
+v AS (SELECT session, string_agg(CASE WHEN role <> now THEN role || '>' || now END, ',' ORDER BY block) AS swaps, count(*) FILTER (role = now) AS same FROM (SELECT session, block, ['head', 'left', 'right'][block + 1] AS role, CASE block WHEN head THEN 'head' WHEN lf THEN 'left' ELSE 'right' END AS now FROM (SELECT *, unnest([0, 1, 2]) AS block FROM g) WHERE n_rows >= 10) GROUP BY 1)
+SELECT session, CASE WHEN n_rows >= 10 THEN head END AS head, CASE WHEN n_rows >= 10 THEN lf END AS "left", CASE WHEN n_rows >= 10 THEN rt END AS "right", round(CASE WHEN n_rows >= 10 THEN c ELSE 0.0 END, 6) AS confidence, CASE WHEN n_rows >= 10 THEN axis END AS axis, CASE WHEN n_rows >= 10 THEN sign END AS sign, n_rows, n_rows >= 10 AND same < 3 AS swapped, coalesce(swaps, '') AS swaps, CASE WHEN n_rows < 10 THEN 'too few rows' END AS error FROM g LEFT JOIN v USING (session)""")
+def infer_roles(spark, d):
+    x = _triples(spark, d)
+    hints = x.select("session", "block").distinct().withColumn("role", F.element_at(F.array(*map(F.lit, ("head", "left", "right"))), (F.col("block") + 1).cast("int")))
+    s = roles.infer_roles(x, "session", "block", "row", hints)
+    return s.withColumn("confidence", r("confidence")).withColumn("swaps", F.array_join("swaps", ",")).withColumn("swapped", F.coalesce("swapped", F.lit(False)))
+
+
+#: Users as sessions, minutes as the time: views are the tracker, clicks, errors and sign-ups the cameras. The customer of the
+#: same number is the metadata; sign-ups of some segments are no camera, so that those sessions lack one.
+SESSION_STREAMS = """WITH e AS (SELECT user_id AS u, epoch_us(ts) / 6e7 AS t, value, value >= 0.3 AS valid, c_acctbal, c_mktsegment, CASE event_type WHEN 'view' THEN 'tracker' WHEN 'click' THEN 'cam_head' WHEN 'error' THEN 'cam_left' WHEN 'signup' THEN CASE WHEN c_mktsegment = 'MACHINERY' THEN 'spare' ELSE 'cam_right' END ELSE 'spare' END AS stream FROM events LEFT JOIN customer ON c_custkey = user_id),
+ss AS (SELECT u, coalesce(max(c_acctbal) >= -700, false) AS metadata_ok, CASE WHEN max(c_mktsegment) <> 'FURNITURE' THEN min(t) FILTER (stream = 'tracker') - abs(max(c_acctbal)) / 10 END AS trigger FROM e GROUP BY 1),
+d AS (SELECT *, t - lag(t) OVER (PARTITION BY u, stream ORDER BY t) AS dt FROM e WHERE stream <> 'spare'),
+s AS (SELECT u, stream, count(*) AS n, min(t) AS a, max(t) AS z, count(*) FILTER (dt > CASE WHEN stream = 'tracker' THEN 7200.0 ELSE 10080.0 END) AS g, avg(CAST(NOT valid AS INTEGER)) AS bad FROM d GROUP BY 1, 2),
+w AS (SELECT ss.*, st.stream, n, a, z, g, bad FROM ss CROSS JOIN (VALUES ('tracker'), ('cam_head'), ('cam_left'), ('cam_right')) st(stream) LEFT JOIN s ON s.u = ss.u AND s.stream = st.stream),
+f0 AS (SELECT u, bool_and(metadata_ok) AS has_metadata, count(*) FILTER (n IS NULL) AS n_missing_files, coalesce(max(bad) FILTER (stream = 'tracker'), 0.0) AS inv, coalesce(max(g) FILTER (stream = 'tracker' AND n >= 2), 0) AS ntg, coalesce(max(g) FILTER (stream <> 'tracker'), 0) AS ncg,
+  max(a) FILTER (stream = 'tracker' AND n >= 2) AS ra, max(z) FILTER (stream = 'tracker' AND n >= 2) AS rz, coalesce(max(abs(a - trigger)) FILTER (stream <> 'tracker'), 0.0) AS off FROM w GROUP BY 1),
+cv AS (SELECT w.u, min(CASE WHEN coalesce(n, 0) < 2 THEN 0.0 ELSE greatest(0.0, least(z, rz) - greatest(a, ra)) / (rz - ra + 1e-6) END) AS cov FROM w JOIN f0 USING (u) WHERE stream <> 'tracker' GROUP BY 1),
+f AS (SELECT f0.*, CASE WHEN rz - ra > 0 THEN least(1.0, cov) END AS coverage FROM f0 JOIN cv USING (u)),
+b AS (SELECT *, CASE WHEN n_missing_files > 0 THEN 0 WHEN NOT has_metadata THEN 1 WHEN inv > 0.05 THEN 2 WHEN ntg >= 3 THEN 3 WHEN ncg >= 5 THEN 4 WHEN coverage < 0.65 THEN 5 END AS gate,
+  least(1.0, greatest(0.5, CASE WHEN off >= 250 THEN greatest(0.0, 1 - (off - 250) / 10000.0) ELSE 1.0 END * CASE WHEN ntg > 0 THEN greatest(0.90, 1 - ntg * 0.03) ELSE 1.0 END)) AS penalty FROM f)"""
+CHECK = SESSION_STREAMS + """,
+v AS (SELECT e.u, stream, t, value FROM e JOIN b ON b.u = e.u AND gate IS NULL WHERE stream <> 'spare' AND value IS NOT NULL),
+en AS (SELECT u, stream, min(t) AS a, max(t) AS z, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM v GROUP BY 1, 2 HAVING count(*) >= 6),
+p AS (SELECT a.u, b.stream AS tgt, greatest(a.a, b.a) AS st, least(a.z, b.z) AS sp FROM en a JOIN en b ON a.u = b.u AND a.stream = 'tracker' AND b.stream <> 'tracker'),
+gt AS (SELECT u, tgt, i, st + i * 360.0 AS t, 'tracker' AS ref FROM (SELECT *, unnest(range(0, CAST(ceil((sp - st) / 360) AS BIGINT))) AS i FROM p WHERE sp - st >= 7200 AND ceil((sp - st) / 360) >= 16)),
+iv AS (SELECT u, stream, t, c AS v, lead(t) OVER w AS t2, lead(c) OVER w AS v2 FROM (SELECT v.*, least(hi, greatest(lo, value)) AS c FROM v JOIN en USING (u, stream)) WINDOW w AS (PARTITION BY u, stream ORDER BY t)),
+xx AS (SELECT gt.*, CASE WHEN iv.t = gt.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (gt.t - iv.t) / (t2 - iv.t) END AS x FROM gt ASOF JOIN iv ON gt.u = iv.u AND gt.ref = iv.stream AND gt.t >= iv.t),
+xy AS (SELECT xx.u, xx.tgt, i, x, CASE WHEN iv.t = xx.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (xx.t - iv.t) / (t2 - iv.t) END AS y FROM xx ASOF JOIN iv ON xx.u = iv.u AND xx.tgt = iv.stream AND xx.t >= iv.t),
+zs AS (SELECT u, tgt, i, count(*) OVER w AS n, (x - avg(x) OVER w) / (stddev_pop(x) OVER w + 1e-8) AS x, (y - avg(y) OVER w) / (stddev_pop(y) OVER w + 1e-8) AS y FROM xy WINDOW w AS (PARTITION BY u, tgt)),
+c1 AS (SELECT u, tgt, CASE WHEN stddev_pop(x) < 1e-8 OR stddev_pop(y) < 1e-8 THEN 0.0 ELSE corr(x, y) END AS c, CASE WHEN stddev_pop(x * x) < 1e-8 OR stddev_pop(y * y) < 1e-8 THEN 0.0 ELSE corr(x * x, y * y) END AS ec FROM zs GROUP BY 1, 2),
+ft AS (SELECT u, tgt, k, sqrt(sum(x * cos(2 * pi() * i * k / n)) ** 2 + sum(x * sin(2 * pi() * i * k / n)) ** 2) AS fx, sqrt(sum(y * cos(2 * pi() * i * k / n)) ** 2 + sum(y * sin(2 * pi() * i * k / n)) ** 2) AS fy FROM (SELECT *, unnest(range(0, n // 2 + 1)) AS k FROM zs) GROUP BY 1, 2, 3),
+c2 AS (SELECT u, tgt, CASE WHEN stddev_pop(fx) < 1e-8 OR stddev_pop(fy) < 1e-8 THEN 0.0 ELSE corr(fx, fy) END AS sc FROM ft GROUP BY 1, 2),
+ls AS (SELECT u, tgt, i, x AS v, 'x' AS side FROM zs UNION ALL SELECT u, tgt, i, y, 'y' FROM zs),
+ch AS (SELECT *, CASE WHEN v = lag(v) OVER w THEN 0 ELSE 1 END AS new, quantile_cont(v, 0.75) OVER (PARTITION BY u, tgt, side) AS q FROM ls WINDOW w AS (PARTITION BY u, tgt, side ORDER BY i)),
+il AS (SELECT *, sum(new) OVER (PARTITION BY u, tgt, side ORDER BY i) AS k FROM ch),
+ie AS (SELECT u, tgt, side, k, min(i) AS i0, max(i) AS i1, max(v) AS v, max(q) AS q FROM il GROUP BY 1, 2, 3, 4),
+pk AS (SELECT u, tgt, side, (i0 + i1) // 2 AS i FROM (SELECT *, lag(v) OVER w AS before, lead(v) OVER w AS after FROM ie WINDOW w AS (PARTITION BY u, tgt, side ORDER BY k)) WHERE before < v AND after < v AND v >= q),
+mt AS (SELECT a.u, a.tgt, a.side, a.i, bool_or(coalesce(abs(b.i - a.i) <= 4, false)) AS hit FROM pk a LEFT JOIN pk b ON a.u = b.u AND a.tgt = b.tgt AND a.side <> b.side GROUP BY 1, 2, 3, 4),
+mr AS (SELECT u, tgt, CASE WHEN count(DISTINCT side) = 2 THEN (avg(CAST(hit AS INTEGER)) FILTER (side = 'x') + avg(CAST(hit AS INTEGER)) FILTER (side = 'y')) / 2 ELSE 0.0 END AS m FROM mt GROUP BY 1, 2),
+al AS (SELECT u, count(*) AS n_pairs, avg(least(1.0, 0.42 * greatest(c, 0.0) + 0.28 * greatest(ec, 0.0) + 0.20 * coalesce(m, 0.0) + 0.10 * greatest(sc, 0.0))) AS a FROM c1 JOIN c2 USING (u, tgt) LEFT JOIN mr USING (u, tgt) GROUP BY 1)
+SELECT b.u AS user_id, (['structure', 'metadata', 'quaternions', 'tracker_continuity', 'camera_continuity', 'camera_coverage'])[gate + 1] AS blocked_by, CAST(coalesce(gate + 1, 6) AS INTEGER) AS n_gates, n_missing_files, ncg AS n_camera_gaps, round(coverage, 6) AS camera_coverage, coalesce(n_pairs, 0) AS n_pairs,
+round(CASE WHEN gate IS NULL THEN coalesce(a, 0.0) END, 6) AS alignment, round(penalty, 6) AS penalty, CASE WHEN gate IS NULL THEN round(least(100.0, greatest(0.0, coalesce(a, 0.0) * penalty * 100)), 1) ELSE 0.0 END AS score FROM b LEFT JOIN al USING (u)"""
+LAYOUT = sc.Layout(tracker_gap=7200.0, camera_gap=10_080.0, step=360.0, least_overlap=7200.0, least_rows=6)
+
+
+def _raw_sessions(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal", "c_mktsegment")
+    e = events(spark, d).join(c, "user_id", "left")
+    kind = F.col("event_type")
+    stream = F.when(kind == "view", "tracker").when(kind == "click", "cam_head").when(kind == "error", "cam_left").when((kind == "signup") & ~F.coalesce(F.col("c_mktsegment") == "MACHINERY", F.lit(False)), "cam_right").otherwise("spare")
+    e = e.select("user_id", stream.alias("stream"), (F.col("us") / 6e7).alias("t"), "value", (F.col("value") >= 0.3).alias("valid"), "c_acctbal", "c_mktsegment")
+    trigger = F.when(F.max("c_mktsegment") != "FURNITURE", F.min(F.when(F.col("stream") == "tracker", F.col("t"))) - F.abs(F.max("c_acctbal")) / 10)
+    sessions = e.groupBy("user_id").agg(F.coalesce(F.max("c_acctbal") >= -700, F.lit(False)).alias("metadata_ok"), trigger.alias("trigger"))
+    return sessions, e.select("user_id", "stream", "t", "value", "valid")
+
+
+@query(CHECK)
+def check_sessions(spark, d):
+    """Raw streams to gates in order, alignment of the pairs on common grids, penalty and score; a session without a camera is blocked."""
+    x = sc.check_sessions(*_raw_sessions(spark, d), "user_id", LAYOUT)
+    return x.select("user_id", "blocked_by", F.size("gates").alias("n_gates"), "n_missing_files", "n_camera_gaps", r("camera_coverage").alias("camera_coverage"), "n_pairs", r("alignment").alias("alignment"), r("penalty").alias("penalty"), "score")
+
+
 @query()
 def oversampled_examples(spark, d):
     x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("label"))
