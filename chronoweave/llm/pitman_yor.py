@@ -27,7 +27,7 @@ CHUNK_TOKENS = 1 << 20
 #: (chunk, pair) entries that one bucket gets, as an expected number.
 BUCKET = 2_000_000
 #: Most frequent words whose values are sent to every task; the others meet the chunks' word lists in a shuffle.
-HOT_WORDS = 1 << 16
+HOT_WORDS = 1 << 17
 #: Customers up to which the number of tables is drawn from its exact conditional distribution; beyond, from the limit.
 EXACT = 200
 #: Gibbs sweeps; the first BURN_IN are not averaged.
@@ -38,7 +38,7 @@ END = np.uint64(0x5EED0F7E27)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 ENCODED = "chunk long, words binary, codes binary, ids binary, id_null binary, sizes binary, kinds binary"
-COUNTED = ENCODED + ", counts binary, n binary, as_context binary, as_word binary, pair_context binary, pair_word binary, pair_n binary"
+COUNTED = ENCODED + ", counts binary, n binary, alone_context binary, alone_word binary, all_context binary, all_word binary, pair_context binary, pair_word binary, pair_n binary"
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -164,8 +164,8 @@ def count_pairs(chunk_rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def attach_counts(chunk_rows: DataFrame, counted: DataFrame) -> DataFrame:
-    """Chunks with the counts of their pairs (``COUNTED``), learned tokens of each word, own pairs met once by context and by
-    word, and the own pairs met more often."""
+    """Chunks with the counts of their pairs (``COUNTED``), learned tokens of each word, own pairs by context and by word (those
+    met once, and all), and the own pairs met more often."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         c, right = Chunk(next(_rows(left.to_batches()))), right.sort_by("bucket")
@@ -173,7 +173,7 @@ def attach_counts(chunk_rows: DataFrame, counted: DataFrame) -> DataFrame:
         own = np.concatenate([np.unpackbits(np.frombuffer(o, np.uint8), count=len(x)) for o, x in zip(right["own"].to_pylist(), parts, strict=True)]).astype(bool)
         counts, size = np.concatenate(parts), len(c.words)
         once, more = own & (counts == 1), own & (counts > 1)
-        by_word = [np.bincount(x, minlength=size) for x in (c.codes[c.learned], c.context[once], c.word[once])]
+        by_word = [np.bincount(x, minlength=size) for x in (c.codes[c.learned], c.context[once], c.word[once], c.context[own], c.word[own])]
         cols = [_small(counts), *map(_small, by_word), _planes(c.context[more]), _planes(c.word[more]), _small(counts[more])]
         for name, col in zip(COUNTED.split(", ")[len(ENCODED.split(", ")) :], cols, strict=True):
             left = left.append_column(name.split()[0], pa.array([col], pa.binary()))
@@ -182,26 +182,58 @@ def attach_counts(chunk_rows: DataFrame, counted: DataFrame) -> DataFrame:
     return chunk_rows.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(join, COUNTED)
 
 
-def words_and_pairs(counted: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(word, n, as_context, as_word) of learned texts, and (context, word, n) of the pairs met twice or more.
+WORD_SUMS = ("n", "alone_context", "alone_word", "all_context", "all_word")
 
-    Pairs met once always have one table; they stay sums.
-    """
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def learned_words(counted: DataFrame) -> DataFrame:
+    """word, n (learned tokens) and its pairs as context and as word: those met once, which have one table for good, and all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            words, *sums = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            words, at = np.unique(words, return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(words), *[pa.array(np.bincount(at, weights=x, minlength=len(words)).astype(np.int64)) for x in sums]], ["word", *WORD_SUMS])
+
         for row in _rows(batches):
-            n, a, b = (_unsmall(row[x]) for x in ("n", "as_context", "as_word"))
+            n, *more = (_unsmall(row[x]) for x in WORD_SUMS)
             yes = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["words"], np.int64)[yes]), *[pa.array(x[yes]) for x in (n, a, b)]], ["word", "n", "as_context", "as_word"])
+            held.append([np.frombuffer(row["words"], np.int64)[yes], n[yes], *[x[yes] for x in more]])
+            size += len(n)
+            if size > 1_000_000:
+                yield out()
+                size = 0
+        if held:
+            yield out()
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    got = counted.select("words", *WORD_SUMS).mapInArrow(run, "word long, " + ", ".join(f"{x} long" for x in WORD_SUMS))
+    return got.groupBy("word").agg(*[F.sum(x).alias(x) for x in WORD_SUMS])
+
+
+def learned_pairs(counted: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Pairs met twice or more, each once: rows (context, word, n), or, where both words are among the ``hot`` ones, packed
+    (kind 1: places in that list and counts of many pairs in one row)."""
+    sent = counted.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = sent.value
         for row in _rows(batches):
-            words = np.frombuffer(row["words"], np.int64)
-            yield pa.RecordBatch.from_arrays([*[pa.array(words[_unplane(row[x])]) for x in ("pair_context", "pair_word")], pa.array(_unsmall(row["pair_n"]))], ["context", "word", "n"])
+            words = np.frombuffer(row["words"], np.uint64)
+            a, w, n = _unplane(row["pair_context"]), _unplane(row["pair_word"]), _unsmall(row["pair_n"])
+            yes, place = _inside(hot, words)
+            both = yes[a] & yes[w]
+            packed = [_planes(place[a[both]]), _planes(place[w[both]]), _small(n[both])]
+            rest = [signed(words[a[~both]]), signed(words[w[~both]]), n[~both]]
+            none = [pa.nulls(len(rest[0]), pa.binary())] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rest[0]), np.int32)), *map(pa.array, rest), *none], PAIR_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), *[pa.array([None], pa.int64())] * 3, *[pa.array([x], pa.binary()) for x in packed]], PAIR_NAMES)
 
-    w = counted.select("words", "n", "as_context", "as_word").mapInArrow(words, "word long, n long, as_context long, as_word long")
-    w = w.groupBy("word").agg(*[F.sum(x).alias(x) for x in ("n", "as_context", "as_word")])
-    return scratch.save(w), scratch.save(counted.select("words", "pair_context", "pair_word", "pair_n").mapInArrow(pairs, "context long, word long, n long"))
+    return counted.select("words", "pair_context", "pair_word", "pair_n").mapInArrow(run, "kind int, context long, word long, n long, contexts binary, words binary, counts binary")
+
+
+PAIR_NAMES = ["kind", "context", "word", "n", "contexts", "words", "counts"]
 
 
 class Seats:
@@ -275,36 +307,48 @@ def discount_of(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
-def sample(words: DataFrame, pairs: DataFrame, scratch: Scratch, sweeps: int = SWEEPS) -> tuple[DataFrame, dict]:
-    """Gibbs sweeps: (word, n, tables0.., prob0..) with the tables of each word's context and its root probability after
-    every sweep (0: one table a pair), and the model's numbers. Scalars reach the driver, nothing else."""
-    once, twice = words.agg(F.sum("as_context")).first()[0] or 0, pairs.where("n = 2").count()
-    vocabulary, tokens = words.agg(F.count("*"), F.sum("n")).first()
-    model = {"V": vocabulary, "N": tokens or 0, "d": discount_of(once, twice), "unknown": []}
-    first = pairs.select(F.explode(F.array(F.struct(F.col("context").alias("word"), F.lit(1).alias("c"), F.lit(0).alias("w")), F.struct("word", F.lit(0).alias("c"), F.lit(1).alias("w")))).alias("s"))
-    sums = first.groupBy("s.word").agg(F.sum("s.c").alias("c"), F.sum("s.w").alias("w"))
-    state = words
+def sample(words: DataFrame, pairs: DataFrame, hot: np.ndarray, scratch: Scratch, sweeps: int = SWEEPS) -> tuple[DataFrame, dict]:
+    """Gibbs sweeps: (word, n, tables0, prob0, ...), the tables of each word's context and its root probability after every
+    sweep (0: one table a pair), and the model's numbers. ``words`` and ``pairs`` are saved; scalars and the values of the hot
+    words (a bounded list) reach the driver."""
+    vocabulary, tokens, once = words.agg(F.count("*"), F.sum("n"), F.sum("alone_context")).first()
+    model = {"V": vocabulary, "N": tokens or 0, "d": discount_of(once or 0, _met_twice(pairs)), "unknown": []}
+    a, b = words.agg(F.count_if(F.col("all_word") == 1), F.count_if(F.col("all_word") == 2)).first()
+    model["d0"] = d0 = discount_of(a, b)
+    weight = (ROOT_THETA + d0 * vocabulary) / (vocabulary + 1)
+    state, sums, saved = words, None, None
     for sweep in range(sweeps + 1):
-        fresh = state.join(sums, "word", "left")
-        add = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
-        fresh = scratch.save(fresh.select(*state.columns, add("as_context", "c").alias(f"tables{sweep}"), add("as_word", "w").alias("customers")))
-        if sweep == 0:
-            a, b = fresh.agg(F.count_if(F.col("customers") == 1), F.count_if(F.col("customers") == 2)).first()
-            model["d0"] = discount_of(a, b)
-            weight = (ROOT_THETA + model["d0"] * vocabulary) / (vocabulary + 1)
-        seated = scratch.save(_root(fresh, sweep, model["d0"], weight))
+        if sums is None:
+            fresh = state.withColumns({"tables": F.col("all_context"), "customers": F.col("all_word")})
+        else:
+            add = lambda x, y: F.col(x) + F.coalesce(F.col(y), F.lit(0))
+            fresh = state.join(sums, "word", "left").withColumns({"tables": add("alone_context", "c"), "customers": add("alone_word", "w")}).drop("c", "w")
+        seated = scratch.save(_root(fresh.drop("all_context", "all_word"), sweep, d0, weight))
         customers, tables = (x or 0 for x in seated.agg(F.sum("customers"), F.sum("root_tables")).first())
-        weight = (ROOT_THETA + model["d0"] * tables) / (vocabulary + 1)
+        weight = (ROOT_THETA + d0 * tables) / (vocabulary + 1)
         model["unknown"].append(weight / (ROOT_THETA + customers))
-        prob = (F.col("customers") - model["d0"] * F.col("root_tables") + weight) / (ROOT_THETA + customers)
+        prob = (F.col("customers") - d0 * F.col("root_tables") + weight) / (ROOT_THETA + customers)
         # floats, so that every draw of a pair sees the same values wherever it is made
-        state, before = scratch.save(seated.select(*state.columns, F.col(f"tables{sweep}").cast("float").alias(f"tables{sweep}"), prob.cast("float").alias(f"prob{sweep}"))), state
-        scratch.drop(fresh, seated, before)
+        state = seated.withColumns({f"tables{sweep}": F.col("tables").cast("float"), f"prob{sweep}": prob.cast("float")}).drop("tables", "customers", "root_tables")
+        scratch.drop(*[x for x in (saved, sums) if x is not None])
+        scratch.free_shuffles()
+        saved = seated
         if sweep < sweeps:
-            sums = _tables(pairs, state, sweep, model["d"])
+            sums = scratch.save(_tables(pairs, state, hot, sweep, model["d"]))
     return state, model
 
 
+def _met_twice(pairs: DataFrame) -> int:
+    """How many pairs are met twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([int((_unsmall(row["counts"]) == 2).sum())])], ["n"])
+
+    packed = pairs.where("kind = 1").select("counts").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return packed + pairs.where("kind = 0 and n = 2").count()
+
+
 def _root(state: DataFrame, sweep: int, discount: float, weight: float) -> DataFrame:
     """Adds ``root_tables``, the words' drawn tables in the root restaurant."""
 
@@ -320,19 +364,36 @@ def _root(state: DataFrame, sweep: int, discount: float, weight: float) -> DataF
     return state.mapInArrow(run, kinds + ", root_tables bigint")
 
 
-def _tables(pairs: DataFrame, state: DataFrame, sweep: int, discount: float) -> DataFrame:
-    """(word, c, w): drawn tables of all pairs by context and by word, given the state after ``sweep``."""
+def _tables(pairs: DataFrame, state: DataFrame, hot: np.ndarray, sweep: int, discount: float) -> DataFrame:
+    """(word, c, w): drawn tables of all pairs by context and by word, given the state after ``sweep``. Pairs of hot words are
+    drawn where they lie; the others meet their values in two joins."""
+    tables, prob = f"tables{sweep}", f"prob{sweep}"
+    sent = state.sparkSession.sparkContext.broadcast((hot, _values_of(hot, state.select("word", tables, prob))))
+    kinds = "word long, c long, w long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(a: np.ndarray, w: np.ndarray, t: np.ndarray) -> pa.RecordBatch:
+        words, at = np.unique(np.concatenate((a, w)), return_inverse=True)
+        by = [np.bincount(x, weights=t, minlength=len(words)).astype(np.int64) for x in (at[: len(a)], at[len(a) :])]
+        return pa.RecordBatch.from_arrays([pa.array(words), *map(pa.array, by)], ["word", "c", "w"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (hot, value), seats = sent.value, Seats(discount)
+        by = np.zeros((2, len(hot)), np.int64)
+        for row in _rows(batches):
+            a, w, n = _unplane(row["contexts"]), _unplane(row["words"]), _unsmall(row["counts"])
+            t = seats.draw(n, _weight(discount, value[a, 0], value[w, 1]), pair_key(hot[a], hot[w]), sweep + 1)
+            for k, x in enumerate((a, w)):
+                by[k] += np.bincount(x, weights=t, minlength=len(hot)).astype(np.int64)
+        yes = by.any(0)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(hot[yes])), pa.array(by[0][yes]), pa.array(by[1][yes])], ["word", "c", "w"])
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seats, held, size = Seats(discount), [], 0
 
         def out() -> pa.RecordBatch:
             n, a, w, tables, prob = (np.concatenate(x) for x in zip(*held, strict=True))
-            t = seats.draw(n, _weight(discount, tables, prob), pair_key(a.view(np.uint64), w.view(np.uint64)), sweep + 1)
-            words, at = np.unique(np.concatenate((a, w)), return_inverse=True)
-            by = [np.bincount(x, weights=t, minlength=len(words)).astype(np.int64) for x in (at[: len(a)], at[len(a) :])]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words), *map(pa.array, by)], ["word", "c", "w"])
+            return add(a, w, seats.draw(n, _weight(discount, tables, prob), pair_key(a.view(np.uint64), w.view(np.uint64)), sweep + 1))
 
         for b in batches:
             held.append([b[x].to_numpy(zero_copy_only=False) for x in ("n", "context", "word", "tables", "prob")])
@@ -343,24 +404,46 @@ def _tables(pairs: DataFrame, state: DataFrame, sweep: int, discount: float) ->
         if size:
             yield out()
 
-    tables = state.select(F.col("word").alias("context"), F.col(f"tables{sweep}").alias("tables"))
-    rows = pairs.join(tables, "context").join(state.select("word", F.col(f"prob{sweep}").alias("prob")), "word")
-    return rows.select("n", "context", "word", "tables", "prob").mapInArrow(run, "word long, c long, w long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("w").alias("w"))
+    near = pairs.where("kind = 1").select("contexts", "words", "counts").mapInArrow(packed, kinds)
+    rows = pairs.where("kind = 0").select("context", "word", "n")
+    rows = rows.join(state.select(F.col("word").alias("context"), F.col(tables).alias("tables")), "context").join(state.select("word", F.col(prob).alias("prob")), "word")
+    far = rows.select("n", "context", "word", "tables", "prob").mapInArrow(single, kinds)
+    return near.unionByName(far).groupBy("word").agg(F.sum("c").alias("c"), F.sum("w").alias("w"))
+
+
+def hot_list(words: DataFrame, most: int) -> np.ndarray:
+    """Hashes of the ``most`` most frequent words, sorted; a bounded list that reaches the driver."""
+    top = words.orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()["word"] if most else []
+    return np.sort(np.asarray(top, np.int64).view(np.uint64))
+
+
+def _values_of(hot: np.ndarray, rows: DataFrame) -> np.ndarray:
+    """The columns of ``rows`` (word, numbers) for each hot word."""
+    sent = rows.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_inside(sent.value, b["word"].to_numpy(zero_copy_only=False).view(np.uint64))[0]))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    got = rows.mapInArrow(run, kinds).toArrow()
+    out = np.zeros((len(hot), len(rows.columns) - 1))
+    at = np.searchsorted(hot, got["word"].to_numpy().view(np.uint64))
+    for k, c in enumerate(got.column_names[1:]):
+        out[at, k] = got[c].to_numpy()
+    return out
 
 
 def _weight(discount: float, tables: np.ndarray, prob: np.ndarray) -> np.ndarray:
     return (THETA + discount * tables.astype(np.float64)) * prob.astype(np.float64)
 
 
-def score_chunks(counted: DataFrame, state: DataFrame, model: dict, sweeps: int = SWEEPS, burn_in: int = BURN_IN, hot_words: int = HOT_WORDS) -> DataFrame:
+def score_chunks(counted: DataFrame, state: DataFrame, model: dict, hot: np.ndarray, scratch: Scratch, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document of the chunks."""
-    width = 1 + 2 * (sweeps + 1)
-    values = state.select("word", F.col("n").alias("count"), *[c for c in state.columns if c.startswith(("tables", "prob"))])
-    top = values.orderBy(F.desc("count"), "word").limit(hot_words).toArrow() if hot_words else values.limit(0).toArrow()
-    hot = top["word"].to_numpy().view(np.uint64)
-    sort = np.argsort(hot)
-    hot, hot_values = hot[sort], np.stack([top[c].to_numpy().astype(np.float64) for c in top.column_names[1:]], 1)[sort] if len(hot) else np.zeros((0, width))
-    sent = counted.sparkSession.sparkContext.broadcast((hot, hot_values))
+    used = range(burn_in, sweeps + 1)
+    width = 1 + 2 * len(used)
+    values = state.select("word", F.col("n").alias("count"), *[c for s in used for c in (f"tables{s}", f"prob{s}")])
+    sent = counted.sparkSession.sparkContext.broadcast((hot, _values_of(hot, values)))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = sent.value[0]
@@ -372,8 +455,9 @@ def score_chunks(counted: DataFrame, state: DataFrame, model: dict, sweeps: int
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row["chunk"])), pa.array(part.astype(np.int32)), pa.array(signed(words[part]))], ["chunk", "at", "word"])
 
     asked = counted.select("chunk", "words").mapInArrow(ask, "chunk long, at int, word long")
-    answers = asked.join(values, "word").drop("word")
-    d, unknown, vocabulary, tokens = model["d"], np.array(model["unknown"]), model["V"], model["N"]
+    answers = scratch.save(asked.join(values, "word").drop("word"))
+    scratch.free_shuffles()
+    d, unknown, vocabulary, tokens = model["d"], np.array(model["unknown"])[list(used)], model["V"], model["N"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         seats, (hot, hot_values) = Seats(d), sent.value
@@ -390,11 +474,11 @@ def score_chunks(counted: DataFrame, state: DataFrame, model: dict, sweeps: int
             n = _unsmall(row["counts"])
             seen, met = value[c.context, 0], np.flatnonzero(n > 1)
             prob = np.zeros(len(n))
-            for s in range(burn_in + 1, sweeps + 1):
+            for k in range(1, len(used)):
                 t = np.minimum(n, 1)
-                tables, parent = value[:, 2 * s - 1], value[:, 2 * s]
-                t[met] = seats.draw(n[met], _weight(d, tables[c.context[met]].astype(np.float32), parent[c.word[met]].astype(np.float32)), c.key[met], s)
-                tables, parent = value[:, 2 * s + 1], value[:, 2 * s + 2]
+                tables, parent = value[:, 2 * k - 1], value[:, 2 * k]
+                t[met] = seats.draw(n[met], _weight(d, tables[c.context[met]].astype(np.float32), parent[c.word[met]].astype(np.float32)), c.key[met], burn_in + k)
+                tables, parent = value[:, 2 * k + 1], value[:, 2 * k + 2]
                 prob += (np.maximum(n - d * t, 0) + (THETA + d * tables[c.context]) * parent[c.word]) / (THETA + seen)
             logs = np.log10(prob / (sweeps - burn_in))[c.at]
             count = value[c.codes, 0]
@@ -426,16 +510,18 @@ def score_texts(docs: DataFrame, scratch: Scratch, bucket: int = BUCKET, sweeps:
     encoded = scratch.save(encode(docs), "zstd", maxRecordsPerFile=8)
     entries = encoded.agg(F.sum(F.octet_length("codes") / 4)).first()[0] or 0
     buckets = max(1, -(-int(entries) // bucket))
-    pairs = count_pairs(encoded, buckets)
-    counted = scratch.save(attach_counts(encoded, pairs), "zstd", maxRecordsPerFile=8)
-    scratch.drop(encoded)
+    pairs = scratch.save(count_pairs(encoded, buckets), "zstd")
     scratch.free_shuffles()
-    words, pairs = words_and_pairs(counted, scratch)
+    counted = scratch.save(attach_counts(encoded, pairs), "zstd", maxRecordsPerFile=8)
+    scratch.drop(encoded, pairs)
     scratch.free_shuffles()
-    state, model = sample(words, pairs, scratch, sweeps)
-    scratch.drop(pairs)
+    words = scratch.save(learned_words(counted))
+    hot = hot_list(words, hot_words)
+    pairs = scratch.save(learned_pairs(counted, hot))
     scratch.free_shuffles()
-    return score_chunks(counted, state, model, sweeps, burn_in, hot_words)
+    state, model = sample(words, pairs, hot, scratch, sweeps)
+    scratch.drop(words, pairs)
+    return score_chunks(counted, state, model, hot, scratch, sweeps, burn_in)
 
 
 def op11(spark, sf_dir: str) -> DataFrame:
