@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Scratch
-from .words import chunks, mix, signed
+from .words import chunks, mix
 
 #: Tokens of a chunk, about; a document is never cut.
 CHUNK_TOKENS = 1 << 20
@@ -63,8 +63,8 @@ def encode(docs: DataFrame, mod: int = 7, held: int = 2) -> DataFrame:
         tokens, ids, sizes, kinds, held_tokens = [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            words, codes, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
-            order = np.argsort(-n, kind="stable")
+            words, codes = _distinct(np.concatenate(tokens))
+            order = np.argsort(-np.bincount(codes), kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             cols = [words[order].tobytes(), _planes(place[codes]), np.array([i or 0 for i in ids], np.int64).tobytes(), np.array([i is None for i in ids], np.uint8).tobytes(), np.array(sizes, np.int64).tobytes(), np.array(kinds, np.uint8).tobytes()]
@@ -99,8 +99,8 @@ class Chunk:
         self.learned = np.repeat(self.kinds == 0, self.sizes)
         end = np.flatnonzero(self.words == END)
         before = np.concatenate((end, self.codes[:-1]))
-        key = pair_key(self.words[before], self.words[self.codes])
-        order = np.argsort(key)
+        key = mix((self.words * GOLD)[before] + mix(self.words)[self.codes])
+        order = _argsort(key)
         key = key[order]
         new = np.concatenate(([True], key[1:] != key[:-1]))
         first = order[new]
@@ -110,6 +110,27 @@ class Chunk:
         self.n = np.bincount(self.at[self.learned], minlength=len(first)).astype(np.int64)
 
 
+def _argsort(x: np.ndarray) -> np.ndarray:
+    """Stable order of uint64 hashes: their leading bits sorted together with their places, which is much faster than sorting
+    places; hashes that differ only in the bits left out are rare and sorted the plain way."""
+    bits = np.uint64(max(1, len(x).bit_length()))
+    packed = (x >> bits << bits) | np.arange(len(x), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    y = x[order]
+    return order if (y[1:] >= y[:-1]).all() else np.argsort(x, kind="stable")
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, and the place of each entry among them."""
+    order = _argsort(x)
+    y = x[order]
+    new = np.concatenate(([True], y[1:] != y[:-1]))[: len(y)]
+    at = np.empty(len(x), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return y[new], at
+
+
 def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * GOLD + mix(word))
 
@@ -133,6 +154,24 @@ def _unsmall(b: bytes) -> np.ndarray:
     return out
 
 
+def _ranges(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, first, end) of sorted hashes: buckets are equal ranges of hashes."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(bucket)) + 1
+    return [(int(bucket[a]), int(a), int(z)) for a, z in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)], strict=True) if z > a]
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "int": pa.int32()}
+    names = [x.split() for x in schema.split(", ")]
+    cols = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, names, strict=True)], [n for n, _ in names])
+
+
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch(schema, rows)])
+
+
 def count_pairs(chunk_rows: DataFrame, buckets: int) -> DataFrame:
     """(chunk, bucket, counts, own): for each pair of a chunk, in its order, the customers in all learned texts, and one bit
     that gives each pair to one of the chunks that learned it. A chunk sends each pair once, whatever its number."""
@@ -140,16 +179,14 @@ def count_pairs(chunk_rows: DataFrame, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             c = Chunk(row)
-            bucket = ((c.key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cut = np.flatnonzero(np.diff(bucket)) + 1
-            parts = list(zip(np.concatenate(([0], cut)).tolist(), [*cut.tolist(), len(bucket)], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(parts)), pa.array([int(bucket[a]) for a, _ in parts]), pa.array([c.key[a:z].tobytes() for a, z in parts], pa.binary()), pa.array([_small(c.n[a:z]) for a, z in parts], pa.binary())], ["chunk", "bucket", "keys", "n"])
+            parts = _ranges(c.key, buckets)
+            yield _batch("chunk long, bucket long, keys binary, n binary", [(row["chunk"], k, c.key[a:z].tobytes(), _small(c.n[a:z])) for k, a, z in parts])
 
     def add(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
         n = np.concatenate([_unsmall(x) for x in table["n"].to_pylist()])
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        _, at = _distinct(np.concatenate(keys))
         total = np.bincount(at, weights=n, minlength=at.max() + 1).astype(np.int64)
         owner = np.full(len(total), len(at), np.int64)
         np.minimum.at(owner, at[n > 0], np.flatnonzero(n > 0))
@@ -183,38 +220,53 @@ def attach_counts(chunk_rows: DataFrame, counted: DataFrame) -> DataFrame:
 
 
 WORD_SUMS = ("n", "alone_context", "alone_word", "all_context", "all_word")
+LEARNED = "bucket long, words binary, " + ", ".join(f"{x} binary" for x in WORD_SUMS) + ", size long, tokens long, alone long, once long, twice long"
 
 
-def learned_words(counted: DataFrame) -> DataFrame:
-    """word, n (learned tokens) and its pairs as context and as word: those met once, which have one table for good, and all."""
+def learned_words(counted: DataFrame, buckets: int) -> DataFrame:
+    """One row for each range of word hashes (``LEARNED``): the words, their learned tokens, and their pairs as context and as
+    word - those met once, which have one table for good, and all; with the row's totals."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    def sums(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        words, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+        words, at = _distinct(words)
+        return [words, *[np.bincount(at, weights=x, minlength=len(words)).astype(np.int64) for x in rest]]
 
-        def out() -> pa.RecordBatch:
-            words, *sums = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            words, at = np.unique(words, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(words), *[pa.array(np.bincount(at, weights=x, minlength=len(words)).astype(np.int64)) for x in sums]], ["word", *WORD_SUMS])
+    schema = "bucket long, words binary, " + ", ".join(f"{x} binary" for x in WORD_SUMS)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for row in _rows(batches):
             n, *more = (_unsmall(row[x]) for x in WORD_SUMS)
             yes = n > 0
-            held.append([np.frombuffer(row["words"], np.int64)[yes], n[yes], *[x[yes] for x in more]])
+            held.append([np.frombuffer(row["words"], np.uint64)[yes], n[yes], *[x[yes] for x in more]])
             size += len(n)
             if size > 1_000_000:
-                yield out()
-                size = 0
+                cols = sums(held)
+                held, size = [], 0
+                yield _batch(schema, [(k, cols[0][a:z].tobytes(), *[_small(x[a:z]) for x in cols[1:]]) for k, a, z in _ranges(cols[0], buckets)])
         if held:
-            yield out()
+            cols = sums(held)
+            yield _batch(schema, [(k, cols[0][a:z].tobytes(), *[_small(x[a:z]) for x in cols[1:]]) for k, a, z in _ranges(cols[0], buckets)])
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        cols = sums([[np.frombuffer(r["words"], np.uint64), *[_unsmall(r[x]) for x in WORD_SUMS]] for r in rows])
+        return _table(LEARNED, [(rows[0]["bucket"], cols[0].tobytes(), *[_small(x) for x in cols[1:]], len(cols[0]), int(cols[1].sum()), int(cols[2].sum()), int((cols[5] == 1).sum()), int((cols[5] == 2).sum()))])
+
+    return counted.select("words", *WORD_SUMS).mapInArrow(run, schema).groupBy("bucket").applyInArrow(add, LEARNED)
+
 
-    got = counted.select("words", *WORD_SUMS).mapInArrow(run, "word long, " + ", ".join(f"{x} long" for x in WORD_SUMS))
-    return got.groupBy("word").agg(*[F.sum(x).alias(x) for x in WORD_SUMS])
+ANSWER = "chunk long, bucket long, known binary, n binary, floats binary"
+PAIRS = "kind int, bucket long, contexts binary, words binary, n binary, tables binary, twice long"
+#: Kinds of packed pairs: both words hot (places in the hot list), a hot context and another word (bucket of the word),
+#: another context (its bucket), and that with its context's tables (bucket of the word).
+BOTH, HOT_CONTEXT, COLD, ASKED = range(4)
 
 
-def learned_pairs(counted: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Pairs met twice or more, each once: rows (context, word, n), or, where both words are among the ``hot`` ones, packed
-    (kind 1: places in that list and counts of many pairs in one row)."""
+def learned_pairs(counted: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """Pairs met twice or more, each once, packed (``PAIRS``) by where their values are to be had. No bucket holds a hot word's
+    pairs, so buckets stay even."""
     sent = counted.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,17 +275,17 @@ def learned_pairs(counted: DataFrame, hot: np.ndarray) -> DataFrame:
             words = np.frombuffer(row["words"], np.uint64)
             a, w, n = _unplane(row["pair_context"]), _unplane(row["pair_word"]), _unsmall(row["pair_n"])
             yes, place = _inside(hot, words)
-            both = yes[a] & yes[w]
-            packed = [_planes(place[a[both]]), _planes(place[w[both]]), _small(n[both])]
-            rest = [signed(words[a[~both]]), signed(words[w[~both]]), n[~both]]
-            none = [pa.nulls(len(rest[0]), pa.binary())] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rest[0]), np.int32)), *map(pa.array, rest), *none], PAIR_NAMES)
-            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), *[pa.array([None], pa.int64())] * 3, *[pa.array([x], pa.binary()) for x in packed]], PAIR_NAMES)
+            both, front = yes[a] & yes[w], yes[a] & ~yes[w]
+            out = [(BOTH, 0, _planes(place[a[both]]), _planes(place[w[both]]), _small(n[both]), None, int((n[both] == 2).sum()))]
+            for kind, mask, by in ((HOT_CONTEXT, front, w), (COLD, ~yes[a], a)):
+                at = np.flatnonzero(mask)
+                at = at[_argsort(words[by[at]])]
+                for k, x, z in _ranges(words[by[at]], buckets):
+                    p = at[x:z]
+                    out.append((kind, k, words[a[p]].tobytes(), words[w[p]].tobytes(), _small(n[p]), None, int((n[p] == 2).sum())))
+            yield _batch(PAIRS, out)
 
-    return counted.select("words", "pair_context", "pair_word", "pair_n").mapInArrow(run, "kind int, context long, word long, n long, contexts binary, words binary, counts binary")
-
-
-PAIR_NAMES = ["kind", "context", "word", "n", "contexts", "words", "counts"]
+    return counted.select("words", "pair_context", "pair_word", "pair_n").mapInArrow(run, PAIRS)
 
 
 class Seats:
@@ -307,130 +359,168 @@ def discount_of(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
-def sample(words: DataFrame, pairs: DataFrame, hot: np.ndarray, scratch: Scratch, sweeps: int = SWEEPS) -> tuple[DataFrame, dict]:
-    """Gibbs sweeps: (word, n, tables0, prob0, ...), the tables of each word's context and its root probability after every
-    sweep (0: one table a pair), and the model's numbers. ``words`` and ``pairs`` are saved; scalars and the values of the hot
-    words (a bounded list) reach the driver."""
-    vocabulary, tokens, once = words.agg(F.count("*"), F.sum("n"), F.sum("alone_context")).first()
-    model = {"V": vocabulary, "N": tokens or 0, "d": discount_of(once or 0, _met_twice(pairs)), "unknown": []}
-    a, b = words.agg(F.count_if(F.col("all_word") == 1), F.count_if(F.col("all_word") == 2)).first()
-    model["d0"] = d0 = discount_of(a, b)
-    weight = (ROOT_THETA + d0 * vocabulary) / (vocabulary + 1)
-    state, sums, saved = words, None, None
-    for sweep in range(sweeps + 1):
-        if sums is None:
-            fresh = state.withColumns({"tables": F.col("all_context"), "customers": F.col("all_word")})
-        else:
-            add = lambda x, y: F.col(x) + F.coalesce(F.col(y), F.lit(0))
-            fresh = state.join(sums, "word", "left").withColumns({"tables": add("alone_context", "c"), "customers": add("alone_word", "w")}).drop("c", "w")
-        seated = scratch.save(_root(fresh.drop("all_context", "all_word"), sweep, d0, weight))
-        customers, tables = (x or 0 for x in seated.agg(F.sum("customers"), F.sum("root_tables")).first())
-        weight = (ROOT_THETA + d0 * tables) / (vocabulary + 1)
-        model["unknown"].append(weight / (ROOT_THETA + customers))
-        prob = (F.col("customers") - d0 * F.col("root_tables") + weight) / (ROOT_THETA + customers)
-        # floats, so that every draw of a pair sees the same values wherever it is made
-        state = seated.withColumns({f"tables{sweep}": F.col("tables").cast("float"), f"prob{sweep}": prob.cast("float")}).drop("tables", "customers", "root_tables")
-        scratch.drop(*[x for x in (saved, sums) if x is not None])
-        scratch.free_shuffles()
-        saved = seated
-        if sweep < sweeps:
-            sums = scratch.save(_tables(pairs, state, hot, sweep, model["d"]))
-    return state, model
+STATE = "bucket long, words binary, n binary, alone_context binary, alone_word binary, floats binary, tables binary, customers binary, root binary, sum_customers long, sum_root long"
+SUMS = "bucket long, words binary, c binary, w binary"
+
 
+def _seat(row: dict, floats: bytes, tables: np.ndarray, customers: np.ndarray, seats: Seats, weight: float, sweep: int) -> tuple:
+    """A row of ``STATE``: the words' customers in the root seated anew."""
+    words = np.frombuffer(row["words"], np.uint64)
+    root = np.where(customers > 0, seats.draw(np.maximum(customers, 1), np.full(len(words), weight), mix(words), sweep), 0)
+    return (row["bucket"], row["words"], row["n"], row["alone_context"], row["alone_word"], floats, tables.astype(np.float32).tobytes(), customers.tobytes(), root.tobytes(), int(customers.sum()), int(root.sum()))
 
-def _met_twice(pairs: DataFrame) -> int:
-    """How many pairs are met twice."""
+
+def _floats(row: dict, model: dict) -> np.ndarray:
+    """(tables, root probability) of every sweep so far, as float32 rows: every draw of a pair sees these same values."""
+    size = len(row["words"]) // 8
+    tables, customers, root = np.frombuffer(row["tables"], np.float32), np.frombuffer(row["customers"], np.int64), np.frombuffer(row["root"], np.int64)
+    prob = (customers - model["d0"] * root + model["weight"][-1]) / (ROOT_THETA + model["customers"][-1])
+    return np.vstack([np.frombuffer(row["floats"], np.float32).reshape(-1, size), tables[None], prob.astype(np.float32)[None]])
+
+
+def _first_seats(model: dict, weight: float):
+    """Every pair has one table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seats = Seats(model["d0"])
         for row in _rows(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([int((_unsmall(row["counts"]) == 2).sum())])], ["n"])
+            yield _batch(STATE, [_seat(row, b"", _unsmall(row["all_context"]), _unsmall(row["all_word"]), seats, weight, 0)])
 
-    packed = pairs.where("kind = 1").select("counts").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
-    return packed + pairs.where("kind = 0 and n = 2").count()
+    return run
 
 
-def _root(state: DataFrame, sweep: int, discount: float, weight: float) -> DataFrame:
-    """Adds ``root_tables``, the words' drawn tables in the root restaurant."""
+def _next_seats(model: dict, weight: float, sweep: int):
+    """The words' tables after a sweep: those of pairs met once, and the drawn ones."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seats = Seats(discount)
-        for b in batches:
-            c = b["customers"].to_numpy(zero_copy_only=False)
-            key = mix(b["word"].to_numpy(zero_copy_only=False).view(np.uint64))
-            t = np.where(c > 0, seats.draw(np.maximum(c, 1), np.full(len(c), weight), key, sweep), 0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(t)], [*b.schema.names, "root_tables"])
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        words, tables, customers = np.frombuffer(row["words"], np.uint64), _unsmall(row["alone_context"]), _unsmall(row["alone_word"])
+        for r in right.to_pylist():
+            at = np.searchsorted(words, np.frombuffer(r["words"], np.uint64))
+            tables[at] += _unsmall(r["c"])
+            customers[at] += _unsmall(r["w"])
+        return _table(STATE, [_seat(row, _floats(row, model).tobytes(), tables, customers, Seats(model["d0"]), weight, sweep)])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema.fields)
-    return state.mapInArrow(run, kinds + ", root_tables bigint")
+    return run
 
 
-def _tables(pairs: DataFrame, state: DataFrame, hot: np.ndarray, sweep: int, discount: float) -> DataFrame:
-    """(word, c, w): drawn tables of all pairs by context and by word, given the state after ``sweep``. Pairs of hot words are
-    drawn where they lie; the others meet their values in two joins."""
-    tables, prob = f"tables{sweep}", f"prob{sweep}"
-    sent = state.sparkSession.sparkContext.broadcast((hot, _values_of(hot, state.select("word", tables, prob))))
-    kinds = "word long, c long, w long"
+def sample(words: DataFrame, pairs: DataFrame, hot: np.ndarray, scratch: Scratch, buckets: int, sweeps: int = SWEEPS) -> tuple[DataFrame, dict]:
+    """Gibbs sweeps over the saved ``words`` and ``pairs``: (state, model). The state has the tables of each word's context and
+    its root probability after every sweep (0: one table a pair). Sums and the hot words' values (a bounded list) reach the
+    driver, nothing else."""
+    size, tokens, alone, a, b = (x or 0 for x in words.agg(*[F.sum(x) for x in ("size", "tokens", "alone", "once", "twice")]).first())
+    twice = pairs.agg(F.sum("twice")).first()[0] or 0
+    model = {"V": size, "N": tokens, "d": discount_of(alone, twice), "d0": discount_of(a, b), "buckets": buckets, "weight": [], "customers": []}
+    weight, state = (ROOT_THETA + model["d0"] * size) / (size + 1), None
+    for sweep in range(sweeps + 1):
+        before = dict(model, weight=list(model["weight"]), customers=list(model["customers"]))
+        if state is None:
+            state = scratch.save(words.mapInArrow(_first_seats(before, weight), STATE))
+        else:
+            sums = scratch.save(_tables(pairs, state, hot, sweep - 1, before, scratch))
+            state, old = scratch.save(state.groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(_next_seats(before, weight, sweep), STATE)), state
+            scratch.drop(old, sums)
+        customers, tables = (x or 0 for x in state.agg(F.sum("sum_customers"), F.sum("sum_root")).first())
+        weight = (ROOT_THETA + model["d0"] * tables) / (size + 1)
+        model["weight"].append(weight)
+        model["customers"].append(customers)
+    return state, model
+
+
+def _tables(pairs: DataFrame, state: DataFrame, hot: np.ndarray, sweep: int, model: dict, scratch: Scratch) -> DataFrame:
+    """(``SUMS``) drawn tables of all pairs by context and by word, given the state after ``sweep``, in packed pieces. Pairs of
+    hot words are drawn where they lie; the others go to their context's bucket, and on to their word's unless it is hot."""
+    d, buckets = model["d"], model["buckets"]
+    sent = state.sparkSession.sparkContext.broadcast((hot, _hot_values(state, hot, model)[:, -2:]))
 
-    def add(a: np.ndarray, w: np.ndarray, t: np.ndarray) -> pa.RecordBatch:
-        words, at = np.unique(np.concatenate((a, w)), return_inverse=True)
-        by = [np.bincount(x, weights=t, minlength=len(words)).astype(np.int64) for x in (at[: len(a)], at[len(a) :])]
-        return pa.RecordBatch.from_arrays([pa.array(words), *map(pa.array, by)], ["word", "c", "w"])
+    def sums(a: np.ndarray, w: np.ndarray, t: np.ndarray) -> list[tuple]:
+        words, at = _distinct(np.concatenate((a, w)))
+        c, v = (np.bincount(x, weights=t, minlength=len(words)).astype(np.int64) for x in (at[: len(a)], at[len(a) :]))
+        return [(k, words[x:z].tobytes(), _small(c[x:z]), _small(v[x:z])) for k, x, z in _ranges(words, buckets)]
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (hot, value), seats = sent.value, Seats(discount)
+    def draw(seats: Seats, a: np.ndarray, w: np.ndarray, n: np.ndarray, tables: np.ndarray, prob: np.ndarray) -> np.ndarray:
+        return seats.draw(n, _weight(d, tables, prob), pair_key(a, w), sweep + 1)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (hot, value), seats = sent.value, Seats(d)
         by = np.zeros((2, len(hot)), np.int64)
         for row in _rows(batches):
-            a, w, n = _unplane(row["contexts"]), _unplane(row["words"]), _unsmall(row["counts"])
-            t = seats.draw(n, _weight(discount, value[a, 0], value[w, 1]), pair_key(hot[a], hot[w]), sweep + 1)
+            a, w, n = _unplane(row["contexts"]), _unplane(row["words"]), _unsmall(row["n"])
+            t = draw(seats, hot[a], hot[w], n, value[a, 0], value[w, 1])
             for k, x in enumerate((a, w)):
                 by[k] += np.bincount(x, weights=t, minlength=len(hot)).astype(np.int64)
         yes = by.any(0)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(hot[yes])), pa.array(by[0][yes]), pa.array(by[1][yes])], ["word", "c", "w"])
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seats, held, size = Seats(discount), [], 0
-
-        def out() -> pa.RecordBatch:
-            n, a, w, tables, prob = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            return add(a, w, seats.draw(n, _weight(discount, tables, prob), pair_key(a.view(np.uint64), w.view(np.uint64)), sweep + 1))
-
-        for b in batches:
-            held.append([b[x].to_numpy(zero_copy_only=False) for x in ("n", "context", "word", "tables", "prob")])
-            size += b.num_rows
-            if size >= 500_000:
-                yield out()
-                size = 0
-        if size:
-            yield out()
-
-    near = pairs.where("kind = 1").select("contexts", "words", "counts").mapInArrow(packed, kinds)
-    rows = pairs.where("kind = 0").select("context", "word", "n")
-    rows = rows.join(state.select(F.col("word").alias("context"), F.col(tables).alias("tables")), "context").join(state.select("word", F.col(prob).alias("prob")), "word")
-    far = rows.select("n", "context", "word", "tables", "prob").mapInArrow(single, kinds)
-    return near.unionByName(far).groupBy("word").agg(F.sum("c").alias("c"), F.sum("w").alias("w"))
+        words, c, w = hot[yes], by[0][yes], by[1][yes]
+        yield _batch(SUMS, [(k, words[x:z].tobytes(), _small(c[x:z]), _small(w[x:z])) for k, x, z in _ranges(words, buckets)])
+
+    mixed = PAIRS + ", c binary, w binary"
+
+    def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table(mixed, [])
+        (hot, value), seats, row, out = sent.value, Seats(d), right.to_pylist()[0], []
+        known, floats = np.frombuffer(row["words"], np.uint64), _floats(row, model)
+        for r in left.to_pylist():
+            a, w, n = np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["words"], np.uint64), _unsmall(r["n"])
+            tables = floats[-2][np.searchsorted(known, a)]
+            yes, at = _inside(hot, w)
+            t = draw(seats, a[yes], w[yes], n[yes], tables[yes], value[at[yes], 1])
+            out += [(None, k, None, words, None, None, None, c, v) for k, words, c, v in sums(a[yes], w[yes], t)]
+            rest = np.flatnonzero(~yes)
+            rest = rest[_argsort(w[rest])]
+            for k, x, z in _ranges(w[rest], buckets):
+                p = rest[x:z]
+                out.append((ASKED, k, a[p].tobytes(), w[p].tobytes(), _small(n[p]), tables[p].tobytes(), 0, None, None))
+        return _table(mixed, out)
+
+    def words(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table(SUMS, [])
+        (hot, value), seats, row, out = sent.value, Seats(d), right.to_pylist()[0], []
+        known, floats = np.frombuffer(row["words"], np.uint64), _floats(row, model)
+        for r in left.to_pylist():
+            a, w, n = np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["words"], np.uint64), _unsmall(r["n"])
+            tables = np.frombuffer(r["tables"], np.float32) if r["kind"] == ASKED else value[_inside(hot, a)[1], 0]
+            out += sums(a, w, draw(seats, a, w, n, tables, floats[-1][np.searchsorted(known, w)]))
+        return _table(SUMS, out)
+
+    by_bucket = state.groupBy("bucket")
+    near = pairs.where(F.col("kind") == BOTH).select("contexts", "words", "n").mapInArrow(both, SUMS)
+    cold = scratch.save(pairs.where(F.col("kind") == COLD).groupBy("bucket").cogroup(by_bucket).applyInArrow(contexts, mixed))
+    asked = cold.where(F.col("kind") == ASKED).select(*pairs.columns).unionByName(pairs.where(F.col("kind") == HOT_CONTEXT))
+    far = asked.groupBy("bucket").cogroup(by_bucket).applyInArrow(words, SUMS)
+    return near.unionByName(cold.where("kind is null").select("bucket", "words", "c", "w")).unionByName(far)
 
 
 def hot_list(words: DataFrame, most: int) -> np.ndarray:
     """Hashes of the ``most`` most frequent words, sorted; a bounded list that reaches the driver."""
-    top = words.orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()["word"] if most else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            n, h = _unsmall(row["n"]), np.frombuffer(row["words"], np.int64)
+            top = np.argsort(-n, kind="stable")[:most]
+            yield pa.RecordBatch.from_arrays([pa.array(h[top]), pa.array(n[top])], ["word", "n"])
+
+    if not most:
+        return np.zeros(0, np.uint64)
+    top = words.select("words", "n").mapInArrow(run, "word long, n long").orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()["word"]
     return np.sort(np.asarray(top, np.int64).view(np.uint64))
 
 
-def _values_of(hot: np.ndarray, rows: DataFrame) -> np.ndarray:
-    """The columns of ``rows`` (word, numbers) for each hot word."""
-    sent = rows.sparkSession.sparkContext.broadcast(hot)
+def _hot_values(state: DataFrame, hot: np.ndarray, model: dict) -> np.ndarray:
+    """(learned tokens, tables and probability of each sweep) of the hot words, one row each."""
+    sent = state.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(_inside(sent.value, b["word"].to_numpy(zero_copy_only=False).view(np.uint64))[0]))
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    got = rows.mapInArrow(run, kinds).toArrow()
-    out = np.zeros((len(hot), len(rows.columns) - 1))
-    at = np.searchsorted(hot, got["word"].to_numpy().view(np.uint64))
-    for k, c in enumerate(got.column_names[1:]):
-        out[at, k] = got[c].to_numpy()
+        for row in _rows(batches):
+            yes, at = _inside(sent.value, np.frombuffer(row["words"], np.uint64))
+            values = np.vstack([_unsmall(row["n"])[None], _floats(row, model)])[:, yes]
+            yield _batch("at binary, v binary", [(at[yes].tobytes(), values.astype(np.float64).tobytes())])
+
+    out = np.zeros((len(hot), 1 + 2 * len(model["weight"])))
+    for row in state.mapInArrow(run, "at binary, v binary").toArrow().to_pylist() if len(hot) else []:
+        at = np.frombuffer(row["at"], np.int64)
+        out[at] = np.frombuffer(row["v"], np.float64).reshape(out.shape[1], len(at)).T
     return out
 
 
@@ -441,36 +531,48 @@ def _weight(discount: float, tables: np.ndarray, prob: np.ndarray) -> np.ndarray
 def score_chunks(counted: DataFrame, state: DataFrame, model: dict, hot: np.ndarray, scratch: Scratch, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document of the chunks."""
     used = range(burn_in, sweeps + 1)
-    width = 1 + 2 * len(used)
-    values = state.select("word", F.col("n").alias("count"), *[c for s in used for c in (f"tables{s}", f"prob{s}")])
-    sent = counted.sparkSession.sparkContext.broadcast((hot, _values_of(hot, values)))
+    width, buckets = 1 + 2 * len(used), model["buckets"]
+    pick = [0, *[c for s in used for c in (1 + 2 * s, 2 + 2 * s)]]
+    sent = counted.sparkSession.sparkContext.broadcast((hot, _hot_values(state, hot, model)[:, pick]))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = sent.value[0]
         for row in _rows(batches):
             words = np.frombuffer(row["words"], np.uint64)
-            at = np.flatnonzero(~_inside(hot, words)[0])
-            for k in range(0, len(at), 100_000):
-                part = at[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row["chunk"])), pa.array(part.astype(np.int32)), pa.array(signed(words[part]))], ["chunk", "at", "word"])
-
-    asked = counted.select("chunk", "words").mapInArrow(ask, "chunk long, at int, word long")
-    answers = scratch.save(asked.join(values, "word").drop("word"))
+            rest = np.sort(words[~_inside(sent.value[0], words)[0]])
+            yield _batch("chunk long, bucket long, words binary", [(row["chunk"], k, rest[a:z].tobytes()) for k, a, z in _ranges(rest, buckets)])
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, n, floats, out = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((width - 1, 0), np.float32), []
+        for row in right.to_pylist():
+            known, n, floats = np.frombuffer(row["words"], np.uint64), _unsmall(row["n"]), _floats(row, model)[[c - 1 for c in pick[1:]]]
+        for r in left.to_pylist():
+            yes, at = _inside(known, np.frombuffer(r["words"], np.uint64))
+            mask, at = np.packbits(yes).tobytes(), at[yes]
+            out.append((r["chunk"], r["bucket"], mask, _small(n[at]), floats[:, at].tobytes()))
+        return _table(ANSWER, out)
+
+    asked = counted.select("chunk", "words").mapInArrow(ask, "chunk long, bucket long, words binary")
+    answers = scratch.save(asked.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(answer, ANSWER))
     scratch.free_shuffles()
-    d, unknown, vocabulary, tokens = model["d"], np.array(model["unknown"])[list(used)], model["V"], model["N"]
+    d, vocabulary, tokens = model["d"], model["V"], model["N"]
+    unknown = np.array([w / (ROOT_THETA + c) for w, c in zip(model["weight"], model["customers"], strict=True)])[list(used)]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         seats, (hot, hot_values) = Seats(d), sent.value
-        out = []
+        out, replies = [], {r["bucket"]: r for r in right.to_pylist()}
         for row in _rows(left.to_batches()):
             c = Chunk(row)
             value = np.zeros((len(c.words), width))
             value[:, 2::2] = unknown
             yes, at = _inside(hot, c.words)
             value[yes] = hot_values[at[yes]]
-            own = right["at"].to_numpy()
-            for k, name in enumerate(right.column_names[2:]):
-                value[own, k] = right[name].to_numpy()
+            rest = np.flatnonzero(~yes)
+            rest = rest[np.argsort(c.words[rest])]
+            for k, a, z in _ranges(c.words[rest], buckets):
+                r = replies[k]
+                own = rest[a:z][np.unpackbits(np.frombuffer(r["known"], np.uint8), count=z - a).astype(bool)]
+                value[own, 0] = _unsmall(r["n"])
+                value[own, 1:] = np.frombuffer(r["floats"], np.float32).reshape(width - 1, -1).T
             n = _unsmall(row["counts"])
             seen, met = value[c.context, 0], np.flatnonzero(n > 1)
             prob = np.zeros(len(n))
@@ -508,19 +610,21 @@ def score_texts(docs: DataFrame, scratch: Scratch, bucket: int = BUCKET, sweeps:
     gives every token the probability 1. Other columns are ignored; no rows give no rows.
     """
     encoded = scratch.save(encode(docs), "zstd", maxRecordsPerFile=8)
-    entries = encoded.agg(F.sum(F.octet_length("codes") / 4)).first()[0] or 0
+    entries, known = (x or 0 for x in encoded.agg(F.sum(F.octet_length("codes") / 4), F.sum(F.octet_length("words") / 2)).first())
     buckets = max(1, -(-int(entries) // bucket))
     pairs = scratch.save(count_pairs(encoded, buckets), "zstd")
     scratch.free_shuffles()
     counted = scratch.save(attach_counts(encoded, pairs), "zstd", maxRecordsPerFile=8)
     scratch.drop(encoded, pairs)
     scratch.free_shuffles()
-    words = scratch.save(learned_words(counted))
+    shares = max(1, -(-int(known) // bucket))
+    words = scratch.save(learned_words(counted, shares))
     hot = hot_list(words, hot_words)
-    pairs = scratch.save(learned_pairs(counted, hot))
+    pairs = scratch.save(learned_pairs(counted, hot, shares))
     scratch.free_shuffles()
-    state, model = sample(words, pairs, hot, scratch, sweeps)
+    state, model = sample(words, pairs, hot, scratch, shares, sweeps)
     scratch.drop(words, pairs)
+    scratch.free_shuffles()
     return score_chunks(counted, state, model, hot, scratch, sweeps, burn_in)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -68,5 +70,9 @@ class Scratch:
             _delete(self.spark, df._scratch_path)
 
     def free_shuffles(self) -> None:
-        """Lets Spark delete the shuffle files of ended queries: its cleaner follows the driver's garbage collection."""
-        self.spark.sparkContext._jvm.System.gc()
+        """Lets Spark delete the shuffle files of ended queries: its cleaner follows the collection of the driver's garbage,
+        Python's references first, and a second round takes what the first one has set free."""
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
