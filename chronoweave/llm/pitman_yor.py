@@ -455,34 +455,34 @@ def _tables(pairs: DataFrame, state: DataFrame, hot: np.ndarray, sweep: int, mod
 
     mixed = PAIRS + ", c binary, w binary"
 
+    def together(rows: list[dict]) -> list[np.ndarray]:
+        """Contexts, words and counts of a bucket's rows; one draw for all of them, and one row for each bucket they go to."""
+        return [np.concatenate(x) for x in zip(*[(np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["words"], np.uint64), _unsmall(r["n"])) for r in rows], strict=True)]
+
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table(mixed, [])
-        (hot, value), seats, row, out = sent.value, Seats(d), right.to_pylist()[0], []
-        known, floats = np.frombuffer(row["words"], np.uint64), _floats(row, model)
-        for r in left.to_pylist():
-            a, w, n = np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["words"], np.uint64), _unsmall(r["n"])
-            tables = floats[-2][np.searchsorted(known, a)]
-            yes, at = _inside(hot, w)
-            t = draw(seats, a[yes], w[yes], n[yes], tables[yes], value[at[yes], 1])
-            out += [(None, k, None, words, None, None, None, c, v) for k, words, c, v in sums(a[yes], w[yes], t)]
-            rest = np.flatnonzero(~yes)
-            rest = rest[_argsort(w[rest])]
-            for k, x, z in _ranges(w[rest], buckets):
-                p = rest[x:z]
-                out.append((ASKED, k, a[p].tobytes(), w[p].tobytes(), _small(n[p]), tables[p].tobytes(), 0, None, None))
+        (hot, value), row = sent.value, right.to_pylist()[0]
+        a, w, n = together(left.to_pylist())
+        tables = _floats(row, model)[-2][np.searchsorted(np.frombuffer(row["words"], np.uint64), a)]
+        yes, at = _inside(hot, w)
+        t = draw(Seats(d), a[yes], w[yes], n[yes], tables[yes], value[at[yes], 1])
+        out = [(None, k, None, words, None, None, None, c, v) for k, words, c, v in sums(a[yes], w[yes], t)]
+        rest = np.flatnonzero(~yes)
+        rest = rest[_argsort(w[rest])]
+        for k, x, z in _ranges(w[rest], buckets):
+            p = rest[x:z]
+            out.append((ASKED, k, a[p].tobytes(), w[p].tobytes(), _small(n[p]), tables[p].tobytes(), 0, None, None))
         return _table(mixed, out)
 
     def words(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table(SUMS, [])
-        (hot, value), seats, row, out = sent.value, Seats(d), right.to_pylist()[0], []
-        known, floats = np.frombuffer(row["words"], np.uint64), _floats(row, model)
-        for r in left.to_pylist():
-            a, w, n = np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["words"], np.uint64), _unsmall(r["n"])
-            tables = np.frombuffer(r["tables"], np.float32) if r["kind"] == ASKED else value[_inside(hot, a)[1], 0]
-            out += sums(a, w, draw(seats, a, w, n, tables, floats[-1][np.searchsorted(known, w)]))
-        return _table(SUMS, out)
+        (hot, value), row, rows = sent.value, right.to_pylist()[0], left.to_pylist()
+        a, w, n = together(rows)
+        tables = np.concatenate([np.frombuffer(r["tables"], np.float32) if r["kind"] == ASKED else value[_inside(hot, np.frombuffer(r["contexts"], np.uint64))[1], 0].astype(np.float32) for r in rows])
+        prob = _floats(row, model)[-1][np.searchsorted(np.frombuffer(row["words"], np.uint64), w)]
+        return _table(SUMS, sums(a, w, draw(Seats(d), a, w, n, tables, prob)))
 
     by_bucket = state.groupBy("bucket")
     near = pairs.where(F.col("kind") == BOTH).select("contexts", "words", "n").mapInArrow(both, SUMS)
