@@ -283,6 +283,9 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     first = [F.first(c).alias(c) for c in ("n", "prefix", "sig")]
     one = records.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("w"), *first)
     classes = scratch.save(one.withColumn("cid", F.monotonically_increasing_id()))
+    # prefixes and signatures are the classes' from now on
+    records, wide = scratch.save(records.select("doc_id", "rid", "n", "c1", "c2")), records
+    scratch.drop(wide)
     scratch.free_shuffles()
     held = shared_postings(classes, scratch)
 
@@ -292,6 +295,8 @@ def similar_documents(docs: DataFrame, scratch: Scratch, k: int = 3, percent: in
     near = small.alias("a").join(small.alias("b"), F.expr(f"a.key = b.key and a.cid < b.cid and {_may_overlap('a', 'b', percent)}")).select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
     marks = classes.select("cid", "n", "sig").join(sendable(hot_keys.select("cid", F.col("hot.key").alias("hot")), SEND_LISTS), "cid", "left")
     pairs = scratch.save(suffix_filter(near.distinct(), marks, percent))
+    classes, wide = scratch.save(classes.select("cid", "c1", "c2", "doc_id", "w")), classes
+    scratch.drop(wide)
     scratch.free_shuffles()
 
     use = lambda cids, paired: cids.select("cid", F.lit(paired).alias("paired"), F.lit(not paired).alias("dense"))
