@@ -185,7 +185,7 @@ def infer_head(rows: DataFrame, session: str, block: str, order: str, pos: str =
     lead = F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col("_m") / F.col("_mad")))
     s = med.join(mad, by).withColumn("score", 2.5 * F.col("win_rate") + 2.0 * F.col("_above") + 1.5 * F.greatest(F.lit(0.0), lead))
     best = F.min_by(F.struct("b", "axis", "sign", "score", "win_rate"), F.struct(-F.col("score"), "axis", "sign", "b"))
-    return s.groupBy(session).agg(best.alias("s")).select(session, F.col("s.b").alias("head"), "s.axis", "s.sign", "s.score", "s.win_rate")
+    return s.groupBy(session).agg(best.alias("_s")).select(session, F.col("_s.b").alias("head"), "_s.axis", "_s.sign", "_s.score", "_s.win_rate")
 
 
 def infer_left_right(rows: DataFrame, heads: DataFrame, session: str, block: str, order: str, pos: str = "pos", quat: str = "quat", eps: float = 1e-9) -> DataFrame:
@@ -222,9 +222,9 @@ def infer_left_right(rows: DataFrame, heads: DataFrame, session: str, block: str
     own = W.partitionBy(session)
     s = s.withColumn("up_local", F.min_by("j", F.struct(-F.col("align"), "j")).over(own)).withColumn("up_score", F.max("align").over(own)).where(F.col("j") != F.col("up_local"))
     s = s.withColumn("score", 2 * F.col("separation") + F.col("apart") + 0.5 * F.col("up_score") - 2 * F.col("align"))
-    best = s.groupBy(session).agg(F.min_by(F.struct("a", "b", "j", "med", "score", "separation", "apart", "align", "up_local", "up_score"), F.struct(-F.col("score"), "j")).alias("s"))
-    right = lambda yes, no: F.when(F.col("s.med") >= 0, F.col(f"s.{yes}")).otherwise(F.col(f"s.{no}"))
-    return best.select(session, right("b", "a").alias("left"), right("a", "b").alias("right"), "s.up_local", F.col("s.j").alias("right_local"), "s.score", "s.separation", F.col("s.apart").alias("consistency"), F.col("s.align").alias("vertical_penalty"))
+    best = s.groupBy(session).agg(F.min_by(F.struct("a", "b", "j", "med", "score", "separation", "apart", "align", "up_local", "up_score"), F.struct(-F.col("score"), "j")).alias("_s"))
+    right = lambda yes, no: F.when(F.col("_s.med") >= 0, F.col(f"_s.{yes}")).otherwise(F.col(f"_s.{no}"))
+    return best.select(session, right("b", "a").alias("left"), right("a", "b").alias("right"), "_s.up_local", F.col("_s.j").alias("right_local"), "_s.score", "_s.separation", F.col("_s.apart").alias("consistency"), F.col("_s.align").alias("vertical_penalty"))
 
 
 def infer_roles(rows: DataFrame, session: str, block: str, order: str, hints: DataFrame | None = None, least: int = 10) -> DataFrame:

@@ -134,12 +134,12 @@ def totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], label: st
 
 
 def rebalance(df: DataFrame, label: str, ratio: int = 3, most: int = 120_000, seed: int = 42) -> DataFrame:
-    """At most ``ratio`` negatives (label 0) for each positive and ``most`` rows, by a seeded hash order of the rows.
+    """At most ``ratio`` negatives (label 0) for each positive and ``most`` rows, those of least seeded hash; the thresholds are
+    selected by counts, so nothing is ordered as a whole. Rows equal in all columns stay or go together.
 
     A feature of training-set preparation: the cap is what it is for."""
-    key = F.xxhash64(*[F.col(c).cast("string") for c in df.columns], F.lit(seed))
+    from .selection import least_hashes
+
     positives = df.where(F.col(label) == 1)
-    n = positives.count()
-    negatives = df.where(F.col(label) == 0).withColumn("_k", key).orderBy("_k").limit(ratio * n).drop("_k")
-    both = positives.unionByName(negatives)
-    return both.withColumn("_k", key).orderBy("_k").limit(most).drop("_k")
+    negatives = least_hashes(df.where(F.col(label) == 0), ratio * positives.count(), seed)
+    return least_hashes(positives.unionByName(negatives), most, seed)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.errors import AnalysisException
 
 from ..operators.asof import asof_join
+from ..operators.selection import number_rows, running_sums
 from ..sources.readers import numeric_columns
 
 
@@ -29,13 +30,14 @@ def episode_rows(frames: DataFrame, episode: str, time: str, task: str | None =
     """frame_index, episode_index, global index and task_index of dataset rows; missing numbers become ``fill``;
     frames of one time are ordered by ``ties``.
 
-    Episodes are numbered by name; their offsets are a running sum over one row an episode."""
+    Episodes are numbered by name; their offsets are running sums of their lengths, by ranges."""
     w = W.partitionBy(episode).orderBy(time, *ties)
     lengths = frames.groupBy(episode, *([task] if task else [])).agg(F.count("*").alias("_len"))
-    # one row an episode reaches the single ordering window
-    order = W.orderBy(episode)
-    episodes = lengths.withColumn("episode_index", F.row_number().over(order) - 1).withColumn("_from", F.sum("_len").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("_len"))
-    episodes = episodes.withColumn("task_index", F.dense_rank().over(W.orderBy(task)) - 1 if task else F.lit(0))
+    # numbers and offsets by ranges of names: no task sees all episodes
+    numbered = number_rows(lengths, episode, "episode_index")
+    episodes = numbered.join(running_sums(numbered, "episode_index", "_len", "_from"), "episode_index")
+    tasks = number_rows(lengths.select(task).distinct(), task, "task_index") if task else None
+    episodes = episodes.join(tasks, task) if task else episodes.withColumn("task_index", F.lit(0))
     d = frames.withColumn("frame_index", F.row_number().over(w) - 1).join(episodes.select(episode, "episode_index", "_from", "task_index"), episode)
     d = d.withColumn("index", F.col("_from") + F.col("frame_index")).withColumn("timestamp", F.col(time) - F.min(time).over(W.partitionBy(episode))).drop("_from")
     if fill is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ..functions.pose import quaternion, rotate, unit
 from ..functions.scalars import falling_score, grade, hms, nominal_level, rising_score
-from ..operators import asof, events as ev, grid, islands, lag, repair, roles, signals, smooth, stats, timebase
+from ..operators import asof, events as ev, grid, islands, lag, repair, roles, selection, signals, smooth, stats, timebase
 from ..session import ship_package
 from ..streaming import windows
 from . import checks, dataset, sync, tiers
@@ -225,7 +225,7 @@ def stream_bounds(spark, d):
 
 @query("""WITH m AS (SELECT event_type, median(value) AS med, count(value) AS n FROM events GROUP BY 1) SELECT e.event_type, round(any_value(med), 6) AS median, round(median(abs(value - med)), 6) AS mad, any_value(n) AS n FROM events e JOIN m USING (event_type) GROUP BY 1""")
 def median_mad(spark, d):
-    return stats.median_mad(events(spark, d), ["event_type"], "value").withColumn("median", r("median")).withColumn("mad", r("mad"))
+    return selection.exact_median_mad(events(spark, d), ["event_type"], "value").withColumn("median", r("median")).withColumn("mad", r("mad"))
 
 
 @query("""WITH m AS (SELECT event_type, median(value) AS med FROM events GROUP BY 1), d AS (SELECT event_type, any_value(med) AS med, median(abs(value - med)) AS mad FROM events JOIN m USING (event_type) GROUP BY 1)
@@ -617,7 +617,7 @@ def accept_if_improved(spark, d):
 @query("""WITH q AS (SELECT median(l_extendedprice) AS med, quantile_cont(l_quantity, 0.95) AS p FROM lineitem), m AS (SELECT greatest(median(abs(l_extendedprice - med)), 1e-4) AS mad FROM lineitem, q) SELECT l_orderkey, l_linenumber, abs(l_extendedprice - med) / mad > 1.5 AND l_quantity > 0.9 * p AS bad FROM lineitem, q, m""")
 def tracker_baseline_flags(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    mm = stats.median_mad(li, [], "l_extendedprice", floor=1e-4).drop("n")
+    mm = selection.exact_median_mad(li, [], "l_extendedprice", floor=1e-4).drop("n")
     ref = mm.crossJoin(F.broadcast(li.agg(F.percentile("l_quantity", 0.95).alias("speed_p95"))))  # one row each
     return repair.baseline_flags(li, [], "l_extendedprice", "l_quantity", ref, 1.5, 0.9).select("l_orderkey", "l_linenumber", "bad")
 
@@ -751,6 +751,31 @@ def pair_estimates(spark, d):
 
 
 
+@query("""WITH q AS (SELECT o_orderpriority, o_totalprice AS v FROM orders) SELECT o_orderpriority, count(*) AS n, round(quantile_cont(v, 0.02), 4) AS p02, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.98), 4) AS p98 FROM q GROUP BY 1""")
+def selected_percentiles(spark, d):
+    o = table(spark, d, "orders").select("o_orderpriority", F.col("o_totalprice").cast("double").alias("v"))
+    s = selection.exact_percentiles(o, ["o_orderpriority"], "v", [0.02, 0.5, 0.98], last=200, bins=16)
+    return s.select("o_orderpriority", "n", *[r(f"p{i}", 4).alias(n) for i, n in enumerate(("p02", "p50", "p98"))])
+
+
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS number FROM orders""")
+def numbered_episodes(spark, d):
+    return selection.number_rows(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", parts=8)
+
+
+#: Windows of six grid points as examples of a session: label 1 for like signals, 0 for unlike ones, none between.
+EXAMPLES = """, xw AS (SELECT xy.user_id, w, corr(x, y) AS c, stddev_pop(x) AS sx, stddev_pop(y) AS sy FROM xy JOIN (SELECT user_id, unnest(range(0, CAST(floor((count(*) - 6) / 3.0) AS BIGINT) + 1)) AS w FROM xy GROUP BY user_id HAVING count(*) >= 6) o ON o.user_id = xy.user_id AND xy.i BETWEEN w * 3 AND w * 3 + 5 GROUP BY 1, 2),
+xs AS (SELECT user_id, w, CASE WHEN sx < 1e-8 OR sy < 1e-8 THEN 0.0 ELSE c END AS c FROM xw), xl AS (SELECT user_id, w, c, CASE WHEN c >= 0.72 THEN 1 WHEN c <= 0.22 THEN 0 END AS label FROM xs)"""
+
+
+@query(GRID + EXAMPLES + """ SELECT user_id, w AS window_id, label, round(c, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY user_id, label ORDER BY md5(user_id || '|' || w || '|42')) AS o FROM xl WHERE label IS NOT NULL) WHERE o <= 2""")
+def pseudo_examples(spark, d):
+    """Labelled windows of every session, at most two of each label, by least hash."""
+    w = smooth.sliding_windows(_grid(spark, d), ["user_id"], "i", 6, 3).groupBy("user_id", "window_id").agg(stats.safe_corr("x", "y").alias("c"))
+    labelled = w.select("user_id", "window_id", checks.decided(F.col("c"), 0.72, 0.22).alias("label"), r("c").alias("score")).where("label is not null")
+    return selection.keyed_sample(labelled, ["user_id", "label"], 2, ["user_id", "window_id"])
+
+
 # composite signals
 
 @query(GRID + """, w AS (SELECT xy.user_id, k, x, y FROM xy JOIN (SELECT user_id, unnest(range(0, CAST(floor((count(*) - 12) / 6.0) AS BIGINT) + 1)) AS k FROM xy GROUP BY user_id HAVING count(*) >= 12) g ON g.user_id = xy.user_id AND xy.i BETWEEN k * 6 AND k * 6 + 11),
