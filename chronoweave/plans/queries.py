@@ -719,7 +719,11 @@ def greedy_topk(spark, d):
     return ev.greedy_topk(_seconds(spark, d), ["user_id"], "t", "value", 5, 86400.0)
 
 
-@query()
+#: Least-squares parabola over eleven samples, by orthogonal polynomials: 1, i and i * i - 10 with sums of squares 11, 110, 858.
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, value AS v, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY user_id) AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+m AS (SELECT *, least(greatest(k, 5), n - 6) AS mid FROM e), o AS (SELECT unnest(range(-5, 6)) AS i)
+SELECT m.user_id, m.t, round(CASE WHEN max(m.n) < 11 THEN max(m.v) ELSE sum(x.v * (1.0 / 11 + (m.k - mid) * i / 110.0 + (i * i - 10) * ((m.k - mid) ** 2 - 10) / 858.0)) END, 6) AS smooth
+FROM m CROSS JOIN o JOIN e x ON x.user_id = m.user_id AND x.k = CASE WHEN m.n < 11 THEN m.k ELSE m.mid + i END GROUP BY m.user_id, m.t, m.k""")
 def savgol(spark, d):
     return ev.savgol(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r("smooth").alias("smooth"))
 
@@ -729,9 +733,18 @@ def spectral_similarity(spark, d):
     return ev.spectral_similarity(_grid(spark, d), ["user_id"], "i", "x", "y").withColumn("spectral", r("spectral"))
 
 
-@query()
+@query(GRID + """, zs AS (SELECT user_id, i, count(*) OVER w AS n, count(*) OVER w >= 20 AND stddev_pop(x) OVER w >= 1e-8 AND stddev_pop(y) OVER w >= 1e-8 AS ok, (x - avg(x) OVER w) / nullif(stddev_pop(x) OVER w, 0) AS u, (y - avg(y) OVER w) / nullif(stddev_pop(y) OVER w, 0) AS v FROM xy WINDOW w AS (PARTITION BY user_id)),
+gd AS (SELECT user_id, max(n) AS n, bool_and(ok) AS ok FROM zs GROUP BY 1), zk AS (SELECT * FROM zs WHERE ok),
+cc AS (SELECT a.user_id, b.i - a.i AS lag, sum(a.u * b.v) / max(a.n) AS c FROM zk a JOIN zk b ON a.user_id = b.user_id AND b.i - a.i BETWEEN -6 AND 6 GROUP BY 1, 2),
+bl AS (SELECT user_id, CAST(arg_max(lag, c) * 20 AS DOUBLE) AS lag_ms, max(c) AS ncc FROM cc GROUP BY 1), pe AS (SELECT user_id, avg(u * v) AS pearson FROM zk GROUP BY 1),
+ft AS (SELECT user_id, f, sqrt(sum(u * cos(2 * pi() * i * f / n)) ** 2 + sum(u * sin(2 * pi() * i * f / n)) ** 2) AS fu, sqrt(sum(v * cos(2 * pi() * i * f / n)) ** 2 + sum(v * sin(2 * pi() * i * f / n)) ** 2) AS fv FROM (SELECT *, unnest(range(1, n // 2 + 1)) AS f FROM zk) GROUP BY 1, 2),
+sp AS (SELECT user_id, greatest(0.0, corr(fu, fv)) AS spectral FROM ft GROUP BY 1),
+al AS (SELECT user_id, lag_ms, ncc, pearson, spectral, least(1.0, greatest(0.0, (200 - abs(lag_ms)) / 180.0)) AS lag_score FROM bl JOIN pe USING (user_id) JOIN sp USING (user_id)),
+sc AS (SELECT gd.user_id, n, coalesce(100 * (0.4 * greatest(0.0, ncc) + 0.25 * greatest(0.0, pearson) + 0.2 * lag_score + 0.15 * spectral), 0.0) AS score, coalesce(lag_ms, CAST(999 AS DOUBLE)) AS lag_ms, coalesce(ncc, 0.0) AS ncc, coalesce(pearson, 0.0) AS pearson, coalesce(spectral, 0.0) AS spectral, coalesce(lag_score, 0.0) AS lag_score, ok FROM gd LEFT JOIN al USING (user_id))
+SELECT user_id, n, round(score, 6) AS score_100, lag_ms, round(ncc, 6) AS ncc, round(pearson, 6) AS pearson, round(spectral, 6) AS spectral, round(lag_score, 6) AS lag_score, CASE WHEN NOT ok THEN 'UNUSABLE' WHEN score >= 75 THEN 'GOOD' WHEN score >= 50 THEN 'FAIR' ELSE 'POOR' END AS verdict FROM sc""")
 def alignment_report(spark, d):
-    return ev.alignment_report(_grid(spark, d), ["user_id"], "i", "x", "y", 20.0, 120.0)
+    a = ev.alignment_report(_grid(spark, d), ["user_id"], "i", "x", "y", 20.0, 120.0)
+    return a.withColumns({c: r(c) for c in ("score_100", "ncc", "pearson", "spectral", "lag_score")})
 
 
 @query("""WITH e AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events), k AS (SELECT o, exp(-0.5 * (o / 1.5) ** 2) AS w FROM (SELECT unnest(range(-6, 7)) AS o)),
@@ -742,7 +755,21 @@ def gaussian_smooth(spark, d):
     return smooth.gaussian(x, ["user_id"], "o", "value", 1.5, "smooth").select("event_id", r("smooth").alias("smooth"))
 
 
-@query()
+@query("""WITH h AS (SELECT user_id, event_type, epoch_us(ts) / 3.6e9 AS t, avg(value) AS v FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+a0 AS (SELECT user_id, t, v FROM h WHERE event_type = 'view'), b0 AS (SELECT user_id, t, v FROM h WHERE event_type = 'click'),
+m1 AS (SELECT user_id, unnest([-48.0::DOUBLE, -24.0, 0.0, 24.0, 48.0]) AS lag FROM (SELECT DISTINCT user_id FROM b0)), bs1 AS (SELECT b0.user_id, lag, t + lag AS t, v FROM b0 JOIN m1 USING (user_id)),
+g1 AS (SELECT user_id, lag, s + i * 12.0 AS t FROM (SELECT *, unnest(range(0, CAST(floor((z - s) / 12.0) AS BIGINT) + 1)) AS i FROM (SELECT b.user_id, lag, greatest(min(b.t), max(a.lo)) AS s, least(max(b.t), max(a.hi)) AS z FROM bs1 b JOIN (SELECT user_id, min(t) AS lo, max(t) AS hi FROM a0 GROUP BY 1) a USING (user_id) GROUP BY 1, 2) WHERE z >= s)),
+x1 AS (SELECT g.user_id, lag, g.t, CASE WHEN n.t = g.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (g.t - n.t) / (t2 - n.t) END AS x FROM g1 g ASOF JOIN (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM a0 WINDOW w AS (PARTITION BY user_id ORDER BY t)) n ON g.user_id = n.user_id AND g.t >= n.t),
+y1 AS (SELECT g.user_id, g.lag, x, CASE WHEN n.t = g.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (g.t - n.t) / (t2 - n.t) END AS y FROM x1 g ASOF JOIN (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM bs1 WINDOW w AS (PARTITION BY user_id, lag ORDER BY t)) n ON g.user_id = n.user_id AND g.lag = n.lag AND g.t >= n.t),
+s1 AS (SELECT user_id, lag, CASE WHEN stddev_pop(x) < 1e-8 OR stddev_pop(y) < 1e-8 OR count(*) < 3 THEN 0.0 ELSE corr(x, y) END AS score FROM y1 GROUP BY 1, 2),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, lag) AS k, lead(score) OVER (PARTITION BY user_id ORDER BY score DESC, lag) AS second FROM s1),
+m2 AS (SELECT user_id, lag + unnest([-24.0::DOUBLE, -18.0, -12.0, -6.0, 0.0, 6.0, 12.0, 18.0, 24.0]) AS lag FROM r1 WHERE k = 1), bs2 AS (SELECT b0.user_id, lag, t + lag AS t, v FROM b0 JOIN m2 USING (user_id)),
+g2 AS (SELECT user_id, lag, s + i * 12.0 AS t FROM (SELECT *, unnest(range(0, CAST(floor((z - s) / 12.0) AS BIGINT) + 1)) AS i FROM (SELECT b.user_id, lag, greatest(min(b.t), max(a.lo)) AS s, least(max(b.t), max(a.hi)) AS z FROM bs2 b JOIN (SELECT user_id, min(t) AS lo, max(t) AS hi FROM a0 GROUP BY 1) a USING (user_id) GROUP BY 1, 2) WHERE z >= s)),
+x2 AS (SELECT g.user_id, lag, g.t, CASE WHEN n.t = g.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (g.t - n.t) / (t2 - n.t) END AS x FROM g2 g ASOF JOIN (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM a0 WINDOW w AS (PARTITION BY user_id ORDER BY t)) n ON g.user_id = n.user_id AND g.t >= n.t),
+y2 AS (SELECT g.user_id, g.lag, x, CASE WHEN n.t = g.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (g.t - n.t) / (t2 - n.t) END AS y FROM x2 g ASOF JOIN (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM bs2 WINDOW w AS (PARTITION BY user_id, lag ORDER BY t)) n ON g.user_id = n.user_id AND g.lag = n.lag AND g.t >= n.t),
+s2 AS (SELECT user_id, lag, CASE WHEN stddev_pop(x) < 1e-8 OR stddev_pop(y) < 1e-8 OR count(*) < 3 THEN 0.0 ELSE corr(x, y) END AS score FROM y2 GROUP BY 1, 2),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, lag) AS k, lead(score) OVER (PARTITION BY user_id ORDER BY score DESC, lag) AS second FROM s2)
+SELECT user_id AS session_id, 0 AS pair, lag, round(score, 6) AS score, score >= 0.5 AND coalesce(score - second, 0.0) >= 0.02 AS reliable FROM r2 WHERE k = 1""")
 def pair_estimates(spark, d):
     e = events(spark, d)
     flux = e.select(F.col("user_id").alias("session_id"), F.col("event_type").alias("flux"), (F.col("us") / 3.6e9).alias("t"), "value")
@@ -750,7 +777,6 @@ def pair_estimates(spark, d):
     return sync.estimate_pairs(flux, pairs, step=12.0, max_lag=48.0, coarse=24.0, fine=6.0).select("session_id", "pair", "lag", r("score").alias("score"), "reliable")
 
 
-
 @query("""WITH q AS (SELECT o_orderpriority, o_totalprice AS v FROM orders) SELECT o_orderpriority, count(*) AS n, round(quantile_cont(v, 0.02), 4) AS p02, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.98), 4) AS p98 FROM q GROUP BY 1""")
 def selected_percentiles(spark, d):
     o = table(spark, d, "orders").select("o_orderpriority", F.col("o_totalprice").cast("double").alias("v"))
