@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import roles, session
-from . import checks, session_check as sc
+from ..operators import roles, session, stats
+from . import checks, full_check as fc, session_check as sc
 from .queries import events, query, r, table
 
 #: Events as streams in milliseconds: users are sessions, event types streams.
@@ -310,6 +310,54 @@ def check_sessions(spark, d):
     return x.select("user_id", "blocked_by", F.size("gates").alias("n_gates"), "n_missing_files", "n_camera_gaps", r("camera_coverage").alias("camera_coverage"), "n_pairs", r("alignment").alias("alignment"), r("penalty").alias("penalty"), "score")
 
 
+#: Six dimensions of users as sessions: orientation from the metadata, health and clock of the purchases as the gripper, the
+#: session check, gaps of the cameras, and how purchases follow clicks by day. Each is missing where its streams are.
+FULL = "WITH ck AS (" + CHECK + """),
+e AS (SELECT user_id AS u, epoch_us(ts) / 6e7 AS t, event_type AS k, value FROM events), ids AS (SELECT DISTINCT u FROM e),
+ori AS (SELECT u, 'video_orientation' AS name, CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 2000 THEN 0.0 ELSE 100.0 END AS score, 0.95 AS confidence, c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 2000 AS blocking, CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 2000 THEN 'upside down' END AS reason, CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 2000 THEN 'rotate' END AS repair FROM ids JOIN customer ON c_custkey = u WHERE c_mktsegment <> 'BUILDING'),
+hz AS (SELECT u, avg(CASE WHEN floor(value / 20) = 0 THEN 1.0 ELSE 0.0 END) AS z FROM e WHERE k = 'purchase' GROUP BY 1),
+hea AS (SELECT u, 'gripper_health' AS name, 100.0 AS score, 0.9 AS confidence, z > 0.80 AS blocking, CASE WHEN z > 0.80 THEN 'stuck' END AS reason, CASE WHEN z > 0.80 THEN 'replace' END AS repair FROM hz),
+sp AS (SELECT u, k, min(t) AS a, max(t) AS z FROM e WHERE k IN ('purchase', 'click') GROUP BY 1, 2),
+tl AS (SELECT p.u, abs(c.a - p.a) AS far, greatest(0.0, least(p.z, c.z) - greatest(p.a, c.a)) AS overlap FROM sp p JOIN sp c ON p.u = c.u AND p.k = 'purchase' AND c.k = 'click'),
+tim AS (SELECT u, 'gripper_ts' AS name, CASE WHEN far > 2000 OR overlap < 3000 THEN 40.0 WHEN far > 500 THEN 80.0 ELSE 100.0 END AS score, 0.9 AS confidence, false AS blocking, NULL AS reason, CASE WHEN far > 2000 OR overlap < 3000 THEN 'trim' END AS repair FROM tl),
+syn AS (SELECT user_id AS u, 'video_tracker_sync' AS name, score, 0.9 AS confidence, blocked_by IS NOT NULL AS blocking, blocked_by AS reason, CASE WHEN blocked_by IS NOT NULL THEN CASE WHEN blocked_by LIKE 'camera%' THEN 'shift_and_window' END END AS repair FROM ck),
+qua AS (SELECT user_id AS u, 'video_quality' AS name, 100.0 - least(40.0, 15.0 * n_camera_gaps) AS score, 0.85 AS confidence, false AS blocking, NULL AS reason, CASE WHEN n_camera_gaps > 0 THEN 'repair_camera_gaps' END AS repair FROM ck),
+dy AS (SELECT u, floor(t / 1440) AS d, avg(value) FILTER (k = 'purchase') AS x, avg(value) FILTER (k = 'click') AS y FROM e GROUP BY 1, 2 HAVING x IS NOT NULL AND y IS NOT NULL),
+fr AS (SELECT u, count(*) AS n, CASE WHEN count(*) < 3 OR stddev_pop(x) < 1e-8 OR stddev_pop(y) < 1e-8 THEN 0.0 ELSE corr(x, y) END AS r FROM dy GROUP BY 1),
+fra AS (SELECT u, 'gripper_frame_sync' AS name, CASE WHEN n < 4 THEN 50.0 ELSE round(50 + 50 * r, 3) END AS score, least(0.9, 0.1 * n) AS confidence, false AS blocking, NULL AS reason, CASE WHEN n >= 4 AND r < 0 THEN 'shift' END AS repair FROM fr),
+al AS (SELECT * FROM ori UNION ALL SELECT * FROM hea UNION ALL SELECT * FROM tim UNION ALL SELECT * FROM syn UNION ALL SELECT * FROM qua UNION ALL SELECT * FROM fra),
+sl AS (SELECT ids.u, o.name, o.w, o.o, coalesce(al.score, 50.0) AS score, al.score IS NULL AS missing, CASE WHEN al.score IS NULL THEN 0.0 ELSE al.confidence END AS confidence, coalesce(al.blocking, false) AS blocking, al.reason, al.repair
+  FROM ids CROSS JOIN (VALUES ('video_orientation', 0.0, 0), ('gripper_health', 0.0, 1), ('gripper_ts', 0.25, 2), ('video_tracker_sync', 0.30, 3), ('video_quality', 0.15, 4), ('gripper_frame_sync', 0.30, 5)) o(name, w, o) LEFT JOIN al ON al.u = ids.u AND al.name = o.name),
+vg AS (SELECT *, NOT blocking AND (missing OR (abs(score - 50) < 1 AND confidence < 0.5)) AS vague FROM sl), lw AS (SELECT *, NOT vague AND score < CASE WHEN name = 'gripper_frame_sync' THEN 45 ELSE 60 END AS low FROM vg),
+gg AS (SELECT u, sum(w * score) FILTER (NOT vague AND w > 0) / sum(w) FILTER (NOT vague AND w > 0) AS s1, sum(w * score) / sum(w) AS s2, sum(w * confidence) / sum(w) AS confidence, arg_min('[' || name || '] ' || coalesce(reason, ''), o) FILTER (blocking) AS stop, 'too low: ' || string_agg(name || '=' || CAST(round_even(score, 0) AS INTEGER), ', ' ORDER BY o) FILTER (low) AS lows,
+  coalesce(string_agg(name, ',' ORDER BY o) FILTER (vague AND NOT missing), '') AS inconclusive, coalesce(string_agg(name, ',' ORDER BY o) FILTER (missing), '') AS missing, coalesce(string_agg(repair, ',' ORDER BY o), '') AS repairs FROM lw GROUP BY 1),
+fs AS (SELECT *, least(100.0, greatest(0.0, coalesce(s1, s2))) AS score, coalesce(stop, lows) AS blocking_reason FROM gg)
+SELECT u AS user_id, round(score, 4) AS score, CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' WHEN score >= 60 THEN 'C' WHEN score >= 45 THEN 'D' ELSE 'F' END AS grade, CASE WHEN blocking_reason IS NOT NULL THEN 'BLOCKED' WHEN score >= 95 THEN 'PERFECT' WHEN score >= 75 THEN 'ACCEPTABLE' WHEN score >= 45 THEN 'ISSUES' ELSE 'FAILED' END AS verdict, blocking_reason IS NOT NULL AS blocked, blocking_reason, round(confidence, 6) AS confidence, inconclusive, missing, repairs FROM fs"""
+
+
+@query(FULL)
+def full_check(spark, d):
+    """Six dimensions over the sessions' own streams; missing and inconclusive ones do not count."""
+    e = _ms(spark, d).select("user_id", (F.col("us") / 6e7).alias("t"), "event_type", "value")
+    ids = e.select("user_id").distinct()
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal", "c_mktsegment").where("c_mktsegment <> 'BUILDING'")
+    down = (F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_acctbal") < 2000)
+    orientation = fc.dimension(ids.join(c, "user_id"), "user_id", "video_orientation", F.when(down, 0.0).otherwise(100.0), 0.95, down, F.when(down, "upside down"), F.when(down, "rotate"))
+    stuck = checks.stuck(e.where("event_type = 'purchase'").withColumn("level", F.floor(F.col("value") / 20)), ["user_id"], "level", 0.80)
+    health = fc.dimension(stuck, "user_id", "gripper_health", F.lit(100.0), 0.9, F.col("stuck"), F.when(F.col("stuck"), "stuck"), F.when(F.col("stuck"), "replace"))
+    level = session.timing_level(e.where("event_type = 'purchase'"), e.where("event_type = 'click'"), ["user_id"], "t")
+    clock = fc.dimension(level, "user_id", "gripper_ts", F.when(F.col("status") == "error", 40.0).when(F.col("status") == "warn", 80.0).otherwise(100.0), repair=F.when(F.col("status") == "error", "trim"))
+    checked = sc.check_sessions(*_raw_sessions(spark, d), "user_id", LAYOUT)
+    stop = F.col("blocked_by")
+    sync = fc.dimension(checked, "user_id", "video_tracker_sync", F.col("score"), 0.9, stop.isNotNull(), stop, F.when(stop.startswith("camera"), "shift_and_window"))
+    quality = fc.dimension(checked, "user_id", "video_quality", 100.0 - F.least(F.lit(40.0), 15.0 * F.col("n_camera_gaps")), 0.85, repair=F.when(F.col("n_camera_gaps") > 0, "repair_camera_gaps"))
+    days = e.groupBy("user_id", F.floor(F.col("t") / 1440).alias("day")).agg(*[F.avg(F.when(F.col("event_type") == k, F.col("value"))).alias(n) for n, k in (("x", "purchase"), ("y", "click"))]).where("x is not null and y is not null")
+    follow = days.groupBy("user_id").agg(F.count("*").alias("n"), stats.safe_corr("x", "y").alias("r"))
+    frames = fc.dimension(follow, "user_id", "gripper_frame_sync", F.when(F.col("n") < 4, 50.0).otherwise(F.round(50 + 50 * F.col("r"), 3)), F.least(F.lit(0.9), 0.1 * F.col("n")), repair=F.when((F.col("n") >= 4) & (F.col("r") < 0), "shift"))
+    out = fc.full_check(ids, [orientation, health, clock, sync, quality, frames], "user_id")
+    return out.withColumns({"score": r("score", 4), "confidence": r("confidence"), **{c: F.array_join(c, ",") for c in ("inconclusive", "missing", "repairs")}})
+
+
 @query()
 def oversampled_examples(spark, d):
     x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("label"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalars import finite
 
@@ -24,33 +24,44 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return lines.withColumn("session_id", F.regexp_extract("path", SESSION, 1))
 
 
-def sniff_delimiter(header: str) -> str:
-    """The first of comma, semicolon and tab that gives two columns or more."""
-    return next((d for d in (",", ";", "\t") if len(header.split(d)) >= 2), ",")
+SEPARATORS = (",", ";", "\t")
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], required: Sequence[str] = (), delimiter: str | None = None) -> DataFrame:
     """Files as strings with session_id, path and row_id; raises if a file lacks a required column.
 
-    Every file is read by its own header, so columns may stand in another order or with another delimiter from file to file;
-    a column that a file lacks is null. The distinct headers, not the files, reach the driver."""
-    lines = read_lines(spark, paths)
-    first = W.partitionBy("path").orderBy("row_id")
-    heads = lines.withColumn("_k", F.row_number().over(first)).where("_k = 1").select("path", F.col("row_id").alias("_at"), F.col("line").alias("_head"))
-    kinds = sorted(r["_head"] for r in heads.select("_head").distinct().collect())
-    if not kinds:
+    Every file is read by its own header, its first line that is not blank, so columns may stand in another order or with
+    another delimiter from file to file; a column that a file lacks is null. Header and lines go through the same parser, so
+    quoted names may hold the delimiter. One scan finds the distinct headers, which reach the driver, one more reads the rows,
+    however many headers there are; nothing is shuffled."""
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\r\n|\r|\n").alias("_lines"))
+    files = whole.withColumn("_head", F.try_element_at(F.filter("_lines", lambda x: F.trim(x) != ""), F.lit(1))).where("_head is not null")
+    several = lambda d: F.size(F.split("_head", d)) >= 2
+    sep = F.lit(delimiter) if delimiter else F.when(several(","), ",").when(several(";"), ";").when(several("\t"), "\t").otherwise(",")
+    files = files.withColumn("_sep", sep)
+    width = files.agg(F.max(F.size(F.split("_head", r"[,;\t]" if not delimiter else f"\\Q{delimiter}\\E")))).first()[0]
+    if width is None:
         raise ValueError("no rows")
-    rows = lines.join(heads, "path").where("row_id > _at")
-    out = None
-    for head in kinds:
-        sep = delimiter or sniff_delimiter(head)
-        names = [n.strip().strip('"') for n in head.split(sep)]
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    choices = (delimiter,) if delimiter else SEPARATORS
+
+    def cells(line: str):
+        parsed = F.lit(None).cast("array<string>")
+        for d in choices:
+            one = F.from_csv(line, schema, {"sep": d})
+            parsed = F.when(F.col("_sep") == d, F.array(*[one[f"c{i}"] for i in range(width)])).otherwise(parsed)
+        return parsed
+
+    files = files.withColumn("_names", F.transform(F.filter(cells("_head"), lambda x: x.isNotNull()), F.trim))
+    kinds = [r["_names"] for r in files.groupBy("_names").agg(F.min("_head").alias("h")).orderBy("h").collect()]
+    for names in kinds:
         if missing := set(required) - set(names):
             raise ValueError(f"missing columns: {', '.join(sorted(missing))}")
-        schema = ", ".join(f"`{n}` string" for n in names)
-        part = rows.where(F.col("_head") == head).select("session_id", "path", "row_id", F.from_csv("line", schema, {"sep": sep}).alias("r")).select("session_id", "path", "row_id", "r.*")
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    columns = list(dict.fromkeys(n for names in kinds for n in names))
+    rows = files.select("path", "_sep", "_names", "_head", F.array_position("_lines", F.col("_head")).alias("_at"), F.posexplode("_lines").alias("row_id", "_line")).where("row_id >= _at and trim(_line) <> ''")
+    rows = rows.select("path", "row_id", "_names", cells("_line").alias("_cells"))
+    value = lambda n: F.try_element_at("_cells", F.nullif(F.array_position("_names", F.lit(n)), F.lit(0)).cast("int")).alias(n)
+    return rows.select(F.regexp_extract("path", SESSION, 1).alias("session_id"), "path", "row_id", *[value(n) for n in columns])
 
 
 def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -29,10 +29,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).csv(path)
 
 
-def promote(df: DataFrame, root: str, tier: str, scenario: str = "scenario") -> str:
-    """Adds sessions to a tier, partitioned by scenario; rows without one go to ``unknown``."""
+def promote(df: DataFrame, root: str, tier: str, scenario: str = "scenario", key: str = "session_id") -> str:
+    """Adds sessions to a tier, partitioned by scenario; rows without one go to ``unknown``. Sessions that the tier has already
+    are left out, so a retry adds nothing twice (rows without a ``key`` column are always added)."""
     path = f"{root}/tier={tier}"
-    df.withColumn(scenario, F.coalesce(F.nullif(F.trim(scenario), F.lit("")), F.lit("unknown"))).write.mode("append").partitionBy(scenario).parquet(path)
+    new = not_yet(df, df.sparkSession, path, key) if key in df.columns else df
+    new.withColumn(scenario, F.coalesce(F.nullif(F.trim(scenario), F.lit("")), F.lit("unknown"))).write.mode("append").partitionBy(scenario).parquet(path)
     return path
 
 
@@ -46,7 +48,8 @@ def not_yet(df: DataFrame, spark: SparkSession, registry: str, key: str) -> Data
 
 
 def register(df: DataFrame, registry: str, key: str) -> None:
-    df.select(key).distinct().withColumn("at", F.current_timestamp()).write.mode("append").parquet(registry)
+    """Enters keys once; those that are there stay as they are."""
+    not_yet(df.select(key).distinct(), df.sparkSession, registry, key).withColumn("at", F.current_timestamp()).write.mode("append").parquet(registry)
 
 
 def merge_reports(metadata: DataFrame, reports: DataFrame, key: str, into: str = "report") -> DataFrame:

@@ -150,3 +150,26 @@ def test_iso_shifts_know_no_zone(spark, zone):
         assert all(r["got"] == r["want"] for r in got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_full_check_leaves_out_what_is_missing(spark):
+    from chronoweave.plans import full_check as fc
+
+    def dims(*rows):
+        return spark.createDataFrame([(*r, []) if len(r) < 7 else r for r in rows], f"s string, {fc.DIMENSION}")
+
+    rows = dims(
+        ("whole", "gripper_ts", 80.0, 0.9, False, None, ["trim", "shift"]), ("whole", "video_tracker_sync", 90.0, 0.9, False, None, ["shift"]), ("whole", "video_quality", 100.0, 0.8, False, None), ("whole", "gripper_frame_sync", 50.0, 0.6, False, None),
+        ("vague", "gripper_ts", 100.0, 1.0, False, None), ("vague", "gripper_frame_sync", 50.4, 0.3, False, None), ("vague", "video_quality", None, 0.9, False, None),
+        ("stopped", "video_orientation", 0.0, 0.9, True, "upside down"), ("stopped", "gripper_health", 50.0, 0.1, True, "dead"), ("stopped", "video_quality", 100.0, 0.9, False, None),
+        ("low", "gripper_ts", 59.0, 0.9, False, None), ("low", "gripper_frame_sync", 44.0, 0.9, False, None),
+    )
+    ids = spark.createDataFrame([(x,) for x in ("whole", "vague", "stopped", "low", "none")], "s string")
+    got = {r["s"]: r for r in fc.full_check(ids, [rows.where("name < 'm'"), rows.where("name >= 'm'")], "s").collect()}
+    assert got["whole"]["score"] == pytest.approx(0.25 * 80 + 0.30 * 90 + 0.15 * 100 + 0.30 * 50) and got["whole"]["verdict"] == "ACCEPTABLE"
+    assert got["whole"]["repairs"] == ["trim", "shift"] and got["whole"]["missing"] == ["video_orientation", "gripper_health"]
+    assert got["vague"]["score"] == 100.0 and got["vague"]["verdict"] == "PERFECT" and got["vague"]["inconclusive"] == ["gripper_frame_sync"]
+    assert got["vague"]["confidence"] == pytest.approx(0.25 + 0.3 * 0.3) and "video_quality" in got["vague"]["missing"]
+    assert got["stopped"]["blocking_reason"] == "[video_orientation] upside down" and got["stopped"]["verdict"] == "BLOCKED"
+    assert got["low"]["blocking_reason"] == "too low: gripper_ts=59, gripper_frame_sync=44"
+    assert (got["none"]["score"], got["none"]["blocked"], got["none"]["grade"], len(got["none"]["missing"])) == (50.0, False, "D", 6)

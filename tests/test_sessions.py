@@ -166,3 +166,30 @@ def test_streaming_windows_equal_batch(spark, tmp_path):
     q.awaitTermination(120)
     want = windows.time_windows(batch, ["event_type"], "ts", "1 day", None, [F.count("*").alias("n")])
     assert sorted(map(tuple, spark.table("win").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_headers_may_hold_the_separator_and_change_from_file_to_file(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"s{i}").mkdir()
+    (tmp_path / "s0/a.csv").write_text('"speed, mm",t\n"1,5",2\n\n3,4\n')
+    (tmp_path / "s1/a.csv").write_text("t\tw\r\n5\t6\r\n")
+    (tmp_path / "s2/a.csv").write_text("  \nw;t\n7;8\n9\n")
+    (tmp_path / "s3/a.csv").write_text("t\n10\n")
+    (tmp_path / "s4/a.csv").write_text("")
+    (tmp_path / "s5/a.csv").write_text("t,w\n")
+    rows = readers.read_csv(spark, f"{tmp_path}/*/a.csv")
+    got = {(r["session_id"], r["row_id"], r["t"], r["w"], r["speed, mm"]) for r in rows.collect()}
+    assert got == {("s0", 1, "2", None, "1,5"), ("s0", 3, "4", None, "3"), ("s1", 1, "5", "6", None), ("s2", 2, "8", "7", None), ("s2", 3, None, "9", None), ("s3", 1, "10", None, None)}
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="no rows"):
+        readers.read_csv(spark, f"{tmp_path}/s4/a.csv")
+
+
+def test_a_retry_promotes_and_registers_nothing_twice(spark, tmp_path):
+    from chronoweave.sources import sinks
+
+    rows = spark.createDataFrame([("a", "x"), ("b", None)], "session_id string, scenario string")
+    for _ in range(2):
+        path = sinks.promote(rows, str(tmp_path), "gold")
+        sinks.register(rows, str(tmp_path / "sent"), "session_id")
+    assert spark.read.parquet(path).count() == 2 and spark.read.parquet(str(tmp_path / "sent")).count() == 2
