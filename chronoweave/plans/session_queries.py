@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import roles, session, stats
+from ..operators import frame_sync, roles, session, stats
 from . import checks, full_check as fc, session_check as sc
 from .queries import events, query, r, table
 
@@ -358,6 +358,44 @@ def full_check(spark, d):
     return out.withColumns({"score": r("score", 4), "confidence": r("confidence"), **{c: F.array_join(c, ",") for c in ("inconclusive", "missing", "repairs")}})
 
 
+#: Purchases as a gripper's sensor, clicks as what its camera shows; hours as time.
+HOURLY = """WITH h AS (SELECT user_id, event_type, epoch_us(ts) / 3.6e9 AS t, avg(value) AS v FROM events WHERE event_type IN ('purchase', 'click') GROUP BY 1, 2, 3)"""
+
+
+@query(HOURLY + """, q AS (SELECT user_id, event_type, quantile_cont(v, 0.25) AS a, quantile_cont(v, 0.75) AS b FROM h GROUP BY 1, 2), c AS (SELECT h.user_id, h.event_type, t, CASE WHEN v <= a + (b - a) * 0.25 THEN 1.0 ELSE 0.0 END AS v FROM h JOIN q USING (user_id, event_type) WHERE b - a >= 3),
+bd AS (SELECT s.user_id, greatest(min(s.t), min(w.t)) AS a, least(max(s.t), max(w.t)) AS z FROM c s JOIN c w ON s.user_id = w.user_id AND s.event_type = 'purchase' AND w.event_type = 'click' GROUP BY 1),
+g0 AS (SELECT user_id, i, a + i * 6.0 AS t FROM (SELECT *, unnest(range(0, CAST(floor((z - a) / 6.0) AS BIGINT) + 1)) AS i FROM bd WHERE z >= a)), g AS (SELECT * EXCLUDE (span) FROM (SELECT *, max(t) OVER (PARTITION BY user_id) - min(t) OVER (PARTITION BY user_id) AS span FROM g0) WHERE span >= 120 - 6),
+n AS (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM c WINDOW w AS (PARTITION BY user_id, event_type ORDER BY t)),
+k AS (SELECT g.*, unnest(['purchase', 'click']) AS et FROM g), y AS (SELECT k.user_id, i, et, CASE WHEN n.t = k.t OR t2 IS NULL THEN v ELSE v + (v2 - v) * (k.t - n.t) / (t2 - n.t) END >= 0.5 AS closed FROM k ASOF JOIN n ON k.user_id = n.user_id AND k.et = n.event_type AND k.t >= n.t),
+cn AS (SELECT user_id, count(*) FILTER (et = 'purchase' AND closed) AS ns, count(*) FILTER (et = 'click' AND closed) AS nv FROM y GROUP BY 1),
+hit AS (SELECT s.user_id, w.i - s.i AS lag, count(*) AS n FROM y s JOIN y w ON s.user_id = w.user_id AND s.et = 'purchase' AND w.et = 'click' AND s.closed AND w.closed AND w.i - s.i BETWEEN -8 AND 8 GROUP BY 1, 2),
+cv AS (SELECT l.user_id, l.lag, coalesce(n, 0) AS n FROM (SELECT user_id, unnest(range(-8, 9)) AS lag FROM cn WHERE ns >= 10 AND nv >= 10) l LEFT JOIN hit USING (user_id, lag)),
+cw AS (SELECT *, lag(n) OVER w AS p, lead(n) OVER w AS q, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, lag) AS k FROM cv WINDOW w AS (PARTITION BY user_id ORDER BY lag)),
+tp AS (SELECT * FROM cw WHERE k = 1), rs AS (SELECT cv.user_id, avg(cv.n) AS noise FROM cv JOIN tp USING (user_id) WHERE abs(cv.lag - tp.lag) > 2 GROUP BY 1),
+o AS (SELECT u.user_id, ns, nv, tp.n, n / least(ns, nv) AS peak, (lag + coalesce(CASE WHEN p - 2 * n + q <> 0 THEN greatest(-0.5, least(0.5, 0.5 * (p - q) / (p - 2 * n + q))) ELSE 0.0 END, 0.0)) * 6.0 AS off, n / (coalesce(noise, 0.0) + 1e-8) AS snr FROM (SELECT DISTINCT user_id FROM h WHERE event_type = 'purchase') u LEFT JOIN cn USING (user_id) LEFT JOIN tp USING (user_id) LEFT JOIN rs USING (user_id))
+SELECT user_id, coalesce(ns, 0) AS n_closed_sensor, coalesce(nv, 0) AS n_closed_visual, round(peak, 6) AS peak, round(off, 6) AS offset_ms, round(snr, 4) AS snr, CASE WHEN ns IS NULL THEN 'no_data' WHEN n IS NULL OR snr < 2 THEN 'weak' WHEN abs(off) > 24 THEN 'shifted' ELSE 'ok' END AS status FROM o""")
+def closed_offset(spark, d):
+    e = events(spark, d).select("user_id", "event_type", (F.col("us") / 3.6e9).alias("t"), "value")
+    s = frame_sync.closed_offset(e.where("event_type = 'purchase'"), e.where("event_type = 'click'"), ["user_id"], step=6.0, max_lag=48.0, least_overlap=120.0, zone=2, significant=24.0, least_visual=3.0)
+    return s.withColumns({"peak": r("peak"), "offset_ms": r("offset_ms"), "snr": r("snr", 4)})
+
+
+@query(HOURLY + """, n AS (SELECT *, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM h WHERE event_type = 'purchase' WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+f AS (SELECT user_id, event_id, epoch_us(ts) / 3.6e9 AS t, value AS gap FROM events WHERE event_type = 'click'),
+j AS (SELECT f.*, CASE WHEN n.t = f.t THEN v ELSE v + (v2 - v) * (f.t - n.t) / (t2 - n.t) END AS x FROM f ASOF JOIN n ON f.user_id = n.user_id AND f.t >= n.t WHERE n.t = f.t OR t2 IS NOT NULL),
+d0 AS (SELECT * EXCLUDE (c), true AS used FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS c FROM j) WHERE c >= 8),
+""" + "".join(f"""m{k} AS (SELECT user_id, coalesce(regr_slope(gap, x) FILTER (used), 0.0) AS a, coalesce(regr_intercept(gap, x) FILTER (used), avg(gap) FILTER (used)) AS b FROM d{k} GROUP BY 1), e{k} AS (SELECT d{k}.*, gap - a * x - b AS res FROM d{k} JOIN m{k} USING (user_id)), z{k} AS (SELECT user_id, stddev_pop(res) FILTER (used) AS s FROM e{k} GROUP BY 1), d{k + 1} AS (SELECT e{k}.user_id, event_id, t, gap, x, abs(res) <= greatest(2.0 * s, 1e-9) AS used FROM e{k} JOIN z{k} USING (user_id)),
+""" for k in range(2)) + """m AS (SELECT user_id, coalesce(regr_slope(gap, x) FILTER (used), 0.0) AS a, coalesce(regr_intercept(gap, x) FILTER (used), avg(gap) FILTER (used)) AS b FROM d2 GROUP BY 1), e AS (SELECT d2.*, gap - a * x - b AS res FROM d2 JOIN m USING (user_id)), z AS (SELECT user_id, greatest(10.0, 2.0 * stddev_pop(res) FILTER (used)) AS tol FROM e GROUP BY 1)
+SELECT user_id, count(*) AS n_frames, count(*) FILTER (used) AS n_used, round(abs(regr_slope(gap, x) FILTER (used)), 6) AS px_per_mm, round(corr(gap, x) FILTER (used), 6) AS r, round(stddev_pop(res) FILTER (used), 6) AS residual_std, round(avg(CAST(abs(res) <= tol AS INTEGER)), 6) AS in_sync, count(*) FILTER (abs(res) > 3 * tol) AS n_anomalies,
+round(100 * (0.6 * least(1.0, greatest(0.0, (abs(coalesce(corr(gap, x) FILTER (used), 0.0)) - 0.3) / 0.7)) + 0.4 * avg(CAST(abs(res) <= tol AS INTEGER))), 4) AS score FROM e JOIN z USING (user_id) GROUP BY 1""")
+def gap_report(spark, d):
+    e = events(spark, d).select("user_id", "event_id", "event_type", (F.col("us") / 3.6e9).alias("t"), "value")
+    frames = e.where("event_type = 'click'").select("user_id", "event_id", "t", F.col("value").alias("gap"))
+    c = frame_sync.gap_calibration(frames, e.where("event_type = 'purchase'"), ["user_id"], "event_id", sigmas=2.0, floor=10.0, least=8)
+    s = frame_sync.gap_report(c, ["user_id"])
+    return s.withColumns({**{c: r(c) for c in ("px_per_mm", "r", "residual_std", "in_sync")}, "score": r("score", 4)})
+
+
 @query()
 def oversampled_examples(spark, d):
     x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("label"))

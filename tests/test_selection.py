@@ -173,3 +173,29 @@ def test_full_check_leaves_out_what_is_missing(spark):
     assert got["stopped"]["blocking_reason"] == "[video_orientation] upside down" and got["stopped"]["verdict"] == "BLOCKED"
     assert got["low"]["blocking_reason"] == "too low: gripper_ts=59, gripper_frame_sync=44"
     assert (got["none"]["score"], got["none"]["blocked"], got["none"]["grade"], len(got["none"]["missing"])) == (50.0, False, "D", 6)
+
+
+def test_closed_positions_give_the_offset(spark):
+    from chronoweave.operators import frame_sync
+
+    def opening(t):
+        return 5.0 if (int(t) // 700) % 3 == 0 and (int(t) // 4100) % 2 else 60.0
+
+    rows = [("ahead", 20.0 * i, opening(20.0 * i), opening(20.0 * i - 300)) for i in range(1000)] + [("level", 20.0 * i, opening(20.0 * i), opening(20.0 * i)) for i in range(1000)] + [("still", 20.0 * i, 40.0, opening(20.0 * i)) for i in range(1000)]
+    d = spark.createDataFrame(rows, "s string, t double, o double, v double")
+    got = {r["s"]: r for r in frame_sync.closed_offset(d.select("s", "t", F.col("o").alias("value")), d.select("s", "t", (F.col("v") / 60).alias("value")), ["s"]).collect()}
+    assert got["ahead"]["offset_ms"] == pytest.approx(300, abs=30) and got["ahead"]["status"] == "shifted" and got["ahead"]["peak"] > 0.9
+    assert abs(got["level"]["offset_ms"]) < 30 and got["level"]["status"] == "ok" and got["still"]["status"] == "no_data"
+
+
+def test_calibration_leaves_bad_frames_out(spark):
+    from chronoweave.operators import frame_sync
+
+    rng = np.random.default_rng(8)
+    sensor = [("s", 10.0 * i, 30 + 25 * math.sin(i / 15)) for i in range(400)]
+    frames = [("s", i, 33.0 * i + 5, 4 * (30 + 25 * math.sin((33.0 * i + 5) / 150)) + 7 + rng.normal(0, 1) + (400 if i in (20, 21, 70) else 0)) for i in range(118)]
+    c = frame_sync.gap_calibration(spark.createDataFrame(frames, "k string, frame long, t double, gap double"), spark.createDataFrame(sensor, "k string, t double, value double"), ["k"])
+    rows = {r["frame"]: r for r in c.collect()}
+    assert {f for f, r in rows.items() if r["anomaly"]} == {20, 21, 70} == {f for f, r in rows.items() if not r["used"]} and sum(r["in_sync"] for r in rows.values()) == len(rows) - 3
+    got = frame_sync.gap_report(c, ["k"]).first()
+    assert got["px_per_mm"] == pytest.approx(4, rel=0.01) and got["n_anomalies"] == 3 and got["score"] > 95
