@@ -178,8 +178,10 @@ def test_full_check_leaves_out_what_is_missing(spark):
 def test_closed_positions_give_the_offset(spark):
     from chronoweave.operators import frame_sync
 
+    shut = np.random.default_rng(4).random(60) < 0.45
+
     def opening(t):
-        return 5.0 if (int(t) // 700) % 3 == 0 and (int(t) // 4100) % 2 else 60.0
+        return 5.0 if shut[int(t // 370) % 60] else 60.0
 
     rows = [("ahead", 20.0 * i, opening(20.0 * i), opening(20.0 * i - 300)) for i in range(1000)] + [("level", 20.0 * i, opening(20.0 * i), opening(20.0 * i)) for i in range(1000)] + [("still", 20.0 * i, 40.0, opening(20.0 * i)) for i in range(1000)]
     d = spark.createDataFrame(rows, "s string, t double, o double, v double")
