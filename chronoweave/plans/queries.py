@@ -691,7 +691,12 @@ def _seconds(spark, d):
     return events(spark, d).select("user_id", (F.col("us") / 1e6).alias("t"), "value")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS t, CASE WHEN value >= 60 THEN 1 WHEN value <= 40 THEN 0 END AS s FROM events),
+f AS (SELECT user_id, t, event_id, last_value(s IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM e),
+c AS (SELECT user_id, t, CASE WHEN s = 1 THEN 'rise' ELSE 'fall' END AS kind FROM (SELECT *, lag(s) OVER (PARTITION BY user_id ORDER BY t, event_id) AS p FROM f) WHERE s <> p),
+n AS (SELECT a.user_id, a.t, a.kind, b.t AS nx FROM c a ASOF LEFT JOIN c b ON a.user_id = b.user_id AND a.t + 3600.0 <= b.t),
+k AS (SELECT n.* FROM n JOIN (SELECT user_id, min(t) AS t FROM c GROUP BY 1) USING (user_id, t) UNION ALL SELECT n.* FROM k JOIN n ON n.user_id = k.user_id AND n.t = k.nx)
+SELECT user_id, t, kind FROM k""")
 def hysteresis_events(spark, d):
     return ev.hysteresis_events(_seconds(spark, d), ["user_id"], "t", "value", 60.0, 40.0, 3600.0)
 
@@ -728,7 +733,10 @@ def savgol(spark, d):
     return ev.savgol(_seconds(spark, d), ["user_id"], "t", "value").select("user_id", "t", r("smooth").alias("smooth"))
 
 
-@query()
+@query(GRID + """, zs AS (SELECT user_id, i, count(*) OVER w AS n, x - avg(x) OVER w AS u, y - avg(y) OVER w AS v FROM xy WINDOW w AS (PARTITION BY user_id)),
+ft AS (SELECT user_id, n, f, sqrt(sum(u * cos(2 * pi() * i * f / n)) ** 2 + sum(u * sin(2 * pi() * i * f / n)) ** 2) AS fu, sqrt(sum(v * cos(2 * pi() * i * f / n)) ** 2 + sum(v * sin(2 * pi() * i * f / n)) ** 2) AS fv FROM (SELECT *, unnest(range(1, n // 2 + 1)) AS f FROM zs) GROUP BY 1, 2, 3),
+sp AS (SELECT user_id, CASE WHEN count(*) > 2 AND stddev_pop(fu) > 1e-12 AND stddev_pop(fv) > 1e-12 THEN greatest(0.0, corr(fu, fv)) ELSE 0.0 END AS spectral FROM ft GROUP BY 1)
+SELECT user_id, round(coalesce(spectral, 0.0), 6) AS spectral FROM (SELECT DISTINCT user_id FROM zs) LEFT JOIN sp USING (user_id)""")
 def spectral_similarity(spark, d):
     return ev.spectral_similarity(_grid(spark, d), ["user_id"], "i", "x", "y").withColumn("spectral", r("spectral"))
 
