@@ -46,7 +46,7 @@ def tune_bands(similarity: float = PERCENT / 100, recall: float = 0.95, least_ro
     raise ValueError("no banding reaches the recall")
 
 
-BANDS, ROWS = tune_bands()
+BANDS, ROWS = tune_bands(least_rows=4)
 KEYS = [f"k{k}" for k in range(BANDS)]
 _TIMES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
