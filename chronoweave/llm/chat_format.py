@@ -107,8 +107,9 @@ def linear_nodes(turns: DataFrame) -> DataFrame:
 def format_conversations(conversations: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv_id, formatted, loss_spans), one row for each conv_id, null included.
 
-    A null role or text is empty; a null turn comes first; repeated rows are turns of their own; other columns are
-    ignored; no rows give no rows.
+    A null role or text is empty; a null turn comes first, equal turns go by role and text; repeated rows are turns of their
+    own; other columns are ignored, whatever their names; no rows give no rows. A conversation has one path, so equal scores
+    cannot meet here (``reply_paths`` takes the smaller leaf). One conversation, with texts of any length, is one row.
     """
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     nodes = scratch.save(linear_nodes(turns))

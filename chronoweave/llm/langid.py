@@ -128,7 +128,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, ambiguous for each row of ``docs`` (doc_id, text).
 
     ``und`` with score 0 if the text is null, empty or has no letter, or if nothing was learned. Equal texts get equal
-    results; repeated rows and null ids stay; other columns are ignored.
+    results; repeated rows and null ids stay; other columns are ignored. Texts of any length are read whole, a piece at a
+    time; of languages with equal losses the first by name is taken and the row is ambiguous; no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -244,7 +244,11 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, index: Index, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, all columns; one map, no shuffle."""
+    """The rows of ``docs`` whose text scores below ``threshold``, all columns; one map, no shuffle.
+
+    Null and empty texts score like texts without evidence; equal texts go or stay together; texts of any length are scored
+    whole; columns pass whatever their names; no rows give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
