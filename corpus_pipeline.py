@@ -21,7 +21,11 @@ def without(docs: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose toxicity score, of the text alone, reaches the threshold."""
+    """Rejects documents whose toxicity score, of the text alone, reaches the threshold.
+
+    Null and empty texts score like texts without evidence; equal texts go or stay together; very long texts are scored whole.
+    All columns pass, whatever their names; no rows give no rows.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     index = toxicity.fit(docs, labels)
     return toxicity.keep_clean(docs, index, toxicity.THRESHOLD)
@@ -30,7 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group linked by five-word shingles at Jaccard 0.8.
 
-    A document without words is a group of its own; rows that repeat a kept row's id stay with it.
+    A document without words, or without an id, is a group of its own; rows that repeat a kept row's id stay with it. Texts
+    are compared whole, of any length. All columns pass, whatever their names; no rows give no rows.
     """
     scratch = Scratch(spark)
     groups = ngram_join.similar_documents(docs, scratch, k=5, percent=80)
@@ -38,19 +43,31 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes passages that stand in an earlier document."""
+    """Removes passages that stand in an earlier document (smaller doc_id, a null one last).
+
+    Null, empty and short texts and rows without a repeated passage are unchanged; a row that loses all its words goes; equal
+    rows are treated alike; texts are read whole. All columns pass, whatever their names; no rows give no rows.
+    """
     return substring_dedup.remove_passages(docs, Scratch(spark))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item.
+
+    Null and empty texts or items match nothing; a repeated row goes with its equal; texts are read whole, of any length. All
+    columns pass, whatever their names; no rows, or an empty benchmark, drop nothing.
+    """
     rows = docs.select(row_id().alias("doc_id"), "text")
     leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, leaks.select(F.col("doc_id").alias("rid")), Scratch(spark))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes: one row for each document, null and empty texts with 0 words.
+
+    Repeated rows are documents of their own; a null source is a source; texts count whole. Columns other than doc_id, text
+    and source are left out; no rows give no rows.
+    """
     return mixture.mix_sources(docs.select("doc_id", "text", "source"), Scratch(spark))[0]
 
 
