@@ -72,9 +72,16 @@ def residuals(df: DataFrame, by: Sequence[str], x: str, y: str, out: str = "resi
     return df.join(fit, list(by), "left").withColumn(out, F.col(y) - F.col("_b") * F.col(x) - F.col("_a")).drop("_a", "_b")
 
 
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation as an aggregate over the rows that have both; null where a side is flat (``F.corr`` divides by 0 there)."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+
 def safe_corr(a: str, b: str, least: int = 3, flat: float = 1e-8) -> Column:
     """Pearson correlation as an aggregate; 0 for few rows or a flat side."""
-    return F.when((F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()) < least) | (F.stddev_pop(a) < flat) | (F.stddev_pop(b) < flat), 0.0).otherwise(F.corr(a, b))
+    return F.when((F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()) < least) | (F.stddev_pop(a) < flat) | (F.stddev_pop(b) < flat), 0.0).otherwise(F.coalesce(pearson(a, b), F.lit(0.0)))
 
 
 def cosine(a: str, b: str) -> Column:

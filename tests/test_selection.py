@@ -201,3 +201,17 @@ def test_calibration_leaves_bad_frames_out(spark):
     assert {f for f, r in rows.items() if r["anomaly"]} == {20, 21, 70} == {f for f, r in rows.items() if not r["used"]} and sum(r["in_sync"] for r in rows.values()) == len(rows) - 3
     got = frame_sync.gap_report(c, ["k"]).first()
     assert got["px_per_mm"] == pytest.approx(4, rel=0.01) and got["n_anomalies"] == 3 and got["score"] > 95
+
+
+def test_flat_windows_correlate_with_nothing(spark):
+    from chronoweave.operators import smooth, stats
+
+    rows = [("a", i, float(i), 5.0 if i < 6 else float(i % 4)) for i in range(12)] + [("b", 0, 1.0, 1.0), ("b", 1, 2.0, None)]
+    d = spark.createDataFrame(rows, "k string, i int, x double, y double")
+    w = smooth.sliding_windows(d, ["k"], "i", 6, 3).groupBy("k", "window_id").agg(stats.safe_corr("x", "y").alias("c"), stats.pearson("x", "y").alias("p"))
+    got = {r["window_id"]: (r["c"], r["p"]) for r in w.collect()}
+    x, y = np.arange(12.0), np.array([r[3] for r in rows[:12]])
+    assert got[0] == (0.0, None)
+    for k in (1, 2):
+        assert abs(got[k][0] - np.corrcoef(x[3 * k : 3 * k + 6], y[3 * k : 3 * k + 6])[0, 1]) < 1e-12 and got[k][0] == got[k][1]
+    assert d.where("k = 'b'").agg(stats.pearson("x", "y")).first()[0] is None
