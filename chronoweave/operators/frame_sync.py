@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..functions.scalars import clamp
 from .grid import interpolate
 from .lag import on_common_grid
+from .stats import pearson
 
 #: Share of the quartile range above the lower quartile up to which a signal counts as closed; least quartile ranges of the
 #: sensor (mm) and of the visual signal, and least closed samples. Fixed values.
@@ -79,6 +80,6 @@ def gap_calibration(frames: DataFrame, sensor: DataFrame, by: Sequence[str], fra
 def gap_report(calibrated: DataFrame, by: Sequence[str]) -> DataFrame:
     """by, n_frames, n_used, px_per_mm, r, residual_std, in_sync share, n_anomalies, score (0-100) of each camera."""
     used = F.col("used")
-    s = calibrated.groupBy(*by).agg(F.count("*").alias("n_frames"), F.count_if("used").alias("n_used"), F.abs(F.regr_slope(F.when(used, F.col("gap")), F.when(used, F.col("sensor")))).alias("px_per_mm"), F.corr(F.when(used, F.col("gap")), F.when(used, F.col("sensor"))).alias("r"), F.stddev_pop(F.when(used, F.col("residual"))).alias("residual_std"), F.avg(F.col("in_sync").cast("double")).alias("in_sync"), F.count_if("anomaly").alias("n_anomalies"))
+    s = calibrated.groupBy(*by).agg(F.count("*").alias("n_frames"), F.count_if("used").alias("n_used"), F.abs(F.regr_slope(F.when(used, F.col("gap")), F.when(used, F.col("sensor")))).alias("px_per_mm"), pearson(F.when(used, F.col("gap")), F.when(used, F.col("sensor"))).alias("r"), F.stddev_pop(F.when(used, F.col("residual"))).alias("residual_std"), F.avg(F.col("in_sync").cast("double")).alias("in_sync"), F.count_if("anomaly").alias("n_anomalies"))
     r = F.abs(F.coalesce(F.when(~F.isnan("r"), F.col("r")), F.lit(0.0)))
     return s.withColumn("score", 100 * (0.6 * clamp((r - 0.3) / 0.7) + 0.4 * F.col("in_sync")))

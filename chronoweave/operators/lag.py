@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .grid import grid, interpolate
+from .stats import pearson
 
 
 def lag_scores(a: DataFrame, b: DataFrame, by: Sequence[str], x: str, y: str, max_lag: int, step: int = 1, scorer: str = "norm", index: str = "i") -> DataFrame:
@@ -21,7 +22,7 @@ def lag_scores(a: DataFrame, b: DataFrame, by: Sequence[str], x: str, y: str, ma
     both = left.join(b.select(*by, F.col(index).alias("_j"), F.col(y).alias("_y")), [*by, "_j"])
     if scorer == "pearson":
         flat = (F.stddev_pop("_x") < 1e-8) | (F.stddev_pop("_y") < 1e-8) | (F.count("*") < 3)
-        return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(F.corr("_x", "_y")).alias("score"), F.count("*").alias("n"))
+        return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(pearson("_x", "_y")).alias("score"), F.count("*").alias("n"))
     norms = a.groupBy(*by).agg(F.sum(F.col(x) * F.col(x)).alias("_nx")).join(b.groupBy(*by).agg(F.sum(F.col(y) * F.col(y)).alias("_ny")), by)
     s = both.groupBy(*by, "lag").agg(F.sum(F.col("_x") * F.col("_y")).alias("_s"), F.count("*").alias("n"))
     norm = F.sqrt(F.col("_nx") * F.col("_ny"))
@@ -76,4 +77,4 @@ def pearson_at(a: DataFrame, b: DataFrame, by: Sequence[str], lags: Column, step
     fixed = a.join(moves, by).select(*by, "lag", time, value)
     both = on_common_grid(fixed, moved, [*by, "lag"], step, time=time, value=value)
     flat = (F.stddev_pop("x") < 1e-8) | (F.stddev_pop("y") < 1e-8) | (F.count("*") < 3)
-    return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(F.corr("x", "y")).alias("score"), F.count("*").alias("n"))
+    return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(pearson("x", "y")).alias("score"), F.count("*").alias("n"))

@@ -11,7 +11,7 @@ from .grid import interpolate
 from .islands import flag_runs
 from .lag import lag_scores, on_common_grid
 from .smooth import gradient, gradient_over, sliding_windows, window
-from .stats import safe_corr
+from .stats import pearson, safe_corr
 
 
 def plateaus(df: DataFrame, by: Sequence[str], time: str, value: str, most_speed: float, least: float) -> DataFrame:
@@ -120,7 +120,7 @@ def agreeing_top(scores: DataFrame, by: Sequence[str], feature: str, lag: str, s
 def calibrate(samples: DataFrame, params: DataFrame, by: Sequence[str], predict: Column, truth: str) -> DataFrame:
     """The parameter row (few, broadcast) whose prediction correlates best with the truth; ties: the smaller param_id."""
     x = samples.crossJoin(F.broadcast(params)).withColumn("_p", predict)  # a literal grid of parameters
-    s = x.groupBy(*by, "param_id").agg(F.coalesce(F.corr("_p", truth), F.lit(0.0)).alias("r"))
+    s = x.groupBy(*by, "param_id").agg(F.coalesce(pearson("_p", truth), F.lit(0.0)).alias("r"))
     return s.groupBy(*by).agg(F.min_by(F.struct("param_id", "r"), F.struct(-F.col("r"), "param_id")).alias("b")).select(*by, "b.*")
 
 

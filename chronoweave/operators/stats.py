@@ -90,7 +90,7 @@ def cosine(a: str, b: str) -> Column:
 
 def error_metrics(df: DataFrame, by: Sequence[str], a: str, b: str) -> DataFrame:
     e = F.col(a) - F.col(b)
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.max(F.abs(e)).alias("max_error"), F.corr(a, b).alias("corr"))
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.max(F.abs(e)).alias("max_error"), pearson(a, b).alias("corr"))
 
 
 def mutual_information(df: DataFrame, by: Sequence[str], a: str, b: str, bins: int = 20) -> DataFrame:

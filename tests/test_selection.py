@@ -215,3 +215,17 @@ def test_flat_windows_correlate_with_nothing(spark):
     for k in (1, 2):
         assert abs(got[k][0] - np.corrcoef(x[3 * k : 3 * k + 6], y[3 * k : 3 * k + 6])[0, 1]) < 1e-12 and got[k][0] == got[k][1]
     assert d.where("k = 'b'").agg(stats.pearson("x", "y")).first()[0] is None
+
+
+def test_rolling_correlation_with_a_flat_window(spark):
+    from chronoweave.operators import lag, signals
+
+    x = [20.0 * (i % 3) for i in range(24)]
+    y = [7.0] * 12 + [float(i * i % 11) for i in range(12)]
+    d = spark.createDataFrame([("a", i, a, b) for i, (a, b) in enumerate(zip(x, y, strict=True))], "k string, i int, x double, y double")
+    s = signals.rolling_correlation(d, ["k"], "i", "x", "y", 12, 6, 10.0).first()
+    want = sorted([0.0, *[np.corrcoef(x[k : k + 12], y[k : k + 12])[0, 1] for k in (6, 12)]])
+    assert s["n_windows"] == 3 and abs(s["median_r"] - want[1]) < 1e-12 and abs(s["min_r"] - want[0]) < 1e-12
+    scores = lag.lag_scores(d.where("i < 12"), d.where("i < 12"), ["k"], "x", "y", 2, scorer="pearson").collect()
+    assert len(scores) == 5 and {r["score"] for r in scores} == {0.0}
+    assert stats.error_metrics(d.where("i < 12"), ["k"], "x", "y").first()["corr"] is None
