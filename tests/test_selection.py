@@ -229,3 +229,10 @@ def test_rolling_correlation_with_a_flat_window(spark):
     scores = lag.lag_scores(d.where("i < 12"), d.where("i < 12"), ["k"], "x", "y", 2, scorer="pearson").collect()
     assert len(scores) == 5 and {r["score"] for r in scores} == {0.0}
     assert stats.error_metrics(d.where("i < 12"), ["k"], "x", "y").first()["corr"] is None
+
+
+def test_gate_metrics_of_a_tracker_without_length(spark):
+    rows = [("one", "tracker", 5.0), ("one", "a", 4.0), ("one", "a", 9.0), ("one", "b", 5.0), ("two", "tracker", 0.0), ("two", "tracker", 10.0), ("two", "a", 5.0), ("two", "a", 12.0), ("two", "b", 0.0), ("two", "b", 9.0)]
+    got = {r["s"]: r for r in ses.gate_metrics(spark.createDataFrame(rows, "s string, k string, t double"), "s", "k", "t", "tracker", ["a", "b"]).collect()}
+    assert got["one"]["camera_coverage"] is None and got["one"]["n_tracker_gaps"] == 0 and got["one"]["start_spread_ms"] == 1.0
+    assert abs(got["two"]["camera_coverage"] - 0.5) < 1e-12
