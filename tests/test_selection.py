@@ -236,3 +236,19 @@ def test_gate_metrics_of_a_tracker_without_length(spark):
     got = {r["s"]: r for r in ses.gate_metrics(spark.createDataFrame(rows, "s string, k string, t double"), "s", "k", "t", "tracker", ["a", "b"]).collect()}
     assert got["one"]["camera_coverage"] is None and got["one"]["n_tracker_gaps"] == 0 and got["one"]["start_spread_ms"] == 1.0
     assert abs(got["two"]["camera_coverage"] - 0.5) < 1e-12
+
+
+def test_session_check_of_a_tracker_without_length(spark, tmp_path):
+    from datetime import datetime
+
+    import duckdb
+
+    from chronoweave.plans.queries import QUERIES, SQL
+
+    rows = [(0, 3, "view", 1), (1, 3, "click", 2), (2, 3, "click", 9), (3, 3, "purchase", 1), (4, 7, "view", 1), (5, 7, "view", 8), (6, 7, "click", 1), (7, 7, "click", 6), (8, 7, "purchase", 2), (9, 7, "purchase", 9)]
+    events = [(i, datetime(2024, 1, day), u, k, 1.0, "{}") for i, u, k, day in rows]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["session_check"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert got == sorted(con.sql(SQL["session_check"]).fetchall()) and [r[0] for r in got] == [3, 7] and got[0][4] == 0.0 < got[1][4]
