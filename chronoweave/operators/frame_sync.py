@@ -19,8 +19,11 @@ CLOSED_FRAC, LEAST_SENSOR, LEAST_VISUAL, LEAST_CLOSED = 0.25, 3.0, 0.03, 10
 def _closed(df: DataFrame, by: Sequence[str], time: str, value: str, least: float) -> DataFrame:
     """(by, t, value): 1 where the stream is closed, else 0; a stream whose quartiles are too near gives nothing."""
     d = df.where(F.col(time).isNotNull() & F.col(value).isNotNull()).select(*by, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("_v"))
-    q = d.groupBy(*by).agg(F.percentile("_v", 0.25).alias("_a"), F.percentile("_v", 0.75).alias("_b")).where(F.col("_b") - F.col("_a") >= least)
-    return d.join(q, list(by)).select(*by, "t", F.when(F.col("_v") <= F.col("_a") + (F.col("_b") - F.col("_a")) * CLOSED_FRAC, 1.0).otherwise(0.0).alias("value"))
+    q = d.groupBy(*by).agg(F.percentile("_v", 0.25).alias("_a"), F.percentile("_v", 0.75).alias("_b"))
+    # rounded, so that a sample on the limit counts as closed however the quartiles were interpolated
+    width, limit = (F.round(c, 9) for c in (F.col("_b") - F.col("_a"), F.col("_a") + (F.col("_b") - F.col("_a")) * CLOSED_FRAC))
+    q = q.select(*by, limit.alias("_limit"), width.alias("_width")).where(F.col("_width") >= least)
+    return d.join(q, list(by)).select(*by, "t", F.when(F.round("_v", 9) <= F.col("_limit"), 1.0).otherwise(0.0).alias("value"))
 
 
 def closed_offset(sensor: DataFrame, visual: DataFrame, by: Sequence[str], time: str = "t", value: str = "value", step: float = 50.0, max_lag: float = 2000.0, least_overlap: float = 2000.0, zone: int = 5, significant: float = 50.0, least_visual: float = LEAST_VISUAL) -> DataFrame:

@@ -252,3 +252,12 @@ def test_session_check_of_a_tracker_without_length(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     assert got == sorted(con.sql(SQL["session_check"]).fetchall()) and [r[0] for r in got] == [3, 7] and got[0][4] == 0.0 < got[1][4]
+
+
+def test_a_sample_on_the_closed_limit_counts_as_closed(spark):
+    from chronoweave.operators import frame_sync
+
+    # quartiles 5.595 and 9.495: the limit is 6.57, which floating point puts just below
+    d = spark.createDataFrame([("a", float(i), v) for i, v in enumerate([6.57, 10.27, 11.97, 7.17, 4.97, 5.27])], "k string, t double, value double")
+    got = {r["t"]: r["value"] for r in frame_sync._closed(d, ["k"], "t", "value", 3.9).collect()}
+    assert got == {0.0: 1.0, 1.0: 0.0, 2.0: 0.0, 3.0: 0.0, 4.0: 1.0, 5.0: 1.0}
