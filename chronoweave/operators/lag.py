@@ -69,7 +69,9 @@ def coarse_to_fine(a: DataFrame, b: DataFrame, by: Sequence[str], step: float, m
 
 
 def pearson_at(a: DataFrame, b: DataFrame, by: Sequence[str], lags: Column, step: float, centre: DataFrame | None = None, time: str = "t", value: str = "value") -> DataFrame:
-    """Pearson of a and b moved by each lag (ms), both interpolated on the grid of the overlap that this lag leaves."""
+    """Pearson of a and b moved by each lag (ms), both interpolated on the grid of the overlap that this lag leaves.
+
+    Rounded to 9 digits, so that lags of equal correlation tie instead of being ranked by rounding errors."""
     by = list(by)
     keys = b.select(*by).distinct() if centre is None else centre
     moves = keys.withColumn("lag", F.explode(lags)).select(*by, "lag")
@@ -77,4 +79,4 @@ def pearson_at(a: DataFrame, b: DataFrame, by: Sequence[str], lags: Column, step
     fixed = a.join(moves, by).select(*by, "lag", time, value)
     both = on_common_grid(fixed, moved, [*by, "lag"], step, time=time, value=value)
     flat = (F.stddev_pop("x") < 1e-8) | (F.stddev_pop("y") < 1e-8) | (F.count("*") < 3)
-    return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(pearson("x", "y")).alias("score"), F.count("*").alias("n"))
+    return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(F.round(pearson("x", "y"), 9)).alias("score"), F.count("*").alias("n"))

@@ -155,3 +155,13 @@ def test_tracker_gap_repair(spark):
     t = [*range(0, 3200, 16), *range(4000, 4200, 16)]
     df = frame(spark, [("s", float(x), [0.0, 0.0, 0.0], q) for x in t], "k string, t double, pos array<double>, quat array<double>")
     assert repair.repair_tracker_gaps(df, ["k"], "t", "pos", "quat").agg(F.max("t")).first()[0] < 3200
+
+
+def test_lags_of_equal_correlation_tie(spark):
+    # three points on a line at every lag: all correlations are 1, whatever the rounding, so the smallest lag is the best
+    a = spark.createDataFrame([("k", 0.1 * i, 0.1 + 0.7 * i) for i in range(40)], "k string, t double, value double")
+    b = spark.createDataFrame([("k", 0.1 * i, 0.3 + 1.1 * i) for i in range(40)], "k string, t double, value double")
+    scores = lag.pearson_at(a, b, ["k"], lag.steps(-0.9, 0.9, 0.1), 0.1)
+    assert {r["score"] for r in scores.collect()} == {1.0}
+    best = lag.best_lag(scores, ["k"]).first()
+    assert best["lag"] == -0.9 and best["margin"] == 0.0
