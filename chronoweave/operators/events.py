@@ -1,15 +1,16 @@
-"""Order-dependent scans over one stream (applyInPandas): event detection, matching, peaks, greedy top-k, spectra.
+"""Order-dependent scans over one stream (applyInPandas, or packed Arrow batches): event detection, matching, peaks, greedy top-k, spectra.
 
 Each group is one stream of one session, so a task holds minutes to hours of samples, never a corpus.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 
 def _schema(df: DataFrame, by: Sequence[str], more: str) -> str:
@@ -22,6 +23,26 @@ def _keys(pdf: pd.DataFrame, by: Sequence[str], rows: pd.DataFrame) -> pd.DataFr
     return rows
 
 
+def per_stream(df: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], run: Callable[..., tuple], more: str) -> DataFrame:
+    """One row a key: ``run`` of its columns as float arrays in ``order``. Keys reach Python packed, many in one Arrow batch, so
+    a key costs no data frame of its own. ``more``: names and types (long, double, string) of what ``run`` returns."""
+    by, names = list(by), [f"_{i}" for i in range(len(columns))]
+    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_o"), *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names, strict=True)])))
+    packed = df.groupBy(*by).agg(rows.alias("_g")).select(*by, *[F.col(f"_g.{n}").alias(n) for n in names])
+    out = [tuple(f.split()) for f in more.split(", ")]
+    kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            ends = [b.column(n).offsets.to_numpy() for n in names]
+            flat = [b.column(n).values.to_numpy(zero_copy_only=False) for n in names]
+            got = [run(*[v[e[k] : e[k + 1]] for e, v in zip(ends, flat, strict=True)]) for k in range(b.num_rows)]
+            cells = [pa.array([g[j] for g in got], kinds[kind]) for j, (_, kind) in enumerate(out)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in by], *cells], names=[*by, *[n for n, _ in out]])
+
+    return packed.mapInArrow(batches, _schema(df, by, more))
+
+
 def hysteresis_events(df: DataFrame, by: Sequence[str], time: str, value: str, high: float, low: float, min_gap: float) -> DataFrame:
     """Rising and falling events of a two-threshold switch; an event closer than ``min_gap`` to the one before is dropped."""
 
@@ -63,17 +84,10 @@ def closures(df: DataFrame, by: Sequence[str], time: str, value: str, start: flo
 
 def peak_positions(x: np.ndarray, height: float | None = None, distance: int = 1, prominence: float | None = None) -> np.ndarray:
     """Local maxima (middle of a plateau) by height, then highest first at least ``distance`` samples apart, then prominence."""
-    found, i = [], 1
-    while i < len(x) - 1:
-        if x[i - 1] < x[i]:
-            j = i
-            while j + 1 < len(x) and x[j + 1] == x[i]:
-                j += 1
-            if j + 1 < len(x) and x[j + 1] < x[i]:
-                found.append((i + j) // 2)
-            i = j
-        i += 1
-    at = np.array(found, int)
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
+    last, v = np.r_[first[1:], len(x)][: len(first)] - 1, x[first]
+    up = np.flatnonzero((v[:-2] < v[1:-1]) & (v[2:] < v[1:-1])) + 1
+    at = (first[up] + last[up]) // 2
     if height is not None:
         at = at[x[at] >= height]
     if distance > 1 and len(at):
@@ -164,39 +178,34 @@ def savgol(df: DataFrame, by: Sequence[str], time: str, value: str, size: int =
 def spectral_similarity(df: DataFrame, by: Sequence[str], order: str, a: str, b: str) -> DataFrame:
     """Correlation of the magnitudes of both signals' Fourier spectra without the constant; 0 for flat or short signals."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values(order, kind="stable")
-        x, y = (np.abs(np.fft.rfft(p[c].to_numpy(float) - p[c].mean()))[1:] for c in (a, b))
+    def run(*signals: np.ndarray) -> tuple:
+        x, y = (np.abs(np.fft.rfft(s - s.mean()))[1:] for s in signals)
         ok = len(x) > 2 and x.std() > 1e-12 and y.std() > 1e-12
-        return _keys(pdf, by, pd.DataFrame({"spectral": [max(0.0, float(np.corrcoef(x, y)[0, 1])) if ok else 0.0]}))
+        return (max(0.0, float(np.corrcoef(x, y)[0, 1])) if ok else 0.0,)
 
-    return df.groupBy(*by).applyInPandas(run, _schema(df, by, "spectral double"))
+    return per_stream(df, by, order, [a, b], run, "spectral double")
 
 
 def alignment_report(df: DataFrame, by: Sequence[str], order: str, x: str, y: str, step_ms: float, max_lag_ms: float, lag_good: float = 20.0, lag_bad: float = 200.0) -> DataFrame:
     """Score 0-100 of two signals on one grid: best normalised lag correlation, zero-lag Pearson, spectral similarity,
     lag penalty, and a verdict. Fewer than 20 points or a flat signal: score 0, lag 999, verdict UNUSABLE."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values(order, kind="stable")
-        u, v = p[x].to_numpy(float), p[y].to_numpy(float)
+    def run(u: np.ndarray, v: np.ndarray) -> tuple:
         if len(u) < 20 or u.std() < 1e-8 or v.std() < 1e-8:
-            row = (len(u), 0.0, 999.0, 0.0, 0.0, 0.0, 0.0, "UNUSABLE")
-        else:
-            u, v = (u - u.mean()) / u.std(), (v - v.mean()) / v.std()
-            k, n = min(int(max_lag_ms / step_ms), len(u) - 1), 1 << (2 * len(u) - 1).bit_length()
-            c = np.fft.irfft(np.fft.rfft(v, n) * np.conj(np.fft.rfft(u, n)), n) / len(u)
-            lags = np.arange(-k, k + 1)
-            c = c[lags % n]
-            at = int(np.argmax(c))
-            lag = lags[at] * step_ms
-            pearson = float((u * v).mean())
-            a, b = (np.abs(np.fft.rfft(s))[1:] for s in (u, v))
-            spectral = max(0.0, float(np.corrcoef(a, b)[0, 1])) if a.std() > 0 and b.std() > 0 else 0.0
-            lag_score = float(np.clip((lag_bad - abs(lag)) / (lag_bad - lag_good), 0, 1))
-            score = 100 * (0.4 * max(0.0, c[at]) + 0.25 * max(0.0, pearson) + 0.2 * lag_score + 0.15 * spectral)
-            verdict = "GOOD" if score >= 75 else "FAIR" if score >= 50 else "POOR"
-            row = (len(u), float(score), float(lag), float(c[at]), pearson, spectral, lag_score, verdict)
-        return _keys(pdf, by, pd.DataFrame([row], columns=["n", "score_100", "lag_ms", "ncc", "pearson", "spectral", "lag_score", "verdict"]))
-
-    return df.groupBy(*by).applyInPandas(run, _schema(df, by, "n long, score_100 double, lag_ms double, ncc double, pearson double, spectral double, lag_score double, verdict string"))
+            return (len(u), 0.0, 999.0, 0.0, 0.0, 0.0, 0.0, "UNUSABLE")
+        u, v = (u - u.mean()) / u.std(), (v - v.mean()) / v.std()
+        k, n = min(int(max_lag_ms / step_ms), len(u) - 1), 1 << (2 * len(u) - 1).bit_length()
+        c = np.fft.irfft(np.fft.rfft(v, n) * np.conj(np.fft.rfft(u, n)), n) / len(u)
+        lags = np.arange(-k, k + 1)
+        c = c[lags % n]
+        at = int(np.argmax(c))
+        lag = lags[at] * step_ms
+        pearson = float((u * v).mean())
+        a, b = (np.abs(np.fft.rfft(s))[1:] for s in (u, v))
+        spectral = max(0.0, float(np.corrcoef(a, b)[0, 1])) if a.std() > 0 and b.std() > 0 else 0.0
+        lag_score = float(np.clip((lag_bad - abs(lag)) / (lag_bad - lag_good), 0, 1))
+        score = 100 * (0.4 * max(0.0, c[at]) + 0.25 * max(0.0, pearson) + 0.2 * lag_score + 0.15 * spectral)
+        verdict = "GOOD" if score >= 75 else "FAIR" if score >= 50 else "POOR"
+        return (len(u), float(score), float(lag), float(c[at]), pearson, spectral, lag_score, verdict)
+
+    return per_stream(df, by, order, [x, y], run, "n long, score_100 double, lag_ms double, ncc double, pearson double, spectral double, lag_score double, verdict string")

@@ -31,7 +31,9 @@ def interpolate(samples: DataFrame, points: DataFrame, by: Sequence[str], time:
     p = points.select(*by, F.struct(*points.columns).alias("_l"), F.col(time).alias("_at")).withColumn("_is", F.lit(1))
     both = p.unionByName(s.withColumn("_is", F.lit(0)), allowMissingColumns=True)
     w = W.partitionBy(*by).orderBy("_at", "_is")
-    both = both.withColumn("_a", F.last("_s", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("_b", F.first("_s", ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)))
+    # the next sample is the last one of the reverse order: a frame to the end of the key would be read anew for every row
+    back = W.partitionBy(*by).orderBy(F.desc("_at"), F.desc("_is"))
+    both = both.withColumn("_a", F.last("_s", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("_b", F.last("_s", ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, 0)))
     a, b, t = F.col("_a"), F.col("_b"), F.col("_at").cast("double")
     edge = {"clamp": F.coalesce(a["v"], b["v"]), "zero": F.lit(0.0), "null": F.lit(None).cast("double")}[outside]
     v = F.when(a["t"] == t, a["v"]).when(a.isNull() | b.isNull(), edge).otherwise(a["v"] + (b["v"] - a["v"]) * (t - a["t"]) / (b["t"] - a["t"]))

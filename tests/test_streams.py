@@ -165,3 +165,24 @@ def test_lags_of_equal_correlation_tie(spark):
     assert {r["score"] for r in scores.collect()} == {1.0}
     best = lag.best_lag(scores, ["k"]).first()
     assert best["lag"] == -0.9 and best["margin"] == 0.0
+
+
+def test_streams_reach_python_packed_and_frames_stay_linear(spark):
+    from chronoweave.operators import grid
+
+    rng = np.random.default_rng(5)
+    rows = [(k, i, float(a), float(b)) for k in range(40) for i, (a, b) in enumerate(rng.normal(size=(25 + k, 2)))]
+    d = spark.createDataFrame(rows, "k int, i int, x double, y double").repartition(3)
+    report = events.alignment_report(d, ["k"], "i", "x", "y", 20, 120)
+    points = spark.range(40).select(F.col("id").cast("int").alias("k"), F.lit(3.5).alias("t"))
+    inter = grid.interpolate(d.select("k", F.col("i").cast("double").alias("t"), F.col("x").alias("value")), points, ["k"])
+    for df in (report, inter):  # no data frame a key, no frame that is read anew for every row
+        plan = df._jdf.queryExecution().toString()
+        assert "FlatMapGroupsInPandas" not in plan and "UNBOUNDED FOLLOWING" not in plan.upper() and "unboundedfollowing" not in plan
+    pdf = pd.DataFrame(rows, columns=["k", "i", "x", "y"])
+    for r in report.collect():
+        p = pdf[pdf.k == r["k"]]
+        assert r["n"] == 25 + r["k"] and abs(r["pearson"] - np.corrcoef(p.x, p.y)[0, 1]) < 1e-9
+    got = {r["k"]: r["value"] for r in inter.collect()}
+    for k, p in pdf.groupby("k"):
+        assert abs(got[k] - np.interp(3.5, p.i, p.x)) < 1e-12
