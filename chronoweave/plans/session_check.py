@@ -6,14 +6,14 @@ common grids only for the others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.events import _keys, _schema, peak_positions
+from ..operators.events import peak_positions, per_stream
 from ..operators.grid import grid, interpolate
 from ..operators.session import session_penalty, session_score
 from ..operators.stats import percentile_clip
@@ -93,15 +93,19 @@ def alignment_parts(a: np.ndarray, b: np.ndarray, sigma: float, percentile: floa
     z = [(x - x.mean()) / (x.std() + 1e-8) for x in (a, b)]
 
     def corr(u: np.ndarray, v: np.ndarray) -> float:
-        if len(u) < 4 or u.std() < 1e-8 or v.std() < 1e-8:
+        if len(u) < 4:
             return 0.0
-        c = np.corrcoef(u, v)[0, 1]
-        return float(np.clip(c, -1, 1)) if np.isfinite(c) else 0.0
+        u, v = u - u.mean(), v - v.mean()
+        uu, vv = float(u @ u), float(v @ v)
+        if not (uu / len(u) >= 1e-16 and vv / len(v) >= 1e-16):
+            return 0.0
+        c = float(u @ v) / (math.sqrt(uu) * math.sqrt(vv))
+        return min(1.0, max(-1.0, c)) if math.isfinite(c) else 0.0
 
     r = int(4 * sigma + 0.5)
     k = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
     energy = [np.convolve(np.pad(x * x, r, "symmetric"), k / k.sum(), "valid") for x in z]
-    peaks = [peak_positions(x, float(np.percentile(x, percentile))) for x in z]
+    peaks = [peak_positions(x, float(h)) for x, h in zip(z, np.percentile(np.stack(z), percentile, axis=1), strict=True)]
     match = 0.0
     if all(map(len, peaks)):
         gap = np.abs(peaks[0][:, None] - peaks[1][None, :])
@@ -113,13 +117,11 @@ def alignment_scores(rows: DataFrame, by: Sequence[str], order: str, x: str, y:
     """(by, n, corr, energy, peaks, spectrum, alignment) of two signals on one grid: 0.42 correlation, 0.28 energies, 0.20
     peaks, 0.10 spectra, negative parts as 0. Fewer than eight samples score 0. A group is one pair of one session."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values(order, kind="stable")
-        parts = alignment_parts(p[x].to_numpy(float), p[y].to_numpy(float), max(sigma_ms / step, 0.1)) if len(p) >= 8 else (0.0,) * 4
-        total = sum(w * max(v, 0.0) for w, v in zip((0.42, 0.28, 0.20, 0.10), parts, strict=True))
-        return _keys(pdf, by, pd.DataFrame([(len(p), *parts, min(1.0, total))], columns=["n", "corr", "energy", "peaks", "spectrum", "alignment"]))
+    def run(u: np.ndarray, v: np.ndarray) -> tuple:
+        parts = alignment_parts(u, v, max(sigma_ms / step, 0.1)) if len(u) >= 8 else (0.0,) * 4
+        return (len(u), *parts, min(1.0, sum(w * max(p, 0.0) for w, p in zip((0.42, 0.28, 0.20, 0.10), parts, strict=True))))
 
-    return rows.groupBy(*by).applyInPandas(run, _schema(rows, by, "n long, corr double, energy double, peaks double, spectrum double, alignment double"))
+    return per_stream(rows, by, order, [x, y], run, "n long, corr double, energy double, peaks double, spectrum double, alignment double")
 
 
 def pair_grids(streams: DataFrame, session: str, layout: Layout, stream: str = "stream", time: str = "t", value: str = "value") -> DataFrame:
