@@ -13,20 +13,38 @@ from .stats import pearson
 def lag_scores(a: DataFrame, b: DataFrame, by: Sequence[str], x: str, y: str, max_lag: int, step: int = 1, scorer: str = "norm", index: str = "i") -> DataFrame:
     """(by, lag, score, n): y shifted by ``lag`` samples against x, both on one grid (``index``).
 
-    scorer norm: sum of products over the norms of the whole signals; pearson: correlation of each overlap. Rows grow with
-    samples x lags, so scan coarsely first.
+    scorer norm: sum of products over the norms of the whole signals; pearson: correlation of each overlap. A key has one row
+    of each signal at an index. Both meet in one window by key, where each lag is a frame of one index: rows are not copied
+    for the lags, so the shuffle does not grow with them. The lags are columns until the end, so scan coarsely first.
     """
     by = list(by)
-    lags = F.sequence(F.lit(-max_lag), F.lit(max_lag), F.lit(step))
-    left = a.select(*by, F.col(index).alias("_i"), F.col(x).alias("_x")).withColumn("lag", F.explode(lags)).withColumn("_j", F.col("_i") + F.col("lag"))
-    both = left.join(b.select(*by, F.col(index).alias("_j"), F.col(y).alias("_y")), [*by, "_j"])
+    lags = range(-max_lag, max_lag + 1, step)
+    if a is b:
+        both = a.select(*by, F.col(index).cast("long").alias("_i"), F.col(x).alias("_x"), F.col(y).alias("_y"), F.lit(1).alias("_a"), F.lit(1).alias("_b"))
+    else:
+        both = a.select(*by, F.col(index).cast("long").alias("_i"), F.col(x).alias("_x"), F.lit(1).alias("_a")).unionByName(b.select(*by, F.col(index).cast("long").alias("_i"), F.col(y).alias("_y"), F.lit(1).alias("_b")), allowMissingColumns=True)
+    near = W.partitionBy(*by).orderBy("_i")
+    at = lambda c, k: F.max(c).over(near.rangeBetween(k, k))
+    d = both.select(*by, "_a", "_x", "_y", *[f(c, k).alias(f"{c}{j}") for j, k in enumerate(lags) for f, c in ((at, "_y"), (at, "_b"))])
+    cells = []
+    for j, k in enumerate(lags):
+        pair = F.col("_a").isNotNull() & F.col(f"_b{j}").isNotNull()
+        u, v = F.when(pair, F.col("_x")), F.when(pair, F.col(f"_y{j}"))
+        n = F.count_if(pair)
+        if scorer == "pearson":
+            flat = (F.stddev_pop(u) < 1e-8) | (F.stddev_pop(v) < 1e-8) | (n < 3)
+            score = F.when(flat, 0.0).otherwise(pearson(u, v))
+        else:
+            score = F.sum(u * v)
+        cells.append(F.struct(F.lit(k).alias("lag"), score.alias("_s"), n.alias("n")))
+    norms = [] if scorer == "pearson" else [F.sum(F.col("_x") * F.col("_x")).alias("_nx"), F.sum(F.col("_y") * F.col("_y")).alias("_ny")]
+    s = d.groupBy(*by).agg(*[c.alias(f"_c{j}") for j, c in enumerate(cells)], *norms)
+    s = s.select(*by, *[n for n in ("_nx", "_ny") if norms], F.explode(F.array(*[f"_c{j}" for j in range(len(cells))])).alias("_c"))
+    s = s.select(*by, *[n for n in ("_nx", "_ny") if norms], "_c.*").where("n > 0")
     if scorer == "pearson":
-        flat = (F.stddev_pop("_x") < 1e-8) | (F.stddev_pop("_y") < 1e-8) | (F.count("*") < 3)
-        return both.groupBy(*by, "lag").agg(F.when(flat, 0.0).otherwise(pearson("_x", "_y")).alias("score"), F.count("*").alias("n"))
-    norms = a.groupBy(*by).agg(F.sum(F.col(x) * F.col(x)).alias("_nx")).join(b.groupBy(*by).agg(F.sum(F.col(y) * F.col(y)).alias("_ny")), by)
-    s = both.groupBy(*by, "lag").agg(F.sum(F.col("_x") * F.col("_y")).alias("_s"), F.count("*").alias("n"))
+        return s.select(*by, "lag", F.col("_s").alias("score"), "n")
     norm = F.sqrt(F.col("_nx") * F.col("_ny"))
-    return s.join(norms, by).select(*by, "lag", F.when(norm > 1e-12, F.col("_s") / norm).otherwise(0.0).alias("score"), "n")
+    return s.select(*by, "lag", F.when(norm > 1e-12, F.col("_s") / F.nullif(norm, F.lit(0.0))).otherwise(0.0).alias("score"), "n")
 
 
 def best_lag(scores: DataFrame, by: Sequence[str], absolute: bool = False) -> DataFrame:

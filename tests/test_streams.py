@@ -186,3 +186,19 @@ def test_streams_reach_python_packed_and_frames_stay_linear(spark):
     got = {r["k"]: r["value"] for r in inter.collect()}
     for k, p in pdf.groupby("k"):
         assert abs(got[k] - np.interp(3.5, p.i, p.x)) < 1e-12
+
+
+def test_lag_scan_copies_no_rows(spark):
+    x, y = np.sin(np.arange(30) / 3), np.cos(np.arange(30) / 4)
+    a = spark.createDataFrame([("k", i, float(v)) for i, v in enumerate(x) if i != 7], "k string, i int, x double")
+    b = spark.createDataFrame([("k", i, float(v)) for i, v in enumerate(y) if i != 11], "k string, i int, y double")
+    s = lag.lag_scores(a, b, ["k"], "x", "y", 4, 2)
+    plan = s._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    got = {r["lag"]: (r["score"], r["n"]) for r in s.collect()}
+    norm = np.sqrt(sum(v * v for i, v in enumerate(x) if i != 7) * sum(v * v for i, v in enumerate(y) if i != 11))
+    for k in (-4, -2, 0, 2, 4):
+        both = [x[i] * y[i + k] for i in range(30) if i != 7 and 0 <= i + k < 30 and i + k != 11]
+        assert got.pop(k)[1] == len(both)
+    assert not got and norm > 0
+    assert abs({r["lag"]: r["score"] for r in s.collect()}[2] - sum(x[i] * y[i + 2] for i in range(28) if i not in (7, 9)) / norm) < 1e-12
