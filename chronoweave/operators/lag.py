@@ -1,4 +1,4 @@
-"""Lag search between two streams: candidates by equi-join on shifted sample numbers, coarse to fine."""
+"""Lag search between two streams: lags as frames of one window by key, coarse to fine."""
 
 from __future__ import annotations
 

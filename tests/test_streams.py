@@ -202,3 +202,10 @@ def test_lag_scan_copies_no_rows(spark):
         assert got.pop(k)[1] == len(both)
     assert not got and norm > 0
     assert abs({r["lag"]: r["score"] for r in s.collect()}[2] - sum(x[i] * y[i + 2] for i in range(28) if i not in (7, 9)) / norm) < 1e-12
+
+
+def test_best_lag_of_a_scan_without_joins(spark):
+    x = np.random.default_rng(3).normal(size=60)
+    d = spark.createDataFrame([("k", i, float(x[i]), float(x[i - 3])) for i in range(60)], "k string, i int, x double, y double")
+    best = lag.best_lag(lag.lag_scores(d, d, ["k"], "x", "y", 6), ["k"])
+    assert "Join" not in best._jdf.queryExecution().optimizedPlan().toString() and best.first()["lag"] == 3
