@@ -227,6 +227,16 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _earlier(hot: pa.ChunkedArray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of all classes, number of each class) of those shingles of many classes that come before the class's ``pos``."""
+    lists = hot.combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
+    places, keys = (lists.flatten().field(c).to_numpy() for c in ("pos", "key"))
+    row = np.repeat(np.arange(len(size)), size)
+    own = places < pos[row]
+    return keys[own], np.bincount(row[own], minlength=len(size))
+
+
 def compare_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """(cid, root, links): links found in each pair of blocks of one shingle, for each class that has any.
 
@@ -237,24 +247,23 @@ def compare_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         block = t["block"].to_numpy()
-        left, right = t.filter(pa.array(block == block.min())), t.filter(pa.array(block == block.max()))
+        same = block.min() == block.max()
+        left = t if same else t.filter(pa.array(block == block.min()))
+        right = t if same else t.filter(pa.array(block == block.max()))
         numbers = lambda t: [t[c].to_numpy().astype(np.int64) for c in ("cid", "n", "pos", "w")]
         (ca, na, pa_, wa), (cb, nb, pb, wb) = numbers(left), numbers(right)
         best = np.minimum(pa_[:, None], pb) + np.minimum((na - pa_)[:, None], nb - pb)
         both = na[:, None] + nb
         may = (100 * np.minimum(na[:, None], nb) >= percent * np.maximum(na[:, None], nb)) & ((100 + percent) * best >= percent * both)
-        before = []
-        for own, pos in ((left, pa_), (right, pb)):
-            lists = [[x["key"] for x in hot if x["pos"] < p] for hot, p in zip(own["hot"].to_pylist(), pos.tolist(), strict=True)]
-            before += [np.array([v for x in lists for v in x], np.int64), np.array([len(x) for x in lists], np.int64)]
-        may &= common(*before) == 0
+        before = _earlier(left["hot"], pa_)
+        may &= common(*before, *(before if same else _earlier(right["hot"], pb))) == 0
         linked = np.zeros(may.shape, bool)
         x, y = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
         if len(x) and len(y):
-            n = common(*flat_sets(left["set"].take(pa.array(x))), *flat_sets(right["set"].take(pa.array(y))))
+            own = flat_sets(left["set"].take(pa.array(x)))
+            n = common(*own, *(own if same else flat_sets(right["set"].take(pa.array(y)))))
             linked[np.ix_(x, y)] = 100 * n >= percent * (both[np.ix_(x, y)] - n)
             linked &= may
-        same = block.min() == block.max()
         if same:
             np.fill_diagonal(linked, False)
         ra, rb = roots(linked | np.eye(len(ca), dtype=bool) if same else linked)

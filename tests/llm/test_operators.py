@@ -613,3 +613,29 @@ def test_reply_trees_rank_branches(spark):
     loop = spark.createDataFrame([("t", 1, 2, 0.0), ("t", 2, 1, 0.0)], "tree string, node long, parent long, score double")
     with pytest.raises(ValueError, match="cycle"):
         chat_format.reply_paths(loop, Scratch(spark), max_doublings=5)
+
+
+@pytest.mark.parametrize("pairs", [50, 1 << 20])
+def test_common_counts_intersections_in_bounded_memory(monkeypatch, pairs):
+    import tracemalloc
+
+    from chronoweave.llm import overlap
+
+    monkeypatch.setattr(overlap, "PAIRS", pairs)
+    rng = np.random.default_rng(7)
+    sets = [rng.choice(m, rng.integers(0, 30), replace=False).astype(np.int64) - 50 for m in [60] * 20 + [5000] * 20]
+    flat = lambda s: (np.concatenate(s), np.array([len(x) for x in s], np.int64))
+    a, b = flat(sets), flat(sets[10:35])
+    want = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    assert (overlap.common(*a, *a) == want).all() and (overlap.common(*a, *b) == want[:, 10:35]).all()
+    none = (np.zeros(0, np.int64), np.zeros(3, np.int64))
+    assert (overlap.common(*a, *none) == 0).all() and overlap.common(*none, *b).shape == (3, 25)
+    assert (overlap.common(*none, *(b[0] + 10**6, b[1])) == 0).all() and (overlap.common(*a, *(b[0] + 10**6, b[1])) == 0).all()
+    if pairs > 50:
+        big = (np.tile(np.arange(1000, dtype=np.int64), 1000), np.full(1000, 1000, np.int64))
+        big[0].reshape(1000, 1000)[:] += np.arange(1000)[:, None] * 400
+        tracemalloc.start()
+        got = overlap.common(*big, *big)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (np.diag(got) == 1000).all() and got[0, 1] == 600 and got[0, 3] == 0 and most < 120e6, most
