@@ -570,6 +570,22 @@ def test_bucket_keeps_links_apart_from_its_ends(spark, monkeypatch, block, few):
     assert {c: got.get(c, c) for c in flat} == root
 
 
+def test_arrow_batches_of_long_rows_are_small(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    try:
+        scratch = Scratch(spark)
+        size = lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in it)
+        rows = spark.range(0, 3000, 1, 1).select(F.expr("repeat(cast(id as string), 2000)").alias("x"))
+        sizes = [r["n"] for r in scratch.save(rows.mapInArrow(size, "n long")).collect()]
+        assert sum(sizes) > 20e6 and max(sizes) < 9e6
+        spark.conf.set(key, 1 << 20)
+        Scratch(spark)
+        assert int(spark.conf.get(key).rstrip("b")) == 1 << 20
+    finally:
+        spark.conf.unset(key)
+
+
 def test_shared_keys_need_not_be_sent(spark, monkeypatch):
     rng = random.Random(15)
     passage = prose(rng, 70, 10**6)
