@@ -224,26 +224,44 @@ def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out
 
 
-def class_sets(wanted: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """cid, set (sorted distinct shingles) of each class of ``wanted``: cid, c1, c2 and rid of a row that holds it."""
-    lists = scratch.save(wanted.groupBy("rid").agg(F.collect_list(F.struct("c1", "c2", "cid")).alias("classes")))
-    texts = docs.join(sendable(lists), "rid")
+def bucket_sets(places: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """key, i, j, block, cid, comp, set (sorted distinct shingles) of each row of ``places``: cid, key, block, and other (block
+    it is compared with) and comp if they are not the block itself and cid.
+
+    ``classes``: cid, c1, rid of a row that holds the class. The places travel to the texts, as arrays for each row, so that
+    the sets move once, to their buckets.
+    """
+    more = [c for c in ("other", "comp") if c in places.columns]
+    names = ["c1", "cid", "key", "block", *more]
+    own = places.join(classes.select("cid", "c1", "rid"), "cid").groupBy("rid").agg(F.collect_list(F.struct(*names)).alias("_p"))
+    lists = scratch.save(own.select("rid", *[F.col(f"_p.{c}").alias(c) for c in names]))
+    texts = docs.join(sendable(lists), "rid").select("rid", "text", *names)
+    if docs.join(sendable(lists.select("rid")), "rid").count() > lists.count():
+        # a row that is there twice would bring its sets twice
+        texts = texts.dropDuplicates(["rid"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                own, cids, sets = b.slice(at, 256), [], []
-                want = [{(x["c1"], x["c2"]): x["cid"] for x in c} for c in own["classes"].to_pylist()]
-                for first, row, _, places, s in _paragraphs(own["text"]):
-                    for r, i, c1, c2 in zip((first + row).tolist(), places.tolist(), *(c.tolist() for c in _classes(s, places)), strict=True):
-                        if (cid := want[r].pop((c1, c2), None)) is not None:
-                            cids.append(cid)
-                            sets.append(signed(np.unique(s[i : i + SPAN])).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())], ["cid", "set"])
-
-    sets = scratch.save(texts.select("text", "classes").mapInArrow(run, "cid long, set binary"))
-    # a row that is there twice brings its classes twice
-    return scratch.save(sets.dropDuplicates(["cid"])) if sets.count() > wanted.count() else sets
+                t = b.slice(at, 256)
+                flat = {c: t[c].flatten().to_numpy() for c in names}
+                ends = t["c1"].value_lengths().to_numpy().cumsum()
+                # one document's paragraphs are told apart by half of the fingerprint
+                want = [{} for _ in ends]
+                for k, (r, c) in enumerate(zip(np.searchsorted(ends, np.arange(len(flat["c1"])), "right").tolist(), flat["c1"].tolist(), strict=True)):
+                    want[r].setdefault(c, []).append(k)
+                take, sets = [], []
+                for first, row, _, places, s in _paragraphs(t["text"]):
+                    for r, i, c in zip((first + row).tolist(), places.tolist(), _classes(s, places)[0].tolist(), strict=True):
+                        if (found := want[r].pop(c, None)) is not None:
+                            take += found
+                            sets += [signed(np.unique(s[i : i + SPAN])).tobytes()] * len(found)
+                got = {c: v[np.array(take, np.int64)] for c, v in flat.items()}
+                block, other = got["block"], got.get("other", got["block"])
+                cols = [got["key"], np.minimum(block, other), np.maximum(block, other), block, got["cid"], got.get("comp", got["cid"])]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(sets, pa.binary())], ["key", "i", "j", "block", "cid", "comp", "set"])
+
+    return texts.select("text", *names).mapInArrow(run, "key long, i int, j int, block int, cid long, comp long, set binary")
 
 
 def bucket_links(cid: list[int], block: list[int], comp: list[int], sets: pa.ChunkedArray) -> list[tuple[int, int]]:
@@ -299,7 +317,7 @@ def _compare(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield links(held, np.array([0, held.num_rows]))
 
-    rows = rows.select("key", "i", "j", "block", "cid", "comp", "set").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(run, "src long, dst long").distinct()
 
 
@@ -320,19 +338,15 @@ def class_links(held: DataFrame, classes: DataFrame, docs: DataFrame, scratch: S
     once = scratch.save(bucket.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("n")))
     sized = held.join(sendable(once), "key").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("n")).cast("int"))
     sized = scratch.save(sized)
-    wanted = scratch.save(sized.select("cid").distinct().join(classes, "cid"))
-    sets = class_sets(wanted, docs, scratch)
-    scratch.free_shuffles()
-    links = scratch.save(_compare(sized.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "cid", F.col("cid").alias("comp")).join(sets, "cid")))
+    links = scratch.save(_compare(bucket_sets(sized.select("cid", "key", "block"), classes, docs, scratch)))
     scratch.free_shuffles()
     if once.where("n > 1").limit(1).count():
         comp = connected_components(links, scratch).select(F.col("node").alias("cid"), F.col("component").alias("comp"))
         now = scratch.save(sized.where("n > 1").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
         apart = now.join(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "key")
         pairs = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("other <> block")
-        pairs = pairs.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "comp")
-        links = links.union(scratch.save(_compare(pairs.join(sets, "cid"))))
-    scratch.drop(sets, sized, wanted, once)
+        links = links.union(scratch.save(_compare(bucket_sets(pairs.select("cid", "key", "block", "other", "comp"), classes, docs, scratch))))
+    scratch.drop(sized, once)
     return links
 
 

@@ -570,6 +570,32 @@ def test_bucket_keeps_links_apart_from_its_ends(spark, monkeypatch, block, few):
     assert {c: got.get(c, c) for c in flat} == root
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_sets_move_once_to_their_buckets(spark, monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    compare, plans, counts = substring_dedup._compare, [], []
+
+    def look(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        counts.append((rows.count(), rows.distinct().count()))
+        return compare(rows)
+
+    monkeypatch.setattr(substring_dedup, "_compare", look)
+    rng = random.Random(6)
+    texts = [t for _ in range(12) for t in edited(rng, prose(rng, 30, 10**6).replace(".", "").split(), 2)]
+    df = docs(spark, list(enumerate(texts)))
+    df = substring_dedup.with_row_id(df.union(df))
+    rows = substring_dedup.paragraph_table(df, Scratch(spark)).groupBy("c1", "c2").agg(F.min("rid").alias("rid"))
+    classes = Scratch(spark).save(rows.withColumn("cid", F.monotonically_increasing_id()))
+    held = classes.select(F.lit(0).cast("long").alias("key"), "cid")
+    assert substring_dedup.class_links(held, classes, df, Scratch(spark)).count() and len(plans) == (2 if block == 7 else 1)
+    for plan in plans:  # what makes the sets is not joined or shuffled any more before the buckets
+        top = [x.strip(" +-:*()0123456789") for x in plan.splitlines() if not x.startswith(("AdaptiveSparkPlan", "== "))]
+        assert top[0].startswith("MapInArrow"), plan
+    # a row that is there twice brings its sets once
+    assert all(n == d for n, d in counts) and counts[0][0] == classes.count()
+
+
 def test_arrow_batches_of_long_rows_are_small(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.unset(key)
