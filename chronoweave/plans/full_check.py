@@ -16,12 +16,23 @@ PERFECT, LOW, LOW_SYNC = 95.0, 60.0, 45.0
 ORDER = ["video_orientation", "gripper_health", "gripper_ts", "video_tracker_sync", "video_quality", "gripper_frame_sync"]
 
 
-def dimension(df: DataFrame, session: str, name: str, score: Column, confidence: Column | float = 0.9, blocking: Column | None = None, reason: Column | None = None, repair: Column | None = None) -> DataFrame:
-    """Rows of one dimension. A null score says that it could not be measured; ``repair`` (null: none) names what would help."""
+def dimension_of(name: str, score: Column, confidence: Column | float = 0.9, blocking: Column | None = None, reason: Column | None = None, repair: Column | None = None) -> Column:
+    """One dimension of a row, a struct of ``DIMENSION``. A null score says that it could not be measured; ``repair`` (null:
+    none) names what would help."""
     conf = confidence if isinstance(confidence, Column) else F.lit(float(confidence))
     none = F.lit(None).cast("string")
     repairs = F.filter(F.array(repair if repair is not None else none), lambda x: x.isNotNull())
-    return df.select(session, F.lit(name).alias("name"), score.cast("double").alias("score"), conf.cast("double").alias("confidence"), F.coalesce(blocking if blocking is not None else F.lit(False), F.lit(False)).alias("blocking"), (reason if reason is not None else none).alias("reason"), repairs.alias("repairs"))
+    return F.struct(F.lit(name).alias("name"), score.cast("double").alias("score"), conf.cast("double").alias("confidence"), F.coalesce(blocking if blocking is not None else F.lit(False), F.lit(False)).alias("blocking"), (reason if reason is not None else none).alias("reason"), repairs.alias("repairs"))
+
+
+def dimensions(df: DataFrame, session: str, *every: Column) -> DataFrame:
+    """Rows of several dimensions (``dimension_of``) of the same rows, which are made once for all of them."""
+    return df.select(session, F.inline(F.array(*every)))
+
+
+def dimension(df: DataFrame, session: str, name: str, score: Column, confidence: Column | float = 0.9, blocking: Column | None = None, reason: Column | None = None, repair: Column | None = None) -> DataFrame:
+    """Rows of one dimension, see ``dimension_of``."""
+    return df.select(session, dimension_of(name, score, confidence, blocking, reason, repair).alias("_d")).select(session, "_d.*")
 
 
 def full_check(sessions: DataFrame, dims: Sequence[DataFrame], session: str, weights: dict[str, float] = DIMENSIONS) -> DataFrame:

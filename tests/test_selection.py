@@ -261,3 +261,10 @@ def test_a_sample_on_the_closed_limit_counts_as_closed(spark):
     d = spark.createDataFrame([("a", float(i), v) for i, v in enumerate([6.57, 10.27, 11.97, 7.17, 4.97, 5.27])], "k string, t double, value double")
     got = {r["t"]: r["value"] for r in frame_sync._closed(d, ["k"], "t", "value", 3.9).collect()}
     assert got == {0.0: 1.0, 1.0: 0.0, 2.0: 0.0, 3.0: 0.0, 4.0: 1.0, 5.0: 1.0}
+
+
+def test_full_check_checks_the_sessions_once(spark):
+    from chronoweave.plans.session_queries import full_check
+
+    plan = full_check(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
