@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -612,6 +613,31 @@ def test_arrow_batches_of_long_rows_are_small(spark):
         spark.conf.unset(key)
 
 
+def test_tables_and_batches_of_long_rows_are_held_in_small_parts(spark):
+    keys = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    for key in keys:
+        spark.conf.unset(key)
+    try:
+        scratch = Scratch(spark)
+        assert int(spark.conf.get(keys[1])) == 512
+        size = lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in it)
+        rows = spark.range(0, 40_000, 1, 1).select("id", F.expr("concat_ws(' ', transform(sequence(1, 70), i -> sha1(cast(id * 100 + i as string))))").alias("x"))
+        saved = scratch.save(rows, compression="uncompressed")
+        (file,) = saved.inputFiles()
+        meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+        groups = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+        assert sum(groups) > 100e6 and max(groups) < 20e6
+        assert max(r["n"] for r in saved.mapInArrow(size, "n long").collect()) < 3e6
+        assert saved.agg(F.sum("id"), F.sum(F.length("x"))).first() == rows.agg(F.sum("id"), F.sum(F.length("x"))).first()
+        for key, n in zip(keys, (1 << 20, 100), strict=True):  # lower limits stay
+            spark.conf.set(key, n)
+        Scratch(spark)
+        assert [int(spark.conf.get(k).rstrip("b")) for k in keys] == [1 << 20, 100]
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
 def test_shared_keys_need_not_be_sent(spark, monkeypatch):
     rng = random.Random(15)
     passage = prose(rng, 70, 10**6)
