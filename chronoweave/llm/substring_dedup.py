@@ -7,7 +7,9 @@ Bands of MinHash values join paragraphs; equal sets are one class, all other cla
 Jaccard; connected classes are one cluster. The first paragraph of a cluster stays, the rest is removed.
 
 Most band keys stand in one document only. A first pass over the texts sends the keys alone, as packed arrays by key range,
-and finds those of several documents; the second pass writes only paragraphs that have one.
+and finds those of several documents; the second pass writes only paragraphs that have one, as a filter of bounded size tells.
+
+What goes to every task is bounded by its size, as a few rows may hold long lists; anything larger is shuffled.
 """
 
 from __future__ import annotations
@@ -29,10 +31,16 @@ SPAN = LENGTH - SHINGLE + 1
 BLOCK = 512
 #: Classes of one bucket that are compared set by set.
 FEW = 12
-#: Keys packed at once, and shared keys that are sent to every task at most; with more, rows meet them in a shuffle.
-GATHER, SEND_KEYS = 1 << 21, 4_000_000
+#: Keys packed at once.
+GATHER = 1 << 21
+#: Shared keys up to which the filter that is sent to every task has KEY_BITS bits for each (16 MB); it grows no further.
+SEND_KEYS, KEY_BITS = 8_000_000, 16
+#: Narrow rows, and places of paragraphs (28 bytes), that are sent to every task at most.
+SEND, SEND_PLACES = 100_000, 500_000
 #: Places of removed words that are sent to every task at most.
 SEND_SPANS = 2_000_000
+#: Bits of the filter of row ids (2 MB) by which only texts that may have a partner are shuffled.
+MARKS = 1 << 24
 LAST = np.uint64(2**64 - 1)
 
 
@@ -163,28 +171,50 @@ def shared_keys(docs: DataFrame, ranges: int) -> DataFrame:
     return docs.select("text").mapInArrow(pack, "range int, once binary, more binary").groupBy("range").applyInArrow(meet, "range int, keys binary")
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for part, keys in zip(b["range"].to_pylist(), b["keys"].to_pylist(), strict=True):
-            low = np.frombuffer(keys, np.uint32).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(low), part, np.int32)), pa.array(low)], ["range", "low"])
+def _filter_places(short: np.ndarray, slots: int, times: int) -> list[np.ndarray]:
+    """Bits that a filter of ``slots`` bits (a power of two) for each range has for keys of range and 32 bits."""
+    hashed = mix(short)
+    step = hashed >> np.uint64(32) | np.uint64(1)
+    return [(short >> np.uint64(32)) * np.uint64(slots) + (hashed + np.uint64(k) * step & np.uint64(slots - 1)) for k in range(times)]
+
 
+def key_filter(shared: DataFrame, ranges: int, total: int) -> tuple[np.ndarray, int, int]:
+    """(bytes, slots, times): the ``total`` shared keys as a Bloom filter, built range by range in the tasks. Its size is
+    bounded; with more than SEND_KEYS keys a larger part of the others passes."""
+    size = max(8 * ranges, KEY_BITS * min(total, SEND_KEYS))
+    slots = max(8, 1 << (size // ranges - 1).bit_length())
+    times = min(4, max(1, round(0.69 * slots * ranges / max(1, total))))
 
-def _unpacked(shared: DataFrame) -> np.ndarray:
-    got = shared.toArrow()
-    parts = [(np.uint64(r) << np.uint64(32)) | np.frombuffer(k, np.uint32).astype(np.uint64) for r, k in zip(got["range"].to_pylist(), got["keys"].to_pylist(), strict=True)]
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, keys in zip(b["range"].to_pylist(), b["keys"].to_pylist(), strict=True):
+                flags = np.zeros(slots, bool)
+                for at in _filter_places((np.uint64(part) << np.uint64(32)) | np.frombuffer(keys, np.uint32).astype(np.uint64), slots, times):
+                    flags[at & np.uint64(slots - 1)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
+
+    known = np.zeros((ranges, slots // 8), np.uint8)
+    got = shared.mapInArrow(build, "range int, bits binary").toArrow()
+    for part, bits in zip(got["range"].to_pylist(), got["bits"], strict=True):
+        known[part] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return known.ravel(), slots, times
 
 
 def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """rid, doc_id, p, c1, c2 (fingerprint of the shingles) and band keys k0, k1, ... of every paragraph that shares a key
-    with another document; keys that no other document has are null."""
+    with another document; keys that the filter of shared keys leaves out are null. A few keys of one document pass it."""
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranges = 1 << max(6, (4 * parts - 1).bit_length())
     bits = np.uint64(ranges.bit_length() - 1)
     shared = scratch.save(shared_keys(docs, ranges))
     total = (shared.agg(F.sum(F.length("keys"))).first()[0] or 0) // 4
-    known = _unpacked(shared) if total <= SEND_KEYS else None
+    known, slots, times = key_filter(shared, ranges, total)
+
+    def passes(keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for at in _filter_places(keys >> (np.uint64(32) - bits), slots, times):
+            out &= known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1) == 1
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -193,13 +223,7 @@ def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 found = []
                 for first, row, p, places, s in _paragraphs(own["text"]):
                     keys = _keys(s, places)
-                    if known is None:
-                        met = [np.ones(len(k), bool) for k in keys]
-                    elif len(known):
-                        short = [k >> (np.uint64(32) - bits) for k in keys]
-                        met = [known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k for k in short]
-                    else:
-                        continue
+                    met = [passes(k) for k in keys]
                     some = np.logical_or.reduce(met)
                     if some.any():
                         found.append([(first + row)[some], p[some], *(c[some] for c in _classes(s, places)), *(k[some] for k in keys), *(m[some] for m in met)])
@@ -210,33 +234,47 @@ def paragraph_table(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([own["rid"].take(r), own["doc_id"].take(r), pa.array(cols[1].astype(np.int32)), pa.array(cols[2]), pa.array(cols[3]), *keys], ["rid", "doc_id", "p", "c1", "c2", *KEYS])
 
     rows = docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, p int, c1 long, c2 long" + "".join(f", {k} long" for k in KEYS))
-    if known is None:
-        # too many shared keys to send: they meet the rows by range and key
-        table = scratch.save(shared.mapInArrow(_unpack, "range int, low long"))
-        for k in KEYS:
-            here = F.shiftrightunsigned(F.col(k), 64 - int(bits)).cast("int")
-            tail = F.shiftrightunsigned(F.col(k), 32 - int(bits)).bitwiseAND(F.lit(0xFFFFFFFF))
-            hit = table.select(F.col("range").alias("_range"), F.col("low").alias("_low"), F.lit(True).alias("_met"))
-            rows = rows.withColumns({"_range": here, "_low": tail}).join(hit, ["_range", "_low"], "left").withColumn(k, F.when(F.col("_met"), F.col(k))).drop("_range", "_low", "_met")
-        rows = rows.where(F.coalesce(*KEYS).isNotNull())
     out = scratch.save(rows)
     scratch.drop(shared)
     return out
 
 
+def row_marks(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row, _marks: a bit for every rid of ``rows``, as an array of MARKS / 64 numbers."""
+    bit = F.pmod("rid", F.lit(MARKS))
+    own = rows.select(F.shiftright(bit, 6).alias("_word"), F.expr(f"shiftleft(1L, cast(pmod(rid, {MARKS}) % 64 as int))").alias("_bits"))
+    every = own.union(rows.sparkSession.range(MARKS // 64).select("id", F.lit(0).cast("long")))
+    words = every.groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    return scratch.save(words.agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_w")).select(F.col("_w._bits").alias("_marks")))
+
+
+def by_marks(rows: DataFrame, marks: DataFrame, marked: bool = True) -> DataFrame:
+    """The rows whose rid is marked, which a few others are too; or the rest."""
+    bit = F.pmod("rid", F.lit(MARKS))
+    there = F.getbit(F.col("_marks")[F.shiftright(bit, 6).cast("int")], (bit % 64).cast("int")) == 1
+    return rows.join(F.broadcast(marks), there if marked else ~there, "left_semi")
+
+
 def bucket_sets(places: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """key, i, j, block, cid, comp, set (sorted distinct shingles) of each row of ``places``: cid, key, block, and other (block
     it is compared with) and comp if they are not the block itself and cid.
 
     ``classes``: cid, c1, rid of a row that holds the class. The places travel to the texts, as arrays for each row, so that
-    the sets move once, to their buckets.
+    the sets move once, to their buckets. Too many places to send meet the texts of their rows in a shuffle.
     """
     more = [c for c in ("other", "comp") if c in places.columns]
     names = ["c1", "cid", "key", "block", *more]
     own = places.join(classes.select("cid", "c1", "rid"), "cid").groupBy("rid").agg(F.collect_list(F.struct(*names)).alias("_p"))
     lists = scratch.save(own.select("rid", *[F.col(f"_p.{c}").alias(c) for c in names]))
-    texts = docs.join(sendable(lists), "rid").select("rid", "text", *names)
-    if docs.join(sendable(lists.select("rid")), "rid").count() > lists.count():
+    rows, total = lists.agg(F.count("*"), F.sum(F.size("c1"))).first()
+    if few := (total or 0) + 4 * rows <= SEND_PLACES:
+        lists = F.broadcast(lists)
+    else:
+        # Spark would still send what is small on disk
+        docs, lists = by_marks(docs, row_marks(lists, scratch)), lists.hint("merge")
+    texts = docs.join(lists, "rid").select("rid", "text", *names)
+    ids = lists.select("rid")
+    if docs.select("rid").join(F.broadcast(ids) if few else ids, "rid").count() > rows:
         # a row that is there twice would bring its sets twice
         texts = texts.dropDuplicates(["rid"])
 
@@ -336,7 +374,7 @@ def class_links(held: DataFrame, classes: DataFrame, docs: DataFrame, scratch: S
     # near copies share several bands: buckets of the same classes are compared once
     bucket = held.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("cid", F.lit(2))).alias("h2"))
     once = scratch.save(bucket.groupBy("c", "h1", "h2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("n")))
-    sized = held.join(sendable(once), "key").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("n")).cast("int"))
+    sized = held.join(sendable(once, SEND), "key").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("n")).cast("int"))
     sized = scratch.save(sized)
     links = scratch.save(_compare(bucket_sets(sized.select("cid", "key", "block"), classes, docs, scratch)))
     scratch.free_shuffles()
@@ -366,17 +404,17 @@ def repeated_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     keyed = classes.select("cid", "lo", "hi", F.explode(F.array(*KEYS)).alias("key")).where("key is not null")
     # neighbours in one document overlap and often share a key; only keys of several rows and classes matter
     mixed = scratch.save(keyed.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("c")).where("c > 1 and lo < hi").select("key"))
-    held = scratch.save(keyed.select("key", "cid").join(sendable(mixed), "key"))
+    held = scratch.save(keyed.select("key", "cid").join(sendable(mixed, SEND), "key"))
     links = class_links(held, classes.select("cid", "c1", "c2", F.col("lo").alias("rid")), docs, scratch)
     comp = scratch.save(connected_components(links, scratch).select(F.col("node").alias("cid"), F.col("component").alias("comp")))
     cluster = scratch.save(classes.join(comp, "cid", "left").where("comp is not null or lo < hi").select("c1", "c2", F.coalesce("comp", "cid").alias("cluster")))
     scratch.free_shuffles()
-    rows = scratch.save(table.select("rid", "doc_id", "p", "c1", "c2").join(sendable(cluster), ["c1", "c2"]).select("rid", "doc_id", "p", "cluster"))
+    rows = scratch.save(table.select("rid", "doc_id", "p", "c1", "c2").join(sendable(cluster, SEND), ["c1", "c2"]).select("rid", "doc_id", "p", "cluster"))
     scratch.drop(table, classes, held, mixed)
     scratch.free_shuffles()
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "p")
     first = rows.groupBy("cluster").agg(F.min(place).alias("first"), F.max("rid").alias("_hi"), F.min("rid").alias("_lo")).where("_lo < _hi").drop("_lo", "_hi")
-    out = rows.join(sendable(scratch.save(first)), "cluster")
+    out = rows.join(sendable(scratch.save(first), SEND), "cluster")
     return out.select("rid", "doc_id", "p", (F.col("p") + LENGTH).alias("q"), "cluster", F.col("first.doc_id").alias("first_doc"), (F.col("first.rid") == F.col("rid")).alias("kept"))
 
 
