@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .components import connected_components
 from .overlap import common, flat_sets, roots
@@ -35,10 +36,8 @@ FEW = 12
 GATHER = 1 << 21
 #: Shared keys up to which the filter that is sent to every task has KEY_BITS bits for each (16 MB); it grows no further.
 SEND_KEYS, KEY_BITS = 8_000_000, 16
-#: Narrow rows, and places of paragraphs (28 bytes), that are sent to every task at most.
-SEND, SEND_PLACES = 100_000, 500_000
-#: Places of removed words that are sent to every task at most.
-SEND_SPANS = 2_000_000
+#: Narrow rows, places of paragraphs (28 bytes) and of removed words (32 bytes) that are sent to every task at most.
+SEND, SEND_PLACES, SEND_SPANS = 100_000, 500_000, 100_000
 #: Bits of the filter of row ids (2 MB) by which only texts that may have a partner are shuffled.
 MARKS = 1 << 24
 LAST = np.uint64(2**64 - 1)
@@ -440,14 +439,23 @@ def remove_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # the caller's columns travel in one struct, so that no name can clash
     rows = docs.select(row_id().alias("rid"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
     few = spans.agg(F.sum(F.size("spans") + 4)).first()[0] or 0
-    joined = rows.join(F.broadcast(spans) if few <= SEND_SPANS else spans, "rid", "left")
+    if few <= SEND_SPANS:
+        joined = rows.join(F.broadcast(spans), "rid", "left")
+        same, near = joined.where("spans is null"), joined.where("spans is not null")
+    else:
+        # only rows that may have spans are shuffled
+        marks = row_marks(spans, scratch)
+        same, near = by_marks(rows, marks, False), by_marks(rows, marks).join(spans.hint("merge"), "rid", "left")
     at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            row = b["row"].flatten()
-            for t, s in zip(row[at].to_pylist(), b["spans"].to_pylist(), strict=True):
+            row, spans = b["row"].flatten(), b["spans"].to_pylist()
+            for t, s in zip(row[at].to_pylist(), spans, strict=True):
+                if s is None:
+                    out.append(t)
+                    continue
                 blob = t.encode("utf-8", "surrogatepass")
                 _, _, starts, ends, _, _ = next(chunks(pa.array([t])))
                 keep, done = [], 0
@@ -455,13 +463,16 @@ def remove_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     keep.append(blob[done : starts[x["p"]]])
                     done = ends[x["q"] - 1]
                 out.append(b"".join([*keep, blob[done:]]).strip(b" \t\r\n\x0b\x0c").decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == at else x for i, x in enumerate(row)], names)
+            new = pa.StructArray.from_arrays([pa.array(out, pa.string()) if i == at else x for i, x in enumerate(row)], fields=list(b.schema.field("row").type))
+            yield pa.RecordBatch.from_arrays([new, pa.array([s is not None for s in spans])], ["row", "cut"])
 
-    same = joined.where("spans is null").select("row.*")
-    changed = joined.where("spans is not null").select("row", "spans").mapInArrow(cut, docs.schema).where("text <> ''")
+    kind = StructType([StructField("row", docs.schema), StructField("cut", BooleanType())])
+    changed = near.select("row", "spans").mapInArrow(cut, kind).where("not cut or row.text <> ''")
+    values = [F.col(f"row.`{n}`") for n in names]
     if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names)
-    return same.union(changed)
+        n = names.index("n_chars")
+        values[n] = F.when(F.col("cut"), F.length("row.text").cast(docs.schema["n_chars"].dataType)).otherwise(values[n]).alias("n_chars")
+    return same.select("row.*").union(changed.select(*values))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
